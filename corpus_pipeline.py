@@ -10,13 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxgraph.llm import bpe, decontam, neardup, secrets
-from voxgraph.llm.queries import tokenizer_path
+from voxgraph.llm import bpe, decontam, neardup, secrets, toxicity
+from voxgraph.llm.queries import tokenizer_path, toxicity_model
 from voxgraph.plans.lineage import by_ids, cut
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model rejects go; it is fitted on the labelled ones."""
+    docs = docs.select(*COLUMNS)
+    return toxicity.drop_toxic(docs, toxicity_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five words, similarity 0.8."""
     return neardup.drop_near_duplicates(docs.select(*COLUMNS), neardup.Rule(words=5, num=80, den=100))
@@ -40,6 +46,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxic),
     ("near_duplicates", near_duplicates),
     ("benchmark", benchmark),
     ("secrets", secret_scan),

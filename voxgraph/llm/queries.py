@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxgraph.llm import bpe, decontam, neardup, quality, secrets
+from voxgraph.llm import ann, bpe, decontam, htmltext, licenses, neardup, quality, secrets, toxicity, urlfilter
 
 #: File of the tokenizer that encodes; a name of the public tokenizers package or a path.
 TOKENIZER = "byte_bpe_50k.json"
@@ -54,8 +54,39 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("item_ids")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(_table(spark, sf_dir, "pages"))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame, keep: F.Column | None = None) -> toxicity.Model:
+    """Fitted on the labelled documents, a bounded sample of them, or those for which ``keep`` holds."""
+    labels = labels.where("toxic is not null").where(keep if keep is not None else F.lit(True)).select("doc_id", F.col("toxic").alias("label"))
+    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(toxicity.TRAIN_ROWS)
+    return toxicity.train(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, severity, p_toxic, rejected of every document; labels of held-out documents are not learned from."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, _table(spark, sf_dir, "labels"), ~held_out())
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "severity", "p_toxic", "rejected")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op3_secrets, op4_bpe, op7_near_duplicates, op8_decontamination)
+    f.__name__: f
+    for f in (op1_quality, op2_licenses, op3_secrets, op4_bpe, op5_main_text, op6_toxicity, op7_near_duplicates, op8_decontamination, op9_url_filter, op10_nearest)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}
