@@ -2,20 +2,22 @@
 
 A text and each of its lines is a *unit*.  Units and templates are normalised
 (A-Z to lower case, anything but letters a-z and digits separates words) and
-become sets of word bigrams.  A unit matches a template if the Dice coefficient
+become bags of word bigrams.  A unit matches a template if the Dice coefficient
 2|A and B| / (|A| + |B|) is at least ``LEAST``; as |A and B| is at most the smaller
 size, only templates with LEAST/(2-LEAST) * |A| <= |B| <= (2-LEAST)/LEAST * |A| can
-match, and others are not compared.
+match, and others are not compared.  A unit of n words has n - 1 bigrams, so
+units that no template can match are left before any bigram is made.
 
 Rows: one for each input row.  Null, empty and one-word texts match nothing;
-units without a bigram are left out; repeated lines count each; a text of one
-line is one unit.  Of equal coefficients the smaller license name is the best.
+repeated lines count each; a text of one line is one unit.  Of equal
+coefficients the smaller license name is the best.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,50 +43,53 @@ TEMPLATES = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def template_bigrams(text: str) -> list[str]:
-    """Sorted distinct word bigrams of a normalised template."""
+def template_bigrams(text: str) -> Counter:
+    """Word bigrams of a normalised template, with their counts."""
     words = [w for w in re.split("[^a-z0-9]+", text.translate(str.maketrans(_UPPER, _LOWER))) if w]
-    return sorted({f"{a} {b}" for a, b in zip(words[:-1], words[1:], strict=True)})
+    return Counter(f"{a} {b}" for a, b in zip(words[:-1], words[1:], strict=True))
 
 
 def bounds(size: int, least: float = LEAST) -> tuple[int, int]:
-    """Smallest and largest set that can reach the coefficient against one of ``size`` bigrams."""
+    """Least and most bigrams with which a unit can reach the coefficient against a template of ``size``."""
     whole = round(least * 1000)
     return -(-whole * size // (2000 - whole)), (2000 - whole) * size // whole
 
 
-def bigrams(unit: Column) -> Column:
-    """Distinct word bigrams of a unit in lower case."""
-    words = F.filter(F.split(unit, "[^a-z0-9]+"), lambda w: w != "")
-    return F.transform(
-        F.array(words), lambda w: F.when(F.size(w) > 1, F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))).otherwise(F.expr("cast(array() as array<string>)"))
-    )[0]
+def _is(bigram: str) -> Callable[[Column], Column]:
+    return lambda x: x == bigram
+
+
+def shared(own: Column, template: Counter) -> Column:
+    """Size of the intersection of two bags."""
+    both = F.size(F.array_intersect(own, F.array(*map(F.lit, sorted(template)))))
+    for b, n in template.items():
+        if n > 1:  # what the template repeats
+            both = both + F.greatest(F.lit(0), F.least(F.lit(n), F.size(F.filter(own, _is(b)))) - 1)
+    return both
 
 
 def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, dice, n_units, licenses): best match or null, units that match, all matched names in order."""
-    sets = sorted((name, template_bigrams(text)) for name, text in templates)
-    sets = [(name, b, *bounds(len(b), least)) for name, b in sets if b]
-    lo, hi = min(s[2] for s in sets), max(s[3] for s in sets)
+    bags = [(name, b, *bounds(b.total(), least)) for name, b in ((n, template_bigrams(t)) for n, t in sorted(templates)) if b]
+    lo, hi = min(s[2] for s in bags), max(s[3] for s in bags)
+
+    def pairs(words: Column) -> Column:
+        return F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.lower(F.concat(a, F.lit(" "), b)))
 
     def best(own: Column) -> Column:
-        found = [
-            F.when(F.size(own).between(a, z), F.struct((2.0 * F.size(F.array_intersect(own, F.array(*map(F.lit, b)))) / (F.size(own) + len(b))).alias("dice"), F.lit(-i).alias("order")))
-            for i, (_, b, a, z) in enumerate(sets)
-        ]
+        found = [F.when(F.size(own).between(a, z), F.struct((2.0 * shared(own, b) / (F.size(own) + b.total())).alias("dice"), F.lit(-i).alias("order"))) for i, (_, b, a, z) in enumerate(bags)]
         return F.array_max(F.array(*found))
 
-    low = F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _LOWER)
-    lines = F.split(low, "\n")
-    units = F.when(F.size(lines) > 1, F.concat(lines, F.array(low))).otherwise(lines)
-    # A unit of few words has few bigrams: most lines end here, before any bigram is made.
-    near = F.filter(F.transform(units, bigrams), lambda b: F.size(b).between(lo, hi))
-    match = F.filter(F.transform(near, best), lambda m: m.dice >= least)
-    names = F.array(*[F.lit(s[0]) for s in sets])
+    names = F.array(*[F.lit(s[0]) for s in bags])
     top = F.array_max("m")
+    # Lines end words, so a text's words are its lines' words: each character is split once.
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.filter(F.split(x, "[^a-zA-Z0-9]+"), lambda w: w != ""))
+    whole = F.when(F.size("lines") > 1, F.array(F.flatten("lines"))).otherwise(F.array())
     return (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .select("doc_id", match.alias("m"))
+        .select("doc_id", lines.alias("lines"))
+        .select("doc_id", F.filter(F.concat("lines", whole), lambda w: (F.size(w) - 1).between(lo, hi)).alias("near"))
+        .select("doc_id", F.filter(F.transform(F.transform("near", pairs), best), lambda m: m.dice >= least).alias("m"))
         .select(
             "doc_id",
             F.when(F.size("m") > 0, F.element_at(names, 1 - top.order)).alias("license"),
@@ -96,18 +101,19 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
 
 
 def oracle_sql(templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> str:
-    """The same in DuckDB, every unit against every template."""
-    quoted = [f"({i}, '{name}', [{', '.join(repr(b) for b in template_bigrams(text))}])" for i, (name, text) in enumerate(sorted(templates, key=lambda t: (t[0], template_bigrams(t[1]))))]
+    """The same in DuckDB, every unit against every template that shares a bigram."""
+    bags = [(name, template_bigrams(text)) for name, text in sorted(templates)]
+    rows = ", ".join(f"({i}, '{name}', {b.total()}, '{x}', {n})" for i, (name, b) in enumerate(bags) for x, n in b.items())
     return f"""
-WITH t(i, name, b) AS (VALUES {', '.join(quoted)}),
+WITH t(i, name, size, b, n) AS (VALUES {rows}),
 d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS low FROM documents),
-u AS (
-  SELECT r, unnest(CASE WHEN contains(low, chr(10)) THEN list_append(string_split(low, chr(10)), low) ELSE [low] END) AS unit FROM d),
+u AS (SELECT r, unnest(CASE WHEN contains(low, chr(10)) THEN list_append(string_split(low, chr(10)), low) ELSE [low] END) AS unit FROM d),
 w AS (SELECT r, row_number() OVER () AS k, list_filter(regexp_split_to_array(unit, '[^a-z0-9]+'), lambda x: x <> '') AS w FROM u),
-g AS (SELECT r, k, list_distinct(list_transform(range(1, len(w)), lambda j: w[j] || ' ' || w[j + 1])) AS g FROM w WHERE len(w) > 1),
+g AS (SELECT r, k, len(w) - 1 AS size, unnest(list_transform(range(1, len(w)), lambda j: w[j] || ' ' || w[j + 1])) AS b FROM w WHERE len(w) > 1),
+c AS (SELECT r, k, size, b, count(*) AS n FROM g GROUP BY ALL),
 m AS (
-  SELECT r, k, name, i, 2.0 * len(list_intersect(g, b)) / (len(g) + len(b)) AS dice FROM g, t
-  WHERE len(g) BETWEEN 1 AND 4 * len(b) AND 2.0 * len(list_intersect(g, b)) / (len(g) + len(b)) >= {least}),
+  SELECT r, k, i, name, 2.0 * sum(least(c.n, t.n)) / (any_value(c.size) + any_value(t.size)) AS dice
+  FROM c JOIN t ON c.b = t.b GROUP BY r, k, i, name HAVING 2.0 * sum(least(c.n, t.n)) / (any_value(c.size) + any_value(t.size)) >= {least}),
 one AS (SELECT r, k, max(dice) AS dice, arg_min(name, (-dice, i)) AS name, arg_min(i, (-dice, i)) AS i FROM m GROUP BY r, k),
 s AS (SELECT r, arg_min(name, (-dice, i)) AS license, round(max(dice), 6) AS dice, count(*) AS n_units, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM one GROUP BY r)
 SELECT doc_id, license, dice, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(licenses, '') AS licenses FROM d LEFT JOIN s USING (r)"""
