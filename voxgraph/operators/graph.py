@@ -45,3 +45,40 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
         labels = first.select(F.col("u").alias("node"), F.col("v").alias("to"))
     alone = loops.distinct().join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("to"))
     return labels.unionByName(alone).select("node", F.col("to").alias("component"))
+
+
+def merged(edges: DataFrame, nodes: DataFrame, cut_flag: str = "is_cut") -> DataFrame:
+    """(node, component) of all nodes after merging along edges that are not cut."""
+    comp = connected_components(edges.where(F.col(cut_flag) == 0))
+    return nodes.select("node").join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def contract(edges: DataFrame, node_map: DataFrame, old: str = "node", new: str = "component", cost: str = "cost") -> DataFrame:
+    """(u, v, cost): edges between merged nodes, parallel ones summed, loops dropped."""
+    a = node_map.select(F.col(old).alias("u"), F.col(new).alias("a"))
+    b = node_map.select(F.col(old).alias("v"), F.col(new).alias("b"))
+    mapped = edges.join(a, "u").join(b, "v").where("a <> b")
+    return mapped.groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(F.sum(cost).alias(cost))
+
+
+def compose(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(node, component): the second map after the first."""
+    later = second.select(F.col("node").alias("component"), F.col("component").alias("last"))
+    return first.select("node", "component").join(later, "component").select("node", F.col("last").alias("component"))
+
+
+def members(node_map: DataFrame) -> DataFrame:
+    """(component, nodes): the inverse map, with sorted lists."""
+    return node_map.groupBy("component").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
+
+
+def cut_edges(edges: DataFrame, labels: DataFrame, label: str = "component") -> DataFrame:
+    """Edges with is_cut: 1 where the ends have different labels."""
+    a = labels.select(F.col("node").alias("u"), F.col(label).alias("_a"))
+    b = labels.select(F.col("node").alias("v"), F.col(label).alias("_b"))
+    return edges.join(a, "u").join(b, "v").withColumn("is_cut", (F.col("_a") != F.col("_b")).cast("int")).select(*edges.columns, "is_cut")
+
+
+def energy(edges: DataFrame, labels: DataFrame, label: str = "component") -> DataFrame:
+    """One row: sum of the costs of cut edges."""
+    return cut_edges(edges, labels, label).agg(F.coalesce(F.sum(F.when(F.col("is_cut") == 1, F.col("cost"))), F.lit(0.0)).alias("energy"))
