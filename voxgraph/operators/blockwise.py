@@ -41,7 +41,7 @@ def solve_global(edges: DataFrame, name: str = "fm-kl", seconds: float = 36_000.
         np.minimum.at(least, labels, nodes)
         return pd.DataFrame({"node": nodes, "component": least[labels]})
 
-    return edges.select("u", "v", "cost").groupBy(F.lit(0)).applyInPandas(solve, "node long, component long")
+    return edges.select("u", "v", "cost").groupBy().applyInPandas(solve, "node long, component long")
 
 
 def merge_cuts(edges: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -52,20 +52,26 @@ def region_edge_features(edges: DataFrame, nodes: DataFrame, kinds: Sequence[str
     return e.select(*edges.columns, *cols)
 
 
-def border_values(voxels: DataFrame, value: str = "prob", seg: str = "seg", z_direction: int = Z_BOTH, kinds: tuple[str, ...] = ("xy", "z")) -> DataFrame:
-    """(u, v, edge_type, value): both sides' values of every neighbouring voxel pair; between slices the lower, the upper or both, by direction."""
-    pairs = adjacent_voxels(voxels, seg, value, kinds=kinds)
-    both = F.array(F.col(value), F.col(f"n_{value}"))
-    z_values = both if z_direction == Z_BOTH else F.array(F.col(value) if z_direction == Z_LOWER else F.col(f"n_{value}"))
-    return pairs.select("u", "v", "edge_type", F.explode(F.when(F.col("edge_type") == "z", z_values).otherwise(both)).alias("value"))
-
-
-def edge_statistics(values: DataFrame) -> DataFrame:
-    """Nine statistics of the values of each edge."""
-    return values.groupBy("u", "v", "edge_type").agg(
-        F.avg("value").alias("mean"), F.var_pop("value").alias("variance"), F.min("value").alias("min"),
-        F.percentile("value", F.array(*map(F.lit, EDGE_QUANTILES))).alias("q"), F.max("value").alias("max"),
-    ).select("u", "v", "edge_type", "mean", "variance", "min", *(F.col("q")[i].alias(f"q{int(100 * q)}") for i, q in enumerate(EDGE_QUANTILES)), "max")
+def border_values(voxels: DataFrame, values: Sequence[str] = ("prob",), seg: str = "seg", z_direction: int = Z_BOTH, kinds: tuple[str, ...] = ("xy", "z")) -> DataFrame:
+    """(u, v, edge_type, values): both sides' values of every neighbouring voxel pair; between slices the lower, the upper or both, by direction."""
+    pairs = adjacent_voxels(voxels, seg, *values, kinds=kinds)
+    here, there = F.struct(*values), F.struct(*(F.col(f"n_{c}").alias(c) for c in values))
+    both = F.array(here, there)
+    z_values = both if z_direction == Z_BOTH else F.array(here if z_direction == Z_LOWER else there)
+    return pairs.select("u", "v", "edge_type", F.explode(F.when(F.col("edge_type") == "z", z_values).otherwise(both)).alias("_v")).select("u", "v", "edge_type", "_v.*")
+
+
+def edge_statistics(values: DataFrame, columns: Sequence[str] = ("value",), prefixed: bool = False) -> DataFrame:
+    """Nine statistics of the values of each edge, for all columns in one grouping."""
+    aggs, out = [], []
+    for c in columns:
+        p = f"{c}_" if prefixed else ""
+        aggs += [
+            F.avg(c).alias(f"{p}mean"), F.var_pop(c).alias(f"{p}variance"), F.min(c).alias(f"{p}min"),
+            F.percentile(c, F.array(*map(F.lit, EDGE_QUANTILES))).alias(f"{p}q"), F.max(c).alias(f"{p}max"),
+        ]
+        out += [f"{p}mean", f"{p}variance", f"{p}min", *(F.col(f"{p}q")[i].alias(f"{p}q{int(100 * q)}") for i, q in enumerate(EDGE_QUANTILES)), f"{p}max"]
+    return values.groupBy("u", "v", "edge_type").agg(*aggs).select("u", "v", "edge_type", *out)
 
 
 def edge_features(voxels: DataFrame, value: str = "prob", seg: str = "seg", keep_only_xy: bool = False, keep_only_z: bool = False, z_direction: int = Z_BOTH) -> DataFrame:
@@ -73,7 +79,12 @@ def edge_features(voxels: DataFrame, value: str = "prob", seg: str = "seg", keep
     if keep_only_xy and keep_only_z:
         raise ValueError("only one kind of edge can be kept")
     kinds = ("xy",) if keep_only_xy else ("z",) if keep_only_z else ("xy", "z")
-    return edge_statistics(border_values(voxels, value, seg, z_direction, kinds))
+    return edge_statistics(border_values(voxels, (value,), seg, z_direction, kinds), (value,))
+
+
+def filter_features(responses: DataFrame, channels: Sequence[str], seg: str = "seg", z_direction: int = Z_BOTH) -> DataFrame:
+    """Nine statistics of every filter channel; neighbours are paired once for all channels."""
+    return edge_statistics(border_values(responses, channels, seg, z_direction), channels, prefixed=True)
 
 
 def joined_features(first: DataFrame, *others: DataFrame) -> DataFrame:

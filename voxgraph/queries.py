@@ -327,10 +327,7 @@ def edge_features_z_upper(spark, d):
 def edge_features_filters(spark, d):
     v = voxels(spark, d)
     responses = kernels.filtered(v)
-    own = v.select("z", "y", "x", "seg").join(responses, ["z", "y", "x"])
-    names = responses.columns[3:]
-    first = features.edge_features(own, names[0])
-    return features.joined_features(first, *(features.edge_features(own, n) for n in names[1:]))
+    return features.filter_features(v.select("z", "y", "x", "seg").join(responses, ["z", "y", "x"]), responses.columns[3:])
 
 
 @query(_sql(_VOX, _ADJ, _BOTH, ", a AS (SELECT u, v, edge_type, avg(value) AS m FROM bv GROUP BY ALL), b AS (SELECT u, v, edge_type, max(value) AS m FROM bv GROUP BY ALL) SELECT u, v, edge_type, round(a.m, 6) + 0.0 AS mean, b.m AS max_1 FROM a JOIN b USING (u, v, edge_type)"))
