@@ -850,7 +850,7 @@ def image_filters(spark, d):
     return kernels.filtered(voxels(spark, d))
 
 
-@query("SELECT 'exact' AS solver, -5.5 AS energy UNION ALL SELECT 'trivial', 0.0")
+@query("SELECT 'exact' AS solver, -5.5::DOUBLE AS energy UNION ALL SELECT 'trivial', 0.0::DOUBLE")
 def golden_multicut(spark, d):
     """A problem of four nodes whose optimum is known, and the partition of one set."""
     uv, c = np.array([[0, 1], [1, 2], [0, 2], [2, 3], [0, 3]]), np.array([2, -1, -0.5, 3, -4])
