@@ -388,6 +388,22 @@ def ignore_costs(spark, d):
     return _rounded(costs.ignore_costs(p).select("u", "v", "edge_type", "cost"), "cost")
 
 
+@query("SELECT o_orderkey AS u, CASE WHEN o_custkey % 7 = 0 THEN 0.5 ELSE round(o_totalprice, 2) END AS prob FROM orders")
+def probability_repair(spark, d):
+    bad = F.when(F.col("o_custkey") % 14 == 0, float("nan")).when(F.col("o_custkey") % 7 == 0, float("inf")).otherwise(F.round("o_totalprice", 2))
+    return costs.clipped(spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("u"), bad.alias("prob")))
+
+
+@query(_sql(_VOX, _ADJ, _PROB, "SELECT u, v, edge_type FROM cost WHERE c > ln((1 - 0.48) / 0.48)"))
+def attractive_edges(spark, d):
+    return _problem(spark, d).where(F.col("cost") > costs.bias(0.48)).select("u", "v", "edge_type")
+
+
+@query(_sql(_VOX, _ADJ, "SELECT u, v, edge_type, length, max(length) OVER (PARTITION BY edge_type) AS max_length FROM rag"))
+def edge_length_maxima(spark, d):
+    return costs.max_by_kind(edges(spark, d).drop("z"))
+
+
 # --- graph ----------------------------------------------------------------------------------------------
 
 
@@ -471,6 +487,11 @@ def block_inner_edges(spark, d):
     return blocking.inner_edges(edges(spark, d).drop("z"), _block_nodes(spark, d))
 
 
+@query(_sql(_VOX, _ADJ, _BLOCKS, _ENDS, ", k AS (SELECT block_id FROM ends WHERE n = 2 GROUP BY block_id HAVING count(*) >= 60) SELECT block_id, u, v, edge_type, length FROM ends JOIN k USING (block_id) WHERE n = 2"))
+def block_edges_of_large_blocks(spark, d):
+    return blocking.inner_edges(edges(spark, d).drop("z"), _block_nodes(spark, d), least=60)
+
+
 @query(_sql(_VOX, _ADJ, _BLOCKS, _ENDS, "SELECT block_id, u, v, edge_type, length FROM ends WHERE n = 1"))
 def block_outer_edges(spark, d):
     return blocking.outer_edges(edges(spark, d).drop("z"), _block_nodes(spark, d))
