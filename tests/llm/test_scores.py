@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
 from voxgraph.llm import quality, queries, toxicity
+from voxgraph.llm.sampling import hashed_share
 
 SF = "/root/testdata/sf0.01"
 ODD = "doc_id long, text string, score double, label int"
@@ -63,7 +64,9 @@ def test_odd_rows(spark):
 def test_training_sample_is_bounded_and_stable(spark):
     rows = [(i, f"w{i % 7} ok" if i % 2 else "bad %%%", i % 2) for i in range(80)]
     some = spark.createDataFrame(rows, "doc_id long, text string, label int")
-    a, b = quality.train(some.repartition(5), rows=30), quality.train(some.repartition(2), rows=30)
+    part = hashed_share(some, "doc_id", 30)
+    assert 15 < part.count() < 45 and hashed_share(some, "doc_id", 80).count() == 80
+    a, b = quality.train(hashed_share(some.repartition(5), "doc_id", 30)), quality.train(hashed_share(some.repartition(2), "doc_id", 30))
     assert np.array_equal(a.weights, b.weights) and a.bias == b.bias
 
 

@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxgraph.llm.sampling import hashed_share
 from voxgraph.plans.lineage import cut
 
-#: Vectors on which codebooks are fitted, at most; every row is indexed.
+#: Vectors on which codebooks are fitted, on average where there are more; every row is indexed.
 SAMPLE = 20_000
 #: Units of a block that a query scores exactly.
 RERANK = 200
@@ -138,7 +139,8 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
     least = points.withColumn("nth", F.row_number().over(by_id)).where(F.col("nth") <= k + 1)
     units = cut(least.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     queries = points.where(F.col("vec_id") % every == 0)
-    sample = units.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE).select("v").toArrow()
+    n_units, n_queries = units.count(), queries.count()
+    sample = hashed_share(units.withColumn("first", F.col("ids")[0]), "first", SAMPLE, n_units).orderBy("first").select("v").toArrow()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample.num_rows:
         return empty
@@ -151,7 +153,6 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
                 packed = books.value.packed(_vectors(part.column(0)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([c.tobytes() for c in packed], pa.binary())], names=["v", "ids", "code"])
 
-    n_units, n_queries = units.count(), queries.count()
     across, down = -(-n_units // UNIT_BLOCK), max(1, -(-n_queries // QUERY_BLOCK))
     coded = units.mapInArrow(with_codes, "v array<double>, ids array<long>, code binary")
     side_a = coded.select(

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from voxgraph.llm import kernels as K
 
 BITS = 18
-#: Most labelled rows that training uses: those whose hashed id is least.
+#: Labelled rows that training uses, on average, where there are more.
 TRAIN_ROWS = 6_000
 #: Weight of the shares in a text, so that steps of the learner suit them.
 SCALE = np.float32(8.0)
@@ -166,24 +166,29 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, bits: int
     return Model(weight(z, s).astype(np.float32), float(-zb / ((how.beta + np.sqrt(sb)) / how.alpha)), bits)
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", bits: int = BITS, rows: int = TRAIN_ROWS, how: Ftrl = Ftrl()) -> Model:
-    """Fit on at most ``rows`` labelled texts, those whose hashed id is least; rows without a label are left out."""
-    schema = pa.schema([("label", pa.float64()), ("bucket", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", bits: int = BITS, how: Ftrl = Ftrl()) -> Model:
+    """Fit on labelled texts, in the order of their hashed ids; rows without a label or an id are left out.
+
+    The features of all rows come to the driver: bound them with ``hashed_share``.
+    """
+    schema = pa.schema([("place", pa.int64()), ("label", pa.float64()), ("bucket", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
 
     def sparse(batch: pa.RecordBatch) -> Iterator[dict]:
-        for a, b, data, off in K.slices(batch.column(1)):
+        for a, b, data, off in K.slices(batch.column(2)):
             d, bucket, value = features(data, off, bits)
             key, at = np.unique((d << bits) | bucket, return_inverse=True)
             total = np.bincount(at, weights=value).astype(np.float32)
             cut = np.searchsorted(key >> bits, np.arange(b - a + 1)).astype(np.int32)
             yield {
-                "label": batch.column(0).slice(a, b - a),
+                "place": batch.column(0).slice(a, b - a),
+                "label": batch.column(1).slice(a, b - a),
                 "bucket": pa.ListArray.from_arrays(pa.array(cut), pa.array((key & ((1 << bits) - 1)).astype(np.int32))),
                 "value": pa.ListArray.from_arrays(pa.array(cut), pa.array(total)),
             }
 
-    chosen = labelled.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)).limit(rows)
-    table = chosen.select(F.col(label_col).cast("double").alias("label"), F.col(text_col).alias("text")).mapInArrow(K.mapper(sparse, schema), "label double, bucket array<int>, value array<float>").toArrow()
+    known = labelled.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+    rows = known.select(F.xxhash64(F.col(id_col)).alias("place"), F.col(label_col).cast("double").alias("label"), F.col(text_col).alias("text"))
+    table = rows.mapInArrow(K.mapper(sparse, schema), "place long, label double, bucket array<int>, value array<float>").toArrow().sort_by("place")
     sets = [(np.asarray(i.values), np.asarray(x.values).astype(np.float64)) for i, x in zip(table["bucket"], table["value"], strict=True)]
     return fit_ftrl(sets, table["label"].to_numpy(), bits, how)
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxgraph.llm import kernels as K
 from voxgraph.llm import ann, bpe, decontam, htmltext, licenses, neardup, quality, secrets, toxicity, urlfilter
+from voxgraph.llm.sampling import hashed_share
 
 #: File of the tokenizer that encodes; a name of the public tokenizers package or a path.
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,6 +24,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    K.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,7 +36,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted of every document; labels of held-out documents are not learned from."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").where("quality is not null").where(~held_out()).select("doc_id", F.col("quality").alias("label"))
-    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(quality.TRAIN_ROWS)
+    chosen = hashed_share(labels, "doc_id", quality.TRAIN_ROWS)
     model = quality.train(docs.join(F.broadcast(chosen), "doc_id"))
     return quality.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
@@ -65,7 +68,7 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(docs: DataFrame, labels: DataFrame, keep: F.Column | None = None) -> toxicity.Model:
     """Fitted on the labelled documents, a bounded sample of them, or those for which ``keep`` holds."""
     labels = labels.where("toxic is not null").where(keep if keep is not None else F.lit(True)).select("doc_id", F.col("toxic").alias("label"))
-    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(toxicity.TRAIN_ROWS)
+    chosen = hashed_share(labels, "doc_id", toxicity.TRAIN_ROWS)
     return toxicity.train(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
 
