@@ -6,10 +6,12 @@ effect.  All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxgraph.llm import kernels as K
 from voxgraph.llm import bpe, decontam, neardup, secrets, toxicity
 from voxgraph.llm.queries import tokenizer_path, toxicity_model
 from voxgraph.plans.lineage import by_ids, cut
@@ -45,12 +47,26 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, tokenizer_path())
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", toxic),
-    ("near_duplicates", near_duplicates),
-    ("benchmark", benchmark),
-    ("secrets", secret_scan),
-    ("bpe", tokens),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _bounded(stage: Stage) -> Stage:
+    """The stage with Arrow batches that suit long texts."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        K.small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", _bounded(toxic)),
+    ("near_duplicates", _bounded(near_duplicates)),
+    ("benchmark", _bounded(benchmark)),
+    ("secrets", _bounded(secret_scan)),
+    ("bpe", _bounded(tokens)),
 ]
 
 #: The stages are not SQL: they are tested against a brute-force version.

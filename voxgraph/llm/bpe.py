@@ -31,8 +31,8 @@ from voxgraph.llm import kernels as K
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 # The contractions that stand as words of their own, in the order in which they are tried.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Distinct words whose tokens a Python worker keeps.
-CACHE_WORDS = 400_000
+#: Distinct words whose tokens a Python worker keeps within a partition.
+CACHE_WORDS = 200_000
 
 
 def _byte_chars() -> dict[str, int]:
@@ -278,7 +278,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 "decoded_sha256": [hashlib.sha256(m[2].decode("utf-8", "replace").encode()).hexdigest() for m in made],
             }
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(K.mapper(rows, _SCHEMA), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(K.mapper(rows, _SCHEMA, lambda: load(path).cache.clear()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -292,7 +292,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             ids = [np.array(m[1].split(b","), np.int32) if m[1] else np.zeros(0, np.int32) for m in made]
             yield {"doc_id": batch.column(0).slice(a, b - a), "n_tokens": [m[0] for m in made], "ids": ids}
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(K.mapper(rows, schema), "doc_id long, n_tokens long, ids array<int>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(K.mapper(rows, schema, lambda: load(path).cache.clear()), "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one kernel call handles; a longer text is a call of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
@@ -162,11 +162,30 @@ def within(doc: np.ndarray, k: int) -> np.ndarray:
     return doc[:n] == doc[k - 1 :] if n > 0 else np.zeros(0, bool)
 
 
-def mapper(fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: pa.Schema) -> Callable:
-    """For mapInArrow: ``fn`` yields columns by name for one incoming batch."""
+#: Rows of text that one Arrow batch brings to a Python worker.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark) -> None:
+    """Long texts make the usual 10,000 rows of a batch too large for small executors; a session that asks for fewer keeps its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def released(batches: Iterator[pa.RecordBatch], after: Callable[[], None] | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches; a partition's end gives unused memory back, as Python workers live on."""
+    yield from batches
+    if after:
+        after()
+    pa.default_memory_pool().release_unused()
+
+
+def mapper(fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: pa.Schema, after: Callable[[], None] | None = None) -> Callable:
+    """For mapInArrow: ``fn`` yields columns by name for one incoming batch; ``after`` runs at a partition's end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches, after):
             for columns in fn(batch):
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in schema)], schema=schema

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
 
-#: Most labelled rows that training uses (those whose hashed id is least), and most features of the vocabulary.
+#: Labelled rows that training uses, on average, where there are more; and most features of the vocabulary.
 TRAIN_ROWS, VOCABULARY = 20_000, 8_192
 GRADES = 3
 REJECT = 0.5
@@ -117,12 +117,13 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade: n
     return state[:n_cols], gap[0] + np.concatenate([[0.0], np.cumsum(np.exp(gap[1:]))])
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", rows: int = TRAIN_ROWS, vocabulary: int = VOCABULARY) -> Model:
-    """Fit on at most ``rows`` labelled texts; rows without a label or an id are left out."""
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", vocabulary: int = VOCABULARY) -> Model:
+    """Fit on labelled texts; rows without a label or an id are left out.
+
+    The rows' features of the vocabulary come to the driver: bound the rows with ``hashed_share``.
+    """
     sample = (
         labelled.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-        .orderBy(F.xxhash64(F.col(id_col)), F.col(id_col))
-        .limit(rows)
         .select((F.col(label_col) > 0).cast("int").alias("label"), F.col(text_col).alias("text"))
         .cache()
     )
@@ -199,7 +200,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", reject: fl
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = shared.value._filter()
-        for batch in batches:
+        for batch in K.released(batches):
             keep = np.ones(batch.num_rows, bool)
             for a, b, data, off in K.slices(batch.column(at)):
                 keep[a:b] = _logistic(shared.value.margins(data, off, filter_) - shared.value.thresholds[0]) < reject
