@@ -10,9 +10,10 @@ pair shares a key for certain.  Links are confirmed on the full sets.
 Hot keys never make all their pairs.  First each member of a key is compared
 with the key's least member, and links become components.  Only keys whose
 members are then still in several components are looked at again, in blocks of
-bounded size, for pairs between components whose signatures and sizes allow a
-link; those pairs are confirmed too.  So every allowed pair is either confirmed,
-refuted or within one component already, without a cap.
+bounded size: members whose signatures and sizes allow a link to another
+component are held against each other on their full sets, inside the block, and
+only links that join components leave it.  So every allowed pair is confirmed,
+refuted or within one component already, without a cap and without its row.
 
 Rows: one for each input row; null and empty texts, or texts without words,
 have no shingles and are linked with nothing.  A text of fewer words than a
@@ -37,8 +38,12 @@ from voxgraph.plans.lineage import by_ids, cut
 
 CHUNKS, WIDTH, ERRORS = 10, 5, 1
 SYMBOLS = CHUNKS * WIDTH
-#: Members of a key that one block holds on average.
-BLOCK = 256
+#: Members of a key whose signatures one block holds on average: about a megabyte, and a few seconds of comparing.
+BLOCK = 8192
+#: Members of a key up to which its signatures travel in one row.
+SMALL = 64
+#: Members, and shingles of their sets, that one block holds on average where sets are compared.
+SET_BLOCK, BLOCK_SHINGLES = 1024, 200_000
 
 _U = np.uint64
 _A = K.mix(np.arange(1, SYMBOLS + 1, dtype=_U)) | _U(1)
@@ -110,7 +115,7 @@ def neighbour_keys(sig: np.ndarray) -> np.ndarray:
     return out
 
 
-def _symbols(column: pa.Array) -> np.ndarray:
+def _symbols(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SYMBOLS)
 
 
@@ -197,47 +202,119 @@ def confirm(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(a, "x").join(b, "y").select("x", "y", "tx", "ty").mapInArrow(K.mapper(rows, schema), "x long, y long")
 
 
-def _between(reps: DataFrame, keys: DataFrame, rule: Rule) -> DataFrame:
-    """(x, y) of different components that share a key and may be linked; keys of many members are compared in blocks."""
-    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+def _blocked(members: DataFrame, blocks: F.Column) -> DataFrame:
+    """Members of each key dealt into blocks, one copy for each pair of blocks (i, j) that their own is part of."""
+    return (
+        members.withColumn("blocks", F.greatest(F.lit(1), F.ceil(blocks)).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+        .drop("other", "blocks")
+    )
+
+
+def _asked(reps: DataFrame, keys: DataFrame, rule: Rule) -> DataFrame:
+    """(key, rep): members of a key that may be linked to a member of another component.
+
+    Pairs with the key's least member are known already.  A pair counts in the
+    first of the keys that it shares only.  Pairs are seen within a block and never
+    leave it.
+    """
+    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64())])
+    ddl = "key long, rep long"
     most = rule.distance()
 
-    def rows(batch: pa.RecordBatch) -> Iterator[dict]:
-        xs, ys = [], []
-        group, same = batch.column(0), batch.column(1).to_pylist()
+    def wanted(key: int, head: int, rep: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray) -> np.ndarray:
+        own = np.flatnonzero(rep != head)
+        r, c, s, own_sig = rep[own], comp[own], n[own], sig[own]
+        if not len(r) or (c == c[0]).all():
+            return r[:0]
+        every = neighbour_keys(own_sig)
+        place = (every == np.int64(key).astype(_U)).argmax(axis=1)  # of the key among a member's own, the same in all
+        asked = np.zeros(len(r), bool)
+        for k in range(len(r) - 1):
+            at = k + 1 + np.flatnonzero(c[k + 1 :] != c[k])
+            at = at[np.minimum(s[at], s[k]) * rule.den >= np.maximum(s[at], s[k]) * rule.num]
+            at = at[(own_sig[at] != own_sig[k]).sum(axis=1) <= most]
+            at = at[~(every[at, : place[k]] == every[k, : place[k]]).any(axis=1)]
+            if len(at):
+                asked[k] = True
+                asked[at] = True
+        return r[asked]
+
+    def small(batch: pa.RecordBatch) -> Iterator[dict]:
+        keys_out, reps_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        key, head, group = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
         offsets, flat = group.offsets.to_numpy(), group.values
-        rep, comp, n, part = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4))
+        rep, comp, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
         sig = _symbols(flat.field(3))
-        for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-            r, c, s, g, p = rep[a:b], comp[a:b], n[a:b], sig[a:b], part[a:b]
-            for k in range(len(r) - 1):
-                other = c[k + 1 :] != c[k]
-                if not same[i]:
-                    other &= p[k + 1 :] != p[k]
-                at = k + 1 + np.flatnonzero(other)
-                if len(at):
-                    fits = np.minimum(s[at], s[k]) * rule.den >= np.maximum(s[at], s[k]) * rule.num
-                    at = at[fits]
-                    at = at[(g[at] != g[k]).sum(axis=1) <= most]
-                    if len(at):
-                        xs.append(np.maximum(r[at], r[k]))
-                        ys.append(np.minimum(r[at], r[k]))
-        none = np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.concatenate([none, *xs]), np.concatenate([none, *ys])]), axis=1)
-        yield {"x": pairs[0], "y": pairs[1]}
-
-    mixed = keys.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
-    own = reps.select("rep", "n", "sig")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    members = (
-        keys.join(mixed, "key")
-        .withColumn("part", F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", "rep", "comp", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-        .join(own, "rep")
-    )
-    groups = members.groupBy("key", "i", "j").agg(F.collect_list(F.struct("rep", "comp", "n", "sig", "part")).alias("g"))
-    return groups.select("g", (F.col("i") == F.col("j")).alias("same")).where(F.size("g") > 1).mapInArrow(K.mapper(rows, schema), "x long, y long").distinct()
+        for g, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            found = wanted(key[g], head[g], rep[a:b], comp[a:b], n[a:b], sig[a:b])
+            keys_out.append(np.full(len(found), key[g]))
+            reps_out.append(found)
+        yield {"key": np.concatenate(keys_out), "rep": np.concatenate(reps_out)}
+
+    def large(table: pa.Table) -> pa.Table:
+        key, head = table["key"][0].as_py(), table["head"][0].as_py()
+        found = wanted(key, head, *(table[c].to_numpy() for c in ("rep", "comp", "n")), _symbols(table["sig"]))
+        return pa.table({"key": np.full(len(found), key, np.int64), "rep": found}, schema=schema)
+
+    mixed = keys.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("head"), F.count("*").alias("size")).where("lo < hi and size > 2")
+    members = keys.join(mixed.select("key", "head", "size"), "key").join(reps.select("rep", "n", "sig"), "rep")
+    # Small groups come many to a batch; of large ones a task holds one block at a time.
+    few = members.where(F.col("size") <= SMALL).groupBy("key", "head").agg(F.collect_list(F.struct("rep", "comp", "n", "sig")).alias("g"))
+    many = _blocked(members.where(F.col("size") > SMALL), F.col("size") / BLOCK)
+    found = few.mapInArrow(K.mapper(small, schema), ddl).unionByName(many.groupBy("key", "i", "j").applyInArrow(large, ddl))
+    return found.distinct()
+
+
+def _forest(sets: list[np.ndarray], comp: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
+    """Links between components that some pair of the sets confirms, as many as it takes to join those components (at most one less than sets)."""
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    h, col, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = n > 1  # what only one set has is in no intersection
+    keep = shared[col]
+    row, col = row[keep], (np.cumsum(shared) - 1)[col[keep]]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    for at in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(col, [at, at + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[row[a:b], col[a:b] - at] = 1
+        both += part @ part.T
+    linked = np.triu(rule.den * both >= rule.num * (size[:, None] + size[None, :] - both), 1)
+    out, of = [], comp.copy()
+    for x, y in zip(*np.nonzero(linked), strict=True):
+        if of[x] != of[y]:
+            out.append((int(x), int(y)))
+            of[of == max(of[x], of[y])] = min(of[x], of[y])
+    return out
+
+
+def _between(reps: DataFrame, keys: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """(x, y): confirmed links that join components which share a key, held against the full sets within blocks of bounded size."""
+    asked = cut(_asked(reps, keys, rule).join(reps.select("rep", "comp", "n"), "rep"))
+    totals = asked.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("size"))
+    blocks = _blocked(asked.join(totals, "key"), F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("size") / SET_BLOCK))
+    bytes_of = pa.schema([("rep", pa.int64()), ("set", pa.binary())])
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def sets(batch: pa.RecordBatch) -> Iterator[dict]:
+        for a, b, data, off in K.slices(batch.column(1)):
+            h, c = shingles(data, off, rule.words)
+            yield {"rep": batch.column(0).slice(a, b - a), "set": [h[i:j].tobytes() for i, j in zip(c[:-1], c[1:], strict=True)]}
+
+    def block(table: pa.Table) -> pa.Table:
+        rep = table["rep"].to_numpy()
+        sets_ = [np.frombuffer(x.as_buffer(), _U) for c in table["set"].chunks for x in c]
+        found = np.array(_forest(sets_, table["comp"].to_numpy(), rule), np.int64).reshape(-1, 2)
+        a, b = rep[found[:, 0]], rep[found[:, 1]]
+        return pa.table({"x": np.maximum(a, b), "y": np.minimum(a, b)}, schema=schema)
+
+    texts = by_ids(docs, asked.select(F.col("rep").alias("doc_id")), "doc_id").mapInArrow(K.mapper(sets, bytes_of), "rep long, set binary").dropDuplicates(["rep"])
+    return blocks.select("key", "i", "j", "rep", "comp").join(texts, "rep").groupBy("key", "i", "j").applyInArrow(block, "x long, y long").distinct()
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -254,8 +331,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     parts = connected_components(links, "x", "y")
     placed = reps.join(parts.withColumnRenamed("node", "rep").withColumnRenamed("component", "c"), "rep", "left").withColumn("comp", F.coalesce("c", "rep")).drop("c")
     placed = cut(placed)
-    rest = cut(_between(placed, _keys(placed), rule).join(first, ["x", "y"], "left_anti"))
-    more = cut(confirm(rest, docs, rule))
+    more = cut(_between(placed, _keys(placed), docs, rule))
     if not more.isEmpty():
         of = placed.select("rep", "comp")
         joined = more.join(of.select(F.col("rep").alias("x"), F.col("comp").alias("a")), "x").join(of.select(F.col("rep").alias("y"), F.col("comp").alias("b")), "y")
