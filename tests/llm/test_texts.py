@@ -90,6 +90,17 @@ def test_secret_queries(spark):
         assert r.base_sha256 == hashlib.sha256(spans.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("raw", [SECRET.encode(), gzip.compress(SECRET.encode(), mtime=0), b64(SECRET.encode()).encode(), urllib.parse.quote(SECRET).encode()])
+def test_every_copy_of_an_encoded_secret_counts(raw):
+    copy = b64(raw)
+    for text in (f"a {copy} b\n%41 {copy} \\u0041 c {copy}", f"{b64(f'é {copy} | {copy}'.encode())} {copy}"):
+        masked = secrets.mask(text)
+        assert copy not in masked and masked.count("[SECRET]") >= 2
+    text = f"a {copy} b {copy}"
+    assert {(a < text.rfind(copy), k) for a, k, _ in secrets.scan(text)[1]} >= {(True, 0), (False, 0), (True, 1), (False, 1)}
+
+
+
 # --- BPE ---
 
 

@@ -5,9 +5,10 @@ password, followed by ``=`` or ``:`` and a value), ``access`` (cloud access
 ids) and ``hex`` (long runs of hexadecimal digits).  Encoded regions are then
 unwrapped (percent-encoding, Unicode escapes, base64, gzip, zlib, bzip2, xz and
 zstandard) and every layer is scanned again, by a worklist, until nothing new
-can be unwrapped.  A layer whose content has been seen in its document is not
-opened again, so that cycles and copies end.  Spans of inner layers are mapped
-back to the characters of the document that encode them.
+can be unwrapped.  A layer is opened once for each place of the document that
+encodes it: copies elsewhere get spans of their own, and cycles end, as what
+stands in a place never leaves it.  Spans of inner layers are mapped back to
+the characters of the document that encode them.
 
 Rows: one for each input row.  Null is an empty text and has no spans.  Spans
 are in code points, end exclusive, ordered by start, then by kind as listed,
@@ -58,7 +59,8 @@ class Layer:
 
     Piece i begins at ``at[i]`` of the layer and stands for the document's
     ``[lo[i], hi[i])``; with ``step[i]`` characters per layer character it can
-    be cut finely (0: only as a whole).
+    be cut finely (0: only as a whole), after ``skip[i]`` characters of it that
+    other pieces hold.
     """
 
     text: str
@@ -66,11 +68,12 @@ class Layer:
     lo: list[int]
     hi: list[int]
     step: list[float]
+    skip: list[int]
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         i, j = bisect_right(self.at, start) - 1, bisect_right(self.at, end - 1) - 1
-        lo = self.lo[i] + int((start - self.at[i]) * self.step[i])
-        hi = self.lo[j] - int(-(end - self.at[j]) * self.step[j] // 1) if self.step[j] else self.hi[j]
+        lo = self.lo[i] + int((start - self.at[i] + self.skip[i]) * self.step[i])
+        hi = self.lo[j] - int(-(end - self.at[j] + self.skip[j]) * self.step[j] // 1) if self.step[j] else self.hi[j]
         return lo, max(lo + 1, min(hi, self.hi[j]) if self.step[j] != 1 else hi)
 
 
@@ -140,25 +143,30 @@ def _replaced(layer: Layer, found: list[tuple[int, int, str]]) -> Layer | None:
     """The layer with regions replaced by what they encode; what stands between keeps its place."""
     if not found:
         return None
-    parts, at, lo, hi, step, done, size = [], [], [], [], [], 0, 0
+    parts, at, lo, hi, step, skip, done, size = [], [], [], [], [], [], 0, 0
 
-    def add(s: str, a: int, b: int, fine: bool) -> None:
+    def add(s: str, *place: float) -> None:
         nonlocal size
         if s:
-            x, y = layer.span(a, b)
             parts.append(s)
             at.append(size)
-            lo.append(x)
-            hi.append(y)
-            step.append(float(fine and y - x == len(s)))
+            for column, x in zip((lo, hi, step, skip), place, strict=True):
+                column.append(x)
             size += len(s)
 
+    def keep(a: int, b: int) -> None:
+        i = bisect_right(layer.at, a) - 1
+        while a < b:
+            end = min(b, layer.at[i + 1]) if i + 1 < len(layer.at) else b
+            add(layer.text[a:end], layer.lo[i], layer.hi[i], layer.step[i], layer.skip[i] + a - layer.at[i])
+            a, i = end, i + 1
+
     for a, b, s in found:
-        add(layer.text[done:a], done, a, True)
-        add(s, a, b, False)
+        keep(done, a)
+        add(s, *layer.span(a, b), 0.0, 0)
         done = b
-    add(layer.text[done:], done, len(layer.text), True)
-    return Layer("".join(parts), at, lo, hi, step)
+    keep(done, len(layer.text))
+    return Layer("".join(parts), at, lo, hi, step, skip)
 
 
 def _percent(layer: Layer) -> Layer | None:
@@ -197,22 +205,22 @@ def _base64(layer: Layer) -> Iterator[tuple[Layer, bool]]:
             continue
         lo, hi = layer.span(m.start(), m.end())
         if (got := _inflate(raw)) is not None:
-            yield Layer(got[0], [0], [lo], [hi], [0.0]), got[1]
+            yield Layer(got[0], [0], [lo], [hi], [0.0], [0]), got[1]
         elif (s := _text(raw)) is not None:
             fine = len(s) == len(raw) and hi - lo == m.end() - m.start()
-            yield Layer(s, [0], [lo], [hi], [4 / 3 if fine else 0.0]), False
+            yield Layer(s, [0], [lo], [hi], [4 / 3 if fine else 0.0], [0]), False
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, bool]:
     """(base spans, all spans, layers opened, whether a layer was cut)."""
     base = base_spans(text)
-    every, seen, cut = set(base), {text}, False
-    work = [Layer(text, [0], [0], [len(text)], [1.0])]
+    every, seen, cut = set(base), {(text, 0, len(text))}, False
+    work = [Layer(text, [0], [0], [len(text)], [1.0], [0])]
     while work:
         layer = work.pop()
         for new, short in [*((x, False) for f in (_percent, _escapes) if (x := f(layer)) is not None), *_base64(layer)]:
-            if new.text not in seen:
-                seen.add(new.text)
+            if (place := (new.text, new.lo[0], new.hi[-1])) not in seen:
+                seen.add(place)
                 cut |= short
                 for a, kind, b in base_spans(new.text):
                     lo, hi = new.span(a, b)
