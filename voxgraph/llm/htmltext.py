@@ -5,15 +5,17 @@ without texts, with repeated neighbours folded into one group.  A host's
 wrapper is a union-free regular expression: the structures of its pages are
 aligned one after the other; tokens that all share stay, a stretch that some
 lack becomes an optional group, and a stretch that occurs again beside itself a
-repeated group.  Text slots of a wrapper are known by the path of elements that
-encloses them, and each is judged once for the host: slots in menus, headers,
-footers, sidebars, notices, adverts, forms, comments and code are not main text,
-nor, on hosts without a marked article, slots whose text is the same on all
-pages or mostly links.  Extraction gives a page's texts in main slots.
+repeated group.  Every structure is then matched against the finished wrapper,
+which gives each of its text slots a slot of the wrapper, and these are judged
+over all pages that fill them.  Names of the enclosing elements label slots:
+those in menus, headers, footers, sidebars, notices, adverts, forms, comments
+and code are not main text, nor, without a marked article, slots whose text is
+the same on all pages or mostly links.  Extraction gives the texts that a page
+has in main slots of the wrapper.
 
 Wrappers grow with the variety of a host's structures, not with its pages:
-equal structures and slots are counted before the shuffle, so a host with a
-third of all pages is as many rows as any other.
+equal structures and their slots are counted before the shuffle, so a host with
+a third of all pages is as many rows as any other.
 
 Rows: one for each input row; null and empty pages give an empty text.  Pages
 without a host (null URL, no ``://``) share one wrapper.  Markup may be cut off
@@ -22,10 +24,12 @@ or unclosed anywhere.
 
 from __future__ import annotations
 
+import functools
 import html
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 from voxgraph.llm import kernels as K
 from voxgraph.llm.urlfilter import split_url
 
-#: Hosts up to which the table of main slots is sent to every executor; beyond, it is joined by a shuffle.
+#: Structures (of all hosts) up to which the table of main slots is sent to every executor; beyond, it is joined by a shuffle.
 BROADCAST_HOSTS = 100_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
@@ -137,36 +141,71 @@ def step_kind(label: str) -> int:
     return 1 if name in ("article", "main") or MAIN_WORDS.intersection(words) else 0
 
 
-_SKIPPED = frozenset(x + n for n in INLINE - {"a"} for x in ("", "/"))
+_SKIPPED = frozenset(x + n for n in INLINE for x in ("", "/"))
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def slot_token(path: str) -> str:
+    """Token of a text slot below these elements: ``#!`` is not main text, ``#*`` is marked as main, ``#`` is neither."""
+    kinds = [step_kind(s) for s in path.split("/") if s and s != "a"]
+    return "#!" if -1 in kinds else "#*" if 1 in kinds else "#"
 
 
 def structure(found: list[tuple[str, str | None]]) -> list[str]:
     """Tags and text slots, with repeated neighbours folded."""
-    return fold(["#" if text is not None else x for x, text in found if (not text.isspace() if text is not None else x.partition(".")[0] not in _SKIPPED)])
+    return located(found)[0]
+
+
+def located(found: list[tuple[str, str | None]]) -> tuple[list[str], list[int]]:
+    """The structure, and for each text that is not blank the position of its slot; texts of one block share a slot."""
+    tokens = [slot_token(x) if text is not None else x for x, text in found if (not text.isspace() if text is not None else x.partition(".")[0] not in _SKIPPED)]
+    out, at = folded(tokens)
+    return out, [i for i, t in zip(at, tokens, strict=True) if t[0] == "#"]
 
 
 def fold(tokens: list[str], most: int = 12) -> list[str]:
     """Stretches of up to ``most`` tokens that stand beside an equal stretch are kept once, marked as repeated."""
+    return folded(tokens, most)[0]
+
+
+def folded(tokens: list[str], most: int = 12) -> tuple[list[str], list[int]]:
+    """What ``fold`` gives, and where each token went."""
     out: list[str] = []
     bare: list[str] = []
-    for t in tokens:
+    held: list[list[int]] = []
+    for at, t in enumerate(tokens):
         out.append(t)
         bare.append(t.rstrip("+"))
+        held.append([at])
         for n in range(1, min(most, len(out) // 2) + 1):
             if bare[-1] == bare[-1 - n] and bare[-n:] == bare[-2 * n : -n]:
+                for x, y in zip(held[-2 * n : -n], held[-n:], strict=True):
+                    x += y
                 del bare[-n:]
                 del out[-n:]
+                del held[-n:]
                 out[-n] = out[-n].rstrip("+") + "+" if not out[-n].endswith("+") else out[-n]
                 break
-    return out
+    went = [0] * len(tokens)
+    for i, own in enumerate(held):
+        for at in own:
+            went[at] = i
+    return out, went
 
 
-def align(wrapper: list[str], page: list[str]) -> list[str]:
-    """The wrapper extended so that it describes the page too: what only one of them has becomes optional (``?``)."""
+def _bare(t: str) -> str:
+    return t.rstrip("+?")
+
 
-    def bare(t: str) -> str:
-        return t.rstrip("+?")
+def match(wrapper: list[str], page: list[str]) -> dict[int, int]:
+    """Positions in the page's structure with their positions in the wrapper."""
+    found = SequenceMatcher(None, [_bare(t) for t in wrapper], [_bare(t) for t in page], autojunk=False).get_matching_blocks()
+    return {j + k: i + k for i, j, n in found for k in range(n)}
 
+
+def align(wrapper: list[str], page: list[str]) -> list[str]:
+    """The wrapper extended so that it describes the page too: what only one of them has becomes optional (``?``)."""
+    bare = _bare
     a, b = [bare(t) for t in wrapper], [bare(t) for t in page]
     out: list[str] = []
     for op, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
@@ -181,29 +220,41 @@ def _plain(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-def main_paths(paths: dict[str, tuple[int, bool, int, int]]) -> list[str]:
-    """Paths of main slots, from each path's (pages, same text on all, characters, those of links)."""
-    good, marked = {}, set()
-    for path, facts in paths.items():
-        kinds = [step_kind(s) for s in path.split("/") if s and s != "a"]
-        if -1 not in kinds:
-            good[path] = facts
-            if 1 in kinds:
-                marked.add(path)
-    if marked:
-        return sorted(marked)
-    return sorted(p for p, (pages, same, chars, links) in good.items() if not (same and pages > 1) and 2 * links <= chars)
+@dataclass
+class Slot:
+    """What the pages show of a slot of a wrapper: its token, least and greatest digest of its text, pages, characters and those of links."""
+
+    token: str
+    lo: int
+    hi: int
+    pages: int
+    chars: int
+    links: int
+
+    def add(self, other: Slot) -> None:
+        self.lo, self.hi = min(self.lo, other.lo), max(self.hi, other.hi)
+        self.pages += other.pages
+        self.chars += other.chars
+        self.links += other.links
+
+
+def main_slots(slots: dict[int | tuple, Slot]) -> set[int | tuple]:
+    """Those of a wrapper's slots that are main text."""
+    if marked := {i for i, x in slots.items() if x.token == "#*"}:
+        return marked
+    return {i for i, x in slots.items() if x.token == "#" and not (x.lo == x.hi and x.pages > 1) and 2 * x.links <= x.chars}
 
 
-def extract(page: str, main: frozenset[str] | set[str]) -> str:
-    """Texts of the main slots: blocks in page order, one line each."""
+def extract(found: list[tuple[str, str | None]], at: list[int], main: frozenset[int] | set[int]) -> str:
+    """Texts of the main slots, by the positions of the page's texts: blocks in page order, one line each."""
     blocks: list[list[str]] = [[]]
-    for label, text in slots(page):
+    place = iter(at)
+    for label, text in found:
         if text is None:
             name = label.lstrip("/").split(".")[0]
             if name not in INLINE and blocks[-1]:
                 blocks.append([])
-        elif label in main or (label.endswith("/a") and label[:-2] in main):
+        elif text.isspace() or next(place) in main:
             blocks[-1].append(text)
     return "\n".join(t for t in (_plain("".join(b)) for b in blocks) if t)
 
@@ -212,49 +263,59 @@ def _host(url: str | None) -> str:
     return split_url(url)[0]
 
 
+def _key(tokens: list[str]) -> tuple[str, int]:
+    shape = json.dumps(tokens)
+    return shape, xxhash.xxh64_intdigest(shape) - (1 << 63)
+
+
 def _observed(batch: pa.RecordBatch) -> Iterator[dict]:
-    """What a batch shows of its hosts: distinct structures, and facts of each slot's path."""
-    seen: dict[tuple[str, str, str], list] = {}
+    """What a batch shows of its hosts: distinct structures (position -1), and facts of each slot."""
+    seen: dict[tuple[str, int, int], list] = {}
     for url, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        page, host = page.as_py() or "", _host(url)
-        found = list(slots(page))
-        shape = json.dumps(structure(found))
-        seen.setdefault((host, "s", shape), [0, 0, 0, 0, 0])[2] += 1
-        own: dict[str, list] = {}
-        for path, text in found:
-            if text is not None and not text.isspace():
-                link = path.endswith("/a")
-                facts = own.setdefault(path[:-2] if link else path, [xxhash.xxh64(), 0, 0])
-                facts[0].update(text)
-                facts[1] += len(text)
-                facts[2] += len(text) if link else 0
-        for path, (digest, chars, links) in own.items():
+        host, found = _host(url), list(slots(page.as_py() or ""))
+        tokens, at = located(found)
+        shape, key = _key(tokens)
+        seen.setdefault((host, key, -1), [0, 0, 0, 0, 0, shape])[2] += 1
+        own: dict[int, list] = {}
+        for i, (path, text) in zip(at, ((x, t) for x, t in found if t is not None and not t.isspace()), strict=True):
+            facts = own.setdefault(i, [xxhash.xxh64(), 0, 0])
+            facts[0].update(text)
+            facts[1] += len(text)
+            facts[2] += len(text) if path == "a" or path.endswith("/a") else 0
+        for i, (digest, chars, links) in own.items():
             h = digest.intdigest() - (1 << 63)
-            x = seen.setdefault((host, "p", path), [h, h, 0, 0, 0])
-            x[:] = [min(x[0], h), max(x[1], h), x[2] + 1, x[3] + chars, x[4] + links]
+            x = seen.setdefault((host, key, i), [h, h, 0, 0, 0, None])
+            x[:5] = [min(x[0], h), max(x[1], h), x[2] + 1, x[3] + chars, x[4] + links]
     if seen:
         cols = list(zip(*[(*k, *v) for k, v in seen.items()], strict=True))
-        yield dict(zip(("host", "kind", "what", "lo", "hi", "pages", "chars", "links"), map(list, cols), strict=True))
+        yield dict(zip(_SEEN.names, map(list, cols), strict=True))
 
 
-_SEEN = pa.schema([("host", pa.string()), ("kind", pa.string()), ("what", pa.string()), ("lo", pa.int64()), ("hi", pa.int64()), ("pages", pa.int64()), ("chars", pa.int64()), ("links", pa.int64())])
+_SEEN = pa.schema([("host", pa.string()), ("key", pa.int64()), ("at", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("pages", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()), ("shape", pa.string())])
 
 
 def _infer(rows: pd.DataFrame) -> pd.DataFrame:
-    wrapper: list[str] | None = None
-    shapes = rows[rows.kind == "s"].sort_values(["pages", "what"], ascending=[False, True])
-    for shape in shapes.what:
-        tokens = json.loads(shape)
-        wrapper = tokens if wrapper is None else align(wrapper, tokens)
-    paths = {r.what: (r.pages, r.lo == r.hi, r.chars, r.links) for r in rows[rows.kind == "p"].itertuples()}
-    return pd.DataFrame({"host": [rows.host.iloc[0]], "wrapper": [" ".join(wrapper or [])], "pages": [int(shapes.pages.sum())], "main": [main_paths(paths)]})
+    shapes = {r.key: json.loads(r.shape) for r in rows[rows["at"] < 0].sort_values(["pages", "shape"], ascending=[False, True]).itertuples()}
+    wrapper: list[str] = []
+    for n, tokens in enumerate(shapes.values()):
+        wrapper = align(wrapper, tokens) if n else tokens
+    # Folding can take a token out of the wrapper; its slot is then one of the structure's own.
+    slot_of = {key: match(wrapper, tokens) for key, tokens in shapes.items()}
+    own: dict[int, dict[int, int | tuple]] = {key: {} for key in shapes}
+    known: dict[int | tuple, Slot] = {}
+    for r in rows[rows["at"] >= 0].sort_values(["key", "at"]).itertuples():
+        i = own[r.key][r.at] = slot_of[r.key].get(r.at, (r.key, r.at))
+        fact = Slot(_bare(shapes[r.key][r.at]), r.lo, r.hi, r.pages, r.chars, r.links)
+        known[i].add(fact) if i in known else known.setdefault(i, fact)
+    main = main_slots(known)
+    return pd.DataFrame({"host": rows.host.iloc[0], "key": list(own), "wrapper": " ".join(wrapper), "main": [[at for at, i in x.items() if i in main] for x in own.values()]})
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper string, pages long, main array<string>) of every host."""
-    seen = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(K.mapper(_observed, _SEEN), "host string, kind string, what string, lo long, hi long, pages long, chars long, links long")
-    facts = seen.groupBy("host", "kind", "what").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *(F.sum(c).alias(c) for c in ("pages", "chars", "links")))
-    return facts.groupBy("host").applyInPandas(_infer, "host string, wrapper string, pages long, main array<string>")
+    """(host, key long, wrapper string, main array<long>) of every structure: its digest, its wrapper and the positions of its main slots."""
+    seen = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(K.mapper(_observed, _SEEN), "host string, key long, at long, lo long, hi long, pages long, chars long, links long, shape string")
+    facts = seen.groupBy("host", "key", "at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *(F.sum(c).alias(c) for c in ("pages", "chars", "links")), F.max("shape").alias("shape"))
+    return facts.groupBy("host").applyInPandas(_infer, "host string, key long, wrapper string, main array<long>")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
@@ -262,30 +323,43 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     from voxgraph.plans.lineage import cut
 
     pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    known = cut(wrappers(pages).select("host", "main"))
+    known = cut(wrappers(pages).select("host", "key", "main"))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
     ddl = "page_id long, url string, text string, n_chars long"
 
-    def done(batch: pa.RecordBatch, mains: list) -> dict:
-        texts = [extract(p.as_py() or "", m) for p, m in zip(batch.column(2), mains, strict=True)]
+    def done(batch: pa.RecordBatch, texts: list[str]) -> dict:
         return {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
 
     if known.count() <= broadcast_hosts:
         table = known.toArrow()
-        # Hosts share few lists of slots, so each list is kept once.
-        lists: dict[tuple[str, ...], int] = {}
-        index = {h: lists.setdefault(tuple(m), len(lists)) for h, m in zip(table["host"].to_pylist(), table["main"].to_pylist(), strict=True)}
+        # Structures share few lists of slots, so each list is kept once.
+        lists: dict[tuple[int, ...], int] = {}
+        index = {(h, k): lists.setdefault(tuple(m), len(lists)) for h, k, m in zip(*(table[c].to_pylist() for c in ("host", "key", "main")), strict=True)}
         shared = pages.sparkSession.sparkContext.broadcast((index, [frozenset(x) for x in lists]))
 
         def rows(batch: pa.RecordBatch) -> Iterator[dict]:
             of, sets = shared.value
-            yield done(batch, [sets[of[_host(u)]] for u in batch.column(1).to_pylist()])
+            texts = []
+            for url, page in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                found = list(slots(page.as_py() or ""))
+                tokens, at = located(found)
+                texts.append(extract(found, at, sets[of[_host(url), _key(tokens)[1]]]))
+            yield done(batch, texts)
 
         return pages.mapInArrow(K.mapper(rows, schema), ddl)
 
-    def joined(batch: pa.RecordBatch) -> Iterator[dict]:
-        yield done(batch, [frozenset(m or ()) for m in batch.column(3).to_pylist()])
+    keyed = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string()), ("host", pa.string()), ("key", pa.int64())])
 
-    rest = F.when(F.instr("url", "://") > 0, F.regexp_extract("url", r"://([^/?#]*)", 1)).otherwise("")
-    host = F.translate(F.coalesce(rest, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return pages.withColumn("host", host).join(known, "host", "left").select("page_id", "url", "html", "main").mapInArrow(K.mapper(joined, schema), ddl)
+    def keys(batch: pa.RecordBatch) -> Iterator[dict]:
+        own = [_key(structure(list(slots(p.as_py() or ""))))[1] for p in batch.column(2)]
+        yield {"page_id": batch.column(0), "url": batch.column(1), "html": batch.column(2), "host": [_host(u) for u in batch.column(1).to_pylist()], "key": own}
+
+    def joined(batch: pa.RecordBatch) -> Iterator[dict]:
+        texts = []
+        for page, main in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
+            found = list(slots(page.as_py() or ""))
+            texts.append(extract(found, located(found)[1], set(main or ())))
+        yield done(batch, texts)
+
+    with_keys = pages.mapInArrow(K.mapper(keys, keyed), "page_id long, url string, html string, host string, key long")
+    return with_keys.join(known, ["host", "key"], "left").select("page_id", "url", "html", "main").mapInArrow(K.mapper(joined, schema), ddl)
