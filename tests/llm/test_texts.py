@@ -180,17 +180,27 @@ def test_wrappers_generalise():
 def test_html_text_depends_on_the_wrapper(spark, monkeypatch):
     # The first paragraph is the same on all pages, the last is not, and both have one path of elements.
     page = "<body><div><p>Same on all</p><hr><p>Own %d</p><p>Own too %d</p></div></body>"
-    rows = [(i, "http://h.org/x", page % (i, i)) for i in range(3)] + [(3, "http://h.org/x", "<body><div><p>Same on all</p></div></body>")]
+    rows = [(i, "http://h.org/x", page % (i, i)) for i in range(3)] + [(3, "http://h.org/x", "<body><div><p>Same on all</p><h2>Only here</h2></div></body>")]
     df = spark.createDataFrame(rows[:3], "page_id long, url string, html string")
     for hosts in (htmltext.BROADCAST_HOSTS, 0):
         assert {r.page_id: r.text for r in htmltext.main_text(df, broadcast_hosts=hosts).collect()} == {i: f"Own {i}\nOwn too {i}" for i in range(3)}
     seen = [x for y in htmltext._observed(pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], names=["url", "html"])) for x in [pd.DataFrame(y)]][0]
-    seen = seen.groupby(["host", "key", "at"], as_index=False).agg({"lo": "min", "hi": "max", "pages": "sum", "chars": "sum", "links": "sum", "shape": "first"})
+    seen = seen.groupby(["host", "key", "at"], as_index=False).agg({"lo": "min", "hi": "max", **({"page_lo": "min", "page_hi": "max"} if "page_lo" in seen else {}), "pages": "sum", "chars": "sum", "links": "sum", "shape": "first"})
     whole = htmltext._infer(seen).main.map(list).tolist()
     monkeypatch.setattr(htmltext, "align", lambda wrapper, page: [])
     assert htmltext._infer(seen).main.map(list).tolist() != whole
 
 
+def test_html_pages_do_not_empty_each_other(spark):
+    plain = "<body><div><h2>Head</h2><p>Text of a page without marks</p></div></body>"
+    rows = [(1, None, "<article><p>Marked</p></article>"), (2, None, plain), (3, "no host", "only words"), (4, "http://a.b/", plain), (5, "http://a.b/", plain)]
+    rows += [(6, "http://m.n/", "<body><main><p>Marked</p></main></body>"), (7, "http://m.n/", "<body><table><tr><td>Other layout</td></tr></table></body>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for hosts in (htmltext.BROADCAST_HOSTS, 0):
+        got = {r.page_id: r.text for r in htmltext.main_text(df, broadcast_hosts=hosts).collect()}
+        assert got == {1: "Marked", 2: "Head\nText of a page without marks", 3: "only words", 4: got[2], 5: got[2], 6: "Marked", 7: "Other layout"}
+
+
 def test_html_on_the_table(spark):
     pages = {r.page_id: r for r in queries._table(spark, SF, "pages").collect()}
     got = queries.op5_main_text(spark, SF).collect()

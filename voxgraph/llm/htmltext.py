@@ -1,24 +1,25 @@
 """Main text of web pages, by wrappers inferred for each host.
 
 A page is a stream of tags and text slots.  Its *structure* is the stream
-without texts, with repeated neighbours folded into one group.  A host's
-wrapper is a union-free regular expression: the structures of its pages are
-aligned one after the other; tokens that all share stay, a stretch that some
-lack becomes an optional group, and a stretch that occurs again beside itself a
-repeated group.  Every structure is then matched against the finished wrapper,
-which gives each of its text slots a slot of the wrapper, and these are judged
-over all pages that fill them.  Names of the enclosing elements label slots:
-those in menus, headers, footers, sidebars, notices, adverts, forms, comments
-and code are not main text, nor, without a marked article, slots whose text is
-the same on all pages or mostly links.  Extraction gives the texts that a page
-has in main slots of the wrapper.
+without texts, with repeated neighbours folded into one group.  Structures of a
+host that can be aligned form a *template*, and have one wrapper, a union-free
+regular expression: they are aligned one after the other; tokens that all share
+stay, a stretch that some lack becomes an optional group, and a stretch that
+occurs again beside itself a repeated group.  Every structure is then matched
+against the finished wrapper, which gives each of its text slots a slot of the
+wrapper, and these are judged over all pages that fill them.  Names of the
+enclosing elements label slots: those in menus, headers, footers, sidebars,
+notices, adverts, forms, comments and code are not main text, nor, in
+structures without a marked article, slots whose text is mostly links or the
+same on all distinct pages; if nothing else is left, the same text counts.
+Extraction gives the texts that a page has in main slots of the wrapper.
 
 Wrappers grow with the variety of a host's structures, not with its pages:
 equal structures and their slots are counted before the shuffle, so a host with
 a third of all pages is as many rows as any other.
 
 Rows: one for each input row; null and empty pages give an empty text.  Pages
-without a host (null URL, no ``://``) share one wrapper.  Markup may be cut off
+without a host (null URL, no ``://``) count as one host.  Markup may be cut off
 or unclosed anywhere.
 """
 
@@ -28,6 +29,7 @@ import functools
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -43,6 +45,8 @@ from voxgraph.llm.urlfilter import split_url
 
 #: Structures (of all hosts) up to which the table of main slots is sent to every executor; beyond, it is joined by a shuffle.
 BROADCAST_HOSTS = 100_000
+#: Structures can be aligned if this share of the tags of the smaller one aligns.
+LEAST_ALIGNED = 0.7
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -203,6 +207,15 @@ def match(wrapper: list[str], page: list[str]) -> dict[int, int]:
     return {j + k: i + k for i, j, n in found for k in range(n)}
 
 
+def alignable(wrapper: list[str], page: list[str]) -> bool:
+    """Whether a structure belongs to a wrapper's template; those without tags are one."""
+    a, b = (Counter(x for t in tokens if (x := _bare(t))[0] != "#") for tokens in (wrapper, page))
+    least = LEAST_ALIGNED * min(a.total(), b.total())
+    if not a or not b or (a & b).total() < least:
+        return not a and not b
+    return sum(page[j][0] != "#" for j in match(wrapper, page)) >= least
+
+
 def align(wrapper: list[str], page: list[str]) -> list[str]:
     """The wrapper extended so that it describes the page too: what only one of them has becomes optional (``?``)."""
     bare = _bare
@@ -222,27 +235,34 @@ def _plain(text: str) -> str:
 
 @dataclass
 class Slot:
-    """What the pages show of a slot of a wrapper: its token, least and greatest digest of its text, pages, characters and those of links."""
+    """What the pages show of a slot of a wrapper: its token, least and greatest digest of its text and of the whole texts of its pages, characters and those of links."""
 
     token: str
     lo: int
     hi: int
-    pages: int
+    page_lo: int
+    page_hi: int
     chars: int
     links: int
 
     def add(self, other: Slot) -> None:
         self.lo, self.hi = min(self.lo, other.lo), max(self.hi, other.hi)
-        self.pages += other.pages
+        self.page_lo, self.page_hi = min(self.page_lo, other.page_lo), max(self.page_hi, other.page_hi)
         self.chars += other.chars
         self.links += other.links
 
+    @property
+    def same(self) -> bool:
+        """Whether distinct pages have one text here."""
+        return self.lo == self.hi and self.page_lo != self.page_hi
+
 
-def main_slots(slots: dict[int | tuple, Slot]) -> set[int | tuple]:
-    """Those of a wrapper's slots that are main text."""
-    if marked := {i for i, x in slots.items() if x.token == "#*"}:
+def main_slots(own: dict[int, Slot]) -> list[int]:
+    """Positions of main slots in a structure, from what is known of its wrapper's slots."""
+    if marked := [at for at, x in own.items() if x.token == "#*"]:
         return marked
-    return {i for i, x in slots.items() if x.token == "#" and not (x.lo == x.hi and x.pages > 1) and 2 * x.links <= x.chars}
+    neutral = {at: x for at, x in own.items() if x.token == "#" and 2 * x.links <= x.chars}
+    return [at for at, x in neutral.items() if not x.same] or list(neutral)
 
 
 def extract(found: list[tuple[str, str | None]], at: list[int], main: frozenset[int] | set[int]) -> str:
@@ -275,7 +295,8 @@ def _observed(batch: pa.RecordBatch) -> Iterator[dict]:
         host, found = _host(url), list(slots(page.as_py() or ""))
         tokens, at = located(found)
         shape, key = _key(tokens)
-        seen.setdefault((host, key, -1), [0, 0, 0, 0, 0, shape])[2] += 1
+        seen.setdefault((host, key, -1), [0, 0, 0, 0, 0, 0, 0, shape])[4] += 1
+        whole = xxhash.xxh64_intdigest("\0".join([" ".join(t.split()) for _, t in found if t is not None and not t.isspace()])) - (1 << 63)
         own: dict[int, list] = {}
         for i, (path, text) in zip(at, ((x, t) for x, t in found if t is not None and not t.isspace()), strict=True):
             facts = own.setdefault(i, [xxhash.xxh64(), 0, 0])
@@ -284,37 +305,39 @@ def _observed(batch: pa.RecordBatch) -> Iterator[dict]:
             facts[2] += len(text) if path == "a" or path.endswith("/a") else 0
         for i, (digest, chars, links) in own.items():
             h = digest.intdigest() - (1 << 63)
-            x = seen.setdefault((host, key, i), [h, h, 0, 0, 0, None])
-            x[:5] = [min(x[0], h), max(x[1], h), x[2] + 1, x[3] + chars, x[4] + links]
+            x = seen.setdefault((host, key, i), [h, h, whole, whole, 0, 0, 0, None])
+            x[:7] = [min(x[0], h), max(x[1], h), min(x[2], whole), max(x[3], whole), x[4] + 1, x[5] + chars, x[6] + links]
     if seen:
         cols = list(zip(*[(*k, *v) for k, v in seen.items()], strict=True))
         yield dict(zip(_SEEN.names, map(list, cols), strict=True))
 
 
-_SEEN = pa.schema([("host", pa.string()), ("key", pa.int64()), ("at", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("pages", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()), ("shape", pa.string())])
+_SEEN = pa.schema([("host", pa.string()), ("key", pa.int64()), ("at", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("page_lo", pa.int64()), ("page_hi", pa.int64()), ("pages", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()), ("shape", pa.string())])
 
 
 def _infer(rows: pd.DataFrame) -> pd.DataFrame:
     shapes = {r.key: json.loads(r.shape) for r in rows[rows["at"] < 0].sort_values(["pages", "shape"], ascending=[False, True]).itertuples()}
-    wrapper: list[str] = []
-    for n, tokens in enumerate(shapes.values()):
-        wrapper = align(wrapper, tokens) if n else tokens
+    wrappers: list[list[str]] = []
+    template: dict[int, int] = {}
+    for key, tokens in shapes.items():
+        n = template[key] = next((i for i, w in enumerate(wrappers) if alignable(w, tokens)), len(wrappers))
+        wrappers[n : n + 1] = [align(wrappers[n], tokens) if n < len(wrappers) else tokens]
     # Folding can take a token out of the wrapper; its slot is then one of the structure's own.
-    slot_of = {key: match(wrapper, tokens) for key, tokens in shapes.items()}
-    own: dict[int, dict[int, int | tuple]] = {key: {} for key in shapes}
-    known: dict[int | tuple, Slot] = {}
+    slot_of = {key: match(wrappers[template[key]], tokens) for key, tokens in shapes.items()}
+    own: dict[int, dict[int, tuple]] = {key: {} for key in shapes}
+    known: dict[tuple, Slot] = {}
     for r in rows[rows["at"] >= 0].sort_values(["key", "at"]).itertuples():
-        i = own[r.key][r.at] = slot_of[r.key].get(r.at, (r.key, r.at))
-        fact = Slot(_bare(shapes[r.key][r.at]), r.lo, r.hi, r.pages, r.chars, r.links)
+        i = own[r.key][r.at] = (template[r.key], slot_of[r.key][r.at]) if r.at in slot_of[r.key] else (template[r.key], r.key, r.at)
+        fact = Slot(_bare(shapes[r.key][r.at]), r.lo, r.hi, r.page_lo, r.page_hi, r.chars, r.links)
         known[i].add(fact) if i in known else known.setdefault(i, fact)
-    main = main_slots(known)
-    return pd.DataFrame({"host": rows.host.iloc[0], "key": list(own), "wrapper": " ".join(wrapper), "main": [[at for at, i in x.items() if i in main] for x in own.values()]})
+    main = [main_slots({at: known[i] for at, i in x.items()}) for x in own.values()]
+    return pd.DataFrame({"host": rows.host.iloc[0], "key": list(own), "wrapper": [" ".join(wrappers[template[k]]) for k in own], "main": main})
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, key long, wrapper string, main array<long>) of every structure: its digest, its wrapper and the positions of its main slots."""
-    seen = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(K.mapper(_observed, _SEEN), "host string, key long, at long, lo long, hi long, pages long, chars long, links long, shape string")
-    facts = seen.groupBy("host", "key", "at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *(F.sum(c).alias(c) for c in ("pages", "chars", "links")), F.max("shape").alias("shape"))
+    seen = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(K.mapper(_observed, _SEEN), "host string, key long, at long, lo long, hi long, page_lo long, page_hi long, pages long, chars long, links long, shape string")
+    facts = seen.groupBy("host", "key", "at").agg(*(F.min(c).alias(c) for c in ("lo", "page_lo")), *(F.max(c).alias(c) for c in ("hi", "page_hi")), *(F.sum(c).alias(c) for c in ("pages", "chars", "links")), F.max("shape").alias("shape"))
     return facts.groupBy("host").applyInPandas(_infer, "host string, key long, wrapper string, main array<long>")
 
 
