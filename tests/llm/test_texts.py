@@ -103,6 +103,18 @@ def test_every_copy_of_an_encoded_secret_counts(raw):
 
 
 
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_wrapped_and_shifted_base64(width, pack):
+    rnd = random.Random(width)
+    filler = "".join(rnd.choice("abcdefghij ,;.\n") for _ in range(200))
+    code = b64(pack(f"{filler[:100]}{SECRET}{filler[100:]}".encode()))
+    lines = "\n".join(code[i : i + width] for i in range(0, len(code), width))
+    for text in (f"a\n{lines}\nb", f"key: {lines}", lines.replace("\n", "\r\n    "), *(f"at http://example.com/{'r' * n}/{code} b" for n in range(1, 5)), f"{code}/x-y_z"):
+        kinds = {k for _, k, _ in secrets.scan(text)[1]}
+        assert {0, 1} <= kinds, text
+
+
 # --- BPE ---
 
 

@@ -7,7 +7,9 @@ unwrapped (percent-encoding, Unicode escapes, base64, gzip, zlib, bzip2, xz and
 zstandard) and every layer is scanned again, by a worklist, until nothing new
 can be unwrapped.  A layer is opened once for each place of the document that
 encodes it: copies elsewhere get spans of their own, and cycles end, as what
-stands in a place never leaves it.  Spans of inner layers are mapped back to
+stands in a place never leaves it.  Base64 that is wrapped into lines is joined
+first; where a run does not decode as a whole, texts and compressed blocks are
+looked for in it at all four alignments.  Spans of inner layers are mapped back to
 the characters of the document that encode them.
 
 Rows: one for each input row.  Null is an empty text and has no spans.  Spans
@@ -18,7 +20,6 @@ then by end; equal spans found in several layers count once.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -49,6 +50,12 @@ _NAMED = re.compile(r"[:=]")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Lines of base64 that follow each other; all between the first and the last have one width.
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+")
+_BREAK = re.compile(r"\r?\n[ \t]*")
+#: Stretches of text in bytes, as long as the shortest secret, and beginnings of compressed blocks.
+_STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){16,}")
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 #: A compressed layer that unpacks to more bytes is scanned up to here and marked, so that a small text cannot fill the memory.
 MAX_LAYER_BYTES = 1 << 26
 
@@ -194,21 +201,53 @@ def _escapes(layer: Layer) -> Layer | None:
     return _replaced(layer, found)
 
 
+def _unwrapped(layer: Layer) -> Layer | None:
+    """The layer without line ends inside base64 that is wrapped at one width; the first line may begin, and the last end, within its line."""
+    found = []
+    for m in _WRAPPED.finditer(layer.text) if "\n" in layer.text else ():
+        ends = [(x.start() + m.start(), x.end() + m.start()) for x in _BREAK.finditer(m.group())]
+        starts = [m.start(), *(b for _, b in ends)]
+        sizes = [b - a for a, b in zip(starts, [*(a for a, _ in ends), m.end()], strict=True)]
+        for i, (a, b) in enumerate(ends):
+            # The width is that of the line before the break, or, if other characters stand before the run, that of the line after it.
+            if sizes[i] >= 16 and (sizes[i + 1] <= sizes[i] or i == 0) or i == 0 and sizes[1] >= 16:
+                found.append((a, b, ""))
+    return _replaced(layer, found)
+
+
+def _decoded(body: str) -> bytes:
+    body = body[: len(body) - (len(body) % 4 == 1)].replace("-", "+").replace("_", "/")
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
 def _base64(layer: Layer) -> Iterator[tuple[Layer, bool]]:
     for m in _BASE64.finditer(layer.text):
         body = m.group().rstrip("=")
-        if len(body) % 4 == 1 or body.isalpha() and (body.islower() or body.istitle()):  # a plain word
-            continue
-        try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-        except binascii.Error:
+        if body.isalpha() and (body.islower() or body.istitle()):  # a plain word
             continue
         lo, hi = layer.span(m.start(), m.end())
-        if (got := _inflate(raw)) is not None:
-            yield Layer(got[0], [0], [lo], [hi], [0.0], [0]), got[1]
-        elif (s := _text(raw)) is not None:
-            fine = len(s) == len(raw) and hi - lo == m.end() - m.start()
-            yield Layer(s, [0], [lo], [hi], [4 / 3 if fine else 0.0], [0]), False
+        straight = hi - lo == m.end() - m.start()
+        if len(body) % 4 != 1:
+            raw = _decoded(body)
+            if (got := _inflate(raw)) is not None:
+                yield Layer(got[0], [0], [lo], [hi], [0.0], [0]), got[1]
+                continue
+            if (s := _text(raw)) is not None:
+                yield Layer(s, [0], [lo], [hi], [4 / 3 if straight and len(s) == len(raw) else 0.0], [0]), False
+                continue
+        for shift in range(4):
+            raw, first = _decoded(body[shift:]), m.start() + shift
+
+            def place(i: int, j: int) -> tuple[int, int]:
+                return layer.span(first + i // 3 * 4, min(first - (-j // 3 * 4), m.end()))
+
+            for x in _PACKED.finditer(raw):
+                if (got := _inflate(raw[x.start() :])) is not None:
+                    yield Layer(got[0], [0], *([y] for y in place(x.start(), len(raw))), [0.0], [0]), got[1]
+            for x in _STRETCH.finditer(raw):
+                s = x.group().decode("utf-8", "replace")
+                fine = straight and len(s) == x.end() - x.start()
+                yield Layer(s, [0], *([y] for y in place(*x.span())), [4 / 3 if fine else 0.0], [x.start() % 3]), False
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, bool]:
@@ -218,7 +257,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     work = [Layer(text, [0], [0], [len(text)], [1.0], [0])]
     while work:
         layer = work.pop()
-        for new, short in [*((x, False) for f in (_percent, _escapes) if (x := f(layer)) is not None), *_base64(layer)]:
+        for new, short in [*((x, False) for f in (_percent, _escapes, _unwrapped) if (x := f(layer)) is not None), *_base64(layer)]:
             if (place := (new.text, new.lo[0], new.hi[-1])) not in seen:
                 seen.add(place)
                 cut |= short
