@@ -115,6 +115,20 @@ def test_wrapped_and_shifted_base64(width, pack):
         assert {0, 1} <= kinds, text
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_layers_are_scanned_to_the_end_over_all_members(pack, monkeypatch):
+    for raw in (pack(b"first ") + pack(SECRET.encode()), pack(b"first ") + gzip.compress(SECRET.encode()), pack(b"first ") + b" " + SECRET.encode()):
+        assert {k for _, k, _ in secrets.scan(b64(raw))[1]} >= {0, 1}
+    monkeypatch.setattr(secrets.unpack, "__defaults__", (1 << 16,))
+    monkeypatch.setattr(secrets, "PIECE_BYTES", 1 << 18)
+    monkeypatch.setattr(secrets, "REPEATED_BYTES", 1 << 12)
+    for fill in ((1 << 18) - 20, 3_000_000):
+        code = b64(pack(pack(b"0 " * (fill // 2) + SECRET.encode())))
+        _, spans, _, cut = secrets.scan(f"a {code} b")
+        assert cut and {k for _, k, _ in spans} >= {0, 1}
+    assert secrets.mask(f"a {b64(pack(b'0 ' * 100_000))} b") == "a [SECRET] b"
+
+
 # --- BPE ---
 
 

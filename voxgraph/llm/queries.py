@@ -42,7 +42,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(_table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers")
+    return secrets.find_secrets(_table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers", "cut")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,8 +56,10 @@ _BREAK = re.compile(r"\r?\n[ \t]*")
 #: Stretches of text in bytes, as long as the shortest secret, and beginnings of compressed blocks.
 _STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){16,}")
 _PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
-#: A compressed layer that unpacks to more bytes is scanned up to here and marked, so that a small text cannot fill the memory.
+#: A compressed layer that unpacks to more bytes is scanned in pieces to its end and marked, so that a small text cannot fill the memory.
 MAX_LAYER_BYTES = 1 << 26
+#: Bytes of a piece, and how many of them the next piece repeats; what is encoded at greater length than that may be missed, hence the mark.
+PIECE_BYTES, REPEATED_BYTES = 1 << 24, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -105,45 +107,125 @@ def _text(raw: bytes) -> str | None:
     return s if s and odd * 10 <= len(s) else None
 
 
+_STEP = 1 << 20
+_ZLIB = type(zlib.decompressobj())
+
+
+def _opener(raw: bytes) -> Callable[[], object] | None:
+    """Makes the decompressor of a block that its first bytes show."""
+    if raw[:2] == b"\x1f\x8b":
+        return lambda: zlib.decompressobj(31)
+    if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
+        return zlib.decompressobj
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor
+    if raw[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj
+    return None
+
+
+_BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
+
+
+def _member(source: list[bytes], more: Iterator[bytes]) -> Iterator[bytes]:
+    """Contents of the block that ``source[0]`` begins, in bounded pieces; what follows the block is left there."""
+    d, data = _opener(source[0])(), source[0]
+    source[0] = b""
+    while True:
+        if isinstance(d, (bz2.BZ2Decompressor, lzma.LZMADecompressor)):
+            out, rest, data = d.decompress(data, _STEP), b"", b""
+            hungry = d.needs_input
+        elif isinstance(d, _ZLIB):
+            out, rest = d.decompress(data, _STEP), b""
+            data = d.unconsumed_tail
+            hungry = not data and len(out) < _STEP
+        else:  # the output of zstandard has no bound, so that its input is small
+            out, data = d.decompress(data[:256]), data[256:]
+            rest, hungry = data, not data
+        if out:
+            yield out
+        if d.eof:
+            source[0] = d.unused_data + rest
+            return
+        if hungry:
+            if not (data := next(more, b"")):
+                return
+
+
+def contents(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """What compressed blocks one after the other contain, to the end of all; anything else that follows comes as it is."""
+    source = [b""]
+    while len(source[0]) < 6 and (x := next(chunks, b"")):
+        source[0] += x
+    first = True
+    while source[0]:
+        if _opener(source[0]) is None:
+            yield source[0]
+            source[0] = b""
+        else:
+            rest = source[0]
+            try:
+                yield from _member(source, chunks)
+            except _BROKEN:
+                if first:
+                    raise
+                yield rest
+        first = False
+        while len(source[0]) < 6 and (x := next(chunks, b"")):
+            source[0] += x
+
+
 def unpack(raw: bytes, most: int = MAX_LAYER_BYTES) -> tuple[bytes, bool] | None:
-    """(content, whether it was cut) of a compressed block that its first bytes show."""
+    """(content, whether it was cut) of compressed blocks that the first bytes show."""
+    if _opener(raw) is None:
+        return None
+    parts, size = [], 0
     try:
-        if raw[:2] == b"\x1f\x8b":
-            d = zlib.decompressobj(31)
-            out = d.decompress(raw, most)
-            return out, bool(d.unconsumed_tail)
-        if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
-            d = zlib.decompressobj()
-            out = d.decompress(raw, most)
-            return out, bool(d.unconsumed_tail)
-        if raw[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-            return d.decompress(raw, most), not d.eof
-        if raw[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor()
-            return d.decompress(raw, most), not d.eof
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(raw) as r:
-                out = r.read(most + 1)
-            return out[:most], len(out) > most
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+        for x in contents(iter([raw])):
+            parts.append(x)
+            size += len(x)
+            if size > most:
+                break
+    except _BROKEN:
         return None
-    return None
+    return b"".join(parts)[:most], size > most
 
 
-def _inflate(raw: bytes) -> tuple[str, bool] | None:
-    """Text of possibly repeatedly compressed bytes."""
-    cut, seen = False, set()
+def _pieces(raw: bytes, depth: int) -> Iterator[str]:
+    """Text of ``depth`` times compressed bytes, in overlapping bounded pieces."""
+    chunks = iter([raw])
+    for _ in range(depth):
+        chunks = contents(chunks)
+    held, new = b"", 0
+    try:
+        for x in chunks:
+            held += x
+            new += len(x)
+            if new >= PIECE_BYTES:
+                yield held.decode("utf-8", "replace")
+                held, new = held[-REPEATED_BYTES:], 0
+    except _BROKEN:
+        pass
+    if new:
+        yield held.decode("utf-8", "replace")
+
+
+def _inflate(raw: bytes) -> Iterator[tuple[str, bool]]:
+    """Text of possibly repeatedly compressed bytes; if it is large, in pieces that are marked."""
+    first, seen, cut = raw, set(), False
     while (got := unpack(raw)) is not None and got[0]:
         key = hashlib.blake2b(got[0], digest_size=16).digest()
         if key in seen:
-            return None
+            return
         seen.add(key)
         raw, cut = got[0], cut or got[1]
-    if not seen:
-        return None
-    s = raw.decode("utf-8", "replace")
-    return (s, cut) if s else None
+    if cut:
+        del raw, got
+        yield from ((s, True) for s in _pieces(first, len(seen)))
+    elif seen and (s := raw.decode("utf-8", "replace")):
+        yield s, False
 
 
 def _replaced(layer: Layer, found: list[tuple[int, int, str]]) -> Layer | None:
@@ -229,8 +311,11 @@ def _base64(layer: Layer) -> Iterator[tuple[Layer, bool]]:
         straight = hi - lo == m.end() - m.start()
         if len(body) % 4 != 1:
             raw = _decoded(body)
-            if (got := _inflate(raw)) is not None:
-                yield Layer(got[0], [0], [lo], [hi], [0.0], [0]), got[1]
+            packed = False
+            for s, cut in _inflate(raw):
+                packed = True
+                yield Layer(s, [0], [lo], [hi], [0.0], [0]), cut
+            if packed:
                 continue
             if (s := _text(raw)) is not None:
                 yield Layer(s, [0], [lo], [hi], [4 / 3 if straight and len(s) == len(raw) else 0.0], [0]), False
@@ -242,30 +327,52 @@ def _base64(layer: Layer) -> Iterator[tuple[Layer, bool]]:
                 return layer.span(first + i // 3 * 4, min(first - (-j // 3 * 4), m.end()))
 
             for x in _PACKED.finditer(raw):
-                if (got := _inflate(raw[x.start() :])) is not None:
-                    yield Layer(got[0], [0], *([y] for y in place(x.start(), len(raw))), [0.0], [0]), got[1]
+                for s, cut in _inflate(raw[x.start() :]):
+                    yield Layer(s, [0], *([y] for y in place(x.start(), len(raw))), [0.0], [0]), cut
             for x in _STRETCH.finditer(raw):
                 s = x.group().decode("utf-8", "replace")
                 fine = straight and len(s) == x.end() - x.start()
                 yield Layer(s, [0], *([y] for y in place(*x.span())), [4 / 3 if fine else 0.0], [x.start() % 3]), False
 
 
+def _opened(layer: Layer) -> Iterator[tuple[Layer, bool]]:
+    """The layers directly inside."""
+    for f in (_percent, _escapes, _unwrapped):
+        if (new := f(layer)) is not None:
+            yield new, False
+    yield from _base64(layer)
+
+
+def _place(text: str, lo: int, hi: int) -> tuple[bytes, int, int]:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), lo, hi
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, bool]:
-    """(base spans, all spans, layers opened, whether a layer was cut)."""
+    """(base spans, all spans, layers opened, whether a layer was so large that it was scanned in pieces)."""
+    return search(text)[:4]
+
+
+def search(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, bool, list[tuple[int, int]]]:
+    """What ``scan`` gives, and the regions that encode layers scanned in pieces."""
     base = base_spans(text)
-    every, seen, cut = set(base), {(text, 0, len(text))}, False
-    work = [Layer(text, [0], [0], [len(text)], [1.0], [0])]
+    every, seen, cut, regions = set(base), {_place(text, 0, len(text))}, False, set()
+    work = [_opened(Layer(text, [0], [0], [len(text)], [1.0], [0]))]
     while work:
-        layer = work.pop()
-        for new, short in [*((x, False) for f in (_percent, _escapes, _unwrapped) if (x := f(layer)) is not None), *_base64(layer)]:
-            if (place := (new.text, new.lo[0], new.hi[-1])) not in seen:
-                seen.add(place)
-                cut |= short
-                for a, kind, b in base_spans(new.text):
-                    lo, hi = new.span(a, b)
-                    every.add((lo, kind, hi))
-                work.append(new)
-    return base, sorted(every), len(seen) - 1, cut
+        # One layer of each level at a time is held, so that the pieces of a large layer follow one another.
+        if (got := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        new, short = got
+        if short:
+            cut = True
+            regions.add((new.lo[0], new.hi[-1]))
+        if (place := _place(new.text, new.lo[0], new.hi[-1])) not in seen:
+            seen.add(place)
+            for a, kind, b in base_spans(new.text):
+                lo, hi = new.span(a, b)
+                every.add((lo, kind, hi))
+            work.append(_opened(new))
+    return base, sorted(every), len(seen) - 1, cut, sorted(regions)
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -276,7 +383,7 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in K
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, base counts, digest of the base spans, all spans, layers opened, whether an oversized layer was cut."""
+    """Per row: doc_id, base counts, digest of the base spans, all spans, layers opened, whether a layer was so large that it was scanned in pieces."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         out: dict[str, list] = {f.name: [] for f in _SCHEMA}
@@ -297,11 +404,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def mask(text: str | None, token: str = "[SECRET]") -> str | None:
-    """The text with every span, inner layers' too, replaced; overlapping spans are replaced as one."""
+    """The text with every span, inner layers' too, and every region of a layer scanned in pieces replaced; overlapping spans are replaced as one."""
     if not text:
         return text
     parts, done = [], 0
-    for a, _, b in scan(text)[1]:
+    _, spans, _, _, regions = search(text)
+    for a, b in sorted([*((a, b) for a, _, b in spans), *regions]):
         if a >= done:
             parts += [text[done:a], token]
         done = max(done, b)
