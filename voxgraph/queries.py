@@ -519,8 +519,8 @@ def cut_or(spark, d):
 
 
 def _solved(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """Component sizes and energy of a partition by one solver, of the first slice's problem."""
-    e = _signed(spark, d).where("edge_type = 'xy' and v < 25")
+    """Component sizes and energy of a partition by one solver, of all slices' problem."""
+    e = _signed(spark, d).where("edge_type = 'xy'")
     return blockwise.solve_global(e, name)
 
 
@@ -579,8 +579,8 @@ def stitch_multicut(spark, d):
     return blockwise.stitch_multicut(_hierarchy(spark, d))
 
 
-def _block_voxels(spark: SparkSession, d: str) -> DataFrame:
-    v = voxels(spark, d).where("z < 12")
+def _block_voxels(spark: SparkSession, d: str, most: str = "true") -> DataFrame:
+    v = voxels(spark, d).where(most)
     return blocking.in_blocks(v.select("z", "y", "x", "seg"), _shape(voxels(spark, d)), BLOCK, HALO).select("block_id", "z", "y", "x", (F.col("seg") % 25 + F.col("block_id") % 3).alias("label"))
 
 
@@ -591,17 +591,17 @@ ov AS (SELECT *, (n / sum(n) OVER (PARTITION BY a, b, la) + n / sum(n) OVER (PAR
 
 @query(_sql(_VOX, _BLOCKS, _BLAB, "SELECT block_id, coalesce(sum(s) OVER (ORDER BY block_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset_by FROM (SELECT block_id, max(label) + 1 AS s FROM lab GROUP BY block_id)"))
 def block_offsets(spark, d):
-    return blockwise.block_label_offsets(_block_voxels(spark, d)).select("block_id", F.col("offset").cast("long").alias("offset_by"))
+    return blockwise.block_label_offsets(_block_voxels(spark, d, "z < 12")).select("block_id", F.col("offset").cast("long").alias("offset_by"))
 
 
 @query(_sql(_VOX, _BLOCKS, _OVER, "SELECT a, la, b, lb, n, round(share, 6) + 0.0 AS share FROM ov"))
 def overlap_pairs(spark, d):
-    return _rounded(blockwise.overlaps(_block_voxels(spark, d)), "share")
+    return _rounded(blockwise.overlaps(_block_voxels(spark, d, "z < 12")), "share")
 
 
 @query(_sql(_VOX, _BLOCKS, _OVER, ", r AS (SELECT *, row_number() OVER (PARTITION BY a, b, la ORDER BY share DESC, lb) AS k FROM ov) SELECT a, la, b, lb, round(share, 6) + 0.0 AS share FROM r WHERE k = 1 AND share > 0.5"))
 def overlap_partners(spark, d):
-    return _rounded(blockwise.best_partners(blockwise.overlaps(_block_voxels(spark, d))), "share")
+    return _rounded(blockwise.best_partners(blockwise.overlaps(_block_voxels(spark, d, "z < 12"))), "share")
 
 
 @query()
