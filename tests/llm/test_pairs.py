@@ -81,6 +81,7 @@ def test_components_equal_brute_force(spark, rule, monkeypatch):
     assert got == want
     monkeypatch.setattr(neardup, "BLOCK", 3)
     monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "LARGE", 3)
     monkeypatch.setattr(neardup, "SET_BLOCK", 3)
     monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 300)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df, rule).collect()} == want

@@ -8,8 +8,14 @@ over the sorted pair keys, merges the lowest pair of every word (left to right
 where it overlaps itself) and compacts the array, until no word has a pair
 with a rank.
 
-Rows: one for each input row; null is an empty text, which has no tokens.  The
-special token's own string in a text is one token, as in the library.
+Words are told apart by a hash that is confirmed on their bytes, and cached by
+their bytes.
+
+Rows: one for each input row, repeated rows alike; null is an empty text, which
+has no tokens; an empty table has no rows.  The special token's own string in a
+text is one token, as in the library.  A text of any length is encoded whole,
+in memory of some ten times its bytes.  Only the id and the text are read, so
+that further columns can have any name.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -97,12 +104,13 @@ class Tokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, chars = spec["model"]["vocab"], _byte_chars()
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
+        self.special_pattern = re.compile(b"|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)))
         self.bytes_of: list[bytes] = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for s, i in vocab.items():
             self.bytes_of[i] = bytes(chars[c] for c in s)
         for s, i in self.special.items():
-            self.bytes_of[i] = s.encode()
+            self.bytes_of[i] = s
         self.decimal = [b"%d," % i for i in range(len(self.bytes_of))]
         self.byte_id = np.zeros(256, np.int64)
         for c, b in chars.items():
@@ -117,7 +125,7 @@ class Tokenizer:
         # A direct table of pairs of bytes and a small filter save most searches.
         self.filter = np.zeros(1 << 22, bool)
         self.filter[self._slot(self.keys)] = True
-        self.cache: dict[int, tuple[np.ndarray, bytes, bytes]] = {}
+        self.cache: dict[bytes, tuple[int, bytes, bytes]] = {}
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
@@ -164,73 +172,66 @@ class Tokenizer:
         sym, word = self.merge(self.byte_id[flat], np.repeat(np.arange(len(words)), sizes))
         return sym, np.searchsorted(word, np.arange(len(words) + 1))
 
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        sym, cut = self._symbols(words)
-        return [sym[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids])
 
-    def _entries(self, hashes: np.ndarray, raw: list[bytes]) -> list[tuple[int, bytes, bytes]]:
+    def _entries(self, raw: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         """(tokens, their ids in decimal with a comma after each, their decoded bytes) of distinct words."""
-        keys = hashes.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.cache]
+        new = [w for w in raw if w not in self.cache]
         if new:
             if len(self.cache) + len(new) > CACHE_WORDS:
                 keep = self.cache
-                self.cache = {}
-                for k in keys:
-                    if k in keep:
-                        self.cache[k] = keep[k]
-            flat, cut = self._symbols([raw[i] for i in new])
+                self.cache = {w: keep[w] for w in raw if w in keep}
+            flat, cut = self._symbols(new)
             ids, at, dec, back = flat.tolist(), cut.tolist(), self.decimal, self.bytes_of
-            for i, a, b in zip(new, at[:-1], at[1:], strict=True):
+            for w, a, b in zip(new, at[:-1], at[1:], strict=True):
                 own = ids[a:b]
-                self.cache[keys[i]] = (b - a, b"".join([dec[x] for x in own]), b"".join([back[x] for x in own]))
-        return [self.cache[k] for k in keys]
+                self.cache[w] = (b - a, b"".join([dec[x] for x in own]), b"".join([back[x] for x in own]))
+        return [self.cache[w] for w in raw]
 
     def ids(self, text: str) -> list[int]:
         """Token ids of one text."""
-        out: list[int] = []
-        for part, special in self.parts(text):
-            if special is not None:
-                out.append(special)
-            elif part:
-                cp = np.frombuffer(part.encode("utf-32-le"), np.uint32)
-                start = cut_words(cp, np.array([0, len(cp)]))
-                ends = np.append(start[1:], len(cp))
-                for ids in self.encode_words([part[a:b].encode() for a, b in zip(start, ends, strict=True)]):
-                    out += ids.tolist()
-        return out
-
-    def parts(self, text: str) -> Iterator[tuple[str, int | None]]:
-        """The text cut at special tokens' strings."""
-        while text:
-            found = min(((i, -len(s), s) for s in self.special if (i := text.find(s)) >= 0), default=None)
-            if found is None:
-                yield text, None
-                return
-            at, _, s = found
-            yield text[:at], None
-            yield s, self.special[s]
-            text = text[at + len(s) :]
+        raw = np.frombuffer(text.encode(), np.uint8)
+        (_, written, _), = self.texts(raw, np.array([0, len(raw)]))
+        return [int(x) for x in written.split(b",")] if written else []
+
+    def _marks(self, whole: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Starts, ends and strings of special tokens in the texts: leftmost, of several at one place the longest."""
+        if not self.special or not any(m in whole for m in self.special):
+            return off[:0], off[:0], []
+        found = [m for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True) for m in self.special_pattern.finditer(whole, a, b)]
+        return np.array([m.start() for m in found], np.int64), np.array([m.end() for m in found], np.int64), [m.group() for m in found]
 
     def texts(self, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
         """(tokens, decimal ids joined by commas, decoded bytes) of each text of a slice of UTF-8 bytes."""
         whole = data.tobytes()
-        marks = {s.encode(): i for s, i in self.special.items()}
-        if any(m in whole for m in marks):
-            yield from self._with_special(whole, off)
-            return
+        marks, mark_ends, mark_strings = self._marks(whole, off)
         cp = np.frombuffer(whole.decode("utf-8").encode("utf-32-le"), np.uint32)
         lead = np.flatnonzero((data & 0xC0) != 0x80)  # byte at which each code point starts
-        start = cut_words(cp, np.searchsorted(lead, off))
+        # Words end at the edges of texts and of special tokens; what lies inside a special token is no word.
+        edges = np.unique(np.concatenate([off, marks, mark_ends]))
+        start = cut_words(cp, np.searchsorted(lead, edges))
         begin = lead[start] if len(start) else start
+        end = np.minimum(np.append(begin[1:], len(data)), edges[np.searchsorted(edges, begin, side="right")]) if len(begin) else begin
+        of_mark = np.full(len(begin), -1, np.int64)
+        if len(marks):
+            i = np.searchsorted(marks, begin, side="right") - 1
+            inside = (i >= 0) & (begin < mark_ends[i])
+            of_mark = np.where(inside, i, -1)
+            keep = ~inside | (begin == marks[i])
+            begin, end, of_mark = begin[keep], np.where(inside, mark_ends[i], end)[keep], of_mark[keep]
         doc = np.searchsorted(off, begin, side="right") - 1
-        end = np.minimum(np.append(begin[1:], len(data)), off[doc + 1]) if len(begin) else begin
-        prefix, down = K.prefix_sums(data)
-        h, at, which = np.unique(K.span_hash(prefix, down, begin, end), return_index=True, return_inverse=True)
-        entries = self._entries(h, [whole[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)])
+        lanes = K.Lanes(data)
+        _, at, which = np.unique(lanes.hash(begin, end) ^ (of_mark >= 0).astype(np.uint64), return_index=True, return_inverse=True)
+        size = end - begin
+        if not ((size == size[at[which]]) & lanes.equal(begin, begin[at[which]], size)).all():  # digests that collide do not decide
+            seen: dict[tuple[bytes, bool], int] = {}
+            which = np.array([seen.setdefault((whole[a:b], m >= 0), len(seen)) for a, b, m in zip(begin.tolist(), end.tolist(), of_mark.tolist(), strict=True)])
+            at = np.unique(which, return_index=True)[1]
+        raw = [whole[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
+        special = (of_mark[at] >= 0).tolist()
+        plain = iter(self._entries([w for w, m in zip(raw, special, strict=True) if not m]))
+        entries = [(1, self.decimal[self.special[w]], w) if m else next(plain) for w, m in zip(raw, special, strict=True)]
         n, text, back = (list(x) for x in zip(*entries, strict=True)) if entries else ([], [], [])
         which = which.tolist()
         cut = np.searchsorted(doc, np.arange(len(off))).tolist()
@@ -238,23 +239,6 @@ class Tokenizer:
             own = which[a:b]
             yield sum([n[i] for i in own]), b"".join([text[i] for i in own])[:-1], b"".join([back[i] for i in own])
 
-    def _with_special(self, whole: bytes, off: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
-        for a, b in zip(off[:-1], off[1:], strict=True):
-            n, text, back = 0, [], []
-            for part, special in self.parts(whole[a:b].decode("utf-8")):
-                if special is not None:
-                    n, text, back = n + 1, [*text, b"%d" % special], [*back, self.bytes_of[special]]
-                elif part:
-                    raw = np.frombuffer(part.encode(), np.uint8)
-                    cp = np.frombuffer(part.encode("utf-32-le"), np.uint32)
-                    start = cut_words(cp, np.array([0, len(cp)]))
-                    for ids in self.encode_words([part[i:j].encode() for i, j in zip(start, np.append(start[1:], len(cp)), strict=True)]):
-                        n += len(ids)
-                        text += [b"%d" % x for x in ids.tolist()]
-                        back.append(self.decode(ids))
-                    assert len(raw)
-            yield n, b",".join(text), b"".join(back)
-
 
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> Tokenizer:

@@ -5,12 +5,17 @@ it has fewer, but not none).  The fingerprint of a window is the least hash of
 its ``k``-grams, so a document and an item that share a window share that
 fingerprint, wherever the window stands: every shared span of ``span`` words
 is found.  Documents whose fingerprints meet the benchmark's are extended to
-whole windows, and the words inside matching windows are hit.
+whole windows, which are compared word by word, and the words inside matching
+windows are hit.
 
 Rows: one for each input row.  Null and empty texts have no words and are
 never hit; items without words have no window; an empty benchmark hits
-nothing.  Repeated rows are judged alike.  Only the id and text columns are
-read, so further columns can have any name.
+nothing, an empty table has no rows.  A row is judged by its own text alone, so
+that repeated rows are judged alike, and rows that repeat an id with another
+text, or have no id, by their own.  An item may repeat another's windows or
+name; rows that repeat an item's name are one item.  Texts of any length are
+read whole.  Only the id and text columns are read, so further columns can have
+any name.
 """
 
 from __future__ import annotations
@@ -26,8 +31,8 @@ from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
 
-#: Benchmarks of more windows than this are joined by a shuffle instead of being sent to every executor.
-BROADCAST_WINDOWS = 400_000
+#: Benchmarks of more windows, or of windows with more bytes, are joined by a shuffle instead of being sent to every executor.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 400_000, 1 << 26
 _TABLE_BITS = 20
 _NO_ITEMS = hashlib.sha256(b"").hexdigest()
 
@@ -62,8 +67,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", span: int = 10, k: int = 5) -> DataFrame:
-    """(item_id string, length int, gate long, win long): every window of every item, each once."""
-    schema = pa.schema([("item_id", pa.string()), ("length", pa.int32()), ("gate", pa.int64()), ("win", pa.int64())])
+    """(item_id string, length int, gate long, win long, words binary): every window of every item, each once."""
+    schema = pa.schema([("item_id", pa.string()), ("length", pa.int32()), ("gate", pa.int64()), ("win", pa.int64()), ("words", pa.binary())])
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = np.asarray(batch.column(0).to_pylist(), dtype=object)
@@ -71,24 +76,27 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
             w = K.words(data, off, K.ALNUM)
             counts = np.diff(w.bounds())
             for length in range(1, span + 1):
-                own = (counts == length) if length < span else (counts >= span)
-                keep = own[w.doc]
-                h, doc = w.hash[keep], w.doc[keep]
+                own = np.flatnonzero(((counts == length) if length < span else (counts >= span))[w.doc])
+                h, doc = w.hash[own], w.doc[own]
                 at, gate = fingerprints(h, doc, length, k)
                 if len(at):
-                    yield {"item_id": ids[a + doc[at]], "length": np.full(len(at), length, np.int32), "gate": _signed(gate), "win": _signed(windows(h, at, length))}
+                    written = [w.written(i, length) for i in own[at].tolist()]
+                    yield {"item_id": ids[a + doc[at]], "length": np.full(len(at), length, np.int32), "gate": _signed(gate), "win": _signed(windows(h, at, length)), "words": pa.array(written, pa.binary())}
 
     found = items.select(F.col(id_col).cast("string"), F.col(text_col)).where(F.col(id_col).isNotNull())
-    return found.mapInArrow(K.mapper(rows, schema), "item_id string, length int, gate long, win long").distinct()
+    return found.mapInArrow(K.mapper(rows, schema), "item_id string, length int, gate long, win long, words binary").distinct()
 
 
 class _Index:
-    """The benchmark's windows, sorted, with the items of each."""
+    """The benchmark's windows, sorted by their hashes, with the items of each by its words."""
 
     def __init__(self, table: pa.Table, k: int):
         self.k = k
         names, item = np.unique(np.asarray(table["item_id"].to_pylist(), dtype=object), return_inverse=True) if len(table) else (np.zeros(0, object), np.zeros(0, np.int64))
         self.names = names
+        self.items: dict[bytes, list[int]] = {}
+        for words, i in zip(table["words"].to_pylist(), item.tolist(), strict=True):
+            self.items.setdefault(words, []).append(i)
         length, gate, win = (table[c].to_numpy() for c in ("length", "gate", "win"))
         self.by_length = {}
         for n in np.unique(length):
@@ -96,22 +104,18 @@ class _Index:
             g = np.unique(gate[own].view(np.uint64))
             seen = np.zeros(1 << _TABLE_BITS, dtype=bool)
             seen[(g & np.uint64(len(seen) - 1)).astype(np.int64)] = True
-            order = np.argsort(win[own].view(np.uint64), kind="stable")
-            keys, first = np.unique(win[own].view(np.uint64)[order], return_index=True)
-            self.by_length[int(n)] = (seen, g, keys, np.append(first, len(order)), item[own][order])
-
-    def hits(self, w: K.Words) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple]]:
-        """(length, word positions of windows that the benchmark has, index of each among the keys, entry)."""
-        for length, entry in self.by_length.items():
-            seen, gates, keys, *_ = entry
+            self.by_length[int(n)] = (seen, g, np.unique(win[own].view(np.uint64)))
+
+    def hits(self, w: K.Words) -> Iterator[tuple[int, np.ndarray, list[list[int]]]]:
+        """(length, word positions of windows that the benchmark has, items of each)."""
+        for length, (seen, gates, keys) in self.by_length.items():
             at, gate = fingerprints(w.hash, w.doc, length, self.k)
             at = at[maybe] if len(maybe := np.flatnonzero(seen[(gate & np.uint64(len(seen) - 1)).astype(np.int64)])) else at[:0]
-            gate = gate[maybe]
-            at = at[_member(gates, gate)]
-            win = windows(w.hash, at, length)
-            ok = _member(keys, win)
-            if ok.any():
-                yield length, at[ok], np.searchsorted(keys, win[ok]), entry
+            at = at[_member(gates, gate[maybe])]
+            at = at[_member(keys, windows(w.hash, at, length))]
+            items = [self.items.get(w.written(i, length)) for i in at.tolist()]
+            if any(items):
+                yield length, at[[x is not None for x in items]], [x for x in items if x is not None]
 
 
 def _member(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -136,13 +140,14 @@ _DDL = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 10, k: int = 5, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, item_ids (sorted as strings)."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     bench = benchmark_windows(items, span=span, k=k).persist(StorageLevel.DISK_ONLY)
-    if bench.count() <= broadcast_windows:
+    n, size = bench.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
+    if n <= broadcast_windows and size <= BROADCAST_BYTES:
         table = bench.toArrow()
         bench.unpersist()
         return _by_broadcast(docs, table, k)
-    return _by_join(docs, bench, span, k)
+    return _by_join(docs, bench, k)
 
 
 def _by_broadcast(docs: DataFrame, table: pa.Table, k: int) -> DataFrame:
@@ -160,20 +165,17 @@ def _by_broadcast(docs: DataFrame, table: pa.Table, k: int) -> DataFrame:
             found = list(index.hits(w))
             hit = _covered([f[1] for f in found], [f[0] for f in found], len(w.doc))
             cum = np.append(0, np.cumsum(hit))
-            pairs = []
-            for _, at, key, (_, _, _, first, item) in found:
-                size = first[key + 1] - first[key]
-                inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                pairs.append(np.stack([np.repeat(w.doc[at], size), item[np.repeat(first[key], size) + inside]]))
-            pairs = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
-            cut = np.searchsorted(pairs[0], np.arange(b - a + 1))
-            lists = [list(index.names[pairs[1][i:j]]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+            own: list[set[int]] = [set() for _ in range(b - a)]
+            for _, at, of in found:
+                for doc, x in zip(w.doc[at].tolist(), of, strict=True):
+                    own[doc].update(x)
+            lists = [list(index.names[sorted(x)]) for x in own]
             n_hit = cum[bounds[1:]] - cum[bounds[:-1]]
             yield {
                 "doc_id": batch.column(0).slice(a, b - a),
                 "n_words": np.diff(bounds),
                 "n_hit": n_hit,
-                "n_items": np.diff(cut),
+                "n_items": [len(x) for x in lists],
                 "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() if x else _NO_ITEMS for x in lists],
                 "contaminated": n_hit > 0,
                 "item_ids": lists,
@@ -182,9 +184,14 @@ def _by_broadcast(docs: DataFrame, table: pa.Table, k: int) -> DataFrame:
     return docs.mapInArrow(K.mapper(rows, _SCHEMA), _DDL)
 
 
-def _by_join(docs: DataFrame, bench: DataFrame, span: int, k: int) -> DataFrame:
-    """For a benchmark of any size: fingerprints meet in a shuffled join; only documents that meet one are extended."""
+def _by_join(docs: DataFrame, bench: DataFrame, k: int) -> DataFrame:
+    """For a benchmark of any size: fingerprints meet in a shuffled join, and only texts that meet one are extended.
+
+    Texts are known by their digests, so that copies are extended alike and a row's id plays no part.  Windows that the
+    same items have share one list of them, which a text joins once, however many of those windows it holds.
+    """
     lengths = sorted(r[0] for r in bench.select("length").distinct().collect())  # at most span of them
+    docs = docs.withColumn("of", F.unhex(F.sha2("text", 256)))
 
     def prints(batch: pa.RecordBatch) -> Iterator[dict]:
         for a, _, data, off in K.slices(batch.column(1)):
@@ -193,32 +200,36 @@ def _by_join(docs: DataFrame, bench: DataFrame, span: int, k: int) -> DataFrame:
                 at, gate = fingerprints(w.hash, w.doc, length, k)
                 new = np.ones(len(at), bool)
                 new[1:] = (gate[1:] != gate[:-1]) | (w.doc[at][1:] != w.doc[at][:-1])
-                yield {"doc_id": batch.column(0).take(pa.array(a + w.doc[at][new])), "gate": _signed(gate[new])}
+                yield {"of": batch.column(0).take(pa.array(a + w.doc[at][new])), "gate": _signed(gate[new])}
 
     def spans(batch: pa.RecordBatch) -> Iterator[dict]:
+        gates = batch.column(2)
         for a, _, data, off in K.slices(batch.column(1)):
             w = K.words(data, off, K.ALNUM)
             bounds = w.bounds()
+            wanted = np.unique(gates.slice(a, len(off) - 1).flatten().to_numpy().view(np.uint64))
             for length in lengths:
-                at = np.flatnonzero(K.within(w.doc, length))
-                yield {"doc_id": batch.column(0).take(pa.array(a + w.doc[at])), "pos": at - bounds[w.doc[at]], "length": np.full(len(at), length, np.int32), "win": _signed(windows(w.hash, at, length))}
+                at, gate = fingerprints(w.hash, w.doc, length, k)
+                at = at[_member(wanted, gate)]
+                yield {"of": batch.column(0).take(pa.array(a + w.doc[at])), "pos": at - bounds[w.doc[at]], "length": np.full(len(at), length, np.int32), "words": pa.array([w.written(i, length) for i in at.tolist()], pa.binary())}
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
-        for a, b, data, off in K.slices(batch.column(1)):
-            yield {"doc_id": batch.column(0).slice(a, b - a), "n_words": np.diff(K.words(data, off, K.ALNUM).bounds())}
-
-    id_type = pa.int64()
-    gates = bench.select("gate").distinct()
-    fps = docs.mapInArrow(K.mapper(prints, pa.schema([("doc_id", id_type), ("gate", pa.int64())])), "doc_id long, gate long")
-    wanted = fps.join(gates, "gate", "left_semi").select("doc_id").distinct()
-    wins = docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-        K.mapper(spans, pa.schema([("doc_id", id_type), ("pos", pa.int64()), ("length", pa.int32()), ("win", pa.int64())])), "doc_id long, pos long, length int, win long"
+        for a, b, data, off in K.slices(batch.column(2)):
+            yield {"doc_id": batch.column(0).slice(a, b - a), "of": batch.column(1).slice(a, b - a), "n_words": np.diff(K.words(data, off, K.ALNUM).bounds())}
+
+    digest = pa.binary()
+    known = docs.select("of", "text").where("of is not null")
+    fps = known.mapInArrow(K.mapper(prints, pa.schema([("of", digest), ("gate", pa.int64())])), "of binary, gate long")
+    wanted = fps.join(bench.select("gate").distinct(), "gate", "left_semi").groupBy("of").agg(F.collect_set("gate").alias("gates"))
+    wins = known.join(wanted, "of").mapInArrow(
+        K.mapper(spans, pa.schema([("of", digest), ("pos", pa.int64()), ("length", pa.int32()), ("words", pa.binary())])), "of binary, pos long, length int, words binary"
     )
-    met = wins.join(bench.select("item_id", "length", "win"), ["length", "win"])
-    ends = met.groupBy("doc_id", "pos").agg(F.max(F.col("pos") + F.col("length")).alias("to"))
+    lists = bench.groupBy("length", "words").agg(F.array_sort(F.collect_set("item_id")).alias("items")).withColumn("list", F.md5(F.to_json("items")))
+    met = wins.distinct().join(lists.select("length", "words", "list"), ["length", "words"])
+    ends = met.groupBy("of", "pos").agg(F.max(F.col("pos") + F.col("length")).alias("to"))
     # A document's intervals are no more than its own words: they are united in order of their starts.
-    united = ends.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "to"))).alias("s")).select(
-        "doc_id",
+    united = ends.groupBy("of").agg(F.array_sort(F.collect_list(F.struct("pos", "to"))).alias("s")).select(
+        "of",
         F.aggregate(
             "s",
             F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
@@ -226,10 +237,11 @@ def _by_join(docs: DataFrame, bench: DataFrame, span: int, k: int) -> DataFrame:
             lambda acc: acc.n,
         ).alias("n_hit"),
     )
-    items = met.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
-    total = docs.mapInArrow(K.mapper(count, pa.schema([("doc_id", id_type), ("n_words", pa.int64())])), "doc_id long, n_words long")
+    distinct_lists = lists.groupBy("list").agg(F.first("items").alias("items"))
+    items = met.select("of", "list").distinct().join(distinct_lists, "list").groupBy("of").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("item_ids"))
+    total = docs.select("doc_id", "of", "text").mapInArrow(K.mapper(count, pa.schema([("doc_id", pa.int64()), ("of", digest), ("n_words", pa.int64())])), "doc_id long, of binary, n_words long")
     none = F.expr("cast(array() as array<string>)")
-    return total.join(united.join(items, "doc_id"), "doc_id", "left").select(
+    return total.join(united.join(items, "of"), "of", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),

@@ -13,16 +13,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that one kernel call handles; a longer text is a call of its own.
 CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 _STEP = _U(0xC2B2AE3D27D4EB4F)
-
-_powers: dict[str, np.ndarray] = {}
+_SEED = _U(0x9E3779B97F4A7C55)
+#: Bytes of a span beyond which its hash is left to xxhash, one span at a time.
+LONG_SPAN = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -34,22 +34,47 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-_BYTE_CODE = mix(np.arange(1, 257, dtype=_U) * _STEP)
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse (kept up to a few chunks)."""
-    have = _powers.get("up")
-    if have is None or len(have) < n:
-        size = max(n, 2 * CHUNK_BYTES)
-        for name, base in (("up", _BASE), ("down", _BASE_INV)):
-            p = np.full(size, base, dtype=_U)
-            p[0] = 1
-            made = np.multiply.accumulate(p)
-            if size > 16 * CHUNK_BYTES:
-                _powers.pop(name, None)
-            _powers[name] = made
-    return _powers["up"][:n], _powers["down"][:n]
+#: Masks that keep the first n bytes of a little-endian lane.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=_U)
+
+
+class Lanes:
+    """Bytes read as overlapping little-endian 64-bit lanes, one at each position, zeros beyond the end."""
+
+    def __init__(self, data: np.ndarray):
+        self.raw = np.concatenate([data, np.zeros(8, np.uint8)])
+        self.at = np.ndarray((len(data) + 1,), "<u8", self.raw.data, 0, (1,))
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hash of spans: each lane is scrambled into the state of those before it, so that no pattern of bytes cancels out.
+
+        Equal bytes give equal hashes wherever they stand; other bytes do so with a chance of 2**-64.
+        """
+        start, size = np.asarray(start, np.int64), np.asarray(end, np.int64) - start
+        h = mix(_SEED ^ (size.astype(_U) * _STEP) ^ (self.at[start] & _FIRST[np.minimum(size, 8)]))
+        more = np.flatnonzero((size > 8) & (size <= LONG_SPAN))
+        lane = 1
+        while len(more):
+            left = size[more] - 8 * lane
+            h[more] = mix(h[more] ^ (self.at[start[more] + 8 * lane] & _FIRST[np.minimum(left, 8)]))
+            more, lane = more[left > 8], lane + 1
+        for i in np.flatnonzero(size > LONG_SPAN).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(self.raw[start[i] : start[i] + size[i]].tobytes(), seed=int(_SEED) & 0xFFFFFFFF)
+        return h
+
+    def equal(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the spans of these sizes at a and at b hold the same bytes."""
+        out = (self.at[a] ^ self.at[b]) & _FIRST[np.minimum(size, 8)] == 0
+        more = np.flatnonzero(out & (size > 8) & (size <= LONG_SPAN))
+        lane = 1
+        while len(more):
+            left = size[more] - 8 * lane
+            same = (self.at[a[more] + 8 * lane] ^ self.at[b[more] + 8 * lane]) & _FIRST[np.minimum(left, 8)] == 0
+            out[more[~same]] = False
+            more, lane = more[same & (left > 8)], lane + 1
+        for i in np.flatnonzero(out & (size > LONG_SPAN)).tolist():
+            out[i] = np.array_equal(self.raw[a[i] : a[i] + size[i]], self.raw[b[i] : b[i] + size[i]])
+        return out
 
 
 def lower_table() -> np.ndarray:
@@ -98,27 +123,16 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     docs: int
-    prefix: np.ndarray
-    down: np.ndarray
+    lanes: Lanes
 
     def bounds(self) -> np.ndarray:
         """Offsets of each document's words."""
         return np.searchsorted(self.doc, np.arange(self.docs + 1))
 
-    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return span_hash(self.prefix, self.down, start, end)
-
-
-def span_hash(prefix: np.ndarray, down: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(_U) * _STEP)
-
-
-def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums from which the hash of any span follows; same bytes, same hash, wherever they stand."""
-    up, down = _power(len(data) + 1)
-    prefix = np.zeros(len(data) + 1, dtype=_U)
-    np.cumsum(_BYTE_CODE[data] * up[: len(data)], out=prefix[1:])
-    return prefix, down
+    def written(self, first: int, n: int) -> bytes:
+        """n words from the given one on, with a zero byte after each but the last."""
+        raw = self.lanes.raw
+        return b"\0".join([raw[a:b].tobytes() for a, b in zip(self.start[first : first + n].tolist(), self.end[first : first + n].tolist(), strict=True)])
 
 
 def runs(same: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,9 +153,9 @@ def words(data: np.ndarray, off: np.ndarray, table: np.ndarray, lower: bool = Tr
     if lower:
         data = LOWER[data]
     start, end = runs(table[data], off)
-    prefix, down = prefix_sums(data)
+    lanes = Lanes(data)
     doc = np.searchsorted(off, start, side="right") - 1
-    return Words(doc, start, end, span_hash(prefix, down, start, end), len(off) - 1, prefix, down)
+    return Words(doc, start, end, lanes.hash(start, end), len(off) - 1, lanes)
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:

@@ -1,24 +1,34 @@
 """Near duplicates: MinHash signatures in a multi-index Hamming join.
 
-A document's set is its distinct word shingles.  Documents with equal sets are
-one *representative* (its least id).  A signature has ``CHUNKS`` chunks of
-``WIDTH`` b-bit symbols.  If two signatures differ in fewer than
-``CHUNKS * (ERRORS + 1)`` symbols, some chunk differs in at most one; its
-neighbourhood is enumerated by leaving out each symbol in turn, so that such a
-pair shares a key for certain.  Links are confirmed on the full sets.
+A document's set is its distinct word shingles, each known by a 64-bit hash of
+its words.  Texts with equal sets, told by 128 bits over all shingles, are one
+*node*.  A signature has ``CHUNKS`` chunks of ``WIDTH`` b-bit symbols.  If two
+signatures differ in fewer than ``CHUNKS * (ERRORS + 1)`` symbols, some chunk
+differs in at most one; its neighbourhood is enumerated by leaving out each
+symbol in turn, so that such a pair shares a key for certain.  Links are
+confirmed on the full sets.
 
 Hot keys never make all their pairs.  First each member of a key is compared
 with the key's least member, and links become components.  Only keys whose
-members are then still in several components are looked at again, in blocks of
-bounded size: members whose signatures and sizes allow a link to another
-component are held against each other on their full sets, inside the block, and
-only links that join components leave it.  So every allowed pair is confirmed,
-refuted or within one component already, without a cap and without its row.
-
-Rows: one for each input row; null and empty texts, or texts without words,
-have no shingles and are linked with nothing.  A text of fewer words than a
-shingle is one shingle as a whole.  Rows that repeat an id are one document;
-a row without an id is never linked.
+members are then still in several components are looked at again.  Nodes with
+the same chunk are one *cell*; of the cells of such a key the largest is home
+to the key, and only members of its other cells, which deviate in one symbol,
+are brought there: a node comes once for each chunk and once for each home
+that it deviates from, not once for each key.  Signatures and sizes in a home
+say who may be linked to another component.  Members that may be linked to a
+component of many nodes are held against that component, whose sets are dealt
+over blocks of bounded size once; all others are held against each other in
+blocks of their home.  Full sets meet inside blocks, and only links that join
+components leave them.  So every allowed pair is confirmed, refuted or within
+one component already, without a cap and without its row.
+
+Rows: one for each input row; an empty table has none.  Null and empty texts,
+or texts without words, have no shingles and are linked with nothing.  A text
+of fewer words than a shingle is one shingle as a whole; a text of any length
+is read whole.  Repeated rows are one node; rows that repeat an id with another
+text are judged by their own texts; a row without an id is never linked.  Of
+several least members the smaller id names a component, so there are no ties.
+Only the id and text columns are read; others can have any name.
 """
 
 from __future__ import annotations
@@ -29,6 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,16 +49,21 @@ from voxgraph.plans.lineage import by_ids, cut
 
 CHUNKS, WIDTH, ERRORS = 10, 5, 1
 SYMBOLS = CHUNKS * WIDTH
-#: Members of a key whose signatures one block holds on average: about a megabyte, and a few seconds of comparing.
+#: Members of a home whose signatures one block holds on average: about a megabyte.
 BLOCK = 8192
-#: Members of a key up to which its signatures travel in one row.
+#: Members of a home up to which its signatures travel in one row.
 SMALL = 64
+#: Nodes of a component from which on others are held against the component, and no longer against members in homes.
+LARGE = 32
 #: Members, and shingles of their sets, that one block holds on average where sets are compared.
 SET_BLOCK, BLOCK_SHINGLES = 1024, 200_000
 
 _U = np.uint64
 _A = K.mix(np.arange(1, SYMBOLS + 1, dtype=_U)) | _U(1)
 _B = K.mix(np.arange(1001, SYMBOLS + 1001, dtype=_U))
+_DIGEST = (_U(0x5851F42D4C957F2D), _U(0x2545F4914F6CDD1D))
+#: Bytes of a cell: the chunk's number and its symbols.
+_CELL = 2 * (WIDTH + 1)
 
 
 @dataclass(frozen=True)
@@ -92,25 +108,33 @@ def shingles(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.
 
 
 def signature(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one row of symbols, one order-free hash of the set) for each non-empty set."""
+    """(one row of symbols, two order-free hashes of the set) for each non-empty set."""
     head = off[:-1][np.diff(off) > 0]
     if not len(head):
-        return np.zeros((0, SYMBOLS), np.uint16), np.zeros(0, _U)
+        return np.zeros((0, SYMBOLS), np.uint16), np.zeros((2, 0), _U)
     sig = np.empty((len(head), SYMBOLS), np.uint16)
     for i in range(SYMBOLS):
         sig[:, i] = K.mix(np.minimum.reduceat((h ^ _B[i]) * _A[i], head)) >> _U(48)
-    return sig, np.add.reduceat(K.mix(h ^ _U(0x5851F42D4C957F2D)), head)
+    return sig, set_digest(h, head)
+
+
+def set_digest(h: np.ndarray, head: np.ndarray) -> np.ndarray:
+    return np.stack([np.add.reduceat(K.mix(h ^ x), head) for x in _DIGEST]) if len(head) else np.zeros((2, 0), _U)
 
 
 def neighbour_keys(sig: np.ndarray) -> np.ndarray:
     """One row of keys for each signature: every chunk with each of its symbols left out."""
-    out = np.empty((len(sig), SYMBOLS), _U)
-    for i in range(SYMBOLS):
-        first = i - i % WIDTH
-        key = np.full(len(sig), i + 1, _U)
-        for j in range(first, first + WIDTH):
+    return np.concatenate([chunk_keys(sig[:, c * WIDTH : (c + 1) * WIDTH], np.full(len(sig), c, _U)) for c in range(CHUNKS)], axis=1)
+
+
+def chunk_keys(symbols: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+    """One row of keys for each chunk of the given number: each of its symbols left out."""
+    out = np.empty((len(symbols), WIDTH), _U)
+    for i in range(WIDTH):
+        key = chunk * _U(WIDTH) + _U(i + 1)
+        for j in range(WIDTH):
             if j != i:
-                key = K.mix(key) ^ sig[:, j].astype(_U)
+                key = K.mix(key) ^ symbols[:, j].astype(_U)
         out[:, i] = K.mix(key)
     return out
 
@@ -119,45 +143,49 @@ def _symbols(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SYMBOLS)
 
 
+def _cut_sets(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    return [h[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, sig) of rows of (doc_id, text); an empty set has no hash and no signature."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.int64()), ("sig", pa.binary())])
+    """(doc_id, n_shingles, da, db, sig) of rows of (doc_id, text); an empty set has no hashes and no signature."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("da", pa.int64()), ("db", pa.int64()), ("sig", pa.binary())])
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         for a, b, data, off in K.slices(batch.column(1)):
             h, at = shingles(data, off, rule.words)
             n = np.diff(at)
-            sig, one = signature(h, at)
+            sig, digest = signature(h, at)
             full = np.flatnonzero(n > 0)
             raw, which = sig.tobytes(), np.full(b - a, -1)
             which[full] = np.arange(len(full))
             size = 2 * SYMBOLS
-            hashes = np.zeros(b - a, np.int64)
-            hashes[full] = one.view(np.int64)
+            every = np.zeros((2, b - a), np.int64)
+            every[:, full] = digest.view(np.int64)
             yield {
                 "doc_id": batch.column(0).slice(a, b - a),
                 "n_shingles": n,
-                "set_hash": pa.array(hashes, mask=n == 0),
+                "da": pa.array(every[0], mask=n == 0),
+                "db": pa.array(every[1], mask=n == 0),
                 "sig": [None if i < 0 else raw[i * size : (i + 1) * size] for i in which.tolist()],
             }
 
-    return docs.mapInArrow(K.mapper(rows, schema), "doc_id long, n_shingles long, set_hash long, sig binary")
+    return docs.mapInArrow(K.mapper(rows, schema), "doc_id long, n_shingles long, da long, db long, sig binary")
 
 
-def _keys(reps: DataFrame) -> DataFrame:
-    """(key, rep, comp) for every key of every representative."""
-    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("comp", pa.int64())])
+def _keys(nodes: DataFrame) -> DataFrame:
+    """(key, node) for every key of every node."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         for at in range(0, batch.num_rows, 4096):
             part = batch.slice(at, 4096)
-            keys = neighbour_keys(_symbols(part.column(2)))
-            yield {"key": keys.ravel().view(np.int64), "rep": np.repeat(part.column(0).to_numpy(), SYMBOLS), "comp": np.repeat(part.column(1).to_numpy(), SYMBOLS)}
+            yield {"key": neighbour_keys(_symbols(part.column(1))).ravel().view(np.int64), "node": np.repeat(part.column(0).to_numpy(), SYMBOLS)}
 
-    return reps.select("rep", "comp", "sig").mapInArrow(K.mapper(rows, schema), "key long, rep long, comp long")
+    return nodes.select("node", "sig").mapInArrow(K.mapper(rows, schema), "key long, node long")
 
 
-def _close(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+def _close(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Those (x, y) whose sizes and signatures allow a link."""
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
     most = rule.distance()
@@ -168,186 +196,286 @@ def _close(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
             ok = (_symbols(part.column(2)) != _symbols(part.column(3))).sum(axis=1) <= most
             yield {"x": part.column(0).to_numpy()[ok], "y": part.column(1).to_numpy()[ok]}
 
-    a = reps.select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("sig").alias("sx"))
-    b = reps.select(F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("sig").alias("sy"))
+    a = nodes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("sig").alias("sx"))
+    b = nodes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("sig").alias("sy"))
     fits = F.least("nx", "ny") * rule.den >= F.greatest("nx", "ny") * rule.num
     return pairs.join(a, "x").join(b, "y").where(fits).select("x", "y", "sx", "sy").mapInArrow(K.mapper(rows, schema), "x long, y long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """Those (x, y) that are linked, held against the full sets of both texts."""
+def full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """(node, set binary) of the wanted nodes, once each, from the text of the least document that has the set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("da", pa.int64()), ("db", pa.int64()), ("set", pa.binary())])
+
+    def sets(batch: pa.RecordBatch) -> Iterator[dict]:
+        for a, b, data, off in K.slices(batch.column(1)):
+            h, at = shingles(data, off, rule.words)
+            full = np.flatnonzero(np.diff(at) > 0)
+            every = np.zeros((2, b - a), np.int64)
+            every[:, full] = set_digest(h, at[:-1][full]).view(np.int64)
+            yield {"doc_id": batch.column(0).slice(a, b - a), "da": every[0], "db": every[1], "set": [x.tobytes() for x in _cut_sets(h, at)]}
+
+    named = cut(nodes.select("node", F.col("least").alias("doc_id"), "da", "db").join(wanted.select("node").distinct(), "node"))
+    made = by_ids(docs, named, "doc_id").mapInArrow(K.mapper(sets, schema), "doc_id long, da long, db long, set binary")
+    # An id can stand for several texts, and a row can be repeated.
+    return made.join(named, ["doc_id", "da", "db"]).groupBy("node").agg(F.first("set").alias("set"))
+
+
+def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Those (x, y) that are linked, held against the full sets of both."""
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            sides = []
-            for column in (part.column(2), part.column(3)):
-                own = []
-                for _, _, data, off in K.slices(column):
-                    h, c = shingles(data, off, rule.words)
-                    own += [h[i:j] for i, j in zip(c[:-1], c[1:], strict=True)]
-                sides.append(own)
-            ok = np.zeros(part.num_rows, bool)
-            for i, (a, b) in enumerate(zip(*sides, strict=True)):
-                if len(a) and len(b):
-                    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
-                    ok[i] = rule.den * both >= rule.num * (len(a) + len(b) - both)
-            yield {"x": part.column(0).to_numpy()[ok], "y": part.column(1).to_numpy()[ok]}
-
-    ids = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y"))
-    texts = by_ids(docs, ids, "doc_id")
-    a = texts.select(F.col("doc_id").alias("x"), F.col("text").alias("tx"))
-    b = texts.select(F.col("doc_id").alias("y"), F.col("text").alias("ty"))
+        ok = np.zeros(batch.num_rows, bool)
+        for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            a, b = np.frombuffer(a.as_buffer(), _U), np.frombuffer(b.as_buffer(), _U)
+            both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+            ok[i] = rule.den * both >= rule.num * (len(a) + len(b) - both)
+        yield {"x": batch.column(0).to_numpy()[ok], "y": batch.column(1).to_numpy()[ok]}
+
+    sets = full_sets(pairs.select(F.col("x").alias("node")).union(pairs.select("y")), nodes, docs, rule)
+    a = sets.select(F.col("node").alias("x"), F.col("set").alias("tx"))
+    b = sets.select(F.col("node").alias("y"), F.col("set").alias("ty"))
     return pairs.join(a, "x").join(b, "y").select("x", "y", "tx", "ty").mapInArrow(K.mapper(rows, schema), "x long, y long")
 
 
-def _blocked(members: DataFrame, blocks: F.Column) -> DataFrame:
-    """Members of each key dealt into blocks, one copy for each pair of blocks (i, j) that their own is part of."""
+def _cells(nodes: DataFrame) -> DataFrame:
+    """(cell, node, comp) for every chunk of every node; a cell is the chunk's number and symbols."""
+    schema = pa.schema([("cell", pa.binary()), ("node", pa.int64()), ("comp", pa.int64())])
+
+    def rows(batch: pa.RecordBatch) -> Iterator[dict]:
+        for at in range(0, batch.num_rows, 4096):
+            part = batch.slice(at, 4096)
+            sig = _symbols(part.column(2))
+            chunk = np.broadcast_to(np.arange(CHUNKS, dtype=np.uint16)[:, None], (len(sig), CHUNKS, 1))
+            raw = np.ascontiguousarray(np.concatenate([chunk, sig.reshape(-1, CHUNKS, WIDTH)], axis=2))
+            ends = pa.array(np.arange(len(sig) * CHUNKS + 1, dtype=np.int32) * _CELL)
+            cell = pa.Array.from_buffers(pa.binary(), len(sig) * CHUNKS, [None, ends.buffers()[1], pa.py_buffer(raw.tobytes())])
+            yield {"cell": cell, "node": np.repeat(part.column(0).to_numpy(), CHUNKS), "comp": np.repeat(part.column(1).to_numpy(), CHUNKS)}
+
+    return nodes.select("node", "comp", "sig").mapInArrow(K.mapper(rows, schema), "cell binary, node long, comp long")
+
+
+def _homes(cells: DataFrame) -> DataFrame:
+    """(home, cell, key): cells that meet in the home of a key whose members are in several components; the home's own cell has no key.
+
+    A cell deviates from a home in one symbol, so it has one key there.
+    """
+    schema = pa.schema([("key", pa.int64()), ("cell", pa.binary()), ("lo", pa.int64()), ("hi", pa.int64()), ("size", pa.int64())])
+
+    def rows(batch: pa.RecordBatch) -> Iterator[dict]:
+        for at in range(0, batch.num_rows, 8192):
+            part = batch.slice(at, 8192)
+            raw = np.frombuffer(b"".join(part.column(0).to_pylist()), np.uint16).reshape(-1, WIDTH + 1)
+            which = np.repeat(np.arange(len(raw)), WIDTH)
+            yield {"key": chunk_keys(raw[:, 1:], raw[:, 0].astype(_U)).ravel().view(np.int64), **{c: part.column(i).take(pa.array(which)) for i, c in enumerate(("cell", "lo", "hi", "size"))}}
+
+    of_cells = cells.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+    keys = of_cells.mapInArrow(K.mapper(rows, schema), "key long, cell binary, lo long, hi long, size long")
+    mixed = keys.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("size").alias("size")).where("lo < hi and size > 2").select("key")
+    of_mixed = cut(keys.join(mixed, "key").select("key", "cell", "size"))
+    home = of_mixed.groupBy("key").agg(F.max(F.struct("size", "cell")).alias("top")).select("key", F.col("top.cell").alias("home"))
+    met = of_mixed.join(home, "key")
+    return met.select("home", "cell", F.when(F.col("cell") == F.col("home"), None).otherwise(F.col("key")).alias("key")).distinct()
+
+
+def _dealt(members: DataFrame, blocks: F.Column) -> DataFrame:
+    """Members of each home dealt into blocks, one copy for each pair of blocks (i, j) that their own is part of."""
     return (
         members.withColumn("blocks", F.greatest(F.lit(1), F.ceil(blocks)).cast("int"))
-        .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
         .drop("other", "blocks")
     )
 
 
-def _asked(reps: DataFrame, keys: DataFrame, rule: Rule) -> DataFrame:
-    """(key, rep): members of a key that may be linked to a member of another component.
+def _asked(nodes: DataFrame, rule: Rule) -> DataFrame:
+    """(home, node, large): members that may be linked to a member of another component; with ``large``, to one of that component.
 
-    Pairs with the key's least member are known already.  A pair counts in the
-    first of the keys that it shares only.  Pairs are seen within a block and never
-    leave it.
+    A pair counts in the first chunk that brings it together.  Pairs are seen within a block and never leave it.
     """
-    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64())])
-    ddl = "key long, rep long"
+    schema = pa.schema([("home", pa.binary()), ("node", pa.int64()), ("large", pa.int64())])
+    ddl = "home binary, node long, large long"
     most = rule.distance()
 
-    def wanted(key: int, head: int, rep: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray) -> np.ndarray:
-        own = np.flatnonzero(rep != head)
-        r, c, s, own_sig = rep[own], comp[own], n[own], sig[own]
-        if not len(r) or (c == c[0]).all():
-            return r[:0]
-        every = neighbour_keys(own_sig)
-        place = (every == np.int64(key).astype(_U)).argmax(axis=1)  # of the key among a member's own, the same in all
-        asked = np.zeros(len(r), bool)
-        for k in range(len(r) - 1):
-            at = k + 1 + np.flatnonzero(c[k + 1 :] != c[k])
-            at = at[np.minimum(s[at], s[k]) * rule.den >= np.maximum(s[at], s[k]) * rule.num]
-            at = at[(own_sig[at] != own_sig[k]).sum(axis=1) <= most]
-            at = at[~(every[at, : place[k]] == every[k, : place[k]]).any(axis=1)]
-            if len(at):
-                asked[k] = True
-                asked[at] = True
-        return r[asked]
-
-    def small(batch: pa.RecordBatch) -> Iterator[dict]:
-        keys_out, reps_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        key, head, group = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+    def wanted(home: bytes, node: np.ndarray, key: np.ndarray, comp: np.ndarray, many: np.ndarray, n: np.ndarray, sig: np.ndarray) -> list[tuple[int, int]]:
+        """``key`` is 0 for the home's own members; ``many`` counts the nodes of each component."""
+        chunk = int.from_bytes(home[:2], "little")
+        names, of, size = np.unique(comp, return_inverse=True, return_counts=True)
+        if len(names) < 2:
+            return []
+        # Members of the component that has most here wait for the others.
+        order = np.argsort(of == size.argmax(), kind="stable")
+        node, key, comp, many, n, sig = (x[order] for x in (node, key, comp, many, n, sig))
+        small, large = np.zeros(len(node), bool), set()
+        for k in range(len(node) - int(size.max())):
+            at = k + 1 + np.flatnonzero(comp[k + 1 :] != comp[k])
+            at = at[(key[at] == key[k]) | (key[at] == 0) | (key[k] == 0)]
+            at = at[np.minimum(n[at], n[k]) * rule.den >= np.maximum(n[at], n[k]) * rule.num]
+            differ = sig[at] != sig[k]
+            ok = differ.sum(axis=1) <= most
+            if chunk:
+                ok &= ~(differ[:, : chunk * WIDTH].reshape(len(at), chunk, WIDTH).sum(axis=2) <= ERRORS).any(axis=1)
+            at = at[ok]
+            for c in np.unique(comp[at]).tolist():
+                own = at[comp[at] == c]
+                if max(many[k], many[own[0]]) < LARGE:
+                    small[k] = True
+                    small[own] = True
+                elif (many[k], comp[k]) < (many[own[0]], c):
+                    large.add((int(node[k]), c))
+                else:
+                    large.update((i, int(comp[k])) for i in node[own].tolist())
+        return [(i, -1) for i in node[small].tolist()] + sorted(large)
+
+    def made(found: list[tuple[bytes, int, int]]) -> dict:
+        return {"home": pa.array([f[0] for f in found], pa.binary()), "node": [f[1] for f in found], "large": pa.array([None if f[2] < 0 else f[2] for f in found], pa.int64())}
+
+    def few(batch: pa.RecordBatch) -> Iterator[dict]:
+        group = batch.column(1)
         offsets, flat = group.offsets.to_numpy(), group.values
-        rep, comp, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-        sig = _symbols(flat.field(3))
-        for g, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-            found = wanted(key[g], head[g], rep[a:b], comp[a:b], n[a:b], sig[a:b])
-            keys_out.append(np.full(len(found), key[g]))
-            reps_out.append(found)
-        yield {"key": np.concatenate(keys_out), "rep": np.concatenate(reps_out)}
-
-    def large(table: pa.Table) -> pa.Table:
-        key, head = table["key"][0].as_py(), table["head"][0].as_py()
-        found = wanted(key, head, *(table[c].to_numpy() for c in ("rep", "comp", "n")), _symbols(table["sig"]))
-        return pa.table({"key": np.full(len(found), key, np.int64), "rep": found}, schema=schema)
-
-    mixed = keys.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("head"), F.count("*").alias("size")).where("lo < hi and size > 2")
-    members = keys.join(mixed.select("key", "head", "size"), "key").join(reps.select("rep", "n", "sig"), "rep")
-    # Small groups come many to a batch; of large ones a task holds one block at a time.
-    few = members.where(F.col("size") <= SMALL).groupBy("key", "head").agg(F.collect_list(F.struct("rep", "comp", "n", "sig")).alias("g"))
-    many = _blocked(members.where(F.col("size") > SMALL), F.col("size") / BLOCK)
-    found = few.mapInArrow(K.mapper(small, schema), ddl).unionByName(many.groupBy("key", "i", "j").applyInArrow(large, ddl))
-    return found.distinct()
+        columns = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        sig = _symbols(flat.field(5))
+        found = []
+        for home, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            found += [(home, *x) for x in wanted(home, *(c[a:b] for c in columns), sig[a:b])]
+        yield made(found)
 
-
-def _forest(sets: list[np.ndarray], comp: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
-    """Links between components that some pair of the sets confirms, as many as it takes to join those components (at most one less than sets)."""
-    size = np.array([len(x) for x in sets])
-    row = np.repeat(np.arange(len(sets)), size)
-    h, col, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = n > 1  # what only one set has is in no intersection
+    def block(table: pa.Table) -> pa.Table:
+        home = table["home"][0].as_py()
+        found = wanted(home, *(table[c].to_numpy() for c in ("node", "key", "comp", "many", "n")), _symbols(table["sig"]))
+        return pa.table(made([(home, *x) for x in found]), schema=schema)
+
+    cells = _cells(nodes)
+    meets = cut(_homes(cells))
+    members = cut(cells.select("cell", "node").join(meets, "cell").select("home", "node", F.coalesce("key", F.lit(0)).alias("key")))
+    sizes = members.groupBy("home").agg(F.count("*").alias("size")).where("size > 1")
+    held = members.join(sizes, "home").join(nodes.select("node", "comp", "many", "n", "sig"), "node")
+    # Small groups come many to a batch; of large ones a task holds one block at a time.
+    grouped = held.where(F.col("size") <= SMALL).groupBy("home").agg(F.collect_list(F.struct("node", "key", "comp", "many", "n", "sig")).alias("g"))
+    blocks = _dealt(held.where(F.col("size") > SMALL), F.col("size") / BLOCK)
+    found = grouped.mapInArrow(K.mapper(few, schema), ddl).unionByName(blocks.groupBy("home", "i", "j").applyInArrow(block, ddl))
+    return found.withColumn("home", F.when(F.col("large").isNull(), F.col("home"))).distinct()
+
+
+def _meeting(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all x with all y."""
+    both = np.zeros((len(xs), len(ys)), np.float32)
+    _, col = np.unique(np.concatenate([*xs, *ys]), return_inverse=True)
+    size = np.array([len(s) for s in (*xs, *ys)])
+    row = np.repeat(np.arange(len(size)), size)
+    seen = np.zeros((2, int(col.max()) + 1), bool)
+    is_y = row >= len(xs)
+    seen[is_y.astype(int), col] = True
+    shared = seen.all(axis=0)  # what only one side has is in no intersection
     keep = shared[col]
-    row, col = row[keep], (np.cumsum(shared) - 1)[col[keep]]
-    both = np.zeros((len(sets), len(sets)), np.float32)
+    row, col, is_y = row[keep], (np.cumsum(shared) - 1)[col[keep]], is_y[keep]
     order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
+    row, col, is_y = row[order], col[order], is_y[order]
     for at in range(0, int(shared.sum()), 4096):
         a, b = np.searchsorted(col, [at, at + 4096])
-        part = np.zeros((len(sets), 4096), np.float32)
+        part = np.zeros((len(size), 4096), np.float32)
         part[row[a:b], col[a:b] - at] = 1
-        both += part @ part.T
-    linked = np.triu(rule.den * both >= rule.num * (size[:, None] + size[None, :] - both), 1)
+        both += part[: len(xs)] @ part[len(xs) :].T
+    return both
+
+
+def _linked(xs: list[np.ndarray], ys: list[np.ndarray], rule: Rule) -> np.ndarray:
+    both = _meeting(xs, ys)
+    return rule.den * both >= rule.num * (np.array([len(s) for s in xs])[:, None] + np.array([len(s) for s in ys]) - both)
+
+
+def _forest(sets: list[np.ndarray], comp: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
+    """Links between components that some pair of the sets confirms, as many as it takes to join those components (at most one less than sets)."""
     out, of = [], comp.copy()
-    for x, y in zip(*np.nonzero(linked), strict=True):
+    for x, y in zip(*np.nonzero(np.triu(_linked(sets, sets, rule), 1)), strict=True):
         if of[x] != of[y]:
             out.append((int(x), int(y)))
             of[of == max(of[x], of[y])] = min(of[x], of[y])
     return out
 
 
-def _between(reps: DataFrame, keys: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+def _between(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """(x, y): confirmed links that join components which share a key, held against the full sets within blocks of bounded size."""
-    asked = cut(_asked(reps, keys, rule).join(reps.select("rep", "comp", "n"), "rep"))
-    totals = asked.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("size"))
-    blocks = _blocked(asked.join(totals, "key"), F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("size") / SET_BLOCK))
-    bytes_of = pa.schema([("rep", pa.int64()), ("set", pa.binary())])
+    asked = cut(_asked(nodes, rule))
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
-    def sets(batch: pa.RecordBatch) -> Iterator[dict]:
-        for a, b, data, off in K.slices(batch.column(1)):
-            h, c = shingles(data, off, rule.words)
-            yield {"rep": batch.column(0).slice(a, b - a), "set": [h[i:j].tobytes() for i, j in zip(c[:-1], c[1:], strict=True)]}
+    def load(table: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_buffer(), _U) for c in table["set"].chunks for x in c]
 
-    def block(table: pa.Table) -> pa.Table:
-        rep = table["rep"].to_numpy()
-        sets_ = [np.frombuffer(x.as_buffer(), _U) for c in table["set"].chunks for x in c]
-        found = np.array(_forest(sets_, table["comp"].to_numpy(), rule), np.int64).reshape(-1, 2)
-        a, b = rep[found[:, 0]], rep[found[:, 1]]
-        return pa.table({"x": np.maximum(a, b), "y": np.minimum(a, b)}, schema=schema)
+    def in_home(table: pa.Table) -> pa.Table:
+        node = table["node"].to_numpy()
+        found = np.array(_forest(load(table), table["comp"].to_numpy(), rule), np.int64).reshape(-1, 2)
+        return pa.table({"x": node[found[:, 0]], "y": node[found[:, 1]]}, schema=schema)
+
+    def against_component(table: pa.Table) -> pa.Table:
+        is_x = table["asks"].combine_chunks()
+        a, b = table.filter(is_x), table.filter(pc.invert(is_x))
+        if not a.num_rows or not b.num_rows:
+            return schema.empty_table()
+        linked = _linked(load(a), load(b), rule)
+        some = linked.any(axis=1)
+        return pa.table({"x": a["node"].to_numpy()[some], "y": b["node"].to_numpy()[linked.argmax(axis=1)[some]]}, schema=schema)
+
+    facts = nodes.select("node", "comp", "n")
+    small = asked.where("large is null").select("home", "node").join(facts, "node")
+    held = small.groupBy("home").agg(F.sum("n").alias("total"), F.count("*").alias("size")).where("size > 1")
+    blocks = _dealt(small.join(held, "home"), F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("size") / SET_BLOCK)).select("home", "i", "j", "node", "comp")
+
+    def count(df: DataFrame, name: str) -> DataFrame:
+        parts = F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / SET_BLOCK))
+        return df.groupBy("large").agg(F.greatest(F.lit(1), parts).cast("long").alias(name))
+
+    asking = asked.where("large is not null").select("node", "large").distinct().join(facts.select("node", "n"), "node")
+    across = count(asking, "rows")
+    member = facts.withColumnRenamed("comp", "large").join(across.select("large"), "large", "left_semi")
+    grid = across.join(count(member, "columns"), "large")
+
+    def placed(df: DataFrame, own: str, other: str, by: str, asks: bool) -> DataFrame:
+        return df.join(grid, "large").select("large", F.pmod(F.xxhash64("node"), F.col(by)).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns" if by == "rows" else "rows") - 1)).alias(other), "node", F.lit(asks).alias("asks"))
 
-    texts = by_ids(docs, asked.select(F.col("rep").alias("doc_id")), "doc_id").mapInArrow(K.mapper(sets, bytes_of), "rep long, set binary").dropDuplicates(["rep"])
-    return blocks.select("key", "i", "j", "rep", "comp").join(texts, "rep").groupBy("key", "i", "j").applyInArrow(block, "x long, y long").distinct()
+    cells = cut(placed(asking, "i", "j", "rows", True).unionByName(placed(member, "j", "i", "columns", False)))
+    blocks = cut(blocks)
+    sets = full_sets(blocks.select("node").union(cells.select("node")), nodes, docs, rule)
+    one = blocks.join(sets, "node").groupBy("home", "i", "j").applyInArrow(in_home, "x long, y long")
+    two = cells.join(sets, "node").groupBy("large", "i", "j").applyInArrow(against_component, "x long, y long")
+    return one.unionByName(two).distinct()
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     feats = cut(signatures(docs, rule))
-    sets = feats.where("sig is not null and doc_id is not null")
-    reps = cut(sets.groupBy("set_hash", F.col("n_shingles").alias("n")).agg(F.min(F.struct("doc_id", "sig")).alias("r")).select("set_hash", "n", F.col("r.doc_id").alias("rep"), F.col("r.sig").alias("sig")))
-    keys = _keys(reps.withColumn("comp", F.col("rep")))
-    heads = keys.groupBy("key").agg(F.min("rep").alias("y"), F.max("rep").alias("top")).where("y < top").select("key", "y")
-    starred = keys.join(heads, "key").where("rep <> y").select(F.col("rep").alias("x"), "y").distinct()
-    first = cut(_close(starred, reps, rule))
-    links = cut(confirm(first, docs, rule))
+    classes = feats.where("sig is not null and doc_id is not null").groupBy("da", "db", F.col("n_shingles").alias("n")).agg(F.min(F.struct("doc_id", "sig")).alias("r"))
+    nodes = cut(classes.select("da", "db", "n", F.col("r.doc_id").alias("least"), F.col("r.sig").alias("sig")).withColumn("node", F.monotonically_increasing_id()))
+    keys = _keys(nodes)
+    heads = keys.groupBy("key").agg(F.min("node").alias("y"), F.max("node").alias("top")).where("y < top").select("key", "y")
+    starred = cut(keys.join(heads, "key").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
+    links = cut(confirm(cut(_close(starred, nodes, rule)), nodes, docs, rule))
     parts = connected_components(links, "x", "y")
-    placed = reps.join(parts.withColumnRenamed("node", "rep").withColumnRenamed("component", "c"), "rep", "left").withColumn("comp", F.coalesce("c", "rep")).drop("c")
+    sized = parts.join(parts.groupBy("component").agg(F.count("*").alias("size")), "component")
+    placed = nodes.join(sized, "node", "left").select(*nodes.columns, F.coalesce("component", "node").alias("comp"), F.coalesce("size", F.lit(1)).alias("many"))
     placed = cut(placed)
-    more = cut(_between(placed, _keys(placed), docs, rule))
+    # Nodes that share no key with another have no part in the second look.
+    met = starred.select(F.col("x").alias("node")).union(starred.select("y")).distinct()
+    more = cut(_between(placed.join(met, "node", "left_semi"), docs, rule))
     if not more.isEmpty():
-        of = placed.select("rep", "comp")
-        joined = more.join(of.select(F.col("rep").alias("x"), F.col("comp").alias("a")), "x").join(of.select(F.col("rep").alias("y"), F.col("comp").alias("b")), "y")
+        of = placed.select("node", "comp")
+        joined = more.join(of.select(F.col("node").alias("x"), F.col("comp").alias("a")), "x").join(of.select(F.col("node").alias("y"), F.col("comp").alias("b")), "y")
         up = connected_components(joined, "a", "b").select(F.col("node").alias("comp"), "component")
         placed = placed.join(up, "comp", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
-    found = placed.select("set_hash", F.col("n").alias("n_shingles"), "comp")
-    alone = F.col("comp").isNull() | F.col("doc_id").isNull()
+    names = placed.groupBy("comp").agg(F.min("least").alias("component_id"))
+    found = placed.join(names, "comp").select("da", "db", F.col("n").alias("n_shingles"), "component_id")
+    own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return (
-        feats.select("doc_id", "n_shingles", "set_hash")
-        .join(found, ["set_hash", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("comp")).alias("component_id"))
+        feats.select("doc_id", "n_shingles", "da", "db")
+        .join(found, ["da", "db", "n_shingles"], "left")
+        .select("doc_id", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
 
 def drop_near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their group of near duplicates."""
-    gone = near_duplicates(docs, rule, id_col, text_col).where("not kept").select(F.col("doc_id").alias(id_col))
-    return by_ids(docs, gone, id_col, "left_anti")
+    """The rows of ``docs`` that stand for their group of near duplicates; an id with several texts stays if one of them does."""
+    judged = near_duplicates(docs, rule, id_col, text_col).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return by_ids(docs, judged.where("not kept").select(F.col("doc_id").alias(id_col)), id_col, "left_anti")

@@ -67,8 +67,7 @@ def features(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.nd
     order = np.argsort(start, kind="stable")
     start, end, is_word = start[order], np.concatenate([we, pe])[order], (np.arange(len(start)) < len(ws))[order]
     doc = np.searchsorted(off, start, side="right") - 1
-    prefix, down = K.prefix_sums(K.LOWER[data])
-    h = K.span_hash(prefix, down, start, end)
+    h = K.Lanes(K.LOWER[data]).hash(start, end)
 
     def total(flag: np.ndarray) -> np.ndarray:
         c = np.zeros(len(data) + 1, np.int64)

@@ -48,7 +48,7 @@ def tokens(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
     size = w.end - w.start
     for n in _STARTS:
         own = np.flatnonzero(size > n)
-        yield w.doc[own], own, K.mix(w.span_hash(w.start[own], w.start[own] + n) + _U(n))
+        yield w.doc[own], own, K.mix(w.lanes.hash(w.start[own], w.start[own] + n) + _U(n))
 
 
 @dataclass(frozen=True)
