@@ -132,6 +132,19 @@ def test_layers_are_scanned_to_the_end_over_all_members(pack, monkeypatch):
 # --- BPE ---
 
 
+def test_bpe_tells_words_apart_and_cuts_at_special_tokens(spark):
+    ref = Tokenizer.from_file(str(PATH))
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    mark = "<|endoftext|>"
+    texts = [word, other, f"{word} {other}", mark, f"x{mark}y {mark}  z{mark}{mark}<|endof", "text|> a", f"it's{mark}'s  \n x", f"é{mark}日本 {mark}é'll", f"{mark}ab " * 20_000, "x" * 300_000]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    got = {r.doc_id: r.ids for r in bpe.encode(df, str(PATH)).collect()}
+    assert all(got[i] == ref.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts))
+
+
 def test_bpe_equals_the_library(spark):
     ref = Tokenizer.from_file(str(PATH))
     rnd = random.Random(2)

@@ -7,6 +7,7 @@ single text) and never the size of a partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -187,12 +188,19 @@ def small_batches(spark) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def _trimmed() -> None:
+    """Unused memory of this process given back to the machine, where its C library can do that."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def released(batches: Iterator[pa.RecordBatch], after: Callable[[], None] | None = None) -> Iterator[pa.RecordBatch]:
     """The batches; a partition's end gives unused memory back, as Python workers live on."""
     yield from batches
     if after:
         after()
-    pa.default_memory_pool().release_unused()
+    _trimmed()
 
 
 def mapper(fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: pa.Schema, after: Callable[[], None] | None = None) -> Callable:

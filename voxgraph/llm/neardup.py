@@ -395,7 +395,7 @@ def _forest(sets: list[np.ndarray], comp: np.ndarray, rule: Rule) -> list[tuple[
     return out
 
 
-def _between(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+def _between(nodes: DataFrame, comps: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """(x, y): confirmed links that join components which share a key, held against the full sets within blocks of bounded size."""
     asked = cut(_asked(nodes, rule))
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
@@ -422,14 +422,13 @@ def _between(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     held = small.groupBy("home").agg(F.sum("n").alias("total"), F.count("*").alias("size")).where("size > 1")
     blocks = _dealt(small.join(held, "home"), F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("size") / SET_BLOCK)).select("home", "i", "j", "node", "comp")
 
-    def count(df: DataFrame, name: str) -> DataFrame:
-        parts = F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / SET_BLOCK))
-        return df.groupBy("large").agg(F.greatest(F.lit(1), parts).cast("long").alias(name))
+    def parts(size: F.Column, total: F.Column) -> F.Column:
+        return F.greatest(F.lit(1), F.ceil(F.greatest(total / BLOCK_SHINGLES, size / SET_BLOCK))).cast("long")
 
     asking = asked.where("large is not null").select("node", "large").distinct().join(facts.select("node", "n"), "node")
-    across = count(asking, "rows")
-    member = facts.withColumnRenamed("comp", "large").join(across.select("large"), "large", "left_semi")
-    grid = across.join(count(member, "columns"), "large")
+    across = asking.groupBy("large").agg(parts(F.count("*"), F.sum("n")).alias("rows"))
+    grid = cut(across.join(comps.withColumnRenamed("comp", "large"), "large").select("large", "rows", parts(F.col("many"), F.col("total")).alias("columns")))
+    member = facts.withColumnRenamed("comp", "large")
 
     def placed(df: DataFrame, own: str, other: str, by: str, asks: bool) -> DataFrame:
         return df.join(grid, "large").select("large", F.pmod(F.xxhash64("node"), F.col(by)).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns" if by == "rows" else "rows") - 1)).alias(other), "node", F.lit(asks).alias("asks"))
@@ -452,13 +451,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     heads = keys.groupBy("key").agg(F.min("node").alias("y"), F.max("node").alias("top")).where("y < top").select("key", "y")
     starred = cut(keys.join(heads, "key").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
     links = cut(confirm(cut(_close(starred, nodes, rule)), nodes, docs, rule))
-    parts = connected_components(links, "x", "y")
-    sized = parts.join(parts.groupBy("component").agg(F.count("*").alias("size")), "component")
-    placed = nodes.join(sized, "node", "left").select(*nodes.columns, F.coalesce("component", "node").alias("comp"), F.coalesce("size", F.lit(1)).alias("many"))
+    parts = connected_components(links, "x", "y").withColumnRenamed("component", "comp")
+    comps = cut(parts.join(nodes.select("node", "n"), "node").groupBy("comp").agg(F.count("*").alias("many"), F.sum("n").alias("total")))
+    placed = nodes.join(parts.join(comps.drop("total"), "comp"), "node", "left").withColumns({"comp": F.coalesce("comp", "node"), "many": F.coalesce("many", F.lit(1))})
     placed = cut(placed)
     # Nodes that share no key with another have no part in the second look.
     met = starred.select(F.col("x").alias("node")).union(starred.select("y")).distinct()
-    more = cut(_between(placed.join(met, "node", "left_semi"), docs, rule))
+    more = cut(_between(placed.join(met, "node", "left_semi"), comps, docs, rule))
     if not more.isEmpty():
         of = placed.select("node", "comp")
         joined = more.join(of.select(F.col("node").alias("x"), F.col("comp").alias("a")), "x").join(of.select(F.col("node").alias("y"), F.col("comp").alias("b")), "y")
