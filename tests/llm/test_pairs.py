@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from voxgraph.llm import ann, decontam, neardup, queries
@@ -246,12 +247,13 @@ def test_nearest_recall(spark):
 
 def test_nearest_odd_rows(spark, monkeypatch):
     same = [1.0, 2.0, 3.0]
-    rows = [(i, same) for i in range(0, 60)] + [(100, None), (101, []), (102, [0.0, 0.0, 0.0]), (103, [1.0, None, 2.0]), (104, [float("nan"), 1.0, 1.0]), (105, [float("inf"), 1.0, 1.0]), (106, [1.0, 2.0]), (None, same), (200, [-1.0, 0.0, 0.5]), (200, [-1.0, 0.0, 0.5]), (220, [2.0, 2.0, 2.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    rows = [(i, same) for i in range(0, 60)] + [(100, None), (101, []), (102, [0.0, 0.0, 0.0]), (103, [1.0, None, 2.0]), (104, [float("nan"), 1.0, 1.0]), (105, [float("inf"), 1.0, 1.0]), (106, [1.0, 2.0]), (None, same), (200, [-1.0, 0.0, 0.5]), (200, [-1.0, 0.0, 0.5]), (220, [2.0, 2.0, 2.0]), (220, [9.0, 9.0, 9.0])]
+    df = spark.createDataFrame([(*r, "clash", 0) for r in rows], "vec_id long, embedding array<double>, code string, part int")
     got = {}
     for r in ann.nearest(df).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
     assert set(got) == {0, 20, 40, 200, 220}
+    # Of two vectors of id 220 the first in order counts; the shorter vector of id 106 is filled up with zeros.
     assert got[0] == list(range(1, 21)) and got[20] == [i for i in range(21) if i != 20] and got[220][:3] == [0, 1, 2]
     few = ann.nearest(df.where("vec_id in (0, 1, 2)"))
     assert [(r.rank, r.vec_id) for r in few.orderBy("rank").collect()] == [(1, 1), (2, 2)]
@@ -260,8 +262,29 @@ def test_nearest_odd_rows(spark, monkeypatch):
     many = [(i, rng.normal(size=9).tolist()) for i in range(300)]
     monkeypatch.setattr(ann, "UNIT_BLOCK", 64)
     monkeypatch.setattr(ann, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(ann, "COVER", 1.0)
     got = {}
     for r in ann.nearest(spark.createDataFrame(many, "vec_id long, embedding array<double>"), rerank=64).collect():
         got.setdefault(r.query_id, {})[r.rank] = r.vec_id
     want = brute_nearest([(i, np.array(v)) for i, v in many])
     assert {q: [x[r] for r in range(1, 21)] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+
+
+@pytest.mark.parametrize("n, clusters", [(2_000, 0), (50_000, 0), (50_000, 300)])
+def test_recall_and_moved_rows_at_sizes(spark, monkeypatch, n, clusters):
+    """Recall against brute force; where the data have clusters, a query visits few bins."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 32))
+    if clusters:
+        x = 0.25 * x + rng.normal(size=(clusters, 32))[rng.integers(clusters, size=n)]
+    monkeypatch.setattr(ann, "UNIT_BLOCK", 2_048)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)}))
+    got = ann.nearest(df, every=500).toPandas().groupby("query_id").vec_id.agg(set)
+    q = np.arange(0, n, 500)
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(got[i] & set(w.tolist())) / 20 for i, w in zip(q.tolist(), want, strict=True)]) >= 0.9
+    if clusters:
+        coarse = ann.fit_coarse(x[rng.permutation(n)[:20_000]], n, 20)
+        assert coarse.probes < 0.2 * len(coarse.centres)

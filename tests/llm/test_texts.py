@@ -276,14 +276,26 @@ def test_url_rules(spark):
         rule = brute_rule(host, path)
         assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule and rule[1]), u
         assert got[i].verdict == (rule[0] if rule else "block" if i in listed else "allow")
-    entries = spark.createDataFrame([(e,) for e in [*urlfilter.BLOCKED, None]], "entry string")
+    entries = spark.createDataFrame([(e,) for e in [*urlfilter.read_list(), None]], "entry string")
     want = sorted(tuple(r) for r in urlfilter.judge(df.where("page_id > 2")).select("page_id", "verdict").collect())
     assert sorted(tuple(r) for r in urlfilter.judge(df.where("page_id > 2"), blocked=entries).select("page_id", "verdict").collect()) == want
     assert urlfilter.judge(df.where("false")).count() == 0 and {r.verdict for r in urlfilter.judge(df, rules=(), blocked=()).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("mapped", [urlfilter.MAPPED_ENTRIES, 0])
+def test_url_ties_and_letters(spark, monkeypatch, mapped):
+    """A list in memory and one that is joined give the same entries."""
+    monkeypatch.setattr(urlfilter, "MAPPED_ENTRIES", mapped)
+    entries = ["example.com/é", "a.b.com/p", "b.com/pqr", "q.b.com", "b.com/x", "/x", "日本.jp/道", "com"]
+    urls = ["http://example.com/été", "http://a.b.com/pqr", "http://q.b.com/x", "http://w.b.com/x", "http://host./x", "http://日本.jp/道路", "http://c.com", "http://c.org", "http://c.org", None, "http://b.com/" + "x" * 100_000]
+    df = spark.createDataFrame([(i, u, "k", "e") for i, u in enumerate(urls)], "page_id long, url string, host string, entry string")
+    got = {r.page_id: (r.listed, r.verdict) for r in urlfilter.judge(df, rules=(), blocked=spark.createDataFrame([(e,) for e in entries], "entry string")).collect()}
+    want = ["example.com/é", "a.b.com/p", "q.b.com", "b.com/x", None, "日本.jp/道", "com", None, None, None, "b.com/x"]
+    assert got == {i: (e, "block" if e else "allow") for i, e in enumerate(want)}
+
+
 def test_url_list_by_a_join(spark, monkeypatch):
-    entries = spark.createDataFrame([(e,) for e in urlfilter.BLOCKED], "entry string")
+    entries = spark.createDataFrame([(e,) for e in urlfilter.read_list()], "entry string")
     pages = queries._table(spark, "/root/testdata/sf0.01", "pages")
     want = sorted(map(tuple, urlfilter.judge(pages).select("page_id", "verdict", "rule", "listed").collect()), key=str)
     monkeypatch.setattr(urlfilter, "MAPPED_ENTRIES", 1)

@@ -8,13 +8,19 @@ each byte, that is two codes), and the best ``RERANK`` of a block are scored
 exactly, in double precision, on the original vectors.
 
 Equal vectors are one unit with its least ids, as many as a result can need,
-so that copies cost nothing and ties go to the smaller id.  Units and queries
-are dealt over a grid of blocks of bounded size; each cell returns its best,
-and the best of the cells are the result.
+so that copies cost nothing and ties go to the smaller id.  A coarse partition
+(k-means on the sample) deals units into bins of bounded size, neighbouring
+partitions together and large ones over several bins.  A query goes to the bins
+of the partitions whose centres it has the largest inner products with, as many
+as hold ``COVER`` of the true neighbours in the sample: few where the data have
+clusters, all where they have none.  Each bin returns its best, and the best of
+the bins are the result.
 
-Vectors that are null, zero, of another length than most, or hold null or
-non-finite components take no part; neither do rows without an id.  Rows that
-repeat an id and a vector count once.  An empty table has no results.
+Vectors that are null, empty, zero, or hold null or non-finite components take
+no part; neither do rows without an id.  Shorter vectors are filled up with
+zeros.  Rows that repeat an id count once, with the first of their vectors in
+the order of components.  An empty table has no results; other columns can have
+any name.
 """
 
 from __future__ import annotations
@@ -34,7 +40,10 @@ from voxgraph.plans.lineage import cut
 SAMPLE = 20_000
 #: Units of a block that a query scores exactly.
 RERANK = 200
-UNIT_BLOCK, QUERY_BLOCK = 16_384, 2_048
+#: Units and queries that meet in one task, on average.
+UNIT_BLOCK, QUERY_BLOCK = 16_384, 16_384
+#: Partitions at most, vectors of the sample for each at least, and the share of true neighbours that the probed partitions hold in the sample.
+PARTITIONS, PER_PARTITION, COVER = 1_024, 16, 0.98
 _CHUNK = 64
 
 
@@ -116,6 +125,58 @@ def fit(x: np.ndarray, threshold: float = 0.2, rounds: int = 6, seed: int = 7) -
     return Codebooks(centres, eta)
 
 
+@dataclass(frozen=True)
+class Coarse:
+    """Centres of the partitions, in an order in which neighbours stand close, and how many of them a query probes."""
+
+    centres: np.ndarray
+    probes: int
+
+    def part(self, x: np.ndarray) -> np.ndarray:
+        return ((self.centres**2).sum(axis=1) - 2 * x @ self.centres.T).argmin(axis=1)
+
+    def probed(self, q: np.ndarray) -> np.ndarray:
+        return np.argsort(-(q @ self.centres.T), axis=1, kind="stable")[:, : self.probes]
+
+
+def fit_coarse(x: np.ndarray, units: int, k: int, rounds: int = 8, seed: int = 11, most_queries: int = 500) -> Coarse:
+    """k-means on the sample; the number of partitions follows the root of the number of units, within bounds."""
+    n = max(1, min(PARTITIONS, len(x) // PER_PARTITION, int(np.sqrt(units))))
+    rng = np.random.default_rng(seed)
+    centres = x[rng.choice(len(x), n, replace=False)]
+    for _ in range(rounds):
+        part = Coarse(centres, 1).part(x)
+        size = np.bincount(part, minlength=n)
+        total = np.zeros_like(centres)
+        np.add.at(total, part, x)
+        centres = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], x[rng.choice(len(x), n)])
+    # Along the direction in which centres vary most, neighbours come near each other.
+    middle = centres - centres.mean(axis=0)
+    centres = centres[np.argsort(middle @ np.linalg.svd(middle, full_matrices=False)[2][0], kind="stable")]
+    coarse = Coarse(centres, n)
+    m = min(most_queries, len(x))
+    scores = x[:m] @ x.T
+    scores[np.arange(m), np.arange(m)] = -np.inf
+    near = np.argpartition(-scores, min(k, len(x) - 1) - 1, axis=1)[:, : min(k, len(x) - 1)] if len(x) > 1 else np.zeros((m, 1), int)
+    place = np.argsort(coarse.probed(x[:m]), axis=1)  # of each partition among a query's probes
+    found = np.sort(np.take_along_axis(place, coarse.part(x)[near], axis=1).ravel())
+    return Coarse(centres, int(found[min(len(found) - 1, int(np.ceil(COVER * len(found))))]) + 1)
+
+
+def bins(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """(first bin, number of bins) of each partition: neighbours share a bin while they fit, large ones have several of their own."""
+    out, at, room = [], -1, 0
+    for size in sizes.tolist():
+        if size > room:
+            own = max(1, -(-size // UNIT_BLOCK))
+            out.append((at + 1, own))
+            at, room = at + own, UNIT_BLOCK - size if own == 1 else 0
+        else:
+            out.append((at, 1))
+            room -= size
+    return out
+
+
 def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -123,12 +184,14 @@ def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v array<double>) of the rows that take part, each once."""
+    """(vec_id, v array<double>) of the rows that take part, one for each id, all of one length."""
     v = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
     v = v.where(good)
-    sizes = v.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return v.where(F.size("v") == (sizes[0][0] if sizes else 0)).distinct()
+    least, most = v.agg(F.min(F.size("v")), F.max(F.size("v"))).first()
+    if least != most:
+        v = v.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(most) - F.size("v"))))
+    return v.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK) -> DataFrame:
@@ -139,28 +202,47 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
     least = points.withColumn("nth", F.row_number().over(by_id)).where(F.col("nth") <= k + 1)
     units = cut(least.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     queries = points.where(F.col("vec_id") % every == 0)
-    n_units, n_queries = units.count(), queries.count()
-    sample = hashed_share(units.withColumn("first", F.col("ids")[0]), "first", SAMPLE, n_units).orderBy("first").select("v").toArrow()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not sample.num_rows:
-        return empty
-    books = spark.sparkContext.broadcast(fit(_vectors(sample["v"])))
+    n_units = units.count()
+    sample = _vectors(hashed_share(units.withColumn("first", F.col("ids")[0]), "first", SAMPLE, n_units).orderBy("first").select("v").toArrow()["v"])
+    if not len(sample):
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    books = spark.sparkContext.broadcast((fit(sample), fit_coarse(sample, n_units, k)))
 
     def with_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book, coarse = books.value
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                packed = books.value.packed(_vectors(part.column(0)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([c.tobytes() for c in packed], pa.binary())], names=["v", "ids", "code"])
+                x = _vectors(part.column(0))
+                code = pa.array([c.tobytes() for c in book.packed(x)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), code, pa.array(coarse.part(x).astype(np.int32))], names=["v", "ids", "code", "part"])
+
+    coded = cut(units.mapInArrow(with_codes, "v array<double>, ids array<long>, code binary, part int"))
+    sizes = np.zeros(len(books.value[1].centres), np.int64)
+    for part, n in coded.groupBy("part").count().collect():  # at most PARTITIONS rows
+        sizes[part] = n
+    where = bins(sizes)
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, own = np.array(where).T
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                asked = [np.unique(np.concatenate([np.arange(first[p], first[p] + own[p]) for p in probed])) for probed in books.value[1].probed(_vectors(part.column(1)))]
+                rows_ = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in asked]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(asked).astype(np.int32)), part.column(0).take(rows_), part.column(1).take(rows_)], names=["a", "query_id", "v"])
 
-    across, down = -(-n_units // UNIT_BLOCK), max(1, -(-n_queries // QUERY_BLOCK))
-    coded = units.mapInArrow(with_codes, "v array<double>, ids array<long>, code binary")
-    side_a = coded.select(
-        F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(across)).cast("int").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("b"), F.lit(None).cast("long").alias("query_id"), "v", "ids", "code"
+    routes = cut(queries.select(F.col("vec_id").alias("query_id"), "v").mapInArrow(routed, "a int, query_id long, v array<double>"))
+    down = routes.groupBy("a").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("down"))
+    of_part = spark.createDataFrame([(i, *w) for i, w in enumerate(where)], "part int, bin int, own int")
+    side_a = (
+        coded.join(F.broadcast(of_part), "part")  # at most PARTITIONS rows
+        .withColumn("a", (F.col("bin") + F.pmod(F.xxhash64(F.col("ids")[0]), F.col("own").cast("long"))).cast("int"))
+        .join(down, "a")
+        .select("a", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("b"), F.lit(None).cast("long").alias("query_id"), "v", "ids", "code")
     )
-    side_b = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("a"), F.pmod(F.xxhash64("vec_id"), F.lit(down)).cast("int").alias("b"), F.col("vec_id").alias("query_id"), "v",
-        F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("binary").alias("code"),
+    side_b = routes.join(down, "a").select(
+        "a", F.pmod(F.xxhash64("query_id"), F.col("down").cast("long")).cast("int").alias("b"), "query_id", "v", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("binary").alias("code"),
     )
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -175,7 +257,7 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
         first = np.array([i[0] for i in ids])
         out_q, out_v, out_s = [], [], []
         for at in range(0, len(q), _CHUNK):
-            tables = books.value.tables(q[at : at + _CHUNK])
+            tables = books.value[0].tables(q[at : at + _CHUNK])
             rough = np.zeros((tables.shape[0], len(x)), np.float32)
             for byte, code in enumerate(codes):
                 rough += tables[:, byte].take(code, axis=1)

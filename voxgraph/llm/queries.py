@@ -80,7 +80,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), blocked=urlfilter.read_list(urlfilter.BLOCK_LIST))
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

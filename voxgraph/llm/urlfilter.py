@@ -8,17 +8,22 @@ file of its own, probes it with vectorised binary search for every (suffix of
 the host, start of the path) of a URL, and confirms each hit on the stored
 string, so that colliding digests never decide.
 
-Of the rules that fit a URL the longest decides; where none fits, the URL is
-blocked if a block list entry fits, else allowed.  Null URLs and those without
-``://`` have neither host nor path, fit nothing and are allowed.  Each input
-row gives one row; an empty list fits nothing.
+Of the rules that fit a URL the longest decides, of equally long ones that with
+the longer host; where none fits, the URL is blocked if a block list entry
+fits, else allowed.  Lengths are code points, and A-Z in hosts lower case; other
+characters stand for themselves, in entries too.
+
+Rows: one for each input row, repeated rows alike; an empty table has none.
+Null URLs and those without ``://`` have neither host nor path, fit nothing and
+are allowed; URLs of any length are read whole; an empty list fits nothing.
+Only the id and URL columns are read; others can have any name.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +41,8 @@ RULES = (
     ("block", "example.net/de/8"),
     ("block", "org/es/"),
 )
-# The default block list, hosts of advertising, betting, adult and spam sites.
-BLOCKED = tuple(
-    f"{name}.example.{top}"
-    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-    for top in ("com", "net", "org")
-)
+#: File of the default block list, one entry a line; a parameter, as lists are data of their users.
+BLOCK_LIST = str(Path(__file__).with_name("block_list.txt"))
 
 #: Entries up to which a list is sent to every executor; a longer one is joined by a shuffle.
 MAPPED_ENTRIES = 2_000_000
@@ -73,6 +74,18 @@ def probes(host: str, path: str, sizes: Iterable[int]) -> list[str]:
     return [x + path[:n] for x in labels if x for n in sizes if n <= len(path)]
 
 
+def host_length(entry: str) -> int:
+    """Characters of an entry before its path."""
+    at = entry.find("/")
+    return len(entry) if at < 0 else at
+
+
+def read_list(path: str = BLOCK_LIST) -> list[str]:
+    """Entries of a file that the driver has: one a line; empty lines and those that start with ``#`` are none."""
+    with open(path, encoding="utf-8") as f:
+        return sorted({e for line in f if (e := line.strip()) and not e.startswith("#")})
+
+
 class DigestArray:
     """Entries as sorted 64-bit digests, offsets and one block of strings, in a form that can be mapped from a file."""
 
@@ -81,7 +94,7 @@ class DigestArray:
         self.keys = np.array([xxhash.xxh64_intdigest(e) for e in raw], np.uint64)
         self.ends = np.cumsum([0, *map(len, raw)]).astype(np.int64)
         self.blob = np.frombuffer(b"".join(raw), np.uint8)
-        self.sizes = sorted({len(e) - e.find(b"/") if b"/" in e else 0 for e in raw})
+        self.sizes = sorted({len(e) - host_length(e) for e in map(bytes.decode, raw)})
 
     def __getstate__(self) -> dict:
         return {"keys": self.keys.tobytes(), "ends": self.ends.tobytes(), "blob": self.blob.tobytes(), "sizes": self.sizes}
@@ -117,19 +130,21 @@ class DigestArray:
 def longest(probe: list[str], fits: np.ndarray) -> str | None:
     """The longest entry that fits; of equally long ones, that with the longer host."""
     found = [p for p, ok in zip(probe, fits, strict=True) if ok]
-    return max(found, key=lambda e: (len(e), e.find("/")), default=None)
+    return max(found, key=lambda e: (len(e), host_length(e)), default=None)
 
 
 _SCHEMA = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("rule", pa.string()), ("verdict", pa.string()), ("listed", pa.string())])
 _DDL = "page_id long, host string, path string, rule string, verdict string, listed string"
 
 
-def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, blocked: Iterable[str] | DataFrame = BLOCKED, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, blocked: Iterable[str] | DataFrame | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(page_id, host, path, rule, verdict, listed) of every row; listed is the block list entry that fits.
 
     ``rules`` are few; ``blocked`` may be a DataFrame with a column ``entry``,
-    which is joined by a shuffle when it has more than ``MAPPED_ENTRIES`` rows.
+    which is joined by a shuffle when it has more than ``MAPPED_ENTRIES`` rows;
+    without it the list of ``BLOCK_LIST`` counts.
     """
+    blocked = read_list() if blocked is None else blocked
     rules = dict((entry, verdict) for verdict, entry in rules)
     pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     large = None
@@ -168,9 +183,11 @@ def _by_join(judged: DataFrame, entries: DataFrame) -> DataFrame:
     sizes = [r[0] for r in entries.select(F.length(F.regexp_extract("entry", "/.*$", 0))).distinct().collect()]
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    probe = F.flatten(F.transform(suffixes, lambda s: F.filter(F.array(*[F.when(F.length("path") >= n, F.concat(s, F.substring("path", 1, n))) for n in sizes]), lambda x: x.isNotNull())))
+    probe = F.flatten(F.transform(F.filter(suffixes, lambda s: s != ""), lambda s: F.filter(F.array(*[F.when(F.length("path") >= n, F.concat(s, F.substring("path", 1, n))) for n in sizes]), lambda x: x.isNotNull())))
     sites = judged.where("host <> ''").select("host", "path").distinct()
-    found = sites.withColumn("entry", F.explode(F.array_distinct(probe))).join(entries, "entry").groupBy("host", "path").agg(F.max(F.struct(F.length("entry").alias("n"), "entry")).alias("m"))
+    slash = F.instr("entry", "/")
+    host = F.when(slash == 0, F.length("entry")).otherwise(slash - 1)
+    found = sites.withColumn("entry", F.explode(F.array_distinct(probe))).join(entries, "entry").groupBy("host", "path").agg(F.max(F.struct(F.length("entry").alias("n"), host.alias("h"), "entry")).alias("m"))
     return (
         judged.drop("listed")
         .join(found.select("host", "path", F.col("m.entry").alias("listed")), ["host", "path"], "left")
