@@ -9,6 +9,7 @@ import random
 import re
 import urllib.parse
 import zlib
+from collections import Counter
 
 import pandas as pd
 import public_tokenizers
@@ -169,20 +170,56 @@ def test_bpe_equals_the_library(spark):
 # --- licences ---
 
 
-def test_licence_units(spark):
-    mit, gpl = licenses.TEMPLATES[9][1], licenses.TEMPLATES[7][1]
-    rows = [(1, None), (2, ""), (3, "word"), (4, mit.upper()), (5, f"some text\n{mit}\nmore text of another kind here"), (6, gpl.replace("License", "Licence", 1)), (7, f"{mit}\n{mit}"), (7, f"{mit}\n{mit}"), (8, "nothing of that kind " * 30_000)]
-    df = spark.createDataFrame([(*r, "m") for r in rows], "doc_id long, text string, lines string")
-    got = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
-    assert [got[i].license for i in range(1, 9)] == [None, None, None, "MIT", "MIT", "GPL-3.0", "MIT", None]
-    assert got[4].dice == 1.0 and got[7].n_units == 2 and 0.8 <= got[6].dice < 1
+def best_windows(text):
+    """(best coefficient of each template, by its name) over all windows, by plain counting."""
+    words = licenses.template_words(text or "")
+    own = [f"{a} {b}" for a, b in zip(words[:-1], words[1:])]
+    out = {}
+    for t in licenses.prepared(licenses.read_templates()):
+        at = [i for i, b in enumerate(own) if b in t.bag]
+        held = set(at)
+        starts = [i for i in at if i - 1 not in held]
+        ends = [i for i in at if i + 1 not in held]
+        for s in starts:
+            for e in ends:
+                if t.lo <= e - s + 1 <= t.hi:
+                    bag = Counter(own[s : e + 1])
+                    dice = 2.0 * (bag & t.bag).total() / (e - s + 1 + t.size)
+                    if dice >= 0.8:
+                        out[t.name] = max(out.get(t.name, 0), dice)
+    return out
+
+
+def test_licence_windows(spark):
+    rnd = random.Random(9)
+    texts = dict(licenses.read_templates())
+    mit, bsd, gpl = (texts[x] for x in ("MIT", "BSD-3-Clause", "GPL-3.0"))
+    full = max((t for n, t in licenses.read_templates() if n == "MIT"), key=len)
+    wrapped = "\n".join(re.findall(r".{1,60}(?:\s|$)", full.replace("\n", " ")))
+    prose = " ".join(rnd.choice(["of", "the", "software", "and", "liability", "in", "free", "word"]) for _ in range(3_000))
+    rows = [
+        (1, None), (2, ""), (3, "word"), (4, mit.upper()), (5, f"some text\n{mit}\nmore text of another kind here"), (6, gpl.replace("License", "Licence", 1)), (7, f"{mit}\n{mit}"), (7, f"{mit}\n{mit}"),
+        (8, "nothing of that kind " * 30_000), (9, "Copyright 2020 Jane Doe. Released under the MIT License. All code is here."), (10, f"# head\nint x;\n{wrapped}\nint main() {{}}"), (11, "/*\n * " + wrapped.replace("\n", "\n * ") + "*/"),
+        (12, full.replace("copyright holders", "authors of this work").replace("Software", "Program", 2)), (13, prose), (14, f"{prose} {bsd} {prose} {full}"), (15, "licensed under the"), (None, mit), (16, full[:300]),
+    ]
+    df = spark.createDataFrame([(*r, "m", 1, 2) for r in rows], "doc_id long, text string, w string, t int, size int")
+    got = sorted(((r.doc_id, r.license, r.dice, r.licenses) for r in licenses.scan_licenses(df).collect()), key=str)
+    want = []
+    for i, t in rows:
+        best = best_windows(t) if len(t or "") < 100_000 else {}
+        top = min(best, key=lambda n: (-best[n], n), default=None)
+        want.append((i, top, None if top is None else round(best[top], 6), ",".join(sorted(best))))
+    assert got == sorted(want, key=str)
+    by_id = {g[0]: g for g in got}
+    assert all(by_id[i][1] == "MIT" for i in (4, 5, 7, 9, 10, 12, None)) and by_id[11][2] == 1.0 and by_id[6][1] == "GPL-3.0"
+    assert {"MIT", "BSD-3-Clause"} <= set(by_id[14][3].split(",")) and by_id[13][1] is None
     assert licenses.scan_licenses(df.where("false")).count() == 0
     for n in range(1, 60):
         lo, hi = licenses.bounds(n)
         fits = [a for a in range(1, 200) if 2 * min(a, n) / (a + n) >= 0.8]
         assert (lo, hi) == (min(fits), max(fits))
     plan = licenses.scan_licenses(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Exchange" not in plan
+    assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan.replace("Scan ExistingRDD[doc_id", "")
 
 
 # --- HTML ---
