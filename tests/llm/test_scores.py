@@ -1,5 +1,7 @@
 """Quality and toxicity: held-out accuracy, and odd inputs."""
 
+import math
+import re
 import zlib
 
 import numpy as np
@@ -44,6 +46,99 @@ def test_toxicity_on_held_out_labels(spark):
     assert every.severity.between(0, toxicity.GRADES).all()
 
 
+def test_quality_equals_plain_follow_the_leader():
+    """Weights and scores against the learner written out with dictionaries, one feature at a time."""
+    texts = [("good plain words here and more of them " if i % 2 else "BAD !!! words %%% 123 ") * (1 + i % 4) for i in range(24)]
+    how = quality.Ftrl(passes=2)
+
+    def sparse(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        _, bucket, value = quality.features(raw, np.array([0, len(raw)]))
+        out = {}
+        for b, v in zip(bucket.tolist(), value.tolist()):
+            out[b] = out.get(b, 0.0) + v
+        return out
+
+    rows, y = [sparse(t) for t in texts], [i % 2 for i in range(24)]
+    z, n, zb, nb = {}, {}, 0.0, 0.0
+
+    def weight(b):
+        zi = z.get(b, 0.0)
+        if abs(zi) <= how.l1:
+            return 0.0
+        return -(zi - math.copysign(how.l1, zi)) / ((how.beta + math.sqrt(n.get(b, 0.0))) / how.alpha + how.l2)
+
+    for _ in range(how.passes):
+        for x, label in zip(rows, y):
+            w = {b: weight(b) for b in x}
+            bias = -zb / ((how.beta + math.sqrt(nb)) / how.alpha)
+            p = 1 / (1 + math.exp(-(sum(w[b] * v for b, v in x.items()) + bias)))
+            for b, v in x.items():
+                g = (p - label) * v
+                z[b] = z.get(b, 0.0) + g - (math.sqrt(n.get(b, 0.0) + g * g) - math.sqrt(n.get(b, 0.0))) / how.alpha * w[b]
+                n[b] = n.get(b, 0.0) + g * g
+            g = p - label
+            zb += g - (math.sqrt(nb + g * g) - math.sqrt(nb)) / how.alpha * bias
+            nb += g * g
+    m = quality.fit_ftrl([(np.array(list(x)), np.array(list(x.values()))) for x in rows], np.array(y), how=how)
+    assert all(abs(m.weights[b] - weight(b)) < 1e-5 for b in z) and np.count_nonzero(m.weights) == sum(weight(b) != 0 for b in z)
+    whole = "".join(texts).encode()
+    got = m.score(np.frombuffer(whole, np.uint8), np.cumsum([0, *(len(t) for t in texts)]))
+    bias = -zb / ((how.beta + math.sqrt(nb)) / how.alpha)
+    assert np.allclose(got, [1 / (1 + math.exp(-(sum(weight(b) * v for b, v in x.items()) + bias))) for x in rows], atol=1e-4)
+
+
+def plain_severity(model, text):
+    """(expected severity, P(grade >= 1)) by counting words and their starts one by one."""
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    index = {int(k): i for i, k in enumerate(model.keys)}
+    count = {}
+    for w in words:
+        raw = w.encode()
+        one = K.Lanes(np.frombuffer(raw, np.uint8))
+        keys = [int(one.hash(np.array([0]), np.array([len(raw)]))[0])]
+        keys += [int(K.mix(one.hash(np.array([0]), np.array([n])) + np.uint64(n))[0]) for n in range(4, 10) if len(raw) > n]
+        for k in keys:
+            if k in index:
+                count[index[k]] = count.get(index[k], 0) + 1
+    margin = sum(model.weights[i] * math.log1p(n) for i, n in count.items())
+    above = [1 / (1 + math.exp(-(margin - t))) for t in model.thresholds]
+    return sum(above), above[0]
+
+
+def test_toxicity_equals_plain_counting(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = queries.toxicity_model(docs, labels, ~queries.held_out())
+    got = {r.doc_id: (r.severity, r.p_toxic) for r in queries.op6_toxicity(spark, SF).collect()}
+    for r in docs.where("doc_id % 7 = 0").collect():
+        want = plain_severity(model, r.text)
+        assert np.allclose(got[r.doc_id], want, atol=1e-9)
+
+
+def test_ordinal_fit_has_no_slope():
+    """At the fit, the penalised likelihood written out in plain Python falls in every direction."""
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 3, size=(200, 4)).astype(float)
+    grade = np.clip((x @ [1.0, 0.5, -0.5, 0.2] + rng.normal(size=200)).astype(int), 0, 3)
+    rows, cols = np.nonzero(x)
+    w, t = toxicity.fit_ordinal(rows, cols, x[rows, cols], grade, 4, steps=3_000)
+
+    def likelihood(w, t):
+        total = -0.05 * float(np.dot(w, w))
+        for xi, g in zip(x, grade):
+            above = [1.0, *(1 / (1 + math.exp(-(float(np.dot(w, xi)) - b))) for b in t), 0.0]
+            total += math.log(max(above[g] - above[g + 1], 1e-9))
+        return total
+
+    best = likelihood(w, t)
+    for i in range(4):
+        for step in (-0.02, 0.02):
+            assert likelihood(w + step * np.eye(4)[i], t) < best
+    for i in range(3):
+        for step in (-0.02, 0.02):
+            assert likelihood(w, t + step * np.eye(3)[i]) < best
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame(ROWS, ODD)
     rows = [(i, ("good plain words here " if i % 2 else "bad !!! words %%% ") * 5, i % 2) for i in range(60)]
@@ -51,6 +146,8 @@ def test_odd_rows(spark):
     m = quality.train(some)
     got = {(r.doc_id, r.score) for r in quality.score(docs, m).collect()}
     assert len(got) == 6 and all(0 <= s <= 1 for _, s in got)
+    ids = spark.createDataFrame([(1,), (None,)], "doc_id long").select(queries.held_out().alias("h")).collect()
+    assert all(r.h is not None for r in ids)
     assert quality.score(docs.where("false"), m).count() == 0
     assert {r.score for r in quality.score(docs, quality.train(some.where("false"))).collect()} == {0.5}
     t = toxicity.train(some.withColumn("label", 1 - F.col("label")))

@@ -29,7 +29,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
-    return F.crc32(F.col(id_col).cast("string")) % 5 == 0
+    """Whether the remainder is 0; a row without an id is not held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
