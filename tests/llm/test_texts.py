@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import json
 import lzma
 import random
 import re
@@ -256,17 +257,60 @@ def test_wrappers_generalise():
 
 
 def test_html_text_depends_on_the_wrapper(spark, monkeypatch):
-    # The first paragraph is the same on all pages, the last is not, and both have one path of elements.
+    # The first paragraph is the same on all pages, the others are not, and all have one path of elements; the last page has a structure of its own.
     page = "<body><div><p>Same on all</p><hr><p>Own %d</p><p>Own too %d</p></div></body>"
-    rows = [(i, "http://h.org/x", page % (i, i)) for i in range(3)] + [(3, "http://h.org/x", "<body><div><p>Same on all</p><h2>Only here</h2></div></body>")]
-    df = spark.createDataFrame(rows[:3], "page_id long, url string, html string")
-    for hosts in (htmltext.BROADCAST_HOSTS, 0):
-        assert {r.page_id: r.text for r in htmltext.main_text(df, broadcast_hosts=hosts).collect()} == {i: f"Own {i}\nOwn too {i}" for i in range(3)}
-    seen = [x for y in htmltext._observed(pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], names=["url", "html"])) for x in [pd.DataFrame(y)]][0]
-    seen = seen.groupby(["host", "key", "at"], as_index=False).agg({"lo": "min", "hi": "max", **({"page_lo": "min", "page_hi": "max"} if "page_lo" in seen else {}), "pages": "sum", "chars": "sum", "links": "sum", "shape": "first"})
-    whole = htmltext._infer(seen).main.map(list).tolist()
+    rows = [(i, "http://h.org/x", page % (i, i)) for i in range(3)] + [(3, "http://h.org/x", "<body><div><p>Same on all</p><hr><h2>Only here</h2></div></body>")]
+    df = spark.createDataFrame([(*r, "k", 0) for r in rows], "page_id long, url string, html string, host string, at int")
+    for hosts, fan in ((htmltext.BROADCAST_HOSTS, 64), (0, 1)):
+        monkeypatch.setattr(htmltext, "FAN", fan)
+        assert {r.page_id: r.text for r in htmltext.main_text(df, broadcast_hosts=hosts).collect()} == {**{i: f"Own {i}\nOwn too {i}" for i in range(3)}, 3: "Only here"}
+
+    def slots_in_wrapper():
+        shapes = pd.DataFrame([("h", i, json.dumps(htmltext.structure(list(htmltext.slots(rows[r][2])))), 3 - i) for i, r in enumerate((0, 3))], columns=["host", "id", "shape", "pages"])
+        merged = htmltext._merge(shapes).set_index("id")
+        wrapper = merged["shape"][merged["into"][0]]
+        batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (["h", "h"], [0, 1], [0, 0], shapes["shape"].tolist(), [wrapper, wrapper])], names=["host", "key", "id", "shape", "wrapper"])
+        (out,) = htmltext._slots_of(batch)
+        return [(k, at, slot) for k, at, slot, own in zip(out["key"], out["at"], out["slot"], out["own"]) if own == 0 or k == 0]
+
+    whole = slots_in_wrapper()
+    assert len({slot for k, _, slot in whole if k == 0} & {slot for k, _, slot in whole if k == 1}) >= 1
     monkeypatch.setattr(htmltext, "align", lambda wrapper, page: [])
-    assert htmltext._infer(seen).main.map(list).tolist() != whole
+    assert slots_in_wrapper() != whole
+
+
+def unmarked_site(host, rnd):
+    """Pages of one site without articles or names that tell anything: (url, html, lines of main text)."""
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    head, foot, side = (line(6) for _ in range(3))
+    outer, inner = rnd.choice([("div", "p"), ("section", "p"), ("table", "td")])
+    out = []
+    for _ in range(30):
+        lines = [line(rnd.randrange(5, 30)) for _ in range(rnd.randrange(1, 9))]
+        links = "".join(f"<li><a href='/{word()}'>{line(2)}</a></li>" for _ in range(rnd.randrange(1, 6)))
+        body = "".join(f"<tr><td>{x}</td></tr>" if outer == "table" else f"<{inner}>{x}</{inner}>" + ("<hr>" if rnd.random() < 0.2 else "") for x in lines)
+        title = line(4)
+        page = f"<html><body><div><p>{head}</p></div><div><span>{side}</span></div><{outer}>{'' if outer == 'table' else f'<h2>{title}</h2>'}{body}</{outer}><ul>{links}</ul><div><p>{foot}</p></div></body></html>"
+        out.append((f"http://{host}/{word()}", page, lines if outer == "table" else [title, *lines]))
+    return out
+
+
+def test_html_of_unmarked_sites(spark):
+    rnd = random.Random(5)
+    pages = [p for i in range(8) for p in unmarked_site(f"s{i}.org", rnd)]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in htmltext.main_text(df).collect()}
+    hits = sum((Counter(got[i]) & Counter(want)).total() for i, (_, _, want) in enumerate(pages))
+    f1 = 2 * hits / (sum(len(x) for x in got.values()) + sum(len(w) for _, _, w in pages))
+    assert f1 > 0.95
+
+
+def test_long_repeats_are_folded():
+    card = "<li><div><h3>{0}</h3><p>{0}</p><p>{0}</p><span>{0}</span><img><table><tr><td>{0}<td>{0}</table></div></li>"
+    shapes = {tuple(htmltext.structure(list(htmltext.slots("<ul>" + "".join(card.format(i) for i in range(n)) + "</ul>")))) for n in (2, 3, 40, 400)}
+    assert len(shapes) == 1 and len(next(iter(shapes))) < 40
+    assert htmltext.fold(["a", "b", "c"] * 3 + ["d"]) == ["a+", "b", "c", "d"]
 
 
 def test_html_pages_do_not_empty_each_other(spark):

@@ -16,11 +16,15 @@ Extraction gives the texts that a page has in main slots of the wrapper.
 
 Wrappers grow with the variety of a host's structures, not with its pages:
 equal structures and their slots are counted before the shuffle, so a host with
-a third of all pages is as many rows as any other.
-
-Rows: one for each input row; null and empty pages give an empty text.  Pages
-without a host (null URL, no ``://``) count as one host.  Markup may be cut off
-or unclosed anywhere.
+a third of all pages is as many rows as any other.  Structures of a host are
+aligned in buckets of bounded size, and the buckets' wrappers level by level, so
+that no task holds a whole host; each structure is then matched on its own.
+
+Rows: one for each input row, repeated rows alike; an empty table has none.
+Null and empty pages, and pages without text, give an empty text; pages of any
+length are read whole.  Pages without a host (null URL, no ``://``) count as one
+host.  Markup may be cut off or unclosed anywhere.  Only the id, URL and HTML
+columns are read; others can have any name.
 """
 
 from __future__ import annotations
@@ -42,6 +46,7 @@ from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
 from voxgraph.llm.urlfilter import split_url
+from voxgraph.plans.lineage import cut
 
 #: Structures (of all hosts) up to which the table of main slots is sent to every executor; beyond, it is joined by a shuffle.
 BROADCAST_HOSTS = 100_000
@@ -167,28 +172,50 @@ def located(found: list[tuple[str, str | None]]) -> tuple[list[str], list[int]]:
     return out, [i for i, t in zip(at, tokens, strict=True) if t[0] == "#"]
 
 
-def fold(tokens: list[str], most: int = 12) -> list[str]:
-    """Stretches of up to ``most`` tokens that stand beside an equal stretch are kept once, marked as repeated."""
-    return folded(tokens, most)[0]
+def fold(tokens: list[str]) -> list[str]:
+    """Stretches that stand beside an equal stretch are kept once, marked as repeated."""
+    return folded(tokens)[0]
+
+
+_MODULUS, _BASE = (1 << 61) - 1, 0x1F3D5B79
+
 
+def folded(tokens: list[str]) -> tuple[list[str], list[int]]:
+    """What ``fold`` gives, and where each token went.
 
-def folded(tokens: list[str], most: int = 12) -> tuple[list[str], list[int]]:
-    """What ``fold`` gives, and where each token went."""
+    A stretch can be of any length: running sums tell equal ones, and only those that end with the same token are looked at.
+    """
     out: list[str] = []
     bare: list[str] = []
     held: list[list[int]] = []
+    sums, power = [0], [1]
+    places: dict[str, list[int]] = {}
+
+    def stretch(a: int, b: int) -> int:
+        return (sums[b] - sums[a] * power[b - a]) % _MODULUS
+
     for at, t in enumerate(tokens):
+        name = t.rstrip("+")
         out.append(t)
-        bare.append(t.rstrip("+"))
+        bare.append(name)
         held.append([at])
-        for n in range(1, min(most, len(out) // 2) + 1):
-            if bare[-1] == bare[-1 - n] and bare[-n:] == bare[-2 * n : -n]:
+        sums.append((sums[-1] * _BASE + hash(name)) % _MODULUS)
+        if len(power) < len(sums):
+            power.append(power[-1] * _BASE % _MODULUS)
+        own = places.setdefault(name, [])
+        own.append(len(out) - 1)
+        size = len(out)
+        for i in range(len(own) - 2, -1, -1):
+            n = size - 1 - own[i]
+            if 2 * n > size:
+                break
+            if stretch(size - n, size) == stretch(size - 2 * n, size - n) and bare[-n:] == bare[-2 * n : -n]:
                 for x, y in zip(held[-2 * n : -n], held[-n:], strict=True):
                     x += y
-                del bare[-n:]
-                del out[-n:]
-                del held[-n:]
-                out[-n] = out[-n].rstrip("+") + "+" if not out[-n].endswith("+") else out[-n]
+                for x in bare[-n:]:
+                    places[x].pop()
+                del bare[-n:], out[-n:], held[-n:], sums[-n:]
+                out[-n] = out[-n].rstrip("+") + "+"
                 break
     went = [0] * len(tokens)
     for i, own in enumerate(held):
@@ -315,38 +342,101 @@ def _observed(batch: pa.RecordBatch) -> Iterator[dict]:
 _SEEN = pa.schema([("host", pa.string()), ("key", pa.int64()), ("at", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("page_lo", pa.int64()), ("page_hi", pa.int64()), ("pages", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()), ("shape", pa.string())])
 
 
-def _infer(rows: pd.DataFrame) -> pd.DataFrame:
-    shapes = {r.key: json.loads(r.shape) for r in rows[rows["at"] < 0].sort_values(["pages", "shape"], ascending=[False, True]).itertuples()}
-    wrappers: list[list[str]] = []
-    template: dict[int, int] = {}
-    for key, tokens in shapes.items():
-        n = template[key] = next((i for i, w in enumerate(wrappers) if alignable(w, tokens)), len(wrappers))
-        wrappers[n : n + 1] = [align(wrappers[n], tokens) if n < len(wrappers) else tokens]
-    # Folding can take a token out of the wrapper; its slot is then one of the structure's own.
-    slot_of = {key: match(wrappers[template[key]], tokens) for key, tokens in shapes.items()}
-    own: dict[int, dict[int, tuple]] = {key: {} for key in shapes}
-    known: dict[tuple, Slot] = {}
-    for r in rows[rows["at"] >= 0].sort_values(["key", "at"]).itertuples():
-        i = own[r.key][r.at] = (template[r.key], slot_of[r.key][r.at]) if r.at in slot_of[r.key] else (template[r.key], r.key, r.at)
-        fact = Slot(_bare(shapes[r.key][r.at]), r.lo, r.hi, r.page_lo, r.page_hi, r.chars, r.links)
-        known[i].add(fact) if i in known else known.setdefault(i, fact)
-    main = [main_slots({at: known[i] for at, i in x.items()}) for x in own.values()]
-    return pd.DataFrame({"host": rows.host.iloc[0], "key": list(own), "wrapper": [" ".join(wrappers[template[k]]) for k in own], "main": main})
+#: Structures or wrappers that one task aligns with each other.
+FAN = 64
+
+
+def _merge(rows: pd.DataFrame) -> pd.DataFrame:
+    """Wrappers of a bucket of structures, or of wrappers: those that can be aligned become one, named by its first (most pages, then in order)."""
+    made: list[list[str]] = []
+    first: list[int] = []
+    pages: list[int] = []
+    into: dict[int, int] = {}
+    for r in rows.sort_values(["pages", "shape"], ascending=[False, True]).itertuples():
+        tokens = json.loads(r.shape)
+        n = next((i for i, w in enumerate(made) if alignable(w, tokens)), len(made))
+        if n == len(made):
+            made.append(tokens)
+            first.append(r.id)
+            pages.append(r.pages)
+        else:
+            made[n] = align(made[n], tokens)
+            pages[n] += r.pages
+        into[r.id] = n
+    own = list(into)
+    kept = [i == first[n] for i, n in into.items()]
+    return pd.DataFrame({
+        "host": rows.host.iloc[0], "id": own, "into": [first[n] for n in into.values()],
+        "shape": [json.dumps(made[n]) if k else None for k, n in zip(kept, into.values(), strict=True)], "pages": [pages[n] if k else 0 for k, n in zip(kept, into.values(), strict=True)],
+    })
+
+
+def templates(shapes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((host, key, id) of every structure, (host, id, wrapper) of every template) from rows (host, key, shape, pages).
+
+    Structures of a host are dealt over buckets of about ``FAN``; the wrappers of the buckets are merged in the same way,
+    level by level, until a host has one bucket left.
+    """
+    level = shapes.select("host", F.col("key").alias("id"), "shape", "pages")
+    ids = shapes.select("host", "key", F.col("key").alias("id"))
+    before = None
+    while True:
+        sizes = cut(level.groupBy("host").agg(F.count("*").alias("size")))
+        total, most = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+        last = most <= FAN or total == before  # where nothing more merges, what is left are templates, which meet once
+        buckets = F.lit(1) if last else F.ceil(F.col("size") / FAN)
+        dealt = level.join(sizes, "host").withColumn("bucket", F.pmod(F.xxhash64("id"), buckets.cast("long")))
+        merged = cut(dealt.groupBy("host", "bucket").applyInPandas(_merge, "host string, id long, into long, shape string, pages long"))
+        ids = ids.join(merged.select("host", "id", "into"), ["host", "id"]).select("host", "key", F.col("into").alias("id"))
+        level = merged.where("id = into").select("host", "id", "shape", "pages")
+        if last:
+            return cut(ids), level.select("host", "id", F.col("shape").alias("wrapper"))
+        ids, before = cut(ids), total
+
+
+def _slots_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Of each structure matched against its wrapper: its text slots, with the slot of the wrapper, or their own where folding took the token out of the wrapper."""
+    out: dict[str, list] = {f.name: [] for f in _PLACED}
+    for host, key, id_, shape, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        tokens, of = json.loads(shape), match(json.loads(wrapper), json.loads(shape))
+        for at, t in enumerate(tokens):
+            if t[0] == "#":
+                for name, x in zip(_PLACED.names, (host, key, id_, at, of.get(at, at), 0 if at in of else key, _bare(t)), strict=True):
+                    out[name].append(x)
+    yield out
+
+
+_PLACED = pa.schema([("host", pa.string()), ("key", pa.int64()), ("id", pa.int64()), ("at", pa.int64()), ("slot", pa.int64()), ("own", pa.int64()), ("token", pa.string())])
+_FACTS = ("lo", "hi", "page_lo", "page_hi", "chars", "links")
+
+
+def _main_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    known = [{x["at"]: Slot(x["token"], *(x[c] for c in _FACTS)) for x in group} for group in batch.column(2).to_pylist()]
+    yield {"host": batch.column(0), "key": batch.column(1), "main": [sorted(main_slots(x)) for x in known]}
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, key long, wrapper string, main array<long>) of every structure: its digest, its wrapper and the positions of its main slots."""
+    """(host, key long, main array<long>) of every structure that has texts: its digest and the positions of its main slots."""
     seen = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(K.mapper(_observed, _SEEN), "host string, key long, at long, lo long, hi long, page_lo long, page_hi long, pages long, chars long, links long, shape string")
-    facts = seen.groupBy("host", "key", "at").agg(*(F.min(c).alias(c) for c in ("lo", "page_lo")), *(F.max(c).alias(c) for c in ("hi", "page_hi")), *(F.sum(c).alias(c) for c in ("pages", "chars", "links")), F.max("shape").alias("shape"))
-    return facts.groupBy("host").applyInPandas(_infer, "host string, key long, wrapper string, main array<long>")
+
+    def summed(df: DataFrame, *by: str) -> DataFrame:
+        return df.groupBy(*by).agg(*(F.min(c).alias(c) for c in ("lo", "page_lo")), *(F.max(c).alias(c) for c in ("hi", "page_hi")), *(F.sum(c).alias(c) for c in ("chars", "links")), *([F.sum("pages").alias("pages"), F.max("shape").alias("shape")] if "at" in by else []))
+
+    facts = cut(summed(seen, "host", "key", "at"))
+    shapes = facts.where("at < 0").select("host", "key", "shape", "pages")
+    ids, made = templates(shapes)
+    against = shapes.join(ids, ["host", "key"]).join(made, ["host", "id"]).select("host", "key", "id", "shape", "wrapper")
+    placed = cut(against.mapInArrow(K.mapper(_slots_of, _PLACED), "host string, key long, id long, at long, slot long, own long, token string"))
+    by_slot = summed(placed.join(facts.where("at >= 0"), ["host", "key", "at"]), "host", "id", "slot", "own")
+    of_structure = placed.join(by_slot, ["host", "id", "slot", "own"]).groupBy("host", "key").agg(F.collect_list(F.struct("at", "token", *_FACTS)).alias("slots"))
+    schema = pa.schema([("host", pa.string()), ("key", pa.int64()), ("main", pa.list_(pa.int64()))])
+    return of_structure.mapInArrow(K.mapper(_main_of, schema), "host string, key long, main array<long>")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
-    from voxgraph.plans.lineage import cut
-
     pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    known = cut(wrappers(pages).select("host", "key", "main"))
+    known = cut(wrappers(pages))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
     ddl = "page_id long, url string, text string, n_chars long"
 
@@ -366,7 +456,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for url, page in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 found = list(slots(page.as_py() or ""))
                 tokens, at = located(found)
-                texts.append(extract(found, at, sets[of[_host(url), _key(tokens)[1]]]))
+                number = of.get((_host(url), _key(tokens)[1]))
+                texts.append("" if number is None else extract(found, at, sets[number]))
             yield done(batch, texts)
 
         return pages.mapInArrow(K.mapper(rows, schema), ddl)
