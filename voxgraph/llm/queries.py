@@ -93,4 +93,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_quality, op2_licenses, op3_secrets, op4_bpe, op5_main_text, op6_toxicity, op7_near_duplicates, op8_decontamination, op9_url_filter, op10_nearest)
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Every pair of sets that shares a shingle, counted; links followed to their ends.
+NEAR_DUPLICATES_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+g AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, got) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.got),
+k AS (SELECT doc_id, min(got) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN k USING (doc_id)"""
+
+#: Every window of every item against every window of every document, as text.
+DECONTAMINATION_SQL = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+v AS (SELECT DISTINCT item_id, least(10, len(w)) AS size, unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), lambda j: array_to_string(w[j : j + least(10, len(w)) - 1], ' '))) AS x FROM i WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM v),
+d AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS pos, unnest(list_transform(range(1, len(w) - size + 2), lambda j: array_to_string(w[j : j + size - 1], ' '))) AS x FROM w, sizes WHERE len(w) >= size),
+m AS (SELECT doc_id, d.size, pos, item_id FROM d JOIN v ON d.size = v.size AND d.x = v.x),
+h AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM m) GROUP BY doc_id),
+k AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items FROM m GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
+def url_filter_sql() -> str:
+    """Every URL against every rule and every entry of the list."""
+    rules = ", ".join(f"('{verdict}', '{entry}')" for verdict, entry in urlfilter.RULES)
+    listed = ", ".join(f"('{entry}')" for entry in urlfilter.read_list())
+
+    def fits(entry: str) -> str:
+        host, path = f"regexp_extract({entry}, '^[^/]*')", f"regexp_extract({entry}, '/.*$')"
+        return f"(host = {host} OR ends_with(host, '.' || {host})) AND starts_with(path, {path})"
+
+    return f"""
+WITH u AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://') THEN regexp_extract(url, '^(?s:.*?)://((?s:.*))$', 1) END AS rest FROM pages),
+s AS (SELECT r, page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), '{_UPPER}', '{_LOWER}') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+rules(verdict, rule) AS (VALUES {rules}),
+list(listed) AS (VALUES {listed}),
+f AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM s JOIN rules ON {fits("rule")} GROUP BY r),
+b AS (SELECT r, arg_max(listed, length(listed)) AS listed FROM s JOIN list ON {fits("listed")} GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed FROM s LEFT JOIN f USING (r) LEFT JOIN b USING (r)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op7_near_duplicates": NEAR_DUPLICATES_SQL, "op8_decontamination": DECONTAMINATION_SQL, "op9_url_filter": url_filter_sql()}
