@@ -57,6 +57,27 @@ _REACH = """,
 link AS (SELECT u AS a, v AS b FROM egt WHERE edge_type = 'xy' AND is_cut = 0 UNION SELECT v, u FROM egt WHERE edge_type = 'xy' AND is_cut = 0),
 reach(node, reached) AS (SELECT node, node FROM ngt UNION SELECT r.node, l.b FROM reach r JOIN link l ON l.a = r.reached),
 cc AS (SELECT node, min(reached) AS component FROM reach GROUP BY node)"""
+_SIGNED = ", sg AS (SELECT u, v, edge_type, length, CASE WHEN is_cut = 1 THEN -length ELSE length + 0.5 END::DOUBLE AS cost FROM egt)"
+
+
+def _closure(name: str, links: str, nodes: str = "SELECT DISTINCT seg AS node FROM vox") -> str:
+    """CTE (node, component): what is reached over links (a, b), named by the least node."""
+    return f""",
+{name}_l AS (SELECT a, b FROM ({links}) UNION SELECT b, a FROM ({links})),
+{name}_r(node, got) AS (SELECT node, node FROM ({nodes}) UNION SELECT r.node, l.b FROM {name}_r r JOIN {name}_l l ON l.a = r.got),
+{name} AS (SELECT node, min(got) AS component FROM {name}_r GROUP BY node)"""
+
+
+# Where costs follow the truth, the best partition joins all that attract: over all edges, over those within blocks, and over reduced edges that a way of stitching looks at.
+_BEST = _closure("best", "SELECT u AS a, v AS b FROM egt WHERE is_cut = 0")
+_CUT_OR = ", c AS (SELECT u, v, edge_type, max(CASE WHEN n = 1 THEN 1 ELSE is_cut END) AS is_cut FROM ends JOIN egt USING (u, v, edge_type) GROUP BY ALL)"
+_BLOCKED = _CUT_OR + _closure("ns", "SELECT u AS a, v AS b FROM c WHERE is_cut = 0")
+_REDUCED = """,
+re AS (SELECT least(a.component, b.component) AS u, greatest(a.component, b.component) AS v, sum(cost) AS cost FROM sg JOIN ns a ON a.node = u JOIN ns b ON b.node = v WHERE a.component <> b.component GROUP BY 1, 2),
+rbn AS (SELECT DISTINCT block_id, component AS node FROM bn JOIN ns USING (node)),
+rends AS (SELECT block_id, u, v, cost, count(*) AS n, max(inside) AS inside FROM (
+  SELECT block_id, u, v, cost, u AS inside FROM re JOIN rbn ON node = u UNION ALL SELECT block_id, u, v, cost, v FROM re JOIN rbn ON node = v) GROUP BY block_id, u, v, cost)"""
+_ATTRACTED = _closure("sa", "SELECT u AS a, v AS b FROM rends WHERE n = 1 AND cost > 0", "SELECT DISTINCT component AS node FROM ns")
 _SLICES = ", segs AS (SELECT z, count(DISTINCT seg // CASE WHEN z % 7 = 3 THEN 5 ELSE 1 END) AS n_segs FROM vox GROUP BY z)"
 _DEFECT = ", ds(z) AS (SELECT z FROM (SELECT DISTINCT z FROM vox) WHERE z % 7 IN (3, 4) AND z + 2 <= (SELECT max(z) FROM vox))"
 
@@ -209,21 +230,19 @@ def relabel_consecutive(spark, d):
     return labels.consecutive(v, "seg", "label").select("seg", F.col("label").cast("long").alias("label"))
 
 
-@query(
-    _sql(
-        _VOX,
-        """, p AS (SELECT z, y, x, z * 625 + y * 25 + x AS id, seg FROM vox WHERE z < 2),
-link AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.z = b.z AND a.seg = b.seg AND abs(a.y - b.y) + abs(a.x - b.x) = 1),
-reach(id, got) AS (SELECT id, id FROM p UNION SELECT r.id, l.b FROM reach r JOIN link l ON l.a = r.got)
-SELECT z, y, x, (min(got) - z * 625)::BIGINT AS component FROM reach JOIN p USING (id) GROUP BY z, y, x""",
-        recursive=True,
-    )
+_PIECES = ", p AS (SELECT z, y, x, z * 625 + y * 25 + x AS id, seg FROM vox)" + _closure(
+    "piece", "SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.z = b.z AND a.seg = b.seg AND b.id > a.id AND abs(a.y - b.y) + abs(a.x - b.x) = 1", "SELECT id AS node FROM p"
 )
+
+
+@query(_sql(_VOX, _PIECES, "SELECT z, y, x, (component - z * 625)::BIGINT AS component FROM piece JOIN p ON id = node", recursive=True))
 def slice_components(spark, d):
-    return labels.slice_components(voxels(spark, d).where("z < 2"))
+    return labels.slice_components(voxels(spark, d))
 
 
-@query()
+@query(_sql(_VOX, _PIECES, """, ranked AS (SELECT z, y, x, dense_rank() OVER (PARTITION BY z ORDER BY component) - 1 AS own FROM piece JOIN p ON id = node),
+off AS (SELECT z, coalesce(sum(n) OVER (ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS n FROM (SELECT z, max(own) + 1 AS n FROM ranked GROUP BY z))
+SELECT z, y, x, own + n AS seg FROM ranked JOIN off USING (z)""", recursive=True))
 def labelled_segmentation(spark, d):
     return labels.labelled_segmentation(voxels(spark, d))
 
@@ -323,11 +342,47 @@ def edge_features_z_upper(spark, d):
     return _nine(features.edge_features(voxels(spark, d), keep_only_z=True, z_direction=rag.Z_UPPER))
 
 
-@query()
+def _kernel_rows(size: int = 25) -> str:
+    """(scale, derivative, output, input, weight) of the filters along an axis, with values mirrored at both ends."""
+    out: dict[tuple[int, int, int, int], float] = {}
+    for s, sigma in enumerate(kernels.FILTER_SIGMAS):
+        for order in range(3):
+            k = kernels._kernel(sigma, order)
+            r = len(k) // 2
+            period = 2 * size - 2 if size > r else 2 * size
+            for i in range(size):
+                for j, w in enumerate(k[::-1].tolist()):
+                    t = (i + j - r) % period
+                    t = t if t < size else (period - t if size > r else period - 1 - t)
+                    out[s, order, i, t] = out.get((s, order, i, t), 0.0) + w
+    return ", ".join(f"({s}, {o}, {i}, {t}, {w!r})" for (s, o, i, t), w in out.items())
+
+
+_CHANNELS = tuple(f"{k}_{str(s).replace('.', '_')}" for s in kernels.FILTER_SIGMAS for k in ("gauss", "log", "hess0", "hess1"))
+_FILTERS = f""",
+k(s, o, i, t, w) AS (VALUES {_kernel_rows()}),
+down AS (SELECT z, s, o, i AS y, x, sum(w * prob) AS v FROM vox JOIN k ON t = y GROUP BY z, s, o, i, x),
+flat AS (SELECT z, d.s, d.o AS oy, k.o AS ox, y, i AS x, sum(w * v) AS v FROM down d JOIN k ON k.s = d.s AND t = x AND (d.o, k.o) IN ((0, 0), (2, 0), (0, 2), (1, 1)) GROUP BY z, d.s, d.o, k.o, y, i),
+parts AS (SELECT z, y, x, s, max(v) FILTER (oy = 0 AND ox = 0) AS g, max(v) FILTER (oy = 2) AS yy, max(v) FILTER (ox = 2) AS xx, max(v) FILTER (oy = 1) AS xy FROM flat GROUP BY z, y, x, s),
+one AS (SELECT z, y, x, s, g AS gauss, yy + xx AS log, (yy + xx) / 2 + sqrt(((yy - xx) / 2) ** 2 + xy ** 2) AS hess0, (yy + xx) / 2 - sqrt(((yy - xx) / 2) ** 2 + xy ** 2) AS hess1 FROM parts),
+filters AS (SELECT z, y, x, {", ".join(f"max({c.split('_')[0]}) FILTER (s = {i // 4}) AS {c}" for i, c in enumerate(_CHANNELS))} FROM one GROUP BY z, y, x)"""
+_EACH = ", ".join(
+    f"round(avg({c}), 6) + 0.0 AS {c}_mean, round(var_pop({c}), 6) + 0.0 AS {c}_variance, round(min({c}), 6) + 0.0 AS {c}_min, " + ", ".join(f"round(quantile_cont({c}, {q}), 6) + 0.0 AS {c}_q{int(100 * q)}" for q in features.EDGE_QUANTILES) + f", round(max({c}), 6) + 0.0 AS {c}_max"
+    for c in _CHANNELS
+)
+_SIDES = """, step(edge_type, dz, dy, dx) AS (VALUES ('xy', 0, 0, 1), ('xy', 0, 1, 0), ('z', 1, 0, 0)),
+met AS (SELECT a.*, edge_type, a.z + dz AS nz, a.y + dy AS ny, a.x + dx AS nx FROM vox a, step),
+sides AS (
+  SELECT least(a.seg, b.seg) AS u, greatest(a.seg, b.seg) AS v, edge_type, unnest([a.z, b.z]) AS z, unnest([a.y, b.y]) AS y, unnest([a.x, b.x]) AS x
+  FROM met a JOIN vox b ON b.z = a.nz AND b.y = a.ny AND b.x = a.nx WHERE a.seg <> b.seg)"""
+
+
+@query(_sql(_VOX, _FILTERS, _SIDES, f"SELECT u, v, edge_type, {_EACH} FROM sides JOIN filters USING (z, y, x) GROUP BY u, v, edge_type"))
 def edge_features_filters(spark, d):
     v = voxels(spark, d)
     responses = kernels.filtered(v)
-    return features.filter_features(v.select("z", "y", "x", "seg").join(responses, ["z", "y", "x"]), responses.columns[3:])
+    out = features.filter_features(v.select("z", "y", "x", "seg").join(responses, ["z", "y", "x"]), responses.columns[3:])
+    return _rounded(out, *out.columns[3:])
 
 
 @query(_sql(_VOX, _ADJ, _BOTH, ", a AS (SELECT u, v, edge_type, avg(value) AS m FROM bv GROUP BY ALL), b AS (SELECT u, v, edge_type, max(value) AS m FROM bv GROUP BY ALL) SELECT u, v, edge_type, round(a.m, 6) + 0.0 AS mean, b.m AS max_1 FROM a JOIN b USING (u, v, edge_type)"))
@@ -507,7 +562,7 @@ def subproblem_nodes(spark, d):
     return blocking.subproblem_nodes(_block_nodes(spark, d), _slice_merge(spark, d))
 
 
-@query(_sql(_VOX, _ADJ, _GT, _BLOCKS, _ENDS, ", c AS (SELECT u, v, edge_type, max(CASE WHEN n = 1 THEN 1 ELSE is_cut END) AS is_cut FROM ends JOIN egt USING (u, v, edge_type) GROUP BY ALL) SELECT u, v, edge_type, coalesce(is_cut, 1)::INT AS is_cut FROM rag LEFT JOIN c USING (u, v, edge_type)"))
+@query(_sql(_VOX, _ADJ, _GT, _BLOCKS, _ENDS, _CUT_OR, " SELECT u, v, edge_type, coalesce(is_cut, 1)::INT AS is_cut FROM rag LEFT JOIN c USING (u, v, edge_type)"))
 def cut_or(spark, d):
     e, bn = edges(spark, d).select("u", "v", "edge_type"), _block_nodes(spark, d)
     truth = _truth(spark, d).select("u", "v", "is_cut")
@@ -519,97 +574,121 @@ def cut_or(spark, d):
 
 
 def _solved(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """Component sizes and energy of a partition by one solver, of all slices' problem."""
-    e = _signed(spark, d).where("edge_type = 'xy'")
-    return blockwise.solve_global(e, name)
+    """(node, component) by one solver, of the problem of all slices."""
+    return blockwise.solve_global(_signed(spark, d).where("edge_type = 'xy'"), name)
 
 
-@query()
+_SOLVED = _sql(_VOX, _ADJ, _GT, _REACH, "SELECT node, component FROM cc", recursive=True)
+
+
+@query(_SOLVED)
 def solve_greedy(spark, d):
     return _solved(spark, d, "greedy")
 
 
-@query()
+@query(_SOLVED)
 def solve_kl(spark, d):
     return _solved(spark, d, "kl")
 
 
-@query()
+@query(_SOLVED)
 def solve_fusion_kl(spark, d):
     return _solved(spark, d, "fm-kl")
 
 
-@query()
+@query(_SOLVED)
 def solve_fusion_ilp(spark, d):
     return _solved(spark, d, "fm-ilp")
 
 
-@query()
+@query(_SOLVED)
 def solve_exact(spark, d):
-    return blockwise.solve_global(_signed(spark, d).where("edge_type = 'xy' and v < 10"), "ilp")
+    return _solved(spark, d, "ilp")
 
 
-@query()
+@query(
+    _sql(
+        _VOX, _ADJ, _GT, _BLOCKS, _ENDS, _SIGNED,
+        """, chosen AS (SELECT block_id FROM bl ORDER BY ((block_id + 1)::BIGINT * 48271) % 2147483647 LIMIT 5),
+e AS (SELECT block_id, sum(CASE WHEN cost < 0 THEN cost ELSE 0 END) AS e FROM ends JOIN chosen USING (block_id) JOIN sg USING (u, v, edge_type) WHERE n = 2 GROUP BY block_id)
+SELECT unnest(['fm-greedy', 'fm-ilp', 'fm-kl', 'greedy', 'ilp', 'kl']) AS solver, count(*) AS blocks, avg(e) AS energy FROM e""",
+    )
+)
 def solver_comparison(spark, d):
-    return blockwise.compare_solvers(_signed(spark, d), _block_nodes(spark, d), ["greedy", "kl", "fm-kl"])
+    names = ["greedy", "kl", "ilp", "fm-greedy", "fm-kl", "fm-ilp"]
+    return blockwise.compare_solvers(_signed(spark, d), _block_nodes(spark, d), names).drop("seconds")
 
 
-@query()
+@query(_sql(_VOX, _ADJ, _GT, _BEST, "SELECT node, component FROM best", recursive=True))
 def blockwise_multicut(spark, d):
     return blockwise.multicut(_hierarchy(spark, d), "kl")
 
 
-@query()
+@query(_sql(_VOX, _ADJ, _GT, _BEST, "SELECT node, component FROM best", recursive=True))
 def blockwise_multicut_two_levels(spark, d):
     return blockwise.multicut(_hierarchy(spark, d, 2), "kl")
 
 
-@query()
+_HELD = (_VOX, _ADJ, _GT, _BLOCKS, _ENDS, _SIGNED, _BLOCKED)
+
+
+@query(_sql(*_HELD, "SELECT node, component FROM ns", recursive=True))
 def no_stitching(spark, d):
     return blockwise.no_stitching(_hierarchy(spark, d))
 
 
-@query()
+@query(_sql(*_HELD, _REDUCED, _ATTRACTED, "SELECT ns.node, sa.component FROM ns JOIN sa ON sa.node = ns.component", recursive=True))
 def stitch_attractive(spark, d):
     return blockwise.stitch_attractive(_hierarchy(spark, d))
 
 
-@query()
+_PAIRS = f""", g AS (SELECT p.block_id AS a, q.block_id AS b FROM bl p JOIN bl q ON {_MEET}),
+btw AS (SELECT DISTINCT a, b, u, v FROM rends e JOIN rbn ON rbn.node = u + v - inside AND rbn.block_id <> e.block_id JOIN g ON a = least(e.block_id, rbn.block_id) AND b = greatest(e.block_id, rbn.block_id) WHERE n = 1),
+pn AS (SELECT a, b, p.node FROM g JOIN rbn p ON p.block_id = a JOIN rbn q ON q.block_id = b AND q.node = p.node UNION SELECT a, b, u FROM btw UNION SELECT a, b, v FROM btw),
+held AS (SELECT DISTINCT u, v, cost FROM re JOIN pn p ON p.node = u JOIN pn q ON q.node = v AND q.a = p.a AND q.b = p.b)""" + _closure("sm", "SELECT u AS a, v AS b FROM held WHERE cost > 0", "SELECT DISTINCT component AS node FROM ns")
+
+
+@query(_sql(*_HELD, _REDUCED, _PAIRS, "SELECT ns.node, sm.component FROM ns JOIN sm ON sm.node = ns.component", recursive=True))
 def stitch_multicut(spark, d):
     return blockwise.stitch_multicut(_hierarchy(spark, d))
 
 
-def _block_voxels(spark: SparkSession, d: str, most: str = "true") -> DataFrame:
-    v = voxels(spark, d).where(most)
-    return blocking.in_blocks(v.select("z", "y", "x", "seg"), _shape(voxels(spark, d)), BLOCK, HALO).select("block_id", "z", "y", "x", (F.col("seg") % 25 + F.col("block_id") % 3).alias("label"))
+def _block_voxels(spark: SparkSession, d: str) -> DataFrame:
+    v = voxels(spark, d)
+    return blocking.in_blocks(v.select("z", "y", "x", "seg"), _shape(v), BLOCK, HALO).select("block_id", "z", "y", "x", (F.col("seg") % 25 + F.col("block_id") % 3).alias("label"))
 
 
-_BLAB = ", lab AS (SELECT block_id, z, y, x, seg % 25 + block_id % 3 AS label FROM bvox WHERE z < 12)"
-_OVER = _BLAB + """, n AS (SELECT p.block_id AS a, p.label AS la, q.block_id AS b, q.label AS lb, count(*) AS n FROM lab p JOIN lab q ON p.z = q.z AND p.y = q.y AND p.x = q.x AND p.block_id < q.block_id GROUP BY ALL),
-ov AS (SELECT *, (n / sum(n) OVER (PARTITION BY a, b, la) + n / sum(n) OVER (PARTITION BY a, b, lb)) / 2 AS share FROM n)"""
+_BLAB = ", lab AS (SELECT block_id, z, y, x, seg % 25 + block_id % 3 AS label FROM bvox)"
+_BOFF = ", boff AS (SELECT block_id, coalesce(sum(s) OVER (ORDER BY block_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset_by FROM (SELECT block_id, max(label) + 1 AS s FROM lab GROUP BY block_id))"
+_OVER = """, n AS (SELECT p.block_id AS a, p.label AS la, q.block_id AS b, q.label AS lb, count(*) AS n FROM lab p JOIN lab q ON p.z = q.z AND p.y = q.y AND p.x = q.x AND p.block_id < q.block_id GROUP BY ALL),
+ov AS (SELECT *, (n / sum(n) OVER (PARTITION BY a, b, la) + n / sum(n) OVER (PARTITION BY a, b, lb)) / 2 AS share FROM n),
+partners AS (SELECT a, la, b, lb, share FROM (SELECT *, row_number() OVER (PARTITION BY a, b, la ORDER BY share DESC, lb) AS k FROM ov) WHERE k = 1 AND share > 0.5)"""
+_OVERLAPPED = _BOFF + _OVER + _closure(
+    "so", "SELECT la + x.offset_by AS a, lb + y.offset_by AS b FROM partners JOIN boff x ON x.block_id = a JOIN boff y ON y.block_id = b", "SELECT DISTINCT label + offset_by AS node FROM lab JOIN boff USING (block_id)"
+)
 
 
-@query(_sql(_VOX, _BLOCKS, _BLAB, "SELECT block_id, coalesce(sum(s) OVER (ORDER BY block_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset_by FROM (SELECT block_id, max(label) + 1 AS s FROM lab GROUP BY block_id)"))
+@query(_sql(_VOX, _BLOCKS, _BLAB, _BOFF, "SELECT * FROM boff"))
 def block_offsets(spark, d):
-    return blockwise.block_label_offsets(_block_voxels(spark, d, "z < 12")).select("block_id", F.col("offset").cast("long").alias("offset_by"))
+    return blockwise.block_label_offsets(_block_voxels(spark, d)).select("block_id", F.col("offset").cast("long").alias("offset_by"))
 
 
-@query(_sql(_VOX, _BLOCKS, _OVER, "SELECT a, la, b, lb, n, round(share, 6) + 0.0 AS share FROM ov"))
+@query(_sql(_VOX, _BLOCKS, _BLAB, _OVER, "SELECT a, la, b, lb, n, round(share, 6) + 0.0 AS share FROM ov"))
 def overlap_pairs(spark, d):
-    return _rounded(blockwise.overlaps(_block_voxels(spark, d, "z < 12")), "share")
+    return _rounded(blockwise.overlaps(_block_voxels(spark, d)), "share")
 
 
-@query(_sql(_VOX, _BLOCKS, _OVER, ", r AS (SELECT *, row_number() OVER (PARTITION BY a, b, la ORDER BY share DESC, lb) AS k FROM ov) SELECT a, la, b, lb, round(share, 6) + 0.0 AS share FROM r WHERE k = 1 AND share > 0.5"))
+@query(_sql(_VOX, _BLOCKS, _BLAB, _OVER, "SELECT a, la, b, lb, round(share, 6) + 0.0 AS share FROM partners"))
 def overlap_partners(spark, d):
-    return _rounded(blockwise.best_partners(blockwise.overlaps(_block_voxels(spark, d, "z < 12"))), "share")
+    return _rounded(blockwise.best_partners(blockwise.overlaps(_block_voxels(spark, d))), "share")
 
 
-@query()
+@query(_sql(_VOX, _BLOCKS, _BLAB, _OVERLAPPED, "SELECT DISTINCT block_id, label, component FROM lab JOIN boff USING (block_id) JOIN so ON so.node = label + offset_by", recursive=True))
 def stitch_overlap(spark, d):
     return blockwise.stitch_overlap(_block_voxels(spark, d))
 
 
-@query()
+@query(_sql(*_HELD, "SELECT block_id, z, y, x, component AS label FROM bvox JOIN ns ON ns.node = seg", recursive=True))
 def subblock_segmentations(spark, d):
     return blockwise.block_segmentation(_hierarchy(spark, d))
 
@@ -623,7 +702,16 @@ def project_nodes(spark, d):
     return out.select("z", "y", "x", F.col("label").cast("long").alias("label"))
 
 
-@query()
+def _labelled(parts: tuple[str, ...], label: str, source: str) -> str:
+    """Voxels with the rank of their component."""
+    return _sql(*parts, f", k AS (SELECT component, dense_rank() OVER (ORDER BY component) AS label FROM (SELECT DISTINCT {label} AS component FROM {source})) SELECT z, y, x, label::BIGINT AS label FROM {source} JOIN k ON k.component = {label}", recursive=True)
+
+
+def _of_nodes(partition: str) -> str:
+    return f", lv AS (SELECT z, y, x, component AS c FROM vox JOIN ({partition}) ON node = seg)"
+
+
+@query(_labelled((_VOX, _ADJ, _GT, _BEST, _of_nodes("SELECT * FROM best")), "c", "lv"))
 def multicut_segmentation(spark, d):
     v = voxels(spark, d)
     return workflows.multicut_segmentation(v, _signed(spark, d), name="kl")
@@ -638,10 +726,19 @@ def _stitched(way: str) -> Query:
     return run
 
 
-for _way in ("multicut", "attractive", "pairs", "overlap", "none"):
-    query()(_stitched(_way))
+_BLOCK_LABELS = ", lab AS (SELECT block_id, z, y, x, component AS label FROM bvox JOIN ns ON ns.node = seg)"
+_WAYS = {
+    "multicut": (_VOX, _ADJ, _GT, _BEST, _of_nodes("SELECT * FROM best")),
+    "attractive": (*_HELD, _REDUCED, _ATTRACTED, _of_nodes("SELECT ns.node, sa.component FROM ns JOIN sa ON sa.node = ns.component")),
+    "pairs": (*_HELD, _REDUCED, _PAIRS, _of_nodes("SELECT ns.node, sm.component FROM ns JOIN sm ON sm.node = ns.component")),
+    "overlap": (*_HELD, _BLOCK_LABELS, _OVERLAPPED, ", lv AS (SELECT z, y, x, min(component) AS c FROM lab JOIN boff USING (block_id) JOIN so ON so.node = label + offset_by GROUP BY z, y, x)"),
+    "none": (*_HELD, _of_nodes("SELECT * FROM ns")),
+}
+for _way, _parts in _WAYS.items():
+    query(_labelled(_parts, "c", "lv"))(_stitched(_way))
 
-_CONT = ", t AS (SELECT seg AS s, gt AS g, count(*) AS n FROM vox WHERE gt <> 0 GROUP BY ALL), s AS (SELECT s, sum(n) AS n FROM t GROUP BY s), g AS (SELECT g, sum(n) AS n FROM t GROUP BY g), k AS (SELECT (SELECT sum(n * log2(n)) FROM t) AS ht, (SELECT sum(n * log2(n)) FROM s) AS hs, (SELECT sum(n * log2(n)) FROM g) AS hg, (SELECT sum(n) FROM t) AS n, (SELECT sum(n::DOUBLE * n) FROM t) AS qt, (SELECT sum(n::DOUBLE * n) FROM s) AS qs, (SELECT sum(n::DOUBLE * n) FROM g) AS qg)"
+_CONT = ", t AS (SELECT seg AS s, gt AS g, count(*) AS n FROM vox WHERE gt <> 0 GROUP BY ALL)"
+_TOTALS = ", s AS (SELECT s, sum(n) AS n FROM t GROUP BY s), g AS (SELECT g, sum(n) AS n FROM t GROUP BY g), k AS (SELECT (SELECT sum(n * log2(n)) FROM t) AS ht, (SELECT sum(n * log2(n)) FROM s) AS hs, (SELECT sum(n * log2(n)) FROM g) AS hg, (SELECT sum(n) FROM t) AS n, (SELECT sum(n::DOUBLE * n) FROM t) AS qt, (SELECT sum(n::DOUBLE * n) FROM s) AS qs, (SELECT sum(n::DOUBLE * n) FROM g) AS qg)"
 
 
 @query(_sql(_VOX, _CONT, "SELECT * FROM t"))
@@ -649,11 +746,22 @@ def contingency(spark, d):
     return metrics.contingency(voxels(spark, d))
 
 
-@query(_sql(_VOX, _CONT, "SELECT round((hg - ht) / n, 6) + 0.0 AS vi_split, round((hs - ht) / n, 6) + 0.0 AS vi_merge, round(1 - 2 * (qt / qs) * (qt / qg) / (qt / qs + qt / qg), 6) + 0.0 AS adapted_rand FROM k"))
+_SCORES = "SELECT round((hg - ht) / n, 6) + 0.0 AS vi_split, round((hs - ht) / n, 6) + 0.0 AS vi_merge, round(1 - 2 * (qt / qs) * (qt / qg) / (qt / qs + qt / qg), 6) + 0.0 AS adapted_rand FROM k"
+
+
+@query(_sql(_VOX, _CONT, _TOTALS, _SCORES))
 def vi_rand(spark, d):
     return _rounded(metrics.scores(voxels(spark, d)), "vi_split", "vi_merge", "adapted_rand")
 
 
+@query(_sql(_VOX, _ADJ, _GT, _BEST, ", t AS (SELECT component AS s, gt AS g, count(*) AS n FROM vox JOIN best ON node = seg WHERE gt <> 0 GROUP BY ALL)", _TOTALS, _SCORES, recursive=True))
+def workflow_scores(spark, d):
+    """The whole block-wise workflow, scored against the truth."""
+    v = voxels(spark, d)
+    made = workflows.blockwise_segmentation(v, _signed(spark, d), _shape(v), BLOCK, HALO, stitching="multicut", sub_solver="fm-ilp", solver="fm-kl")
+    return _rounded(metrics.scores(made.join(v.select("z", "y", "x", "gt"), ["z", "y", "x"]), "label"), "vi_split", "vi_merge", "adapted_rand")
+
+
 # --- defects ---------------------------------------------------------------------------------------------------
 
 
@@ -802,9 +910,9 @@ def cartesian(spark, d):
     return tables.cartesian(spark.read.parquet(f"{d}/region.parquet").select("r_regionkey"), spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey"))
 
 
-@query(_sql(_VOX, _ADJ, "SELECT u, v, edge_type FROM rag WHERE u % 25 < 10 AND v % 25 < 10"))
+@query(_sql(_VOX, _ADJ, "SELECT u, v, edge_type FROM rag"))
 def node_pairs(spark, d):
-    return tables.node_pairs(rag.rag_nodes(voxels(spark, d)).where("node % 25 < 10"), edges(spark, d).select("u", "v", "edge_type"))
+    return tables.node_pairs(rag.rag_nodes(voxels(spark, d)), edges(spark, d).select("u", "v", "edge_type"))
 
 
 @query(_sql(_VOX, _ADJ, ", a AS (SELECT u, v, row_number() OVER (ORDER BY edge_type, u, v) - 1 AS a_id FROM rag) SELECT a_id, a_id * 2 + 1 AS b_id FROM a"))
@@ -846,9 +954,11 @@ def rf_defects(spark, d):
     return learning.probability(learning.learn_defects(n, truth, n_trees=5), n, ("node",))
 
 
-@query()
+@query(_sql(_VOX, """, e AS (SELECT z, y, x FROM vox WHERE prob >= 0.9),
+m AS (SELECT v.z, v.y, v.x, any_value(v.prob) AS prob, min((v.y - e.y) ** 2 + (v.x - e.x) ** 2) AS m FROM vox v LEFT JOIN e ON e.z = v.z GROUP BY v.z, v.y, v.x)
+SELECT z, y, x, round(CASE WHEN prob >= 0.9 THEN -prob WHEN m IS NULL THEN 50 ELSE sqrt(m) END, 6) + 0.0 AS distance FROM m"""))
 def distance_transform(spark, d):
-    return kernels.per_slice(voxels(spark, d), lambda p, _: {"distance": kernels.signed_distance(p, 0.9)}, "prob", "distance double")
+    return _rounded(kernels.per_slice(voxels(spark, d), lambda p, _: {"distance": kernels.signed_distance(p, 0.9)}, "prob", "distance double"), "distance")
 
 
 @query()
@@ -866,9 +976,9 @@ def wsdt_masked(spark, d):
     return kernels.wsdt_segmentation(voxels(spark, d), threshold=0.9, sigma=1.0, min_size=5, mask="mask")
 
 
-@query()
+@query(_sql(_VOX, _FILTERS, "SELECT z, y, x, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in _CHANNELS) + " FROM filters"))
 def image_filters(spark, d):
-    return kernels.filtered(voxels(spark, d))
+    return _rounded(kernels.filtered(voxels(spark, d)), *_CHANNELS)
 
 
 @query("SELECT 'exact' AS solver, -5.5::DOUBLE AS energy UNION ALL SELECT 'trivial', 0.0::DOUBLE")
