@@ -31,6 +31,6 @@ def prefix_offsets(totals: DataFrame, key: str, size: str, name: str = "offset",
 
 def runs(df: DataFrame, key: str, name: str = "run") -> DataFrame:
     """Consecutive integers get one run number, the first of the run; ``pos`` counts from 1 within it, ``run_len`` is its length."""
-    placed = df.withColumn("_rn", F.row_number().over(Window.orderBy(key))).withColumn("_g", F.col(key) - F.col("_rn"))
-    by = Window.partitionBy("_g")
-    return placed.withColumns({name: F.min(key).over(by), "run_len": F.count("*").over(by), "pos": F.row_number().over(by.orderBy(key))}).drop("_rn", "_g")
+    placed = dense_ids(df, [key], "_rn").withColumn("_g", F.col(key) - F.col("_rn"))
+    own = placed.groupBy("_g").agg(F.min(key).alias(name), F.count("*").alias("run_len"))
+    return placed.join(own, "_g").withColumn("pos", (F.col(key) - F.col(name) + 1).cast("int")).drop("_rn", "_g")

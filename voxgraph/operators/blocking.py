@@ -47,23 +47,40 @@ def in_blocks(voxels: DataFrame, shape: Sequence[int], block: Sequence[int], ove
 
 def nodes_to_blocks(voxels: DataFrame, shape: Sequence[int], block: Sequence[int], overlap: Sequence[int], seg: str = "seg", skip_slices: DataFrame | None = None) -> DataFrame:
     """(block_id, node): regions that touch a block's box with halo, defective slices left out."""
-    v = voxels if skip_slices is None else voxels.join(F.broadcast(skip_slices.select("z")), "z", "left_anti")
+    v = voxels if skip_slices is None else voxels.join(skip_slices.select("z"), "z", "left_anti")
     return in_blocks(v.select("z", "y", "x", F.col(seg).alias("node")), shape, block, overlap).select("block_id", "node").distinct()
 
 
+def _binned(boxes: DataFrame, first: str, last: str, sizes: DataFrame) -> DataFrame:
+    """Boxes with the bins (bz, by, bx) that their intervals touch; bins are as large as the largest box, so that they are few for each."""
+    out = boxes.crossJoin(F.broadcast(sizes))  # one row
+    for axis in AXES:
+        lo, hi = F.col(first.format(axis)), F.col(last.format(axis))
+        out = out.withColumn(f"b{axis}", F.explode(F.sequence(F.floor(lo / F.col(f"s{axis}")), F.floor((hi - 1) / F.col(f"s{axis}")))))
+    return out.drop(*(f"s{a}" for a in AXES))
+
+
+def _extent(boxes: DataFrame, first: str, last: str) -> DataFrame:
+    return boxes.agg(*(F.max(F.col(last.format(a)) - F.col(first.format(a))).alias(f"s{a}") for a in AXES))
+
+
+_BINS = [f"b{a}" for a in AXES]
+
+
 def block_graph(boxes: DataFrame, nearest_only: bool = False) -> DataFrame:
     """(a, b): blocks whose boxes with halo overlap, a < b; only those that are shifted along one axis if nearest.
 
-    The table of blocks is small, so boxes are compared by a nested loop.  A single block has no neighbour.
+    Boxes that overlap share a bin of space, so that blocks meet their neighbours only.  A single block has no neighbour.
     """
-    a = boxes.select(*(F.col(c).alias(f"a_{c}") for c in boxes.columns))
-    b = boxes.select(*(F.col(c).alias(f"b_{c}") for c in boxes.columns))
+    binned = _binned(boxes, "o{}0", "o{}1", _extent(boxes, "o{}0", "o{}1"))
+    a = binned.select(*_BINS, *(F.col(c).alias(f"a_{c}") for c in boxes.columns))
+    b = binned.select(*_BINS, *(F.col(c).alias(f"b_{c}") for c in boxes.columns))
     cond = F.col("a_block_id") < F.col("b_block_id")
     for axis in AXES:
         cond = cond & (F.col(f"a_o{axis}0") < F.col(f"b_o{axis}1")) & (F.col(f"b_o{axis}0") < F.col(f"a_o{axis}1"))
     if nearest_only:
         cond = cond & (sum((F.col(f"a_{x}0") != F.col(f"b_{x}0")).cast("int") for x in AXES) == 1)
-    return a.join(F.broadcast(b), cond).select(F.col("a_block_id").alias("a"), F.col("b_block_id").alias("b"))
+    return a.join(b, _BINS).where(cond).select(F.col("a_block_id").alias("a"), F.col("b_block_id").alias("b")).distinct()
 
 
 def blocks_inside(small: DataFrame, large: DataFrame) -> DataFrame:
@@ -72,7 +89,9 @@ def blocks_inside(small: DataFrame, large: DataFrame) -> DataFrame:
     for a in AXES:
         cond = cond & (F.col(f"{a}0") >= F.col(f"l_{a}0")) & (F.col(f"{a}1") <= F.col(f"l_{a}1"))
     big = large.select(F.col("block_id").alias("large_id"), *(F.col(f"{a}{e}").alias(f"l_{a}{e}") for a in AXES for e in (0, 1)))
-    return small.join(F.broadcast(big), cond).select("large_id", "block_id")
+    sizes = _extent(big, "l_{}0", "l_{}1")
+    corner = small.crossJoin(F.broadcast(sizes)).withColumns({f"b{a}": F.floor(F.col(f"{a}0") / F.col(f"s{a}")) for a in AXES})
+    return corner.join(_binned(big, "l_{}0", "l_{}1", sizes), _BINS).where(cond).select("large_id", "block_id")
 
 
 def _ends(edges: DataFrame, block_nodes: DataFrame) -> DataFrame:
@@ -101,7 +120,7 @@ def edges_between_blocks(edges: DataFrame, block_nodes: DataFrame, pairs: DataFr
     leaving = _ends(edges, block_nodes).where("ends = 1").withColumn("node", F.col("u") + F.col("v") - F.col("inside"))
     found = leaving.join(block_nodes.withColumnRenamed("block_id", "other"), "node").where("other <> block_id")
     found = found.withColumns({"a": F.least("block_id", "other"), "b": F.greatest("block_id", "other")})
-    return found.join(F.broadcast(pairs), ["a", "b"]).select("a", "b", *edges.columns).distinct()
+    return found.join(pairs, ["a", "b"]).select("a", "b", *edges.columns).distinct()
 
 
 def subproblem_nodes(block_nodes: DataFrame, node_map: DataFrame) -> DataFrame:

@@ -131,9 +131,8 @@ def stitch_multicut(h: Hierarchy, name: str = "kl") -> DataFrame:
     own = subproblem_nodes(nodes_to_blocks(h.voxels, h.shape, h._block(level), h.overlap, h.seg, h.skip), h.maps[-1])
     edges = h.edges[-1]
     between = edges_between_blocks(edges, own, pairs)
-    a = own.select(F.col("block_id").alias("a"), "node")
-    b = own.select(F.col("block_id").alias("b"), "node")
-    shared = a.join(b, "node").join(F.broadcast(pairs), ["a", "b"]).select("a", "b", "node")
+    # Nodes meet by pairs of blocks, so that a node of many blocks does not make all pairs of them.
+    shared = own.withColumnRenamed("block_id", "a").join(pairs, "a").join(own.withColumnRenamed("block_id", "b"), ["b", "node"]).select("a", "b", "node")
     nodes = shared.unionByName(between.select("a", "b", F.col("u").alias("node"))).unionByName(between.select("a", "b", F.col("v").alias("node"))).distinct()
     held = edges.join(nodes.withColumnRenamed("node", "u"), "u").join(nodes.withColumnRenamed("node", "v"), ["a", "b", "v"])
     solved = merge_cuts(edges, solve_groups(held.select("a", "b", "u", "v", "cost"), ["a", "b"], name))
@@ -175,9 +174,9 @@ def stitch_overlap(block_voxels: DataFrame, threshold: float = 0.5) -> DataFrame
     offsets = block_label_offsets(block_voxels)
     links = best_partners(overlaps(block_voxels), threshold)
     for side, label in (("a", "la"), ("b", "lb")):
-        links = links.join(F.broadcast(offsets.select(F.col("block_id").alias(side), F.col("offset").alias(f"o{side}"))), side).withColumn(f"n{side}", F.col(label) + F.col(f"o{side}"))
+        links = links.join(offsets.select(F.col("block_id").alias(side), F.col("offset").alias(f"o{side}")), side).withColumn(f"n{side}", F.col(label) + F.col(f"o{side}"))
     comp = connected_components(links, "na", "nb")
-    own = block_voxels.select("block_id", "label").distinct().join(F.broadcast(offsets), "block_id").withColumn("node", F.col("label") + F.col("offset"))
+    own = block_voxels.select("block_id", "label").distinct().join(offsets, "block_id").withColumn("node", F.col("label") + F.col("offset"))
     return own.join(comp, "node", "left").select("block_id", "label", F.coalesce("component", "node").alias("component"))
 
 

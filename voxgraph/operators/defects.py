@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxgraph.functions.ids import runs
 from voxgraph.operators.blocking import in_blocks
+from voxgraph.plans.lineage import cut
 
 
 def segments_per_slice(voxels: DataFrame, seg: str = "seg") -> DataFrame:
@@ -49,21 +50,21 @@ def defect_patches(voxels: DataFrame, shape: tuple[int, int], patch: int, overla
 
 def defect_mask(voxels: DataFrame, slices: DataFrame) -> DataFrame:
     """Voxels with is_defect."""
-    return voxels.join(F.broadcast(slices.select("z", F.lit(True).alias("_d"))), "z", "left").withColumn("is_defect", F.coalesce("_d", F.lit(False))).drop("_d")
+    return voxels.join(slices.select("z", F.lit(True).alias("_d")), "z", "left").withColumn("is_defect", F.coalesce("_d", F.lit(False))).drop("_d")
 
 
 def defect_nodes(masked: DataFrame, slice_threshold: float = 0.5, seg: str = "seg") -> DataFrame:
     """(node, z): regions that touch the mask; all regions of a slice of which more than the threshold do."""
     touched = masked.groupBy("z", F.col(seg).alias("node")).agg(F.max(F.col("is_defect").cast("int")).alias("bad"))
     share = touched.groupBy("z").agg(F.avg("bad").alias("share"))
-    return touched.join(F.broadcast(share), "z").where((F.col("bad") == 1) | (F.col("share") > slice_threshold)).select("node", "z")
+    return touched.join(share, "z").where((F.col("bad") == 1) | (F.col("share") > slice_threshold)).select("node", "z")
 
 
 def defect_nodes_from_probability(nodes: DataFrame, prob: str = "prob", node_threshold: float = 0.5, slice_threshold: float = 0.5) -> DataFrame:
     """The same from each region's probability to be defective."""
     flagged = nodes.withColumn("bad", (F.col(prob) > node_threshold).cast("int"))
     share = flagged.groupBy("z").agg(F.avg("bad").alias("share"))
-    return flagged.join(F.broadcast(share), "z").where((F.col("bad") == 1) | (F.col("share") > slice_threshold)).select("node", "z")
+    return flagged.join(share, "z").where((F.col("bad") == 1) | (F.col("share") > slice_threshold)).select("node", "z")
 
 
 def skip_edges(voxels: DataFrame, slices: DataFrame, seg: str = "seg") -> DataFrame:
@@ -72,8 +73,8 @@ def skip_edges(voxels: DataFrame, slices: DataFrame, seg: str = "seg") -> DataFr
     Only the good slices beside a run are read, and joined on their columns.
     """
     gaps = runs(slices.select("z").distinct(), "z").groupBy("run").agg(F.max("z").alias("last")).select((F.col("run") - 1).cast("int").alias("lo"), (F.col("last") + 1).cast("int").alias("hi"))
-    below = voxels.select(F.col("z").alias("lo"), "y", "x", F.col(seg).alias("a")).join(F.broadcast(gaps), "lo")
-    above = voxels.select(F.col("z").alias("hi"), "y", "x", F.col(seg).alias("b")).join(F.broadcast(gaps.select("hi")), "hi", "left_semi")
+    below = voxels.select(F.col("z").alias("lo"), "y", "x", F.col(seg).alias("a")).join(gaps, "lo")
+    above = voxels.select(F.col("z").alias("hi"), "y", "x", F.col(seg).alias("b")).join(gaps.select("hi"), "hi", "left_semi")
     pairs = below.join(above, ["hi", "y", "x"])
     return pairs.groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.col("lo").alias("skip_start"), (F.col("hi") - F.col("lo")).alias("skip_range")).agg(F.count("*").alias("length"))
 
@@ -81,7 +82,7 @@ def skip_edges(voxels: DataFrame, slices: DataFrame, seg: str = "seg") -> DataFr
 def skip_border_values(voxels: DataFrame, slices: DataFrame, value: str = "prob", seg: str = "seg") -> DataFrame:
     """(u, v, edge_type, value) along skip edges, both sides, for edge_statistics."""
     gaps = runs(slices.select("z").distinct(), "z").groupBy("run").agg(F.max("z").alias("last")).select((F.col("run") - 1).cast("int").alias("lo"), (F.col("last") + 1).cast("int").alias("hi"))
-    below = voxels.select(F.col("z").alias("lo"), "y", "x", F.col(seg).alias("a"), F.col(value).alias("va")).join(F.broadcast(gaps), "lo")
+    below = voxels.select(F.col("z").alias("lo"), "y", "x", F.col(seg).alias("a"), F.col(value).alias("va")).join(gaps, "lo")
     above = voxels.select(F.col("z").alias("hi"), "y", "x", F.col(seg).alias("b"), F.col(value).alias("vb"))
     return below.join(above, ["hi", "y", "x"]).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.lit("skip").alias("edge_type"), F.explode(F.array("va", "vb")).alias("value"))
 
@@ -100,8 +101,12 @@ def modified_adjacency(edges: DataFrame, bad_nodes: DataFrame, skips: DataFrame)
 
 def is_sorted(df: DataFrame, order: str, value: str) -> DataFrame:
     """One row: whether the values never fall in the given order."""
-    w = Window.orderBy(order)
-    return df.select((F.col(value) < F.lag(value).over(w)).alias("falls")).agg((~F.coalesce(F.bool_or("falls"), F.lit(False))).alias("is_sorted"))
+    placed = cut(df.select(F.col(order).alias("at"), F.col(value).alias("x")).repartitionByRange("at").withColumn("part", F.spark_partition_id()))
+    inside = placed.select((F.col("x") < F.lag("x").over(Window.partitionBy("part").orderBy("at"))).alias("falls"))
+    # Ranges meet at their ends, one row each.
+    ends = placed.groupBy("part").agg(F.min_by("x", "at").alias("first"), F.max_by("x", "at").alias("last"))
+    between = ends.select((F.col("first") < F.lag("last").over(Window.orderBy("part"))).alias("falls"))
+    return inside.unionByName(between).agg((~F.coalesce(F.bool_or("falls"), F.lit(False))).alias("is_sorted"))
 
 
 def has_lower_defect(slices: DataFrame) -> DataFrame:
@@ -126,7 +131,7 @@ def replacement_slices(slices: DataFrame, n_slices: int) -> DataFrame:
 def replace_slices(voxels: DataFrame, sources: DataFrame, label: str = "seg") -> DataFrame:
     """Voxels of defective slices take the labels of their source slice; each good slice is read once."""
     wanted = sources.select(F.col("source").alias("z"), F.col("z").alias("_to"))
-    copies = voxels.join(F.broadcast(wanted), "z").select(F.col("_to").alias("z"), "y", "x", F.col(label).alias("_label"))
-    rest = voxels.join(F.broadcast(sources.select("z")), "z", "left_anti")
-    fixed = voxels.join(F.broadcast(sources.select("z")), "z", "left_semi").join(copies, ["z", "y", "x"]).withColumn(label, F.col("_label")).drop("_label")
+    copies = voxels.join(wanted, "z").select(F.col("_to").alias("z"), "y", "x", F.col(label).alias("_label"))
+    rest = voxels.join(sources.select("z"), "z", "left_anti")
+    fixed = voxels.join(sources.select("z"), "z", "left_semi").join(copies, ["z", "y", "x"]).withColumn(label, F.col("_label")).drop("_label")
     return rest.unionByName(fixed.select(*voxels.columns))

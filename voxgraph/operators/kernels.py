@@ -17,7 +17,7 @@ FILTER_SIGMAS = (1.6, 4.2, 8.3)
 
 
 def distance_squared(mask: np.ndarray) -> np.ndarray:
-    """Squared Euclidean distance to the nearest true pixel: along columns by two sweeps, then along rows by minima over parabolas."""
+    """Squared Euclidean distance to the nearest true pixel: along columns by two sweeps, then along rows by parabolas, near ones first, until none can be lower."""
     h, w = mask.shape
     far = float(h + w) ** 2
     g = np.where(mask, 0.0, np.inf)
@@ -26,10 +26,12 @@ def distance_squared(mask: np.ndarray) -> np.ndarray:
     for i in range(h - 2, -1, -1):
         g[i] = np.minimum(g[i], g[i + 1] + 1)
     g = np.minimum(g * g, far)
-    step = (np.arange(w)[:, None] - np.arange(w)[None, :]).astype(float) ** 2
-    out = np.empty_like(g)
-    for i in range(h):
-        out[i] = (step + g[i][None, :]).min(axis=1)
+    out = g.copy()
+    for d in range(1, w):
+        if d * d >= out.max():
+            break
+        np.minimum(out[:, d:], g[:, :-d] + d * d, out=out[:, d:])
+        np.minimum(out[:, :-d], g[:, d:] + d * d, out=out[:, :-d])
     return out
 
 
@@ -94,24 +96,40 @@ def filter_channels(a: np.ndarray, sigmas: tuple[float, ...] = FILTER_SIGMAS) ->
 
 
 def components(mask: np.ndarray) -> np.ndarray:
-    """Labels 1.. of 8-connected true pixels in scan order, 0 elsewhere."""
-    out = np.zeros(mask.shape, np.int64)
+    """Labels 1.. of 8-connected true pixels in scan order, 0 elsewhere.
+
+    Runs of pixels of a row are merged with those of the next row that they touch, by pointing each at the least it meets.
+    """
     h, w = mask.shape
-    n = 0
-    for y, x in zip(*np.nonzero(mask), strict=True):
-        if out[y, x]:
-            continue
-        n += 1
-        out[y, x] = n
-        stack = [(y, x)]
-        while stack:
-            i, j = stack.pop()
-            for a in range(max(0, i - 1), min(h, i + 2)):
-                for b in range(max(0, j - 1), min(w, j + 2)):
-                    if mask[a, b] and not out[a, b]:
-                        out[a, b] = n
-                        stack.append((a, b))
-    return out
+    wide = np.zeros((h, w + 2), np.int8)
+    wide[:, 1:-1] = mask
+    step = np.diff(wide, axis=1)
+    row, start = np.nonzero(step == 1)
+    _, end = np.nonzero(step == -1)  # one after the last
+    n = len(row)
+    # In each row runs rise, so that those of the row above that a run touches are a stretch of them.
+    place = row * (w + 2)
+    lo = np.searchsorted(place + end, place - (w + 2) + start, side="left")  # of the row above, ending at or after the start
+    hi = np.searchsorted(place + start, place - (w + 2) + end, side="right")
+    count = np.maximum(hi - lo, 0)
+    a = np.repeat(np.arange(n), count)
+    b = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    to = np.arange(n)
+    while True:
+        least = np.minimum(to[a], to[b])
+        new = to.copy()
+        np.minimum.at(new, to[a], least)
+        np.minimum.at(new, to[b], least)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, to):
+            break
+        to = new
+    label = np.unique(to, return_inverse=True)[1] + 1
+    size = end - start
+    out = np.zeros(h * w, np.int64)
+    out[np.repeat(row * w + start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)] = np.repeat(label, size)
+    return out.reshape(h, w)
 
 
 def local_maxima(a: np.ndarray) -> np.ndarray:
@@ -129,27 +147,28 @@ def seeds(distance: np.ndarray, sigma: float = 2.6) -> np.ndarray:
 
 def flood(height: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Seeded watershed over 4 neighbours: lowest first, of equals the earliest reached."""
-    out = labels.copy()
     h, w = height.shape
-    heap: list[tuple[float, int, int, int]] = []
-    n = 0
-
-    def reach(y: int, x: int) -> None:
-        nonlocal n
-        for i, j in ((y - 1, x), (y, x - 1), (y, x + 1), (y + 1, x)):
-            if 0 <= i < h and 0 <= j < w and not out[i, j]:
-                out[i, j] = out[y, x]
-                heapq.heappush(heap, (float(height[i, j]), n, i, j))
-                n += 1
-
-    first = sorted((float(height[y, x]), k, int(y), int(x)) for k, (y, x) in enumerate(zip(*np.nonzero(labels), strict=True)))
-    for _, _, y, x in first:
-        heapq.heappush(heap, (float(height[y, x]), n, y, x))
-        n += 1
+    # A border that is never entered spares all tests of the edges.
+    out = np.full((h + 2, w + 2), -1, np.int64)
+    out[1:-1, 1:-1] = labels
+    level = np.zeros((h + 2, w + 2))
+    level[1:-1, 1:-1] = height
+    wide = w + 2
+    own, high = out.ravel().tolist(), level.ravel().tolist()
+    seeds_ = np.flatnonzero(out.ravel() > 0)
+    order = seeds_[np.argsort(level.ravel()[seeds_], kind="stable")]
+    heap = [(high[i], k, i) for k, i in enumerate(order.tolist())]
+    n = len(heap)
+    push, pop = heapq.heappush, heapq.heappop
     while heap:
-        _, _, y, x = heapq.heappop(heap)
-        reach(y, x)
-    return out
+        i = pop(heap)[2]
+        label = own[i]
+        for j in (i - wide, i - 1, i + 1, i + wide):
+            if own[j] == 0:
+                own[j] = label
+                push(heap, (high[j], n, j))
+                n += 1
+    return np.array(own).reshape(h + 2, wide)[1:-1, 1:-1]
 
 
 def watershed(height: np.ndarray, start: np.ndarray, min_size: int = 0, first: int = 0) -> np.ndarray:

@@ -44,7 +44,7 @@ def add_offsets(voxels: DataFrame, offsets: DataFrame, label: str = "seg", mask:
     if mask:
         moved = F.when(F.col(mask), moved).otherwise(F.col(label))
     checked = F.when(moved >= MAX_LABEL, F.raise_error(F.lit("a label exceeds 32 bits"))).otherwise(moved)
-    return voxels.join(F.broadcast(offsets), "z").withColumn(label, checked.cast("long")).select(*voxels.columns)
+    return voxels.join(offsets, "z").withColumn(label, checked.cast("long")).select(*voxels.columns)
 
 
 def consecutive(labels: DataFrame, label: str, name: str, start: int = 1, keep_zeros: bool = True) -> DataFrame:

@@ -14,11 +14,16 @@ BROADCAST_IDS = 1_000_000
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the cluster's checkpoint folder (``spark.checkpoint.dir``) and read from there.
 
-    Only where that is unset, as in local tests, a temporary folder stands in.
+    Only where that is unset and Spark runs in one process, as in tests, a temporary folder stands in; on a cluster
+    that is an error, as executors do not see each other's folders.  With ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    Spark removes the files of tables that are no longer used.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors see")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
 
 

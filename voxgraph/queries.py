@@ -848,7 +848,7 @@ UNION ALL SELECT u, v, 'skip', length, false, skip_start::INT, skip_range::INT F
 )
 def modified_adjacency(spark, d):
     v, bad = voxels(spark, d), _bad_slices(spark, d)
-    nodes = v.join(F.broadcast(bad), "z", "left_semi").select(F.col("seg").alias("node")).distinct()
+    nodes = v.join(bad, "z", "left_semi").select(F.col("seg").alias("node")).distinct()
     return defects.modified_adjacency(rag.rag_edges(v), nodes, defects.skip_edges(v, bad))
 
 

@@ -60,7 +60,7 @@ class VolumeStore:
     def write_box(self, new: DataFrame, value: str, key: str = "data") -> None:
         """Values of the voxels in ``new`` replace those that are stored; only their slices are written again."""
         zs = new.select("z").distinct()
-        old = self.open(key).join(F.broadcast(zs), "z", "left_semi")
+        old = self.open(key).join(zs, "z", "left_semi")
         self.write(overlay(old, new, value), f"{key}.next")  # a table cannot be read and overwritten at once
         self.write(self.open(f"{key}.next"), key)
         fs, p = self._hadoop(f"{key}.next")
