@@ -185,6 +185,11 @@ def _keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(K.mapper(rows, schema), "key long, node long")
 
 
+def _met(a: DataFrame, b: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join of two sides that grow with the documents: sorted and merged, as neither is to be gathered by the driver."""
+    return a.join(b.hint("merge"), on, how)
+
+
 def _close(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Those (x, y) whose sizes and signatures allow a link."""
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
@@ -199,7 +204,7 @@ def _close(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     a = nodes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("sig").alias("sx"))
     b = nodes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("sig").alias("sy"))
     fits = F.least("nx", "ny") * rule.den >= F.greatest("nx", "ny") * rule.num
-    return pairs.join(a, "x").join(b, "y").where(fits).select("x", "y", "sx", "sy").mapInArrow(K.mapper(rows, schema), "x long, y long")
+    return _met(_met(pairs, a, "x"), b, "y").where(fits).select("x", "y", "sx", "sy").mapInArrow(K.mapper(rows, schema), "x long, y long")
 
 
 def full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -214,10 +219,10 @@ def full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule)
             every[:, full] = set_digest(h, at[:-1][full]).view(np.int64)
             yield {"doc_id": batch.column(0).slice(a, b - a), "da": every[0], "db": every[1], "set": [x.tobytes() for x in _cut_sets(h, at)]}
 
-    named = cut(nodes.select("node", F.col("least").alias("doc_id"), "da", "db").join(wanted.select("node").distinct(), "node"))
+    named = cut(_met(nodes.select("node", F.col("least").alias("doc_id"), "da", "db"), wanted.select("node").distinct(), "node"))
     made = by_ids(docs, named, "doc_id").mapInArrow(K.mapper(sets, schema), "doc_id long, da long, db long, set binary")
     # An id can stand for several texts, and a row can be repeated.
-    return made.join(named, ["doc_id", "da", "db"]).groupBy("node").agg(F.first("set").alias("set"))
+    return _met(made, named, ["doc_id", "da", "db"]).groupBy("node").agg(F.first("set").alias("set"))
 
 
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -235,7 +240,7 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) ->
     sets = full_sets(pairs.select(F.col("x").alias("node")).union(pairs.select("y")), nodes, docs, rule)
     a = sets.select(F.col("node").alias("x"), F.col("set").alias("tx"))
     b = sets.select(F.col("node").alias("y"), F.col("set").alias("ty"))
-    return pairs.join(a, "x").join(b, "y").select("x", "y", "tx", "ty").mapInArrow(K.mapper(rows, schema), "x long, y long")
+    return _met(_met(pairs, a, "x"), b, "y").select("x", "y", "tx", "ty").mapInArrow(K.mapper(rows, schema), "x long, y long")
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
@@ -272,9 +277,9 @@ def _homes(cells: DataFrame) -> DataFrame:
     of_cells = cells.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
     keys = of_cells.mapInArrow(K.mapper(rows, schema), "key long, cell binary, lo long, hi long, size long")
     mixed = keys.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("size").alias("size")).where("lo < hi and size > 2").select("key")
-    of_mixed = cut(keys.join(mixed, "key").select("key", "cell", "size"))
+    of_mixed = cut(_met(keys, mixed, "key").select("key", "cell", "size"))
     home = of_mixed.groupBy("key").agg(F.max(F.struct("size", "cell")).alias("top")).select("key", F.col("top.cell").alias("home"))
-    met = of_mixed.join(home, "key")
+    met = _met(of_mixed, home, "key")
     return met.select("home", "cell", F.when(F.col("cell") == F.col("home"), None).otherwise(F.col("key")).alias("key")).distinct()
 
 
@@ -348,9 +353,9 @@ def _asked(nodes: DataFrame, rule: Rule) -> DataFrame:
 
     cells = _cells(nodes)
     meets = cut(_homes(cells))
-    members = cut(cells.select("cell", "node").join(meets, "cell").select("home", "node", F.coalesce("key", F.lit(0)).alias("key")))
+    members = cut(_met(cells.select("cell", "node"), meets, "cell").select("home", "node", F.coalesce("key", F.lit(0)).alias("key")))
     sizes = members.groupBy("home").agg(F.count("*").alias("size")).where("size > 1")
-    held = members.join(sizes, "home").join(nodes.select("node", "comp", "many", "n", "sig"), "node")
+    held = _met(_met(members, sizes, "home"), nodes.select("node", "comp", "many", "n", "sig"), "node")
     # Small groups come many to a batch; of large ones a task holds one block at a time.
     grouped = held.where(F.col("size") <= SMALL).groupBy("home").agg(F.collect_list(F.struct("node", "key", "comp", "many", "n", "sig")).alias("g"))
     blocks = _dealt(held.where(F.col("size") > SMALL), F.col("size") / BLOCK)
@@ -418,14 +423,14 @@ def _between(nodes: DataFrame, comps: DataFrame, docs: DataFrame, rule: Rule) ->
         return pa.table({"x": a["node"].to_numpy()[some], "y": b["node"].to_numpy()[linked.argmax(axis=1)[some]]}, schema=schema)
 
     facts = nodes.select("node", "comp", "n")
-    small = asked.where("large is null").select("home", "node").join(facts, "node")
+    small = _met(asked.where("large is null").select("home", "node"), facts, "node")
     held = small.groupBy("home").agg(F.sum("n").alias("total"), F.count("*").alias("size")).where("size > 1")
     blocks = _dealt(small.join(held, "home"), F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("size") / SET_BLOCK)).select("home", "i", "j", "node", "comp")
 
     def parts(size: F.Column, total: F.Column) -> F.Column:
         return F.greatest(F.lit(1), F.ceil(F.greatest(total / BLOCK_SHINGLES, size / SET_BLOCK))).cast("long")
 
-    asking = asked.where("large is not null").select("node", "large").distinct().join(facts.select("node", "n"), "node")
+    asking = _met(asked.where("large is not null").select("node", "large").distinct(), facts.select("node", "n"), "node")
     across = asking.groupBy("large").agg(parts(F.count("*"), F.sum("n")).alias("rows"))
     grid = cut(across.join(comps.withColumnRenamed("comp", "large"), "large").select("large", "rows", parts(F.col("many"), F.col("total")).alias("columns")))
     member = facts.withColumnRenamed("comp", "large")
@@ -436,8 +441,8 @@ def _between(nodes: DataFrame, comps: DataFrame, docs: DataFrame, rule: Rule) ->
     cells = cut(placed(asking, "i", "j", "rows", True).unionByName(placed(member, "j", "i", "columns", False)))
     blocks = cut(blocks)
     sets = full_sets(blocks.select("node").union(cells.select("node")), nodes, docs, rule)
-    one = blocks.join(sets, "node").groupBy("home", "i", "j").applyInArrow(in_home, "x long, y long")
-    two = cells.join(sets, "node").groupBy("large", "i", "j").applyInArrow(against_component, "x long, y long")
+    one = _met(blocks, sets, "node").groupBy("home", "i", "j").applyInArrow(in_home, "x long, y long")
+    two = _met(cells, sets, "node").groupBy("large", "i", "j").applyInArrow(against_component, "x long, y long")
     return one.unionByName(two).distinct()
 
 
@@ -449,26 +454,25 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     nodes = cut(classes.select("da", "db", "n", F.col("r.doc_id").alias("least"), F.col("r.sig").alias("sig")).withColumn("node", F.monotonically_increasing_id()))
     keys = _keys(nodes)
     heads = keys.groupBy("key").agg(F.min("node").alias("y"), F.max("node").alias("top")).where("y < top").select("key", "y")
-    starred = cut(keys.join(heads, "key").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
+    starred = cut(_met(keys, heads, "key").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
     links = cut(confirm(cut(_close(starred, nodes, rule)), nodes, docs, rule))
     parts = connected_components(links, "x", "y").withColumnRenamed("component", "comp")
-    comps = cut(parts.join(nodes.select("node", "n"), "node").groupBy("comp").agg(F.count("*").alias("many"), F.sum("n").alias("total")))
-    placed = nodes.join(parts.join(comps.drop("total"), "comp"), "node", "left").withColumns({"comp": F.coalesce("comp", "node"), "many": F.coalesce("many", F.lit(1))})
+    comps = cut(_met(parts, nodes.select("node", "n"), "node").groupBy("comp").agg(F.count("*").alias("many"), F.sum("n").alias("total")))
+    placed = _met(nodes, _met(parts, comps.drop("total"), "comp"), "node", "left").withColumns({"comp": F.coalesce("comp", "node"), "many": F.coalesce("many", F.lit(1))})
     placed = cut(placed)
     # Nodes that share no key with another have no part in the second look.
     met = starred.select(F.col("x").alias("node")).union(starred.select("y")).distinct()
-    more = cut(_between(placed.join(met, "node", "left_semi"), comps, docs, rule))
+    more = cut(_between(_met(placed, met, "node", "left_semi"), comps, docs, rule))
     if not more.isEmpty():
         of = placed.select("node", "comp")
         joined = more.join(of.select(F.col("node").alias("x"), F.col("comp").alias("a")), "x").join(of.select(F.col("node").alias("y"), F.col("comp").alias("b")), "y")
         up = connected_components(joined, "a", "b").select(F.col("node").alias("comp"), "component")
         placed = placed.join(up, "comp", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
     names = placed.groupBy("comp").agg(F.min("least").alias("component_id"))
-    found = placed.join(names, "comp").select("da", "db", F.col("n").alias("n_shingles"), "component_id")
+    found = _met(placed, names, "comp").select("da", "db", F.col("n").alias("n_shingles"), "component_id")
     own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return (
-        feats.select("doc_id", "n_shingles", "da", "db")
-        .join(found, ["da", "db", "n_shingles"], "left")
+        _met(feats.select("doc_id", "n_shingles", "da", "db"), found, ["da", "db", "n_shingles"], "left")
         .select("doc_id", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
