@@ -10,8 +10,10 @@ value is its share of the text, so a score is one sparse dot product that needs
 no sorting of features.
 
 Only the text is an input of a score.  Null and empty texts have the features
-of the empty text and get a score like all others.  Each input row gives one
-row; repeated rows get equal scores; without labelled rows every score is 0.5.
+of the empty text and get a score like all others; texts of any length are read
+whole.  Each input row gives one row; repeated rows get equal scores; an empty
+table has no rows; without labelled rows every score is 0.5.  Equal scores are
+not ranked, so there are no ties.  Other columns can have any name.
 """
 
 from __future__ import annotations

@@ -12,8 +12,10 @@ first; where a run does not decode as a whole, texts and compressed blocks are
 looked for in it at all four alignments.  Spans of inner layers are mapped back to
 the characters of the document that encode them.
 
-Rows: one for each input row.  Null is an empty text and has no spans.  Spans
-are in code points, end exclusive, ordered by start, then by kind as listed,
+Rows: one for each input row, repeated rows alike; an empty table has none.
+Null is an empty text and has no spans; texts of any length are scanned whole.
+Only the id and the text are read; other columns can have any name.  Spans are
+in code points, end exclusive, ordered by start, then by kind as listed,
 then by end; equal spans found in several layers count once.
 """
 

@@ -13,8 +13,10 @@ ordered thresholds: P(grade >= g) = logistic(w.x - t[g]).  The result is the
 expected severity, the sum of these, and a text is rejected where
 P(grade >= 1) is at least ``REJECT``.
 
-Rows: one for each input row; null and empty texts have no features, and the
-lowest severity.  Without both labels in the sample the vocabulary is empty and
+Rows: one for each input row, repeated rows alike; an empty table has none.  Null
+and empty texts have no features, and the lowest severity; texts of any length
+are read whole; other columns can have any name.  Features of equal worth enter
+the vocabulary in the order of their hashes.  Without both labels in the sample the vocabulary is empty and
 nothing is rejected.
 """
 
