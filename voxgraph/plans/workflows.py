@@ -8,13 +8,15 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxgraph.operators import blockwise
-from voxgraph.operators.defects import replace_slices, replacement_slices
+from voxgraph.config import Inputs, Params, select_features
+from voxgraph.operators import blockwise, costs, features, kernels, learning, rag
+from voxgraph.operators.defects import defect_slices, replace_slices, replacement_slices, segments_per_slice
 from voxgraph.operators.labels import consecutive
-from voxgraph.sources.volume import shift
+from voxgraph.plans.lineage import cut
+from voxgraph.sources.volume import AXES, VolumeStore, shift
 
 log = logging.getLogger("voxgraph")
 _told: set[str] = set()
@@ -91,3 +93,88 @@ def blockwise_segmentation(voxels: DataFrame, edges: DataFrame, shape: Sequence[
 def subblock_segmentations(h: blockwise.Hierarchy, path: str) -> None:
     """Each block's segmentation as a volume of its own."""
     blockwise.block_segmentation(h).write.mode("overwrite").partitionBy("block_id").parquet(path)
+
+
+def read_volumes(spark: SparkSession, inputs: Inputs) -> DataFrame:
+    """(z, y, x, seg, d0, d1, ..., and gt and mask if there are): the volumes of a run side by side.
+
+    A volume is a folder of tables by key, with the columns z, y, x and one for its values.
+    """
+    named = [("seg", inputs.seg, inputs.seg_key)]
+    named += [(f"d{i}", path, inputs.data_keys[i] if inputs.data_keys else "data") for i, path in enumerate(inputs.data)]
+    named += [(name, path, "data") for name, path in (("gt", inputs.gt), ("mask", inputs.mask)) if path]
+    out = None
+    for name, path, key in named:
+        table = VolumeStore(spark, path).open(key)
+        (value,) = (c for c in table.columns if c not in AXES)
+        one = table.select(*AXES, F.col(value).alias(name))
+        out = one if out is None else out.join(one, list(AXES))
+    return out
+
+
+def features_of(voxels: DataFrame, params: Params, n_inputs: int) -> dict[str, DataFrame]:
+    """By kind of edge: (u, v, edge_type, features) of the chosen features, side by side."""
+    edges = rag.rag_edges(voxels).select("u", "v", "edge_type")
+    out: dict[str, DataFrame] = {}
+    for kind in ("xy", "z"):
+        tables = []
+        for name, number, kinds in select_features(params, n_inputs):
+            if kind not in kinds.split(","):
+                continue
+            value = f"d{number}"
+            if name == "reg":
+                tables.append(features.region_edge_features(edges, features.region_statistics(voxels, value), (kind,)))
+            elif params.use_simple_features:
+                tables.append(features.edge_features(voxels, value, keep_only_xy=kind == "xy", keep_only_z=kind == "z", z_direction=params.z_affinity_direction))
+            else:
+                responses = kernels.filtered(voxels, value)
+                channels = [c for c in responses.columns if c not in AXES]
+                every = features.filter_features(voxels.select(*AXES, "seg").join(responses, list(AXES)), channels, z_direction=params.z_affinity_direction)
+                tables.append(every.where(F.col("edge_type") == kind))
+        if tables:
+            out[kind] = cut(features.joined_features(*tables))
+    return out
+
+
+def edge_probabilities(spark: SparkSession, voxels: DataFrame, inputs: Inputs, params: Params) -> DataFrame:
+    """(u, v, edge_type, prob): from the classifier of the inputs, or from one that is learned from the truth (and kept in the cache folder, if there is one)."""
+    by_kind = features_of(voxels, params, len(inputs.data))
+    if inputs.rf:
+        model = learning.EdgeClassifier.load(inputs.rf, sorted(by_kind) if params.separate_edge_classification else ["joined"])
+    elif inputs.gt:
+        truth = cut(costs.edge_truth(rag.rag_edges(voxels), costs.node_truth(voxels), params.ignore_gt_label))
+        how = {"n_trees": params.n_trees, "max_depth": params.max_depth}
+        if params.separate_edge_classification:
+            model = learning.EdgeClassifier({k: m for kind, table in by_kind.items() for k, m in learning.EdgeClassifier.learn([(table, truth)], **how).models.items()})
+        else:
+            model = learning.EdgeClassifier.learn([(table, truth) for table in by_kind.values()], separate=False, **how)
+        if inputs.cache:
+            model.save(inputs.cache)
+    else:
+        raise ValueError("the inputs name neither a classifier nor a truth to learn one from")
+    made = [learning.EdgeClassifier({k: m for k, m in model.models.items() if k in (kind, "joined")}).predict(table) for kind, table in by_kind.items()]
+    out = made[0]
+    for other in made[1:]:
+        out = out.unionByName(other)
+    return costs.clipped(out)
+
+
+@logged
+def segment(spark: SparkSession, inputs: Inputs, params: Params, stitching: str | None = "multicut", levels: int = 1) -> DataFrame:
+    """(z, y, x, label): the whole run that inputs and parameters describe, from volumes to the projected result.
+
+    ``stitching`` is a way of ``blockwise_segmentation``; None solves the problem as a whole.
+    """
+    voxels = cut(read_volumes(spark, inputs))
+    probabilities = edge_probabilities(spark, voxels, inputs, params)
+    problem = cut(costs.multicut_problem(rag.rag_edges(voxels), probabilities, params.beta, params.weighting_scheme, params.weight))
+    shape = tuple(v + 1 for v in voxels.agg(*(F.max(a) for a in AXES)).first())
+    how: dict = {"ignore_label": params.ignore_seg_label, "n_slices": shape[0], "offset": params.offset_front if any(params.offset_front) else None}
+    if params.have_defects:
+        how["defects"] = cut(defect_slices(segments_per_slice(voxels), params.defect_bins, params.defect_bin_threshold))
+    if stitching is None:
+        return multicut_segmentation(voxels, problem, name=params.global_solver, seconds=params.global_time_limit, **how)
+    return blockwise_segmentation(
+        voxels, problem, shape, params.block_shape, params.block_overlap, levels=levels, stitching=stitching, sub_solver=params.sub_solver, solver=params.global_solver,
+        boundary_bias=params.beta, threshold=params.overlap_threshold, **how,
+    )
