@@ -148,6 +148,26 @@ def test_volume_store(spark, tiny, tmp_path):
     assert "PartitionFilters: [isnotnull(z" in plan
 
 
+def test_stored_attributes(spark, tiny, tmp_path):
+    s = volume.VolumeStore(spark, str(tmp_path / "store"))
+    with pytest.raises(KeyError):
+        s.set_offsets((1, 2, 3), (0, 0, 1), "seg")
+    s.write(tiny, "seg")
+    assert not s.has_offsets("seg") and s.offsets("seg") == ((0, 0, 0), (0, 0, 0)) and s.frame_shape("seg") == (2, 4, 4)
+    s.set_offsets((1, 2, 3), (0, 0, 1), "seg")
+    s.write(tiny, "seg")
+    assert s.has_offsets("seg") and s.frame_shape("seg") == (3, 6, 8) and s.keys() == ["seg"]
+    got = s.read_framed((2, 2, 3), (3, 4, 5), "seg")
+    want = {(r.z + 1, r.y + 2, r.x + 3, r.seg) for r in tiny.where("z = 1 and y < 2 and x < 2").collect()}
+    assert {(r.z, r.y, r.x, r.seg) for r in got.collect()} == want and len(want) == 4
+    edges = rag.rag_edges(tiny)
+    s.write_rag(edges, s._file("seg"))
+    assert s.label_path() == s._file("seg") and s.read_column("rag", "u", "v").count() == edges.count()
+    ragged = spark.createDataFrame([(1, [2, 3]), (2, []), (3, [7])], "node long, members array<long>")
+    s.write(ragged, "ragged")
+    assert {r.node: r.members for r in s.open("ragged").collect()} == {1: [2, 3], 2: [], 3: [7]}
+
+
 def test_tables(spark):
     x = spark.createDataFrame([(0, 1, 1), (1, 1, 1), (2, 2, 3)], "i long, a int, b int")
     assert {tuple(r) for r in tables.unique_rows(x, ["a", "b"], "i").collect()} == {(1, 1, 0), (2, 3, 2)}

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxgraph.functions.ids import runs
 from voxgraph.operators.blocking import in_blocks
+from voxgraph.operators.features import edge_statistics
+from voxgraph.operators.rag import Z_BOTH, Z_LOWER
 from voxgraph.plans.lineage import cut
 
 
@@ -79,12 +83,19 @@ def skip_edges(voxels: DataFrame, slices: DataFrame, seg: str = "seg") -> DataFr
     return pairs.groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.col("lo").alias("skip_start"), (F.col("hi") - F.col("lo")).alias("skip_range")).agg(F.count("*").alias("length"))
 
 
-def skip_border_values(voxels: DataFrame, slices: DataFrame, value: str = "prob", seg: str = "seg") -> DataFrame:
-    """(u, v, edge_type, value) along skip edges, both sides, for edge_statistics."""
+def skip_border_values(voxels: DataFrame, slices: DataFrame, values: Sequence[str] = ("value",), seg: str = "seg", z_direction: int = Z_BOTH) -> DataFrame:
+    """(u, v, edge_type, values) along skip edges, for edge_statistics: the values below the run, above it or both, by direction."""
     gaps = runs(slices.select("z").distinct(), "z").groupBy("run").agg(F.max("z").alias("last")).select((F.col("run") - 1).cast("int").alias("lo"), (F.col("last") + 1).cast("int").alias("hi"))
-    below = voxels.select(F.col("z").alias("lo"), "y", "x", F.col(seg).alias("a"), F.col(value).alias("va")).join(gaps, "lo")
-    above = voxels.select(F.col("z").alias("hi"), "y", "x", F.col(seg).alias("b"), F.col(value).alias("vb"))
-    return below.join(above, ["hi", "y", "x"]).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.lit("skip").alias("edge_type"), F.explode(F.array("va", "vb")).alias("value"))
+    below = voxels.select(F.col("z").alias("lo"), "y", "x", F.col(seg).alias("a"), F.struct(*values).alias("below")).join(gaps, "lo")
+    above = voxels.select(F.col("z").alias("hi"), "y", "x", F.col(seg).alias("b"), F.struct(*values).alias("above"))
+    sides = ["below", "above"] if z_direction == Z_BOTH else ["below" if z_direction == Z_LOWER else "above"]
+    pairs = below.join(above, ["hi", "y", "x"])
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.lit("skip").alias("edge_type"), F.explode(F.array(*sides)).alias("_v")).select("u", "v", "edge_type", "_v.*")
+
+
+def skip_filter_features(responses: DataFrame, slices: DataFrame, channels: Sequence[str], seg: str = "seg", z_direction: int = Z_BOTH) -> DataFrame:
+    """Nine statistics of every filter channel along skip edges; columns meet once for all channels."""
+    return edge_statistics(skip_border_values(responses, slices, channels, seg, z_direction), channels, prefixed=True)
 
 
 def modified_adjacency(edges: DataFrame, bad_nodes: DataFrame, skips: DataFrame) -> DataFrame:

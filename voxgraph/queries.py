@@ -835,7 +835,35 @@ def skip_edges(spark, d):
 
 @query(_sql(_VOX, _DEFECT, _SKIP, f", bv AS (SELECT least(a.seg, b.seg) AS u, greatest(a.seg, b.seg) AS v, 'skip' AS edge_type, unnest([a.prob, b.prob]) AS value FROM gap JOIN vox a ON a.z = lo JOIN vox b ON b.z = hi AND b.y = a.y AND b.x = a.x) SELECT u, v, edge_type, {_NINE} FROM bv GROUP BY u, v, edge_type"))
 def skip_edge_features(spark, d):
-    return _nine(features.edge_statistics(defects.skip_border_values(voxels(spark, d), _bad_slices(spark, d))))
+    v = voxels(spark, d).withColumn("value", F.col("prob"))
+    return _nine(features.edge_statistics(defects.skip_border_values(v, _bad_slices(spark, d))))
+
+
+def _skip_filters_sql(sides: str) -> str:
+    pairs = f", sides AS (SELECT least(a.seg, b.seg) AS u, greatest(a.seg, b.seg) AS v, 'skip' AS edge_type, unnest({sides}) AS z, a.y, a.x FROM gap JOIN vox a ON a.z = lo JOIN vox b ON b.z = hi AND b.y = a.y AND b.x = a.x)"
+    return _sql(_VOX, _DEFECT, _SKIP, _FILTERS, pairs, f"SELECT u, v, edge_type, {_EACH} FROM sides JOIN filters USING (z, y, x) GROUP BY u, v, edge_type")
+
+
+def _skip_filters(spark: SparkSession, d: str, z_direction: int) -> DataFrame:
+    v = voxels(spark, d)
+    responses = kernels.filtered(v)
+    out = defects.skip_filter_features(v.select("z", "y", "x", "seg").join(responses, ["z", "y", "x"]), _bad_slices(spark, d), responses.columns[3:], z_direction=z_direction)
+    return _rounded(out, *out.columns[3:])
+
+
+@query(_skip_filters_sql("[lo, hi]"))
+def skip_edge_features_filters(spark, d):
+    return _skip_filters(spark, d, rag.Z_BOTH)
+
+
+@query(_skip_filters_sql("[lo]"))
+def skip_edge_features_filters_lower(spark, d):
+    return _skip_filters(spark, d, rag.Z_LOWER)
+
+
+@query(_skip_filters_sql("[hi]"))
+def skip_edge_features_filters_upper(spark, d):
+    return _skip_filters(spark, d, rag.Z_UPPER)
 
 
 @query(

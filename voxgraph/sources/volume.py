@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,7 +40,50 @@ class VolumeStore:
 
     def keys(self) -> list[str]:
         fs, p = self._hadoop()
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+        names = (s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else ()
+        return sorted(n for n in names if not n.startswith("_"))
+
+    def attributes(self, key: str = "data") -> dict[str, str]:
+        """What was stored about a table beside its rows; empty if nothing was."""
+        name = f"_attributes/{key}"
+        return {r["name"]: r["value"] for r in self.open(name).collect()} if name in self else {}
+
+    def set_attributes(self, key: str = "data", **values: str) -> None:
+        """Named values of a table, added to those that it has; they outlive rewrites of its rows."""
+        rows = sorted((self.attributes(key) | values).items())
+        self.spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").parquet(self._file(f"_attributes/{key}"))
+
+    def set_offsets(self, front: Sequence[int], back: Sequence[int], key: str = "data") -> None:
+        """The margins of a volume that is part of a larger frame, before and behind it on each axis."""
+        if key not in self:
+            raise KeyError(key)
+        self.set_attributes(key, offset_front=json.dumps([int(o) for o in front]), offset_back=json.dumps([int(o) for o in back]))
+
+    def has_offsets(self, key: str = "data") -> bool:
+        return "offset_front" in self.attributes(key)
+
+    def offsets(self, key: str = "data") -> Box:
+        """(front, back); zeros where none were set."""
+        own = self.attributes(key)
+        return tuple(tuple(json.loads(own.get(name, "[0, 0, 0]"))) for name in ("offset_front", "offset_back"))
+
+    def read_framed(self, start: Sequence[int], stop: Sequence[int], key: str = "data") -> DataFrame:
+        """A box in coordinates of the frame; the box is moved to the volume, so that slices are still pruned."""
+        front, _ = self.offsets(key)
+        inner = self.read([a - o for a, o in zip(start, front, strict=True)], [b - o for b, o in zip(stop, front, strict=True)], key)
+        return shift(inner, front)
+
+    def frame_shape(self, key: str = "data") -> tuple[int, ...]:
+        front, back = self.offsets(key)
+        return tuple(a + n + b for a, n, b in zip(front, self.shape(key), back, strict=True))
+
+    def write_rag(self, edges: DataFrame, label_path: str, key: str = "rag") -> None:
+        """An adjacency graph, which remembers the labels that it is of."""
+        self.write(edges, key)
+        self.set_attributes(key, label_path=label_path)
+
+    def label_path(self, key: str = "rag") -> str:
+        return self.attributes(key)["label_path"]
 
     def open(self, key: str = "data") -> DataFrame:
         return self.spark.read.parquet(self._file(key))
