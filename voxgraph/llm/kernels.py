@@ -92,9 +92,12 @@ SPACED[[0x20, *range(9, 14)]] = False
 #: Words of digits, letters and all that is not ASCII.
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
+#: Words of letters and all that is not ASCII.
+ALPHA = ALNUM.copy()
+ALPHA[48:58] = False
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, row offsets into them) of bounded slices; null is empty."""
     column = pc.fill_null(column, "")
     if pa.types.is_large_string(column.type):
@@ -109,7 +112,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     at = 0
     while at < n:
-        end = int(np.searchsorted(off, off[at] + CHUNK_BYTES, side="right")) - 1
+        end = int(np.searchsorted(off, off[at] + limit, side="right")) - 1
         end = min(max(end, at + 1), n)
         yield at, end, data[off[at] : off[end]], off[at : end + 1] - off[at]
         at = end
@@ -159,6 +162,41 @@ def words(data: np.ndarray, off: np.ndarray, table: np.ndarray, lower: bool = Tr
     return Words(doc, start, end, lanes.hash(start, end), len(off) - 1, lanes)
 
 
+@dataclass
+class Postings:
+    """The distinct words of a slice in the order of their hashes, and for each the documents that hold it, with counts."""
+
+    #: A place of each distinct word: its hash, and the span of its bytes.
+    hash: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    #: Distinct word, document and count of each posting, in the order of words, then documents.
+    word: np.ndarray
+    doc: np.ndarray
+    count: np.ndarray
+
+
+def postings(w: Words) -> Postings:
+    """Words are told apart by their hashes, which are confirmed on their bytes."""
+    order = np.argsort(w.hash, kind="stable")
+    h, doc, start, end = w.hash[order], w.doc[order], w.start[order], w.end[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = h[1:] != h[:-1]
+    size = end - start
+    like = np.flatnonzero(~fresh)
+    if not ((size[like] == size[like - 1]) & w.lanes.equal(start[like], start[like - 1], np.minimum(size[like], size[like - 1]))).all():
+        # Unlike words of one hash: order them by their bytes too.
+        raw = np.array([w.lanes.raw[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist(), strict=True)], dtype=object)
+        order = np.array(sorted(range(len(h)), key=lambda i: (h[i], raw[i], doc[i])), np.int64)
+        h, doc, start, end, raw = h[order], doc[order], start[order], end[order], raw[order]
+        fresh[1:] = raw[1:] != raw[:-1]
+    word = np.cumsum(fresh) - 1
+    new = fresh.copy()
+    new[1:] |= doc[1:] != doc[:-1]
+    at = np.flatnonzero(new)
+    return Postings(h[fresh], start[fresh], end[fresh], word[at], doc[at], np.diff(np.append(at, len(h))))
+
+
 def grams(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k neighbours of ``h`` (order counts); empty if there are fewer."""
     n = len(h) - k + 1
@@ -203,6 +241,37 @@ def released(batches: Iterator[pa.RecordBatch], after: Callable[[], None] | None
     _trimmed()
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in batches of at least ``size`` bytes, but for the last."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def packed(**arrays: np.ndarray | bytes) -> bytes:
+    """Arrays under their names, compressed; ``unpacked`` gives them back."""
+    columns = [pa.array([a], pa.large_binary()) if isinstance(a, bytes) else pa.LargeListArray.from_arrays(pa.array([0, len(a)], pa.int64()), pa.array(a)) for a in arrays.values()]
+    batch = pa.RecordBatch.from_arrays(columns, names=list(arrays))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(raw: bytes) -> dict[str, np.ndarray | bytes]:
+    (batch,) = pa.ipc.open_stream(raw)
+    return {n: c[0].as_py() if pa.types.is_large_binary(c.type) else c.flatten().to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns, strict=True)}
+
+
 def mapper(fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: pa.Schema, after: Callable[[], None] | None = None) -> Callable:
     """For mapInArrow: ``fn`` yields columns by name for one incoming batch; ``after`` runs at a partition's end."""
 

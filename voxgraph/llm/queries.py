@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
-from voxgraph.llm import ann, bpe, decontam, htmltext, licenses, neardup, quality, secrets, toxicity, urlfilter
+from voxgraph.llm import ann, bpe, decontam, divergence, htmltext, lexical, licenses, neardup, quality, secrets, tokencount, toxicity, urlfilter
 from voxgraph.llm.sampling import hashed_share
 
 #: File of the tokenizer that encodes; a name of the public tokenizers package or a path.
 TOKENIZER = "byte_bpe_50k.json"
+#: File of the model that counts tokens.
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -88,9 +90,21 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_licenses, op3_secrets, op4_bpe, op5_main_text, op6_toxicity, op7_near_duplicates, op8_decontamination, op9_url_filter, op10_nearest)
+    for f in (op1_quality, op2_licenses, op3_secrets, op4_bpe, op5_main_text, op6_toxicity, op7_near_duplicates, op8_decontamination, op9_url_filter, op10_nearest, op11_source_divergence, op12_lexical_search, op13_token_counts)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -122,6 +136,38 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM w LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)"""
 
 
+#: Every group of a language against every other, over all kept terms.
+DIVERGENCE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (SELECT lang, source, term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (n + 5 * v)::HUGEINT AS p FROM n JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+lc AS (SELECT lang, term, sum(c) AS c FROM c GROUP BY lang, term),
+ln AS (SELECT lang, sum(c) AS n FROM lc GROUP BY lang),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 5)) // (n + 5 * v)::HUGEINT AS q FROM lc JOIN ln USING (lang) JOIN v USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)) WHERE part = 'pair' OR rank <= 50"""
+
+#: Every item's terms against every document's.
+LEXICAL_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(w)) AS l FROM d WHERE len(w) > 0),
+p AS (SELECT r, w AS term, count(*) AS tf FROM (SELECT r, unnest(w) AS w FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+i AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+q AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+w AS (SELECT i, item_id, term, times * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM q JOIN df USING (term), s),
+m AS (SELECT r, doc_id, 25 + (75 * len(w)::BIGINT * n_docs) // l::BIGINT AS m FROM d, s),
+x AS (SELECT i, item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM w JOIN p USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INT AS rank FROM x WHERE score > 0) WHERE rank <= 10"""
+
+
 def url_filter_sql() -> str:
     """Every URL against every rule and every entry of the list."""
     rules = ", ".join(f"('{verdict}', '{entry}')" for verdict, entry in urlfilter.RULES)
@@ -141,4 +187,4 @@ b AS (SELECT r, arg_max(listed, length(listed)) AS listed FROM s JOIN list ON {f
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed FROM s LEFT JOIN f USING (r) LEFT JOIN b USING (r)"""
 
 
-ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op7_near_duplicates": NEAR_DUPLICATES_SQL, "op8_decontamination": DECONTAMINATION_SQL, "op9_url_filter": url_filter_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op7_near_duplicates": NEAR_DUPLICATES_SQL, "op8_decontamination": DECONTAMINATION_SQL, "op9_url_filter": url_filter_sql(), "op11_source_divergence": DIVERGENCE_SQL, "op12_lexical_search": LEXICAL_SQL}
