@@ -1,9 +1,10 @@
 """Source divergence audit: how the words of each source of a language differ from those of the others.
 
-*Counts* are made where texts are read: tasks sum a term's occurrences, and the
-documents that hold it, by language and source over some megabytes of text, and
-only such sums are shuffled.  A term is kept in a language if enough of its
-documents hold it.
+*Counts* are made where texts are read, and only sums over some megabytes of text
+are shuffled: first the documents of a language that hold a term, which say what
+terms are kept, then the occurrences of kept terms by language and source.  The
+kept terms are sent to all tasks if they are few by count and bytes; else all
+terms are counted and joined with them.
 
 *Cells*: the groups (language, source) of a language are dealt to cells of some
 groups each, and the kept terms to blocks by their hashes; a cell's counts in a
@@ -35,14 +36,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
 from voxgraph.plans.lineage import cut
 
-#: Bytes of text whose counts a task sums before it gives them on.
-GATHER_BYTES = 1 << 24
+#: Bytes of text whose counts a task sums before it gives them on, and bytes that are counted at a time.
+GATHER_BYTES, SLICE_BYTES = 1 << 24, 1 << 21
+#: Kept terms, and bytes of them, up to which they are sent to every executor.
+SENT_TERMS, SENT_BYTES = 2_000_000, 1 << 25
 #: Groups of a cell at least, cells of a language at most, and counts of a pack (groups by terms) at most, about.
 CELL_GROUPS, MAX_CELLS, PACK_COUNTS = 8, 64, 1 << 20
 #: Terms stand in the audit if so many documents of their language hold them; added to every count; unit of the shares.
@@ -63,46 +67,89 @@ def shares(count: np.ndarray, total: int, terms: int) -> np.ndarray:
     return out + 1
 
 
-def _sums(batch: pa.RecordBatch) -> pa.Table:
+class Kept:
+    """The kept terms of each language in the order of their hashes."""
+
+    def __init__(self, table: pa.Table):
+        self.of: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, K.Lanes]] = {}
+        for lang in table["lang"].unique().to_pylist():
+            words = [t.encode() for t in table.filter(pc.equal(table["lang"], lang))["term"].to_pylist()]
+            lanes = K.Lanes(np.frombuffer(b"".join(words), np.uint8))
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            start = np.cumsum(size) - size
+            h = lanes.hash(start, start + size)
+            order = np.argsort(h, kind="stable")
+            self.of[lang] = h[order], start[order], size[order], lanes
+
+    def holds(self, lang: str, p: K.Postings, lanes: K.Lanes) -> np.ndarray:
+        """Which of the distinct words are kept in the language: found by hash, confirmed on bytes."""
+        out = np.zeros(len(p.hash), bool)
+        if lang not in self.of:
+            return out
+        hashes, start, size, own = self.of[lang]
+        at = np.searchsorted(hashes, p.hash)
+        open_ = np.flatnonzero((at < len(hashes)) & (hashes[np.minimum(at, len(hashes) - 1)] == p.hash))
+        while len(open_):
+            i = at[open_]
+            same = size[i] == (p.end - p.start)[open_]
+            out[open_] |= same & lanes.equal(p.start[open_], start[i], np.where(same, size[i], 0), own)
+            at[open_] += 1  # terms with one hash stand next to each other
+            more = ~out[open_] & (at[open_] < len(hashes))
+            open_ = open_[more]
+            open_ = open_[hashes[at[open_]] == p.hash[open_]]
+        return out
+
+
+_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("tf", pa.int64()), ("df", pa.int64())])
+
+
+def _sums(batch: pa.RecordBatch, kept: Kept | None) -> pa.Table:
     """(lang, source, term, tf, df) of a batch of (lang, source, text)."""
     lang, source = (batch.column(i).dictionary_encode() for i in range(2))
-    group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+    langs, n_sources = lang.dictionary.to_pylist(), len(source.dictionary)
+    group = lang.indices.to_numpy().astype(np.int64) * n_sources + source.indices.to_numpy()
     parts = []
-    for a, _, data, off in K.slices(batch.column(2), GATHER_BYTES):
+    for a, _, data, off in K.slices(batch.column(2), SLICE_BYTES):
         w = K.words(data, off, K.ALPHA)
         p = K.postings(w)
         if not len(p.word):
             continue
-        key = group[a + p.doc] * len(p.hash) + p.word
+        key, count = group[a + p.doc] * len(p.hash) + p.word, p.count
+        if kept:
+            row = lang.indices.to_numpy()[a + p.doc]
+            good = np.zeros(len(key), bool)
+            for i in np.unique(row).tolist():
+                own = row == i
+                good[own] = kept.holds(langs[i], p, w.lanes)[p.word[own]]
+            key, count = key[good], count[good]
+            if not len(key):
+                continue
         order = np.argsort(key, kind="stable")
         key = key[order]
         head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        tf, df = np.add.reduceat(p.count[order], head), np.diff(np.append(head, len(key)))
+        tf, df = np.add.reduceat(count[order], head), np.diff(np.append(head, len(key)))
         g, word = np.divmod(key[head], len(p.hash))
-        size = p.end - p.start
-        text = b"".join([w.lanes.raw[x:y].tobytes() for x, y in zip(p.start.tolist(), p.end.tolist(), strict=True)])
-        stop = np.append(0, np.cumsum(size)).astype(np.int64)
-        names = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(stop), pa.py_buffer(text))
-        parts.append(pa.table({
-            "lang": lang.dictionary.take(pa.array(g // len(source.dictionary))), "source": source.dictionary.take(pa.array(g % len(source.dictionary))),
-            "term": names.take(pa.array(word)).cast(pa.string()), "tf": tf, "df": df,
-        }))
-    if not parts:
-        return pa.table({"lang": pa.array([], pa.string()), "source": pa.array([], pa.string()), "term": pa.array([], pa.string()), "tf": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
-    if len(parts) == 1:
-        return parts[0]
-    return pa.concat_tables(parts).group_by(["lang", "source", "term"]).aggregate([("tf", "sum"), ("df", "sum")]).rename_columns(["lang", "source", "term", "tf", "df"])
-
-
-def group_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, tf, df): occurrences, and documents with the term, of each group."""
+        used, word = np.unique(word, return_inverse=True)
+        text = [w.lanes.raw[x:y].tobytes() for x, y in zip(p.start[used].tolist(), p.end[used].tolist(), strict=True)]
+        names = pa.array(text, pa.binary()).cast(pa.string())
+        columns = [lang.dictionary.take(pa.array(g // n_sources)), source.dictionary.take(pa.array(g % n_sources)), names.take(pa.array(word)), pa.array(tf), pa.array(df)]
+        parts.append(pa.Table.from_arrays(columns, schema=_COUNTS))
+    if len(parts) < 2:
+        return parts[0] if parts else _COUNTS.empty_table()
+    return pa.concat_tables(parts).group_by(["lang", "source", "term"]).aggregate([("tf", "sum"), ("df", "sum")]).select(["lang", "source", "term", "tf_sum", "df_sum"]).rename_columns(_COUNTS.names)
+
+
+def group_counts(docs: DataFrame, kept: pa.Table | None = None) -> DataFrame:
+    """(lang, source, term, tf, df): occurrences, and documents with the term, of each group; of kept terms (lang, term) only, if they are given."""
+    shared = docs.sparkSession.sparkContext.broadcast(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None if shared.value is None else Kept(shared.value)
         for batch in K.gathered(K.released(batches), GATHER_BYTES):
-            yield from _sums(batch).combine_chunks().to_batches(max_chunksize=50_000)
+            yield from _sums(batch, own).combine_chunks().to_batches(max_chunksize=50_000)
 
-    own = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    return own.mapInArrow(run, "lang string, source string, term string, tf long, df long").groupBy("lang", "source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    found = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, tf long, df long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def _packs(entries: DataFrame) -> DataFrame:
@@ -190,14 +237,19 @@ def _standing_out(packs: DataFrame, own: DataFrame, top: int) -> DataFrame:
     return met.mapInArrow(K.mapper(rows, _TERMS), "lang string, g long, item string, value long")
 
 
-def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = 50, cell_groups: int = CELL_GROUPS, pack_counts: int = PACK_COUNTS) -> DataFrame:
+def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = 50, cell_groups: int = CELL_GROUPS, pack_counts: int = PACK_COUNTS, sent_terms: int = SENT_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank): see above; part ``pair`` has all other sources of the language, part ``term`` at most ``top`` terms of a group."""
-    every = group_counts(docs)
-    kept = every.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("tf").alias("c")).where(F.col("df") >= least).drop("df")
-    counts = cut(every.drop("df").join(kept, ["lang", "term"]))
-    terms = counts.groupBy("lang", "term").agg(F.first("c").alias("c"))
+    docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
+    kept = cut(group_counts(docs.withColumn("source", F.lit(""))).where(F.col("df") >= least).select("lang", "term"))
+    n, size = kept.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if n <= sent_terms and size <= SENT_BYTES:
+        counts = group_counts(docs, kept.toArrow())
+    else:
+        counts = group_counts(docs).join(kept, ["lang", "term"])
+    counts = cut(counts.drop("df"))
+    terms = counts.groupBy("lang", "term").agg(F.sum("tf").alias("c"))
     langs = cut(terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("c").alias("n_lang")))
-    known = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
+    known = docs.select("lang", "source").distinct()
     totals = counts.groupBy("lang", "source").agg(F.sum("tf").alias("n"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1  # one row a source, which the result has squared
     groups = known.join(totals, ["lang", "source"], "left").join(langs.select("lang", "v"), "lang", "left")

@@ -63,18 +63,19 @@ class Lanes:
             h[i] = xxhash.xxh3_64_intdigest(self.raw[start[i] : start[i] + size[i]].tobytes(), seed=int(_SEED) & 0xFFFFFFFF)
         return h
 
-    def equal(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Whether the spans of these sizes at a and at b hold the same bytes."""
-        out = (self.at[a] ^ self.at[b]) & _FIRST[np.minimum(size, 8)] == 0
+    def equal(self, a: np.ndarray, b: np.ndarray, size: np.ndarray, other: Lanes | None = None) -> np.ndarray:
+        """Whether the spans of these sizes at a, and at b (of the other bytes, if there are others), hold the same bytes."""
+        other = other or self
+        out = (self.at[a] ^ other.at[b]) & _FIRST[np.minimum(size, 8)] == 0
         more = np.flatnonzero(out & (size > 8) & (size <= LONG_SPAN))
         lane = 1
         while len(more):
             left = size[more] - 8 * lane
-            same = (self.at[a[more] + 8 * lane] ^ self.at[b[more] + 8 * lane]) & _FIRST[np.minimum(left, 8)] == 0
+            same = (self.at[a[more] + 8 * lane] ^ other.at[b[more] + 8 * lane]) & _FIRST[np.minimum(left, 8)] == 0
             out[more[~same]] = False
             more, lane = more[same & (left > 8)], lane + 1
         for i in np.flatnonzero(out & (size > LONG_SPAN)).tolist():
-            out[i] = np.array_equal(self.raw[a[i] : a[i] + size[i]], self.raw[b[i] : b[i] + size[i]])
+            out[i] = np.array_equal(self.raw[a[i] : a[i] + size[i]], other.raw[b[i] : b[i] + size[i]])
         return out
 
 
