@@ -36,6 +36,13 @@ from pyspark.sql import functions as F
 from voxgraph.llm import kernels as K
 
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
+# Code points that became letters or numbers with Unicode 16.0, which the tokenizers library follows; first and last of each range.
+LETTERS_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NUMBERS_16 = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
 # The contractions that stand as words of their own, in the order in which they are tried.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Distinct words whose tokens a Python worker keeps within a partition.
@@ -56,6 +63,9 @@ def _classes() -> np.ndarray:
     for c in range(sys.maxunicode + 1):
         first = unicodedata.category(chr(c))[0]
         t[c] = _LETTER if first == "L" else _NUMBER if first == "N" else _OTHER
+    for ranges, kind in ((LETTERS_16, _LETTER), (NUMBERS_16, _NUMBER)):
+        for first, last in ranges:
+            t[first : last + 1] = kind
     t[list(white)] = _SPACE
     return t
 
