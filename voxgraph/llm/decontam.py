@@ -150,6 +150,36 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return _by_join(docs, bench, k)
 
 
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", span: int = 10, k: int = 5, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` whose texts hold no window of an item, with all their columns.
+
+    Each row is judged by its text, whatever its id: rows without an id, or that share one with a hit text, stay if they are clean.
+    """
+    bench = benchmark_windows(items, span=span, k=k).persist(StorageLevel.DISK_ONLY)
+    n, size = bench.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
+    if n > broadcast_windows or size > BROADCAST_BYTES:
+        known = docs.withColumn("_of", F.unhex(F.sha2(text_col, 256)))
+        met = _met(known.select(F.col("_of").alias("of"), F.col(text_col).alias("text")), bench, k)[0]
+        return known.join(met.select(F.col("of").alias("_of")).distinct(), "_of", "left_anti").select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(bench.toArrow())
+    bench.unpersist()
+    column = docs.columns.index(text_col)
+    made: list[_Index] = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in K.released(batches):
+            if not made:
+                made.append(_Index(shared.value, k))
+            for a, b, data, off in K.slices(batch.column(column)):
+                w = K.words(data, off, K.ALNUM)
+                keep = np.ones(b - a, bool)
+                for _, at, _ in made[0].hits(w):
+                    keep[w.doc[at]] = False
+                yield batch.slice(a, b - a).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _by_broadcast(docs: DataFrame, table: pa.Table, k: int) -> DataFrame:
     """One pass over the documents, without a shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -184,14 +214,13 @@ def _by_broadcast(docs: DataFrame, table: pa.Table, k: int) -> DataFrame:
     return docs.mapInArrow(K.mapper(rows, _SCHEMA), _DDL)
 
 
-def _by_join(docs: DataFrame, bench: DataFrame, k: int) -> DataFrame:
-    """For a benchmark of any size: fingerprints meet in a shuffled join, and only texts that meet one are extended.
+def _met(known: DataFrame, bench: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(of, pos, length, list): windows of texts that the benchmark has, and (length, words, items, list): the items of each.
 
-    Texts are known by their digests, so that copies are extended alike and a row's id plays no part.  Windows that the
-    same items have share one list of them, which a text joins once, however many of those windows it holds.
+    ``known`` has (of, text): each text is expanded once, however many copies it has.
     """
     lengths = sorted(r[0] for r in bench.select("length").distinct().collect())  # at most span of them
-    docs = docs.withColumn("of", F.unhex(F.sha2("text", 256)))
+    known = known.where("of is not null").dropDuplicates(["of"])
 
     def prints(batch: pa.RecordBatch) -> Iterator[dict]:
         for a, _, data, off in K.slices(batch.column(1)):
@@ -213,19 +242,29 @@ def _by_join(docs: DataFrame, bench: DataFrame, k: int) -> DataFrame:
                 at = at[_member(wanted, gate)]
                 yield {"of": batch.column(0).take(pa.array(a + w.doc[at])), "pos": at - bounds[w.doc[at]], "length": np.full(len(at), length, np.int32), "words": pa.array([w.written(i, length) for i in at.tolist()], pa.binary())}
 
-    def count(batch: pa.RecordBatch) -> Iterator[dict]:
-        for a, b, data, off in K.slices(batch.column(2)):
-            yield {"doc_id": batch.column(0).slice(a, b - a), "of": batch.column(1).slice(a, b - a), "n_words": np.diff(K.words(data, off, K.ALNUM).bounds())}
-
     digest = pa.binary()
-    known = docs.select("of", "text").where("of is not null")
     fps = known.mapInArrow(K.mapper(prints, pa.schema([("of", digest), ("gate", pa.int64())])), "of binary, gate long")
     wanted = fps.join(bench.select("gate").distinct(), "gate", "left_semi").groupBy("of").agg(F.collect_set("gate").alias("gates"))
     wins = known.join(wanted, "of").mapInArrow(
         K.mapper(spans, pa.schema([("of", digest), ("pos", pa.int64()), ("length", pa.int32()), ("words", pa.binary())])), "of binary, pos long, length int, words binary"
     )
     lists = bench.groupBy("length", "words").agg(F.array_sort(F.collect_set("item_id")).alias("items")).withColumn("list", F.md5(F.to_json("items")))
-    met = wins.distinct().join(lists.select("length", "words", "list"), ["length", "words"])
+    return wins.join(lists.select("length", "words", "list"), ["length", "words"]), lists
+
+
+def _by_join(docs: DataFrame, bench: DataFrame, k: int) -> DataFrame:
+    """For a benchmark of any size: fingerprints meet in a shuffled join, and only texts that meet one are extended.
+
+    Texts are known by their digests, so that copies are extended alike and a row's id plays no part.  Windows that the
+    same items have share one list of them, which a text joins once, however many of those windows it holds.
+    """
+    docs = docs.withColumn("of", F.unhex(F.sha2("text", 256)))
+
+    def count(batch: pa.RecordBatch) -> Iterator[dict]:
+        for a, b, data, off in K.slices(batch.column(2)):
+            yield {"doc_id": batch.column(0).slice(a, b - a), "of": batch.column(1).slice(a, b - a), "n_words": np.diff(K.words(data, off, K.ALNUM).bounds())}
+
+    met, lists = _met(docs.select("of", "text"), bench, k)
     ends = met.groupBy("of", "pos").agg(F.max(F.col("pos") + F.col("length")).alias("to"))
     # A document's intervals are no more than its own words: they are united in order of their starts.
     united = ends.groupBy("of").agg(F.array_sort(F.collect_list(F.struct("pos", "to"))).alias("s")).select(
@@ -239,7 +278,7 @@ def _by_join(docs: DataFrame, bench: DataFrame, k: int) -> DataFrame:
     )
     distinct_lists = lists.groupBy("list").agg(F.first("items").alias("items"))
     items = met.select("of", "list").distinct().join(distinct_lists, "list").groupBy("of").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("item_ids"))
-    total = docs.select("doc_id", "of", "text").mapInArrow(K.mapper(count, pa.schema([("doc_id", pa.int64()), ("of", digest), ("n_words", pa.int64())])), "doc_id long, of binary, n_words long")
+    total = docs.select("doc_id", "of", "text").mapInArrow(K.mapper(count, pa.schema([("doc_id", pa.int64()), ("of", pa.binary()), ("n_words", pa.int64())])), "doc_id long, of binary, n_words long")
     none = F.expr("cast(array() as array<string>)")
     return total.join(united.join(items, "of"), "of", "left").select(
         "doc_id",
