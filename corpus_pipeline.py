@@ -2,6 +2,12 @@
 
 Every stage reads all that the stage before it kept, and its decisions take
 effect.  All but the last return the columns of ``documents``.
+
+Rows: texts decide, and ids only which document of a group of near duplicates
+stays, the one of least id; a row without an id is never dropped as a duplicate,
+and rows that share an id stay or go as duplicates together.  Null and empty texts
+are neither toxic, nor duplicates, nor hit: they pass through all stages and have
+no tokens.  Empty tables give no rows, and further columns go.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from voxgraph.llm import kernels as K
 from voxgraph.llm import bpe, decontam, neardup, secrets, toxicity
 from voxgraph.llm.queries import tokenizer_path, toxicity_model
-from voxgraph.plans.lineage import by_ids, cut
+from voxgraph.plans.lineage import cut
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -31,10 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share a span with a benchmark item go."""
-    docs = docs.select(*COLUMNS)
-    found = decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return by_ids(docs, found.where("contaminated").select("doc_id"), "doc_id", "left_anti")
+    """Documents that share a span with a benchmark item go; each row is judged by its own text, whatever its id."""
+    return decontam.clean(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
