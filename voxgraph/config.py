@@ -35,6 +35,9 @@ class Params:
     fusion_iterations: int = 2500
     fusion_stop: int = 20
     fusion_stop_global: int = 12
+    fusion_parallel: int = 1
+    fusion_at_once: int = 0
+    visit_nth: int = 0
     wsdt_threshold: float = 0.2
     wsdt_min_segment: int = 75
     wsdt_sigma_seeds: float = 2.6

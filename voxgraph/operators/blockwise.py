@@ -12,18 +12,19 @@ from pyspark.sql import functions as F
 from voxgraph.functions.ids import prefix_offsets
 from voxgraph.operators.blocking import block_graph, blocks, edges_between_blocks, in_blocks, inner_edges, nodes_to_blocks, outer_edges, subproblem_nodes
 from voxgraph.operators.costs import bias
+from voxgraph.operators.contraction import solve_whole
 from voxgraph.operators.graph import compose, connected_components, contract
 from voxgraph.operators.solvers import Limits, solve_edges
 from voxgraph.plans.lineage import cut
 
 
-def solve_groups(edges: DataFrame, key: Sequence[str], name: str = "fm-kl", seconds: float = 36_000.0, seed_fraction: float = 0.05, stop: int = 12) -> DataFrame:
+def solve_groups(edges: DataFrame, key: Sequence[str], name: str = "fm-kl", limits: Limits | None = None) -> DataFrame:
     """(key, u, v, is_cut): every group of edges solved as a problem of its own, one task each."""
-    kinds = dict(edges.dtypes)
+    kinds, limits = dict(edges.dtypes), limits or Limits()
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         u, v = rows.u.to_numpy(), rows.v.to_numpy()
-        nodes, labels, _ = solve_edges(u, v, rows.cost.to_numpy(), name, Limits(seconds=seconds, seed_fraction=seed_fraction, stop=stop))
+        nodes, labels, _ = solve_edges(u, v, rows.cost.to_numpy(), name, limits.fresh())
         out = rows[[*key, "u", "v"]].copy()
         out["is_cut"] = (labels[np.searchsorted(nodes, u)] != labels[np.searchsorted(nodes, v)]).astype(np.int32)
         return out
@@ -32,28 +33,16 @@ def solve_groups(edges: DataFrame, key: Sequence[str], name: str = "fm-kl", seco
     return edges.select(*key, "u", "v", "cost").groupBy(*key).applyInPandas(solve, schema)
 
 
-def solve_global(edges: DataFrame, name: str = "fm-kl", seconds: float = 36_000.0, seed_fraction: float = 1e-5, stop: int = 12) -> DataFrame:
-    """(node, component): one problem, in one task; reduce it first.  Components are named by their least node."""
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        nodes, labels, _ = solve_edges(rows.u.to_numpy(), rows.v.to_numpy(), rows.cost.to_numpy(), name, Limits(seconds=seconds, seed_fraction=seed_fraction, stop=stop))
-        least = np.full(labels.max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, labels, nodes)
-        return pd.DataFrame({"node": nodes, "component": least[labels]})
-
-    return edges.select("u", "v", "cost").groupBy().applyInPandas(solve, "node long, component long")
-
-
 def merge_cuts(edges: DataFrame, cuts: DataFrame) -> DataFrame:
     """Edges with is_cut: cut if any block cuts them, and if no block holds them."""
     any_cut = cuts.groupBy("u", "v").agg(F.max("is_cut").alias("is_cut"))
     return edges.join(any_cut, ["u", "v"], "left").withColumn("is_cut", F.coalesce("is_cut", F.lit(1)))
 
 
-def solve_blocks(edges: DataFrame, block_nodes: DataFrame, name: str = "fm-kl", cut_outer: bool = True, seconds: float = 36_000.0) -> DataFrame:
+def solve_blocks(edges: DataFrame, block_nodes: DataFrame, name: str = "fm-kl", cut_outer: bool = True, limits: Limits | None = None) -> DataFrame:
     """Edges with is_cut from the sub-problems of all blocks; edges that leave a block are cut too, unless told otherwise."""
     inner = inner_edges(edges.select("u", "v", "cost"), block_nodes)
-    cuts = solve_groups(inner, ["block_id"], name, seconds).select("u", "v", "is_cut")
+    cuts = solve_groups(inner, ["block_id"], name, limits).select("u", "v", "is_cut")
     if cut_outer:
         cuts = cuts.unionByName(outer_edges(edges.select("u", "v", "cost"), block_nodes).select("u", "v", F.lit(1).alias("is_cut")))
     return merge_cuts(edges, cuts)
@@ -75,15 +64,15 @@ def reduce_problem(edges: DataFrame, solved: DataFrame, nodes: DataFrame) -> tup
 class Hierarchy:
     """Levels of block-wise solving; blocks double with each level, the halo stays."""
 
-    def __init__(self, voxels: DataFrame, edges: DataFrame, shape: Sequence[int], block: Sequence[int], overlap: Sequence[int], levels: int = 1, name: str = "kl", seg: str = "seg", skip_slices: DataFrame | None = None):
-        self.voxels, self.shape, self.block, self.overlap, self.seg, self.name, self.skip = voxels, shape, block, overlap, seg, name, skip_slices
+    def __init__(self, voxels: DataFrame, edges: DataFrame, shape: Sequence[int], block: Sequence[int], overlap: Sequence[int], levels: int = 1, name: str = "kl", seg: str = "seg", skip_slices: DataFrame | None = None, limits: Limits | None = None):
+        self.voxels, self.shape, self.block, self.overlap, self.seg, self.name, self.skip, self.limits = voxels, shape, block, overlap, seg, name, skip_slices, limits
         edges = cut(edges.select("u", "v", "cost"))
         regions = voxels.select(F.col(seg).alias("node")).distinct()
         self.edges = [edges]
         self.maps = [regions.select("node", F.col("node").alias("component"))]
         self.solved: list[DataFrame] = []
         for level in range(levels):
-            solved = cut(solve_blocks(self.edges[-1], self.block_nodes(level), name))
+            solved = cut(solve_blocks(self.edges[-1], self.block_nodes(level), name, limits=limits))
             reduced, to = reduce_problem(self.edges[-1], solved, node_table(self.edges[-1], self.maps[-1].select(F.col("component").alias("node"))))
             self.solved.append(solved)
             self.edges.append(reduced)
@@ -106,9 +95,9 @@ class Hierarchy:
         return last.select("node", F.coalesce("_p", "component").alias("component"))
 
 
-def multicut(h: Hierarchy, name: str = "fm-kl", seconds: float = 36_000.0) -> DataFrame:
+def multicut(h: Hierarchy, name: str = "fm-kl", limits: Limits | None = None) -> DataFrame:
     """The reduced problem solved as a whole."""
-    return h.finish(solve_global(h.edges[-1], name, seconds))
+    return h.finish(solve_whole(h.edges[-1], name, limits))
 
 
 def no_stitching(h: Hierarchy) -> DataFrame:
@@ -135,7 +124,7 @@ def stitch_multicut(h: Hierarchy, name: str = "kl") -> DataFrame:
     shared = own.withColumnRenamed("block_id", "a").join(pairs, "a").join(own.withColumnRenamed("block_id", "b"), ["b", "node"]).select("a", "b", "node")
     nodes = shared.unionByName(between.select("a", "b", F.col("u").alias("node"))).unionByName(between.select("a", "b", F.col("v").alias("node"))).distinct()
     held = edges.join(nodes.withColumnRenamed("node", "u"), "u").join(nodes.withColumnRenamed("node", "v"), ["a", "b", "v"])
-    solved = merge_cuts(edges, solve_groups(held.select("a", "b", "u", "v", "cost"), ["a", "b"], name))
+    solved = merge_cuts(edges, solve_groups(held.select("a", "b", "u", "v", "cost"), ["a", "b"], name, h.limits))
     return h.finish(connected_components(solved.where("is_cut = 0")))
 
 
@@ -180,6 +169,28 @@ def stitch_overlap(block_voxels: DataFrame, threshold: float = 0.5) -> DataFrame
     return own.join(comp, "node", "left").select("block_id", "label", F.coalesce("component", "node").alias("component"))
 
 
+def _in_blocks(edges: DataFrame, block_nodes: DataFrame, names: Sequence[str], limits: Limits) -> DataFrame:
+    """(block_id, solver, energy, bound, proven, seconds): every block by every solver; bound and proven are null where a solver proves nothing."""
+    held = inner_edges(edges.select("u", "v", "cost"), block_nodes)
+    runs = held.select("block_id", "u", "v", "cost", F.explode(F.array(*map(F.lit, names))).alias("solver"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        own = limits.fresh()
+        _, _, energy = solve_edges(rows.u.to_numpy(), rows.v.to_numpy(), rows.cost.to_numpy(), rows.solver.iloc[0], own)
+        proof = own.proof
+        known = {"bound": [proof.bound if proof else None], "proven": [proof.proven if proof else None]}
+        return pd.DataFrame({"block_id": rows.block_id.iloc[:1], "solver": rows.solver.iloc[:1], "energy": energy, **{k: pd.Series(v, dtype=object, index=rows.index[:1]) for k, v in known.items()}, "seconds": own.spent()})
+
+    kind = dict(held.dtypes)["block_id"]
+    return runs.groupBy("block_id", "solver").applyInPandas(run, f"block_id {kind}, solver string, energy double, bound double, proven boolean, seconds double")
+
+
+def block_bounds(edges: DataFrame, block_nodes: DataFrame, limits: Limits | None = None) -> DataFrame:
+    """(block_id, energy, bound, gap, proven): the exact solver on every block, and how far its partition may be from the best."""
+    found = _in_blocks(edges, block_nodes, ["ilp"], limits or Limits())
+    return found.select("block_id", "energy", "bound", F.greatest(F.col("energy") - F.col("bound"), F.lit(0.0)).alias("gap"), "proven")
+
+
 def compare_solvers(edges: DataFrame, block_nodes: DataFrame, names: Sequence[str], n_blocks: int = 5, seconds: float = 36_000.0) -> DataFrame:
     """(solver, blocks, energy, seconds): mean energy and mean time of solvers over some blocks, drawn without replacement.
 
@@ -187,13 +198,5 @@ def compare_solvers(edges: DataFrame, block_nodes: DataFrame, names: Sequence[st
     """
     drawn = (F.col("block_id").cast("long") + 1) * 48271 % 2147483647
     chosen = block_nodes.select("block_id").distinct().orderBy(drawn).limit(n_blocks)
-    held = inner_edges(edges.select("u", "v", "cost"), block_nodes.join(chosen, "block_id"))
-    runs = held.select("block_id", "u", "v", "cost", F.explode(F.array(*map(F.lit, names))).alias("solver"))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        limits = Limits(seconds=seconds)
-        _, _, energy = solve_edges(rows.u.to_numpy(), rows.v.to_numpy(), rows.cost.to_numpy(), rows.solver.iloc[0], limits)
-        return pd.DataFrame({"solver": rows.solver.iloc[:1], "energy": energy, "seconds": limits.spent()})
-
-    solved = runs.groupBy("block_id", "solver").applyInPandas(run, "solver string, energy double, seconds double")
+    solved = _in_blocks(edges, block_nodes.join(chosen, "block_id"), names, Limits(seconds=seconds))
     return solved.groupBy("solver").agg(F.count("*").alias("blocks"), F.avg("energy").alias("energy"), F.avg("seconds").alias("seconds"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxgraph.plans.lineage import cut
 
 
-def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+def connected_components(edges: DataFrame, u: str = "u", v: str = "v", write: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """(node, component) of every node that has an edge; a component is named by its least node.
 
     Each round points every node at its least neighbour (or itself), follows
@@ -16,22 +18,22 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     point elsewhere vanish, so that a round halves the nodes at least, and the
     steps that pointers take at once grow threefold with each table.  Groupings are combined
     before the shuffle, and joins on a hub are split by adaptive execution.
-    Null endpoints are ignored, self loops make a node known, no edges give no
+    ``write`` cuts the lineage of each step's table.  Null endpoints are ignored, self loops make a node known, no edges give no
     rows.
     """
     pairs = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u is not null and v is not null")
     loops = pairs.where("u = v").select(F.col("u").alias("node"))
-    left = cut(pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    left = write(pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     first = left
     labels = None
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        to = cut(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select("node", F.least("node", "low").alias("to")))
+        to = write(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select("node", F.least("node", "low").alias("to")))
         while True:
             # Two steps for each table that is written: most pointers end after that.
             ahead = to.select(F.col("node").alias("to"), F.col("to").alias("next"))
             once = to.join(ahead, "to").select("node", F.col("next").alias("to"))
-            moved = cut(once.join(ahead, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
+            moved = write(once.join(ahead, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
             to = moved.select("node", "to")
             if moved.where("moved").isEmpty():
                 break
@@ -39,10 +41,10 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
             labels = to
         else:
             later = to.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            labels = cut(labels.join(later, "to", "left").select("node", F.coalesce("next", "to").alias("to")))
+            labels = write(labels.join(later, "to", "left").select("node", F.coalesce("next", "to").alias("to")))
         a = to.select(F.col("node").alias("u"), F.col("to").alias("a"))
         b = to.select(F.col("node").alias("v"), F.col("to").alias("b"))
-        left = cut(left.join(a, "u").join(b, "v").where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+        left = write(left.join(a, "u").join(b, "v").where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
     if labels is None:
         labels = first.select(F.col("u").alias("node"), F.col("v").alias("to"))
     alone = loops.distinct().join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("to"))

@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxgraph.plans.lineage import cut
+
 KEYS = ("u", "v", "edge_type")
 
 
@@ -19,7 +21,20 @@ def feature_columns(features: DataFrame, keys: Sequence[str] = KEYS) -> list[str
     return [c for c in features.columns if c not in skip]
 
 
+#: Training rows of a partition: their number sets the partitions, so that a fit is the same however rows were dealt before.
+FIT_ROWS = 200_000
+
+
+def _plain(columns: Sequence[str]) -> list:
+    """Features in single precision: the last digits of their sums depend on the order of the terms."""
+    return [F.col(c).cast("float").cast("double").alias(c) for c in columns]
+
+
 def fit_forest(rows: DataFrame, columns: Sequence[str], label: str = "label", n_trees: int = 500, max_depth: int = 12, seed: int = 0) -> PipelineModel:
+    """The same rows give the same forest: they are dealt by a hash and ordered by all their values, and written before the passes over them."""
+    rows = rows.select(*_plain(columns), label)
+    parts = max(1, rows.count() // FIT_ROWS)
+    rows = cut(rows.repartition(parts, F.hash(*columns, label)).sortWithinPartitions(*columns, label))
     assemble = VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="keep")
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_trees, maxDepth=max_depth, seed=seed)
     return Pipeline(stages=[assemble, forest]).fit(rows)
@@ -29,7 +44,8 @@ def probability(model: PipelineModel, rows: DataFrame, keys: Sequence[str] = KEY
     """(keys, prob): probability of label 1; undecided where the model has none."""
     p = vector_to_array("probability")
     p1 = F.when(F.size(p) > 1, p[1]).otherwise(F.lit(0.5))
-    return model.transform(rows).select(*keys, F.when(F.isnan(p1), 0.5).otherwise(p1).alias("prob"))
+    columns = model.stages[0].getInputCols()
+    return model.transform(rows.select(*keys, *_plain(columns))).select(*keys, F.when(F.isnan(p1), 0.5).otherwise(p1).alias("prob"))
 
 
 def training_rows(features: DataFrame, truth: DataFrame) -> DataFrame:
@@ -51,10 +67,9 @@ class EdgeClassifier:
         for r in rows[1:]:
             every = every.unionByName(r)
         columns = feature_columns(every)
-        every = every.cache()
+        every = cut(every)
         kinds = [r[0] for r in every.select("edge_type").distinct().orderBy("edge_type").collect()] if separate else ["joined"]
         models = {k: fit_forest(every.where(F.col("edge_type") == k) if separate else every, columns, n_trees=n_trees, max_depth=max_depth, seed=seed) for k in kinds}
-        every.unpersist()
         return EdgeClassifier(models)
 
     def predict(self, features: DataFrame) -> DataFrame:

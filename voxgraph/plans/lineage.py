@@ -31,3 +31,15 @@ def by_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str = "left_semi", m
     """Semi or anti join on one id; the ids are counted first and sent to every executor only if they are few."""
     ids = cut(ids.select(id_col).distinct())
     return df.join(F.broadcast(ids) if ids.count() <= most else ids, id_col, how)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` cut, for loops: without the optimizer's guess of its size.
+
+    Without statistics of columns a join's guess is the product of its sides', which ``cut`` hands on, so that its digits would grow
+    threefold with every round.  Adaptive execution measures the sides anyway.
+    """
+    spark = df.sparkSession
+    done = cut(df)
+    plain = spark._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False)
+    return DataFrame(plain, spark)

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.config import Inputs, Params, select_features
-from voxgraph.operators import blockwise, costs, features, kernels, learning, rag
+from voxgraph.operators import blockwise, contraction, costs, features, kernels, learning, rag
 from voxgraph.operators.defects import defect_slices, replace_slices, replacement_slices, segments_per_slice
 from voxgraph.operators.labels import consecutive
+from voxgraph.operators.solvers import Limits
 from voxgraph.plans.lineage import cut
 from voxgraph.sources.volume import AXES, VolumeStore, shift
 
@@ -67,24 +68,28 @@ def finished(voxels: DataFrame, partition: DataFrame, seg: str = "seg", ignore_l
 
 
 @logged
-def multicut_segmentation(voxels: DataFrame, edges: DataFrame, name: str = "fm-kl", seconds: float = 36_000.0, **how) -> DataFrame:
-    part = blockwise.solve_global(edges, name, seconds)
+def multicut_segmentation(voxels: DataFrame, edges: DataFrame, name: str = "fm-kl", limits: Limits | None = None, n_parallel: int = 1, n_fuse: int = 0, **how) -> DataFrame:
+    """The whole problem by one solver, or, if several proposals are made side by side, by fusing those with its backend (fm-kl: kl)."""
+    if n_parallel > 1 and name.startswith("fm-"):
+        part = contraction.parallel_fusion(edges, name.removeprefix("fm-"), limits, n_parallel, n_fuse)
+    else:
+        part = contraction.solve_whole(edges, name, limits)
     nodes = voxels.select(F.col(how.get("seg", "seg")).alias("node")).distinct()
     whole = nodes.join(part, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     return finished(voxels, whole, **how)
 
 
 @logged
-def blockwise_segmentation(voxels: DataFrame, edges: DataFrame, shape: Sequence[int], block: Sequence[int], overlap: Sequence[int], levels: int = 1, stitching: str = "multicut", sub_solver: str = "kl", solver: str = "fm-kl", boundary_bias: float = 0.5, threshold: float = 0.5, **how) -> DataFrame:
+def blockwise_segmentation(voxels: DataFrame, edges: DataFrame, shape: Sequence[int], block: Sequence[int], overlap: Sequence[int], levels: int = 1, stitching: str = "multicut", sub_solver: str = "kl", solver: str = "fm-kl", boundary_bias: float = 0.5, threshold: float = 0.5, sub_limits: Limits | None = None, limits: Limits | None = None, **how) -> DataFrame:
     """Stitching by a ``multicut`` of the reduced problem, ``attractive`` edges, ``pairs`` of blocks, voxel ``overlap`` or ``none``."""
-    h = blockwise.Hierarchy(voxels, edges, shape, block, overlap, levels, sub_solver, how.get("seg", "seg"))
+    h = blockwise.Hierarchy(voxels, edges, shape, block, overlap, levels, sub_solver, how.get("seg", "seg"), limits=sub_limits)
     if stitching == "overlap":
         own = blockwise.block_segmentation(h)
         comp = blockwise.stitch_overlap(own, threshold)
         merged = own.join(comp, ["block_id", "label"]).groupBy("z", "y", "x").agg(F.min("component").alias("node"))
         part = merged.select("node").distinct().select("node", F.col("node").alias("component"))
         return finished(merged, part, **{**how, "seg": "node"})
-    ways = {"multicut": lambda: blockwise.multicut(h, solver), "attractive": lambda: blockwise.stitch_attractive(h, boundary_bias), "pairs": lambda: blockwise.stitch_multicut(h, sub_solver), "none": lambda: blockwise.no_stitching(h)}
+    ways = {"multicut": lambda: blockwise.multicut(h, solver, limits), "attractive": lambda: blockwise.stitch_attractive(h, boundary_bias), "pairs": lambda: blockwise.stitch_multicut(h, sub_solver), "none": lambda: blockwise.no_stitching(h)}
     if stitching not in ways:
         raise ValueError(f"no way of stitching is named {stitching}")
     return finished(voxels, ways[stitching](), **how)
@@ -95,26 +100,56 @@ def subblock_segmentations(h: blockwise.Hierarchy, path: str) -> None:
     blockwise.block_segmentation(h).write.mode("overwrite").partitionBy("block_id").parquet(path)
 
 
+def _column(spark: SparkSession, path: str, key: str, name: str) -> DataFrame:
+    """(z, y, x, name) of a volume's table, which has the axes and one column of values."""
+    table = VolumeStore(spark, path).open(key)
+    (value,) = (c for c in table.columns if c not in AXES)
+    return table.select(*AXES, F.col(value).alias(name))
+
+
+def oversegment(spark: SparkSession, inputs: Inputs, params: Params) -> None:
+    """The segmentation of the inputs, by a watershed of every slice of the last data volume, if it does not exist yet."""
+    store = VolumeStore(spark, inputs.seg)
+    if inputs.seg_key in store:
+        return
+    if not inputs.data:
+        raise ValueError("there is neither a segmentation nor a volume to make one from")
+    voxels = _column(spark, inputs.data[-1], inputs.data_keys[-1] if inputs.data_keys else "data", "prob")
+    if inputs.mask:
+        voxels = voxels.join(_column(spark, inputs.mask, "data", "mask").withColumn("mask", F.col("mask").cast("boolean")), list(AXES))
+    made = kernels.wsdt_segmentation(voxels, "prob", params.wsdt_threshold, params.wsdt_sigma_seeds, params.wsdt_min_segment, params.wsdt_invert, "mask" if inputs.mask else None)
+    store.write(made, inputs.seg_key)
+
+
 def read_volumes(spark: SparkSession, inputs: Inputs) -> DataFrame:
     """(z, y, x, seg, d0, d1, ..., and gt and mask if there are): the volumes of a run side by side.
 
-    A volume is a folder of tables by key, with the columns z, y, x and one for its values.
+    A volume is a folder of tables by key, with the columns z, y, x and one for its values.  A voxel that one of them lacks is in no
+    result; without a mask all are inside.
     """
     named = [("seg", inputs.seg, inputs.seg_key)]
     named += [(f"d{i}", path, inputs.data_keys[i] if inputs.data_keys else "data") for i, path in enumerate(inputs.data)]
     named += [(name, path, "data") for name, path in (("gt", inputs.gt), ("mask", inputs.mask)) if path]
     out = None
     for name, path, key in named:
-        table = VolumeStore(spark, path).open(key)
-        (value,) = (c for c in table.columns if c not in AXES)
-        one = table.select(*AXES, F.col(value).alias(name))
+        one = _column(spark, path, key, name)
         out = one if out is None else out.join(one, list(AXES))
-    return out
+    return out.withColumn("mask", F.col("mask").cast("boolean")) if inputs.mask else out
+
+
+def inside(voxels: DataFrame) -> DataFrame:
+    """The voxels of the mask, which alone have regions, edges and features."""
+    return voxels.where("mask") if "mask" in voxels.columns else voxels
 
 
 def features_of(voxels: DataFrame, params: Params, n_inputs: int) -> dict[str, DataFrame]:
-    """By kind of edge: (u, v, edge_type, features) of the chosen features, side by side."""
-    edges = rag.rag_edges(voxels).select("u", "v", "edge_type")
+    """By kind of edge: (u, v, edge_type, features) of the chosen features, side by side.
+
+    Filters see whole slices, borders and regions only what is inside the mask.
+    """
+    own = inside(voxels)
+    edges = cut(rag.rag_edges(own, ignore_label=params.ignore_seg_label).select("u", "v", "edge_type"))
+    filters: dict[str, DataFrame] = {}
     out: dict[str, DataFrame] = {}
     for kind in ("xy", "z"):
         tables = []
@@ -123,16 +158,18 @@ def features_of(voxels: DataFrame, params: Params, n_inputs: int) -> dict[str, D
                 continue
             value = f"d{number}"
             if name == "reg":
-                tables.append(features.region_edge_features(edges, features.region_statistics(voxels, value), (kind,)))
+                tables.append(features.region_edge_features(edges, features.region_statistics(own, value), (kind,)))
             elif params.use_simple_features:
-                tables.append(features.edge_features(voxels, value, keep_only_xy=kind == "xy", keep_only_z=kind == "z", z_direction=params.z_affinity_direction))
+                tables.append(features.edge_features(own, value, keep_only_xy=kind == "xy", keep_only_z=kind == "z", z_direction=params.z_affinity_direction))
             else:
-                responses = kernels.filtered(voxels, value)
+                if value not in filters:
+                    filters[value] = cut(kernels.filtered(voxels, value))
+                responses = filters[value]
                 channels = [c for c in responses.columns if c not in AXES]
-                every = features.filter_features(voxels.select(*AXES, "seg").join(responses, list(AXES)), channels, z_direction=params.z_affinity_direction)
+                every = features.filter_features(own.select(*AXES, "seg").join(responses, list(AXES)), channels, z_direction=params.z_affinity_direction)
                 tables.append(every.where(F.col("edge_type") == kind))
         if tables:
-            out[kind] = cut(features.joined_features(*tables))
+            out[kind] = cut(features.joined_features(edges.where(F.col("edge_type") == kind), *tables))
     return out
 
 
@@ -142,7 +179,8 @@ def edge_probabilities(spark: SparkSession, voxels: DataFrame, inputs: Inputs, p
     if inputs.rf:
         model = learning.EdgeClassifier.load(inputs.rf, sorted(by_kind) if params.separate_edge_classification else ["joined"])
     elif inputs.gt:
-        truth = cut(costs.edge_truth(rag.rag_edges(voxels), costs.node_truth(voxels), params.ignore_gt_label))
+        own = inside(voxels)
+        truth = cut(costs.edge_truth(rag.rag_edges(own, ignore_label=params.ignore_seg_label), costs.node_truth(own), params.ignore_gt_label))
         how = {"n_trees": params.n_trees, "max_depth": params.max_depth}
         if params.separate_edge_classification:
             model = learning.EdgeClassifier({k: m for kind, table in by_kind.items() for k, m in learning.EdgeClassifier.learn([(table, truth)], **how).models.items()})
@@ -159,22 +197,44 @@ def edge_probabilities(spark: SparkSession, voxels: DataFrame, inputs: Inputs, p
     return costs.clipped(out)
 
 
+def limits_of(params: Params) -> tuple[Limits, Limits]:
+    """Settings of the solvers of blocks and of the whole or reduced problem."""
+    sub = Limits(seconds=params.global_time_limit, iterations=params.fusion_iterations, stop=params.fusion_stop, sigma=params.fusion_sigma, seed_fraction=params.fusion_seed_fraction, visit_nth=params.visit_nth)
+    return sub, sub.fresh(stop=params.fusion_stop_global, seed_fraction=params.fusion_seed_fraction_global)
+
+
 @logged
 def segment(spark: SparkSession, inputs: Inputs, params: Params, stitching: str | None = "multicut", levels: int = 1) -> DataFrame:
     """(z, y, x, label): the whole run that inputs and parameters describe, from volumes to the projected result.
 
-    ``stitching`` is a way of ``blockwise_segmentation``; None solves the problem as a whole.
+    A segmentation that does not exist is made first.  ``stitching`` is a way of ``blockwise_segmentation``; None solves the problem as
+    a whole.  Voxels outside the mask have label 0.  Two runs over the same volumes give the same result.
     """
-    voxels = cut(read_volumes(spark, inputs))
-    probabilities = edge_probabilities(spark, voxels, inputs, params)
-    problem = cut(costs.multicut_problem(rag.rag_edges(voxels), probabilities, params.beta, params.weighting_scheme, params.weight))
-    shape = tuple(v + 1 for v in voxels.agg(*(F.max(a) for a in AXES)).first())
-    how: dict = {"ignore_label": params.ignore_seg_label, "n_slices": shape[0], "offset": params.offset_front if any(params.offset_front) else None}
+    oversegment(spark, inputs, params)
+    every = cut(read_volumes(spark, inputs))
+    probabilities = edge_probabilities(spark, every, inputs, params)
+    voxels = inside(every)
+    edges = rag.rag_edges(voxels, ignore_label=params.ignore_seg_label)
+    problem = cut(costs.multicut_problem(edges, probabilities, params.beta, params.weighting_scheme, params.weight))
+    shape = tuple(v + 1 for v in every.agg(*(F.max(a) for a in AXES)).first())
+    sub, whole = limits_of(params)
+    how: dict = {"ignore_label": params.ignore_seg_label, "n_slices": shape[0]}
     if params.have_defects:
         how["defects"] = cut(defect_slices(segments_per_slice(voxels), params.defect_bins, params.defect_bin_threshold))
     if stitching is None:
-        return multicut_segmentation(voxels, problem, name=params.global_solver, seconds=params.global_time_limit, **how)
-    return blockwise_segmentation(
-        voxels, problem, shape, params.block_shape, params.block_overlap, levels=levels, stitching=stitching, sub_solver=params.sub_solver, solver=params.global_solver,
-        boundary_bias=params.beta, threshold=params.overlap_threshold, **how,
-    )
+        made = multicut_segmentation(voxels, problem, name=params.global_solver, limits=whole, n_parallel=params.fusion_parallel, n_fuse=params.fusion_at_once, **how)
+    else:
+        made = blockwise_segmentation(
+            voxels, problem, shape, params.block_shape, params.block_overlap, levels=levels, stitching=stitching, sub_solver=params.sub_solver, solver=params.global_solver,
+            boundary_bias=params.beta, threshold=params.overlap_threshold, sub_limits=sub, limits=whole, **how,
+        )
+    if inputs.mask:
+        made = every.select(*AXES).join(made, list(AXES), "left").select(*AXES, F.coalesce("label", F.lit(0)).alias("label"))
+    return shift(made, params.offset_front) if any(params.offset_front) else made
+
+
+def store_result(made: DataFrame, path: str, params: Params, key: str = "data") -> None:
+    """A run's result as a volume that knows the margins of the frame in which it lies."""
+    store = VolumeStore(made.sparkSession, path)
+    store.write(shift(made, [-o for o in params.offset_front]), key)
+    store.set_offsets(params.offset_front, params.offset_back, key)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.functions import ids, metrics, tables
-from voxgraph.operators import blocking, blockwise, costs, defects, features, graph, kernels, labels, learning, rag, solvers
+from voxgraph.operators import blocking, blockwise, contraction, costs, defects, features, graph, kernels, labels, learning, rag, solvers
 from voxgraph.plans import workflows
 from voxgraph.plans.lineage import cut
 from voxgraph.sources import volume
@@ -573,12 +573,12 @@ def cut_or(spark, d):
 # --- solvers and stitching ---------------------------------------------------------------------------------
 
 
-def _solved(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """(node, component) by one solver, of the problem of all slices."""
-    return blockwise.solve_global(_signed(spark, d).where("edge_type = 'xy'"), name)
+def _solved(spark: SparkSession, d: str, name: str, **how) -> DataFrame:
+    """(node, component) by one solver, of the whole problem."""
+    return contraction.solve_whole(_signed(spark, d), name, **how)
 
 
-_SOLVED = _sql(_VOX, _ADJ, _GT, _REACH, "SELECT node, component FROM cc", recursive=True)
+_SOLVED = _sql(_VOX, _ADJ, _GT, _BEST, "SELECT node, component FROM best", recursive=True)
 
 
 @query(_SOLVED)
@@ -606,6 +606,33 @@ def solve_exact(spark, d):
     return _solved(spark, d, "ilp")
 
 
+@query(_SOLVED)
+def solve_contracted(spark, d):
+    """Parts of more than 200 edges are contracted round by round before they are solved."""
+    return _solved(spark, d, "kl", task_edges=200)
+
+
+@query(_SOLVED)
+def solve_parallel_fusion(spark, d):
+    return contraction.parallel_fusion(_signed(spark, d), "kl", solvers.Limits(stop=4), n_parallel=4)
+
+
+_BOUND = "coalesce(sum(CASE WHEN a.component <> b.component THEN c END), 0)"
+
+
+@query(_sql(_VOX, _ADJ, _GT, _SIGNED, _BEST, f", e AS (SELECT u, v, sum(cost) AS c FROM sg GROUP BY u, v) SELECT {_BOUND} AS energy, {_BOUND} AS bound, 0.0::DOUBLE AS gap, true AS proven FROM e JOIN best a ON a.node = u JOIN best b ON b.node = v", recursive=True))
+def multicut_bound(spark, d):
+    """What the exact solver finds for the whole problem, and the bound that proves it."""
+    return contraction.bounds(_signed(spark, d)).select(_r("energy", 3).alias("energy"), _r("bound", 3).alias("bound"), _r("gap", 3).alias("gap"), "proven")
+
+
+@query(_sql(_VOX, _ADJ, _GT, _BLOCKS, _ENDS, _SIGNED, " SELECT block_id, sum(least(cost, 0)) AS energy, sum(least(cost, 0)) AS bound, 0.0::DOUBLE AS gap, true AS proven FROM ends JOIN sg USING (u, v, edge_type) WHERE n = 2 GROUP BY block_id"))
+def block_bounds(spark, d):
+    """The proof of every block's problem."""
+    out = blockwise.block_bounds(_signed(spark, d), _block_nodes(spark, d))
+    return out.select("block_id", *(_r(c, 3).alias(c) for c in ("energy", "bound", "gap")), "proven")
+
+
 @query(
     _sql(
         _VOX, _ADJ, _GT, _BLOCKS, _ENDS, _SIGNED,
