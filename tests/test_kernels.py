@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxgraph.operators import kernels as K
+from voxgraph.operators import tiles
 from voxgraph.operators import learning
 from voxgraph.streaming import slices
 
@@ -52,10 +53,10 @@ def volume(spark):
 
 
 def test_segmentation_never_shares_labels(volume):
-    got = K.wsdt_segmentation(volume, threshold=0.8, sigma=1.0, min_size=4).groupBy("z").agg(F.min("seg").alias("lo"), F.max("seg").alias("hi"), F.count("*").alias("n")).orderBy("z").collect()
+    got = tiles.wsdt_segmentation(volume, threshold=0.8, sigma=1.0, min_size=4).groupBy("z").agg(F.min("seg").alias("lo"), F.max("seg").alias("hi"), F.count("*").alias("n")).orderBy("z").collect()
     assert [r.n for r in got] == [144] * 3 and got[0].lo == 0
     assert all(b.lo == a.hi + 1 for a, b in zip(got[:-1], got[1:], strict=True))
-    m = K.wsdt_segmentation(volume, threshold=0.8, sigma=1.0, min_size=4, mask="mask")
+    m = tiles.wsdt_segmentation(volume, threshold=0.8, sigma=1.0, min_size=4, mask="mask")
     assert m.where("x <= 1 and seg <> 0").count() == 0 and m.where("x > 1 and seg = 0").count() == 0
     got = m.where("seg > 0").groupBy("z").agg(F.min("seg").alias("lo"), F.max("seg").alias("hi")).orderBy("z").collect()
     assert got[0].lo == 1 and all(b.lo == a.hi + 1 for a, b in zip(got[:-1], got[1:], strict=True))

@@ -11,8 +11,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxgraph.operators.labels import add_offsets, label_offsets
-
 FILTER_SIGMAS = (1.6, 4.2, 8.3)
 
 
@@ -208,32 +206,6 @@ def per_slice(voxels: DataFrame, kernel: Callable[[np.ndarray, np.ndarray | None
     return voxels.select("z", "y", "x", value, *([mask] if mask else [])).groupBy("z").applyInPandas(run, f"z int, y int, x int, {schema}")
 
 
-def wsdt_segmentation(voxels: DataFrame, value: str = "prob", threshold: float = 0.2, sigma: float = 2.6, min_size: int = 75, invert: bool = False, mask: str | None = None) -> DataFrame:
-    """(z, y, x, seg): watershed of every slice, moved by offsets so that labels are unique; outside a mask 0, and inside from 1."""
-
-    def kernel(p: np.ndarray, inside: np.ndarray | None) -> dict[str, np.ndarray]:
-        p = 1 - p if invert else p
-        if inside is None:
-            return {"seg": segment_slice(p, threshold, sigma, min_size)}
-        labels = segment_slice(np.where(inside, p, 1.0), threshold, sigma, min_size, first=1)
-        labels[~inside] = 0
-        out, n = np.zeros(labels.shape, np.int64), 0
-        for label in np.unique(labels[labels > 0]):
-            own = components(labels == label)
-            out[own > 0] = own[own > 0] + n
-            n += own.max()
-        return {"seg": out}
-
-    own = per_slice(voxels, kernel, value, "seg long", mask)
-    from voxgraph.plans.lineage import cut
-
-    own = cut(own)
-    offsets = label_offsets(own, "seg", masked=mask is not None)
-    if mask is None:
-        return add_offsets(own, offsets, "seg")
-    return add_offsets(own.withColumn("_in", F.col("seg") > 0), offsets, "seg", "_in").drop("_in")
-
-
 def filtered(voxels: DataFrame, value: str = "prob", sigmas: tuple[float, ...] = FILTER_SIGMAS) -> DataFrame:
     """(z, y, x, channels): filter responses of every slice."""
     names = [f"{k}_{str(s).replace('.', '_')}" for s in sigmas for k in ("gauss", "log", "hess0", "hess1")]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.config import Inputs, Params, select_features
-from voxgraph.operators import blockwise, contraction, costs, features, kernels, learning, rag
+from voxgraph.operators import blockwise, contraction, costs, features, kernels, learning, rag, tiles
 from voxgraph.operators.defects import defect_slices, replace_slices, replacement_slices, segments_per_slice
 from voxgraph.operators.labels import consecutive
 from voxgraph.operators.solvers import Limits
@@ -117,7 +117,7 @@ def oversegment(spark: SparkSession, inputs: Inputs, params: Params) -> None:
     voxels = _column(spark, inputs.data[-1], inputs.data_keys[-1] if inputs.data_keys else "data", "prob")
     if inputs.mask:
         voxels = voxels.join(_column(spark, inputs.mask, "data", "mask").withColumn("mask", F.col("mask").cast("boolean")), list(AXES))
-    made = kernels.wsdt_segmentation(voxels, "prob", params.wsdt_threshold, params.wsdt_sigma_seeds, params.wsdt_min_segment, params.wsdt_invert, "mask" if inputs.mask else None)
+    made = tiles.wsdt_segmentation(voxels, "prob", params.wsdt_threshold, params.wsdt_sigma_seeds, params.wsdt_min_segment, params.wsdt_invert, "mask" if inputs.mask else None)
     store.write(made, inputs.seg_key)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.functions import ids, metrics, tables
-from voxgraph.operators import blocking, blockwise, contraction, costs, defects, features, graph, kernels, labels, learning, rag, solvers
+from voxgraph.operators import blocking, blockwise, contraction, costs, defects, features, graph, kernels, labels, learning, rag, solvers, tiles
 from voxgraph.plans import workflows
 from voxgraph.plans.lineage import cut
 from voxgraph.sources import volume
@@ -1018,17 +1018,30 @@ def distance_transform(spark, d):
 
 @query()
 def watershed_seeds(spark, d):
-    return kernels.per_slice(voxels(spark, d), lambda p, _: {"seed": kernels.seeds(kernels.signed_distance(p, 0.9), 1.0)}, "prob", "seed long")
+    return tiles.seeds(voxels(spark, d), 0.9, 1.0)
 
 
 @query()
 def wsdt(spark, d):
-    return kernels.wsdt_segmentation(voxels(spark, d), threshold=0.9, sigma=1.0, min_size=5)
+    return tiles.wsdt_segmentation(voxels(spark, d), threshold=0.9, sigma=1.0, min_size=5)
 
 
 @query()
 def wsdt_masked(spark, d):
-    return kernels.wsdt_segmentation(voxels(spark, d), threshold=0.9, sigma=1.0, min_size=5, mask="mask")
+    return tiles.wsdt_segmentation(voxels(spark, d), threshold=0.9, sigma=1.0, min_size=5, mask="mask")
+
+
+@query(_sql(_VOX, "SELECT z, count(*) AS n_voxels, 0::BIGINT AS n_unlabelled, 0::BIGINT AS n_small, 0::BIGINT AS n_split FROM vox GROUP BY z"))
+def wsdt_invariants(spark, d):
+    """Every voxel has a segment, none is too small, each is in one piece; tiles of 10 voxels."""
+    made = tiles.wsdt_segmentation(voxels(spark, d), threshold=0.9, sigma=1.0, min_size=5, tile=10)
+    return tiles.invariants(made.withColumn("seg", F.col("seg") + 1), 5, "seg")  # its labels start at 0
+
+
+@query(_sql(_VOX, "SELECT z, count(*) AS n_voxels, count(*) FILTER (NOT mask) AS n_unlabelled, 0::BIGINT AS n_small, 0::BIGINT AS n_split FROM vox GROUP BY z"))
+def wsdt_masked_invariants(spark, d):
+    """Voxels without a segment are those outside the mask."""
+    return tiles.invariants(tiles.wsdt_segmentation(voxels(spark, d), threshold=0.9, sigma=1.0, min_size=5, mask="mask"), 1, "seg")
 
 
 @query(_sql(_VOX, _FILTERS, "SELECT z, y, x, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in _CHANNELS) + " FROM filters"))
