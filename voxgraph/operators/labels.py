@@ -61,16 +61,26 @@ def relabel(voxels: DataFrame, label: str, start: int = 1, keep_zeros: bool = Tr
     return voxels.join(consecutive(voxels, label, "_new", start, keep_zeros), label, "left").withColumn(label, F.col("_new")).select(*voxels.columns)
 
 
-def neighbours_in_slice(voxels: DataFrame, *values: str) -> DataFrame:
+#: Rows of a slice that one key of the exchange holds.
+BAND = 64
+
+
+def neighbours_in_slice(voxels: DataFrame, *values: str, band: int = BAND) -> DataFrame:
     """(z, y, x, values, values of the right or lower neighbour as n_*, dy, dx).
 
-    One exchange, by slice, serves both windows.  Neighbours that are missing give no row.
+    One exchange, by bands of rows of a slice, serves both windows: the first row of a band is sent to the band before it as well, so
+    that a slice is as many keys as it has bands.  Neighbours that are missing give no row.
     """
-    v = voxels.select("z", "y", "x", *values).repartition("z")
+    at = F.expr(f"y div {band}")
+    own, guest = F.struct(at.alias("band"), F.lit(True).alias("own")), F.struct((at - 1).alias("band"), F.lit(False).alias("own"))
+    both = F.when((F.col("y") % band == 0) & (F.col("y") > 0), F.array(own, guest)).otherwise(F.array(own))
+    v = voxels.select("z", "y", "x", *values, F.explode(both).alias("_at")).select("z", "y", "x", *values, F.col("_at.band").alias("_band"), F.col("_at.own").alias("_own")).repartition("z", "_band")
     out = []
     for axis, other, dy, dx in (("x", "y", 0, 1), ("y", "x", 1, 0)):
-        w = Window.partitionBy("z", other).orderBy(axis)
-        step = v.withColumns({f"n_{c}": F.lead(c).over(w) for c in (axis, *values)}).where(F.col(f"n_{axis}") == F.col(axis) + 1).drop(f"n_{axis}")
+        w = Window.partitionBy("z", "_band", other).orderBy(axis)
+        step = v.withColumns({f"n_{c}": F.lead(c).over(w) for c in (axis, *values)})
+        # A guest has no neighbour below it in its band; those to its right are found in its own.
+        step = step.where((F.col(f"n_{axis}") == F.col(axis) + 1) & F.col("_own")).drop(f"n_{axis}", "_band", "_own")
         out.append(step.withColumns({"dy": F.lit(dy), "dx": F.lit(dx)}))
     return out[0].unionByName(out[1])
 
