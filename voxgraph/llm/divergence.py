@@ -11,8 +11,8 @@ groups each, and the kept terms to blocks by their hashes; a cell's counts in a
 block are one compressed row, a pack, of bounded size.  Divergences are sums over
 terms, so that blocks are independent.
 
-*Rotation*: packs stay in the partition of their key while their peers come to
-them: in each round of a round-robin tournament (one cell stands, the others move
+*Rotation*: packs are placed once by their key, in an exchange that all rounds
+reuse, and stay there while their peers come to them: in each round of a round-robin tournament (one cell stands, the others move
 on by one place) every cell meets one other, and the pack of the later one is sent
 to the earlier, where both directions of every pair of groups are taken from one
 meeting.  With C cells that are C - 1 rounds, and every pair of cells meets once.

@@ -34,7 +34,7 @@ import html
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
@@ -147,7 +147,8 @@ def step_kind(label: str) -> int:
     name, *words = label.split(".")
     if name in NOT_TEXT or name in NOT_MAIN or (name not in ("body", "html", "article", "main") and ASIDE_WORDS.intersection(words)):
         return -1
-    return 1 if name in ("article", "main") or MAIN_WORDS.intersection(words) else 0
+    # Words on the page's own elements say what kind of page it is, not where its text stands.
+    return 1 if name in ("article", "main") or (name not in ("body", "html") and MAIN_WORDS.intersection(words)) else 0
 
 
 _SKIPPED = frozenset(x + n for n in INLINE for x in ("", "/"))
@@ -183,13 +184,17 @@ _MODULUS, _BASE = (1 << 61) - 1, 0x1F3D5B79
 def folded(tokens: list[str]) -> tuple[list[str], list[int]]:
     """What ``fold`` gives, and where each token went.
 
-    A stretch can be of any length: running sums tell equal ones, and only those that end with the same token are looked at.
+    A stretch can be of any length, and the shortest that stands beside its equal is folded first.  One of length n has a last part
+    of 2**k tokens, 2**k <= n < 2**(k+1), that stands n before its end as well: only those places are looked at, for each k.  As what
+    is kept never holds two equal stretches side by side, such a part can stand there twice at most, so that a page of n tokens takes
+    n log n steps.
     """
     out: list[str] = []
     bare: list[str] = []
     held: list[list[int]] = []
     sums, power = [0], [1]
-    places: dict[str, list[int]] = {}
+    ends: list[dict[int, list[int]]] = []  # by k: where parts of 2**k tokens end, by their sums
+    keys: list[list[int]] = []  # of each place the sums of the parts that end there
 
     def stretch(a: int, b: int) -> int:
         return (sums[b] - sums[a] * power[b - a]) % _MODULUS
@@ -202,21 +207,21 @@ def folded(tokens: list[str]) -> tuple[list[str], list[int]]:
         sums.append((sums[-1] * _BASE + hash(name)) % _MODULUS)
         if len(power) < len(sums):
             power.append(power[-1] * _BASE % _MODULUS)
-        own = places.setdefault(name, [])
-        own.append(len(out) - 1)
         size = len(out)
-        for i in range(len(own) - 2, -1, -1):
-            n = size - 1 - own[i]
-            if 2 * n > size:
-                break
-            if stretch(size - n, size) == stretch(size - 2 * n, size - n) and bare[-n:] == bare[-2 * n : -n]:
-                for x, y in zip(held[-2 * n : -n], held[-n:], strict=True):
-                    x += y
-                for x in bare[-n:]:
-                    places[x].pop()
-                del bare[-n:], out[-n:], held[-n:], sums[-n:]
-                out[-n] = out[-n].rstrip("+") + "+"
-                break
+        keys.append([stretch(size - (1 << k), size) for k in range(size.bit_length())])
+        while len(ends) < len(keys[-1]):
+            ends.append({})
+        n = next((n for k, key in enumerate(keys[-1]) for n in _lengths(ends[k].get(key, ()), size, k) if stretch(size - n, size) == stretch(size - 2 * n, size - n) and bare[-n:] == bare[-2 * n : -n]), 0)
+        for k, key in enumerate(keys[-1]):
+            ends[k].setdefault(key, []).append(size)
+        if n:
+            for x, y in zip(held[-2 * n : -n], held[-n:], strict=True):
+                x += y
+            for own in keys[-n:]:
+                for k, key in enumerate(own):
+                    ends[k][key].pop()
+            del bare[-n:], out[-n:], held[-n:], sums[-n:], keys[-n:]
+            out[-n] = out[-n].rstrip("+") + "+"
     went = [0] * len(tokens)
     for i, own in enumerate(held):
         for at in own:
@@ -224,6 +229,16 @@ def folded(tokens: list[str]) -> tuple[list[str], list[int]]:
     return out, went
 
 
+def _lengths(places: Sequence[int], size: int, k: int) -> Iterator[int]:
+    """Distances of at least 2**k and below 2**(k+1), the nearest place first, that leave room for two stretches."""
+    for end in reversed(places):
+        n = size - end
+        if n >= 2 << k or 2 * n > size:
+            return
+        if n >= 1 << k:
+            yield n
+
+
 def _bare(t: str) -> str:
     return t.rstrip("+?")
 
