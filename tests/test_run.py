@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from voxgraph import queries
 from voxgraph.config import Params, read_inputs
 from voxgraph.functions import metrics
-from voxgraph.operators import rag
+from voxgraph.operators import learning, rag
 from voxgraph.plans import workflows
 from voxgraph.sources.volume import VolumeStore
 
@@ -28,6 +28,13 @@ def test_run_from_inputs(spark, tmp_path):
     voxels = workflows.read_volumes(spark, again)
     first = {tuple(r)[:3]: r.prob for r in workflows.edge_probabilities(spark, workflows.read_volumes(spark, read_inputs(source)), read_inputs(source), params).collect()}
     assert {tuple(r)[:3]: r.prob for r in workflows.edge_probabilities(spark, voxels, again, params).collect()} == first
+    assert learning.EdgeClassifier.is_cached(spark, source["cache"], ["xy", "z"]) and not learning.EdgeClassifier.is_cached(spark, source["cache"], ["xy", "joined"])
+    assert not learning.has_defect_forest(spark, source["cache"])
+    nodes = spark.createDataFrame([(i, float(i % 5), i % 5 == 4) for i in range(60)], "node long, size double, is_defect boolean")
+    model = learning.learn_defects(nodes.drop("is_defect"), nodes, n_trees=3)
+    learning.save_defects(model, source["cache"])
+    assert learning.has_defect_forest(spark, source["cache"])
+    assert learning.probability(learning.load_defects(source["cache"]), nodes, ("node",)).where("prob > 0.5").count() == 12
     with pytest.raises(ValueError):
         workflows.edge_probabilities(spark, voxels, read_inputs({k: source[k] for k in ("data", "seg")}), params)
 

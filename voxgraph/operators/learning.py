@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.plans.lineage import cut
@@ -86,11 +86,36 @@ class EdgeClassifier:
         for kind, model in self.models.items():
             model.write().overwrite().save(f"{path}/rf_{kind}")
 
+    @staticmethod
+    def is_cached(spark: SparkSession, path: str, kinds: Sequence[str]) -> bool:
+        """Whether the folder holds a whole forest of each kind."""
+        return all(_saved(spark, f"{path}/rf_{k}") for k in kinds)
+
     @staticmethod
     def load(path: str, kinds: Sequence[str]) -> EdgeClassifier:
         return EdgeClassifier({k: PipelineModel.load(f"{path}/rf_{k}") for k in kinds})
 
 
+def _saved(spark: SparkSession, path: str) -> bool:
+    """Saved models write their stages last."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and {s.getPath().getName() for s in fs.listStatus(p)} >= {"metadata", "stages"}
+
+
+def has_defect_forest(spark: SparkSession, path: str) -> bool:
+    """Whether ``save_defects`` left a forest there."""
+    return _saved(spark, f"{path}/rf_defects")
+
+
+def save_defects(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(f"{path}/rf_defects")
+
+
+def load_defects(path: str) -> PipelineModel:
+    return PipelineModel.load(f"{path}/rf_defects")
+
+
 def learn_defects(nodes: DataFrame, truth: DataFrame, n_trees: int = 500, seed: int = 0) -> PipelineModel:
     """A forest that tells defective regions by their statistics; ``truth`` has (node, is_defect)."""
     rows = nodes.join(truth.select("node", F.col("is_defect").cast("double").alias("label")), "node")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one 8-byte id up to which a table of ids is sent to every executor.
@@ -18,13 +19,23 @@ def cut(df: DataFrame) -> DataFrame:
     that is an error, as executors do not see each other's folders.  With ``spark.cleaner.referenceTracking.cleanCheckpoints``
     Spark removes the files of tables that are no longer used.
     """
-    sc = df.sparkSession.sparkContext
+    _shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if not folder and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names no folder that all executors see")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    return sc.getCheckpointDir()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the cluster's checkpoint folder, for tables of this run."""
+    return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def by_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str = "left_semi", most: int = BROADCAST_IDS) -> DataFrame:

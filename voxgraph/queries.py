@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.functions import ids, metrics, tables
-from voxgraph.operators import blocking, blockwise, contraction, costs, defects, features, graph, kernels, labels, learning, rag, solvers, tiles
+from voxgraph.operators import blocking, blockwise, contraction, costs, defects, features, graph, kernels, labels, learning, maxima, rag, solvers, tiles
 from voxgraph.plans import workflows
-from voxgraph.plans.lineage import cut
-from voxgraph.sources import volume
+from voxgraph.plans.lineage import cut, scratch
+from voxgraph.sources import chunks, volume
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,6 +174,29 @@ def roi_write(spark, d):
     return volume.overlay(v.select("z", "y", "x", "seg"), new, "seg")
 
 
+@query(_sql(_VOX, "SELECT z, y, x, CASE WHEN y BETWEEN 4 AND 11 AND x >= 9 THEN gt ELSE seg END AS seg FROM vox WHERE z < 3 AND y >= 2 AND y < 20 AND x >= 3"))
+def chunk_box(spark, d):
+    """A volume stored in chunks, a box of which is written again, and another read."""
+    v = voxels(spark, d)
+    store = chunks.ChunkStore(spark, scratch(spark, "chunks"))
+    store.create("seg", _shape(v), BLOCK, seg="bigint")
+    store.write(v.select("z", "y", "x", "seg"), "seg")
+    store.write_box(v.where("y between 4 and 11 and x >= 9").select("z", "y", "x", F.col("gt").alias("seg")), "seg", "seg")
+    return store.read((0, 2, 3), (3, 20, 25), "seg").select("z", "y", "x", "seg")
+
+
+@query(_sql(_VOX, "SELECT seg AS node, count(*) AS n, min(z * 625 + y * 25 + x)::BIGINT AS first_voxel FROM vox WHERE seg >= 20 AND seg < 47 GROUP BY seg"))
+def ragged_rows(spark, d):
+    """The voxels of each region as a ragged table, and a range of its rows."""
+    v = voxels(spark, d)
+    store = chunks.ChunkStore(spark, scratch(spark, "ragged"), axes=("row",))
+    most = v.agg(F.max("seg") + 1).first()[0]
+    store.create("voxels", (most,), (10,), voxels="array<bigint>")
+    rows = v.groupBy(F.col("seg").alias("row")).agg(F.array_sort(F.collect_list((F.col("z") * 625 + F.col("y") * 25 + F.col("x")).cast("long"))).alias("voxels"))
+    store.write(rows, "voxels")
+    return store.read((20,), (47,), "voxels").select(F.col("row").alias("node"), F.size("voxels").cast("long").alias("n"), F.element_at("voxels", 1).alias("first_voxel"))
+
+
 @query(_sql(_VOX, "SELECT (z + 3)::INT AS z, (y + 10)::INT AS y, (x + 20)::INT AS x, seg FROM vox"))
 def offset_frame(spark, d):
     return volume.shift(voxels(spark, d).select("z", "y", "x", "seg"), (3, 10, 20))
@@ -323,6 +346,18 @@ def edge_features_simple(spark, d):
     return _nine(features.edge_features(voxels(spark, d)))
 
 
+@query(_sql(_VOX, _ADJ, _BOTH, f"SELECT u, v, edge_type, {_NINE} FROM bv GROUP BY u, v, edge_type"))
+def edge_features_ranked(spark, d):
+    """Quantiles by ranks over ranges, for borders of any size."""
+    return _nine(features.edge_features(voxels(spark, d), ranked=True))
+
+
+@query(_sql(_VOX, _STATS, f"SELECT node, {_relative(list(_NAMES))} FROM st"))
+def region_node_features_ranked(spark, d):
+    out = features.region_statistics(voxels(spark, d), ranked=True)
+    return out.select("node", *(_r(c, 4).alias(c) for c in _NAMES))
+
+
 @query(_sql(_VOX, _ADJ, _BOTH, f"SELECT u, v, edge_type, {_NINE} FROM bv WHERE edge_type = 'xy' GROUP BY u, v, edge_type"))
 def edge_features_only_xy(spark, d):
     return _nine(features.edge_features(voxels(spark, d), keep_only_xy=True))
@@ -530,10 +565,13 @@ def block_graph_nearest(spark, d):
     return blocking.block_graph(blocks(spark, d), nearest_only=True)
 
 
-@query(_sql(_VOX, _BLOCKS, "SELECT 0 AS large_id, block_id FROM bl WHERE z1 <= 8 AND y1 <= 20 AND x1 <= 20"))
+@query(_sql(_VOX, _BLOCKS, """, lg AS (SELECT ((a.range * 2 + b.range) * 2 + c.range)::INT AS large_id, a.range * 8 AS z0, least(a.range * 8 + 8, nz) AS z1, b.range * 20 AS y0, least(b.range * 20 + 20, 25) AS y1, c.range * 20 AS x0, least(c.range * 20 + 20, 25) AS x1
+  FROM nz, range((SELECT (nz + 7) // 8 FROM nz)) a, range(2) b, range(2) c)
+SELECT large_id, block_id FROM lg JOIN bl ON bl.z0 >= lg.z0 AND bl.z1 <= lg.z1 AND bl.y0 >= lg.y0 AND bl.y1 <= lg.y1 AND bl.x0 >= lg.x0 AND bl.x1 <= lg.x1"""))
 def blocks_inside(spark, d):
+    """Blocks within every block of twice the size."""
     shape = _shape(voxels(spark, d))
-    large = blocking.blocks(spark, shape, [2 * b for b in BLOCK], HALO).where("block_id = 0")
+    large = blocking.blocks(spark, shape, [2 * b for b in BLOCK], HALO)
     return blocking.blocks_inside(blocking.blocks(spark, shape, BLOCK, HALO), large)
 
 
@@ -965,9 +1003,11 @@ def cartesian(spark, d):
     return tables.cartesian(spark.read.parquet(f"{d}/region.parquet").select("r_regionkey"), spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey"))
 
 
-@query(_sql(_VOX, _ADJ, "SELECT u, v, edge_type FROM rag"))
+@query(_sql(_VOX, _ADJ, ", m AS (SELECT seg FROM vox GROUP BY seg HAVING avg(prob) > 0.5) SELECT u, v, edge_type FROM rag WHERE u IN (FROM m) AND v IN (FROM m)"))
 def node_pairs(spark, d):
-    return tables.node_pairs(rag.rag_nodes(voxels(spark, d)), edges(spark, d).select("u", "v", "edge_type"))
+    """Pairs among the regions that are mostly boundary: all edges are read."""
+    nodes = voxels(spark, d).groupBy(F.col("seg").alias("node")).agg(F.avg("prob").alias("p")).where("p > 0.5").select("node")
+    return tables.node_pairs(nodes, edges(spark, d).select("u", "v", "edge_type"))
 
 
 @query(_sql(_VOX, _ADJ, ", a AS (SELECT u, v, row_number() OVER (ORDER BY edge_type, u, v) - 1 AS a_id FROM rag) SELECT a_id, a_id * 2 + 1 AS b_id FROM a"))
@@ -1016,6 +1056,18 @@ def distance_transform(spark, d):
     return _rounded(kernels.per_slice(voxels(spark, d), lambda p, _: {"distance": kernels.signed_distance(p, 0.9)}, "prob", "distance double"), "distance")
 
 
+_MAXIMA = ", lv AS (SELECT z, y, x, z * 625 + y * 25 + x AS id, floor(prob * 60)::DOUBLE AS value FROM vox), " + """
+nb AS (SELECT a.id, a.value, b.id AS n_id, b.value AS n_value FROM lv a, range(27) s, lv b WHERE s.range <> 13 AND b.z = a.z + s.range // 9 - 1 AND b.y = a.y + (s.range // 3) % 3 - 1 AND b.x = a.x + s.range % 3 - 1)""" + _closure(
+    "pl", "SELECT id AS a, n_id AS b FROM nb WHERE value = n_value", "SELECT id AS node FROM lv"
+)
+
+
+@query(_sql(_VOX, _MAXIMA, ", spoilt AS (SELECT DISTINCT component FROM pl JOIN nb ON id = node WHERE n_value > value) SELECT z, y, x, value, component::BIGINT AS plateau FROM lv JOIN pl ON node = id WHERE component NOT IN (FROM spoilt) AND value > (SELECT min(value) FROM lv)", recursive=True))
+def local_maxima(spark, d):
+    """Maxima of the volume, with plateaus across slices."""
+    return maxima.local_maxima(voxels(spark, d).withColumn("prob", F.floor(F.col("prob") * 60).cast("double")))
+
+
 @query()
 def watershed_seeds(spark, d):
     return tiles.seeds(voxels(spark, d), 0.9, 1.0)
