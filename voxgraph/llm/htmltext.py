@@ -247,7 +247,10 @@ def _bare(t: str) -> str:
 
 def match(wrapper: list[str], page: list[str]) -> dict[int, int]:
     """Positions in the page's structure with their positions in the wrapper."""
-    found = SequenceMatcher(None, [_bare(t) for t in wrapper], [_bare(t) for t in page], autojunk=False).get_matching_blocks()
+    a, b = [_bare(t) for t in wrapper], [_bare(t) for t in page]
+    if a == b:  # the usual case, and a page alone, however long
+        return {i: i for i in range(len(a))}
+    found = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
     return {j + k: i + k for i, j, n in found for k in range(n)}
 
 
