@@ -245,13 +245,25 @@ def _bare(t: str) -> str:
     return t.rstrip("+?")
 
 
+#: Product of the tokens of two structures beyond which their common ends are set aside before they are matched.
+LONG_PAIR = 1 << 24
+
+
 def match(wrapper: list[str], page: list[str]) -> dict[int, int]:
     """Positions in the page's structure with their positions in the wrapper."""
     a, b = [_bare(t) for t in wrapper], [_bare(t) for t in page]
     if a == b:  # the usual case, and a page alone, however long
         return {i: i for i in range(len(a))}
-    found = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
-    return {j + k: i + k for i, j, n in found for k in range(n)}
+    head = tail = 0
+    if len(a) * len(b) > LONG_PAIR:  # what both begin and end with belongs together; the matcher's time grows with the product of the rest
+        least = min(len(a), len(b))
+        head = next((i for i in range(least) if a[i] != b[i]), least)
+        tail = next((i for i in range(least - head) if a[-1 - i] != b[-1 - i]), least - head)
+    found = SequenceMatcher(None, a[head : len(a) - tail], b[head : len(b) - tail], autojunk=False).get_matching_blocks()
+    out = {j + k + head: i + k + head for i, j, n in found for k in range(n)}
+    out.update((i, i) for i in range(head))
+    out.update((len(b) - 1 - i, len(a) - 1 - i) for i in range(tail))
+    return out
 
 
 def alignable(wrapper: list[str], page: list[str]) -> bool:
