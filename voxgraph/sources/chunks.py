@@ -101,12 +101,15 @@ class ChunkStore(VolumeStore):
         inside = [(F.col(a) >= int(lo)) & (F.col(a) < int(hi)) for a, lo, hi in zip(self.axes, start, stop, strict=True)]
         return self._rows(key, self._within(start, stop, key)).where(reduce(lambda p, q: p & q, inside)).drop(*self.ids)
 
+    def _with_ids(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows with the ids of their chunks."""
+        return df.withColumns({c: F.expr(f"cast({a} div {n} as int)") for c, a, n in zip(self.ids, self.axes, self.chunks(key), strict=True)})
+
     def _placed(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows with the ids of their chunks; a place beyond the shape is an error."""
+        """Rows with the ids of their chunks; a place beyond the shape is an error.  Only for writing: joins would test ids before other conditions."""
         beyond = reduce(lambda p, q: p | q, [(F.col(a) < 0) | (F.col(a) >= n) for a, n in zip(self.axes, self.shape(key), strict=True)])
-        ids = {c: F.expr(f"cast({a} div {n} as int)") for c, a, n in zip(self.ids, self.axes, self.chunks(key), strict=True)}
         first = self.ids[0]
-        return df.withColumns(ids).withColumn(first, F.when(beyond, F.raise_error(F.lit("a row lies beyond the shape")).cast("int")).otherwise(F.col(first)))
+        return self._with_ids(df, key).withColumn(first, F.when(beyond, F.raise_error(F.lit("a row lies beyond the shape")).cast("int")).otherwise(F.col(first)))
 
     def write(self, df: DataFrame, key: str = "data") -> None:
         """The rows become the whole of every chunk that they touch; other chunks stay."""
@@ -127,7 +130,7 @@ class ChunkStore(VolumeStore):
 
     def write_box(self, new: DataFrame, value: str, key: str = "data") -> None:
         """Values of the places in ``new`` replace those that are stored; only the chunks that it touches are read and written again, and all are seen at once."""
-        touched = self._placed(new, key).select(*self.ids).distinct()
+        touched = self._with_ids(new, key).select(*self.ids).distinct()
         old = self._rows(key).join(touched, list(self.ids), "left_semi").drop(*self.ids)
         other = new.select(*self.axes, F.col(value).alias("_new"), F.lit(True).alias("_is"))
         joined = old.join(other, list(self.axes), "left")
