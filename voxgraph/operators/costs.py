@@ -24,15 +24,16 @@ def cost_of(p: Column, beta: float = 0.5) -> Column:
 def weighted(edges: DataFrame, scheme: str = "z", weight: float = 16.0, cost: str = "cost", length: str = "length") -> DataFrame:
     """Costs scaled by relative length: ``z`` only between slices, ``xyz`` by the greatest of each kind, ``all`` by the greatest of all, other schemes not at all.
 
-    A kind without edges leaves costs as they are.
+    Skip edges are edges between slices.  A kind without edges leaves costs as they are.
     """
     if scheme not in ("z", "xyz", "all"):
         return edges
-    most = edges.agg(F.max(F.when(F.col("edge_type") == "z", F.col(length))).alias("_z"), F.max(F.when(F.col("edge_type") == "xy", F.col(length))).alias("_xy"), F.max(length).alias("_all"))
+    between = F.col("edge_type").isin("z", "skip")
+    most = edges.agg(F.max(F.when(between, F.col(length))).alias("_z"), F.max(F.when(F.col("edge_type") == "xy", F.col(length))).alias("_xy"), F.max(length).alias("_all"))
     z_cost = F.col(cost) * weight * F.col(length) / F.col("_z")
     scaled = {
-        "z": F.when(F.col("edge_type") == "z", z_cost).otherwise(F.col(cost)),
-        "xyz": F.when(F.col("edge_type") == "z", z_cost).when(F.col("edge_type") == "xy", F.col(cost) * weight * F.col(length) / F.col("_xy")).otherwise(F.col(cost)),
+        "z": F.when(between, z_cost).otherwise(F.col(cost)),
+        "xyz": F.when(between, z_cost).when(F.col("edge_type") == "xy", F.col(cost) * weight * F.col(length) / F.col("_xy")).otherwise(F.col(cost)),
         "all": F.col(cost) * weight * F.col(length) / F.col("_all"),
     }[scheme]
     return edges.crossJoin(F.broadcast(most)).withColumn(cost, scaled).drop("_z", "_xy", "_all")
@@ -45,9 +46,14 @@ def ignore_costs(edges: DataFrame, flag: str = "is_ignored", cost: str = "cost")
 
 
 def multicut_problem(edges: DataFrame, probabilities: DataFrame, beta: float = 0.5, scheme: str = "z", weight: float = 16.0) -> DataFrame:
-    """(u, v, edge_type, length, prob, cost); a cost that is not finite is an error."""
+    """(u, v, edge_type, length, prob, cost); a cost that is not finite is an error.
+
+    Of edges with ``is_ignored``, those so marked repel most, whatever their probability.
+    """
     joined = edges.join(probabilities.select("u", "v", "edge_type", "prob"), ["u", "v", "edge_type"])
     out = weighted(joined.withColumn("cost", cost_of(F.col("prob"), beta)), scheme, weight)
+    if "is_ignored" in edges.columns:
+        out = ignore_costs(out)
     bad = F.isnan("cost") | (F.abs("cost") == float("inf"))
     return out.withColumn("cost", F.when(bad, F.raise_error(F.lit("a cost is not finite"))).otherwise(F.col("cost"))).select("u", "v", "edge_type", "length", "prob", "cost")
 

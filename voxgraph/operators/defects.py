@@ -110,6 +110,17 @@ def modified_adjacency(edges: DataFrame, bad_nodes: DataFrame, skips: DataFrame)
     return kept.unionByName(skips.select("u", "v", F.lit("skip").alias("edge_type"), "length", F.lit(False).alias("is_ignored"), "skip_start", "skip_range"))
 
 
+def bridged(voxels: DataFrame, edges: DataFrame, slices: DataFrame, bad_nodes: DataFrame | None = None, seg: str = "seg", ignore_label: int = -1) -> DataFrame:
+    """The modified adjacency of a volume with defective slices, whose regions are defective (and ``bad_nodes`` besides).
+
+    A run of slices at an end of the volume has no skip edges.  Regions are flat, so that a pair of them has one skip edge at most.
+    """
+    of_slices = voxels.join(slices.select("z").distinct(), "z", "left_semi").select(F.col(seg).alias("node"))
+    bad = of_slices if bad_nodes is None else of_slices.unionByName(bad_nodes.select("node"))
+    skips = skip_edges(voxels, slices, seg).where((F.col("u") != F.col("v")) & (F.col("u") != ignore_label) & (F.col("v") != ignore_label))
+    return modified_adjacency(edges, bad, skips)
+
+
 def is_sorted(df: DataFrame, order: str, value: str) -> DataFrame:
     """One row: whether the values never fall in the given order."""
     placed = cut(df.select(F.col(order).alias("at"), F.col(value).alias("x")).repartitionByRange("at").withColumn("part", F.spark_partition_id()))

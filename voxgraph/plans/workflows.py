@@ -7,13 +7,14 @@ import hashlib
 import logging
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.config import Inputs, Params, select_features
 from voxgraph.operators import blockwise, contraction, costs, features, kernels, learning, rag, tiles
-from voxgraph.operators.defects import defect_slices, replace_slices, replacement_slices, segments_per_slice
+from voxgraph.operators.defects import bridged, defect_slices, replace_slices, replacement_slices, segments_per_slice, skip_border_values, skip_filter_features
 from voxgraph.operators.labels import consecutive
 from voxgraph.operators.solvers import Limits
 from voxgraph.plans.lineage import cut
@@ -142,23 +143,51 @@ def inside(voxels: DataFrame) -> DataFrame:
     return voxels.where("mask") if "mask" in voxels.columns else voxels
 
 
-def features_of(voxels: DataFrame, params: Params, n_inputs: int) -> dict[str, DataFrame]:
+@dataclass(frozen=True)
+class Problem:
+    """The edges of a run, (u, v, edge_type, length), and the defective slices, if there are any: edges are then the modified adjacency."""
+
+    edges: DataFrame
+    slices: DataFrame | None = None
+
+    @property
+    def kinds(self) -> tuple[str, ...]:
+        """Skip edges are a kind of their own where there are any."""
+        return ("xy", "z") if self.slices is None or self.edges.where("edge_type = 'skip'").isEmpty() else ("xy", "z", "skip")
+
+
+def problem_of(voxels: DataFrame, params: Params) -> Problem:
+    """The graph of the voxels, bridged over defective slices in defect mode."""
+    edges = rag.rag_edges(voxels, ignore_label=params.ignore_seg_label)
+    if params.have_defects:
+        slices = cut(defect_slices(segments_per_slice(voxels), params.defect_bins, params.defect_bin_threshold))
+        if not slices.isEmpty():
+            return Problem(cut(bridged(voxels, edges, slices, ignore_label=params.ignore_seg_label)), slices)
+    return Problem(cut(edges))
+
+
+def features_of(voxels: DataFrame, params: Params, n_inputs: int, problem: Problem | None = None) -> dict[str, DataFrame]:
     """By kind of edge: (u, v, edge_type, features) of the chosen features, side by side.
 
-    Filters see whole slices, borders and regions only what is inside the mask.
+    Filters see whole slices, borders and regions only what is inside the mask.  Skip edges have the features of edges between slices,
+    from the good slices beside the run, and the run's range.
     """
     own = inside(voxels)
-    edges = cut(rag.rag_edges(own, ignore_label=params.ignore_seg_label).select("u", "v", "edge_type"))
+    problem = problem or problem_of(own, params)
+    edges = problem.edges.select("u", "v", "edge_type")
     filters: dict[str, DataFrame] = {}
     out: dict[str, DataFrame] = {}
-    for kind in ("xy", "z"):
+    for kind in problem.kinds:
+        skip = kind == "skip"
         tables = []
         for name, number, kinds in select_features(params, n_inputs):
-            if kind not in kinds.split(","):
+            if ("z" if skip else kind) not in kinds.split(","):
                 continue
             value = f"d{number}"
             if name == "reg":
                 tables.append(features.region_edge_features(edges, features.region_statistics(own, value), (kind,)))
+            elif params.use_simple_features and skip:
+                tables.append(features.edge_statistics(skip_border_values(own, problem.slices, (value,), z_direction=params.z_affinity_direction), (value,)))
             elif params.use_simple_features:
                 tables.append(features.edge_features(own, value, keep_only_xy=kind == "xy", keep_only_z=kind == "z", z_direction=params.z_affinity_direction))
             else:
@@ -166,31 +195,42 @@ def features_of(voxels: DataFrame, params: Params, n_inputs: int) -> dict[str, D
                     filters[value] = cut(kernels.filtered(voxels, value))
                 responses = filters[value]
                 channels = [c for c in responses.columns if c not in AXES]
-                every = features.filter_features(own.select(*AXES, "seg").join(responses, list(AXES)), channels, z_direction=params.z_affinity_direction)
-                tables.append(every.where(F.col("edge_type") == kind))
+                beside = own.select(*AXES, "seg").join(responses, list(AXES))
+                if skip:
+                    tables.append(skip_filter_features(beside, problem.slices, channels, z_direction=params.z_affinity_direction))
+                else:
+                    every = features.filter_features(beside, channels, z_direction=params.z_affinity_direction)
+                    tables.append(every.where(F.col("edge_type") == kind))
         if tables:
-            out[kind] = cut(features.joined_features(edges.where(F.col("edge_type") == kind), *tables))
+            first = problem.edges.select("u", "v", "edge_type", "skip_range") if skip else edges
+            out[kind] = cut(features.joined_features(first.where(F.col("edge_type") == kind), *tables))
     return out
 
 
-def edge_probabilities(spark: SparkSession, voxels: DataFrame, inputs: Inputs, params: Params) -> DataFrame:
-    """(u, v, edge_type, prob): from the classifier of the inputs, or from one that is learned from the truth (and kept in the cache folder, if there is one)."""
-    by_kind = features_of(voxels, params, len(inputs.data))
+def edge_probabilities(spark: SparkSession, voxels: DataFrame, inputs: Inputs, params: Params, problem: Problem | None = None) -> DataFrame:
+    """(u, v, edge_type, prob): from the classifier of the inputs, or from one that is learned from the truth (and kept in the cache folder, if there is one).
+
+    Skip edges have a forest of their own, also where the other kinds share one.
+    """
+    own = inside(voxels)
+    problem = problem or problem_of(own, params)
+    by_kind = features_of(voxels, params, len(inputs.data), problem)
+    separate = [k for k in by_kind if params.separate_edge_classification or k == "skip"]
+    shared = [k for k in by_kind if k not in separate]
     if inputs.rf:
-        model = learning.EdgeClassifier.load(inputs.rf, sorted(by_kind) if params.separate_edge_classification else ["joined"])
+        model = learning.EdgeClassifier.load(inputs.rf, [*sorted(separate), *(["joined"] if shared else [])])
     elif inputs.gt:
-        own = inside(voxels)
-        truth = cut(costs.edge_truth(rag.rag_edges(own, ignore_label=params.ignore_seg_label), costs.node_truth(own), params.ignore_gt_label))
+        truth = cut(costs.edge_truth(problem.edges, costs.node_truth(own), params.ignore_gt_label))
         how = {"n_trees": params.n_trees, "max_depth": params.max_depth}
-        if params.separate_edge_classification:
-            model = learning.EdgeClassifier({k: m for kind, table in by_kind.items() for k, m in learning.EdgeClassifier.learn([(table, truth)], **how).models.items()})
-        else:
-            model = learning.EdgeClassifier.learn([(table, truth) for table in by_kind.values()], separate=False, **how)
+        models = {k: m for kind in separate for k, m in learning.EdgeClassifier.learn([(by_kind[kind], truth)], **how).models.items()}
+        if shared:
+            models |= learning.EdgeClassifier.learn([(by_kind[k], truth) for k in shared], separate=False, **how).models
+        model = learning.EdgeClassifier(models)
         if inputs.cache:
             model.save(inputs.cache)
     else:
         raise ValueError("the inputs name neither a classifier nor a truth to learn one from")
-    made = [learning.EdgeClassifier({k: m for k, m in model.models.items() if k in (kind, "joined")}).predict(table) for kind, table in by_kind.items()]
+    made = [learning.EdgeClassifier({k: m for k, m in model.models.items() if k == ("joined" if kind in shared else kind)}).predict(table) for kind, table in by_kind.items()]
     out = made[0]
     for other in made[1:]:
         out = out.unionByName(other)
@@ -208,19 +248,20 @@ def segment(spark: SparkSession, inputs: Inputs, params: Params, stitching: str
     """(z, y, x, label): the whole run that inputs and parameters describe, from volumes to the projected result.
 
     A segmentation that does not exist is made first.  ``stitching`` is a way of ``blockwise_segmentation``; None solves the problem as
-    a whole.  Voxels outside the mask have label 0.  Two runs over the same volumes give the same result.
+    a whole.  Voxels outside the mask have label 0.  Two runs over the same volumes give the same result.  In defect mode, skip edges
+    with features, truth and a forest of their own bridge defective slices, whose voxels take the labels of good ones in the end.
     """
     oversegment(spark, inputs, params)
     every = cut(read_volumes(spark, inputs))
-    probabilities = edge_probabilities(spark, every, inputs, params)
     voxels = inside(every)
-    edges = rag.rag_edges(voxels, ignore_label=params.ignore_seg_label)
-    problem = cut(costs.multicut_problem(edges, probabilities, params.beta, params.weighting_scheme, params.weight))
+    graph = problem_of(voxels, params)
+    probabilities = edge_probabilities(spark, every, inputs, params, graph)
+    problem = cut(costs.multicut_problem(graph.edges, probabilities, params.beta, params.weighting_scheme, params.weight))
     shape = tuple(v + 1 for v in every.agg(*(F.max(a) for a in AXES)).first())
     sub, whole = limits_of(params)
     how: dict = {"ignore_label": params.ignore_seg_label, "n_slices": shape[0]}
-    if params.have_defects:
-        how["defects"] = cut(defect_slices(segments_per_slice(voxels), params.defect_bins, params.defect_bin_threshold))
+    if graph.slices is not None:
+        how["defects"] = graph.slices
     if stitching is None:
         made = multicut_segmentation(voxels, problem, name=params.global_solver, limits=whole, n_parallel=params.fusion_parallel, n_fuse=params.fusion_at_once, **how)
     else:

@@ -945,6 +945,54 @@ def modified_adjacency(spark, d):
     return defects.modified_adjacency(rag.rag_edges(v), nodes, defects.skip_edges(v, bad))
 
 
+# The problem over defects: regions of defective slices and others that touch a mask, skip edges, in-slice edges that are ignored.
+_BRIDGED = """, b AS (SELECT DISTINCT seg AS node FROM vox JOIN ds USING (z) UNION SELECT node FROM dn), e AS (SELECT u, v, edge_type, length, (u IN (SELECT node FROM b)) <> (v IN (SELECT node FROM b)) AS mixed FROM rag),
+br AS (SELECT u, v, edge_type, length, mixed AND edge_type = 'xy' AS is_ignored FROM e WHERE NOT (mixed AND edge_type = 'z') UNION ALL SELECT u, v, 'skip', length, false FROM sk)"""
+_BRIDGED_COSTS = """,
+bv AS (SELECT u, v, edge_type, unnest([prob, n_prob]) AS value FROM adj UNION ALL SELECT least(a.seg, b.seg), greatest(a.seg, b.seg), 'skip', unnest([a.prob, b.prob]) FROM gap JOIN vox a ON a.z = lo JOIN vox b ON b.z = hi AND b.y = a.y AND b.x = a.x),
+pr AS (SELECT u, v, edge_type, round(avg(value), 6) AS prob FROM bv GROUP BY u, v, edge_type),
+raw AS (SELECT *, ln((1 - (0.998 * prob + 0.001)) / (0.998 * prob + 0.001)) AS c FROM br JOIN pr USING (u, v, edge_type)),
+w AS (SELECT * EXCLUDE (c), CASE WHEN edge_type = 'xy' THEN c ELSE c * 16.0 * length / (SELECT max(length) FROM raw WHERE edge_type <> 'xy') END AS c FROM raw)"""
+
+
+def _bridged(spark: SparkSession, d: str) -> DataFrame:
+    return defects.bridged(voxels(spark, d), edges(spark, d), _bad_slices(spark, d), _bad_nodes(spark, d))
+
+
+@query(_sql(_VOX, _ADJ, _GT, _DEFECT, _SKIP, _BADN, _BRIDGED, " SELECT u, v, edge_type, a.gt AS u_gt, b.gt AS v_gt, (a.gt <> b.gt)::INT AS is_cut, a.gt <> 5 AND b.gt <> 5 AS is_labelled FROM br JOIN ngt a ON a.node = u JOIN ngt b ON b.node = v"))
+def bridged_truth(spark, d):
+    """Truth of the edges of the problem over defects, with one label to ignore."""
+    return costs.edge_truth(_bridged(spark, d), costs.node_truth(voxels(spark, d)), ignore_label=5)
+
+
+@query(_sql(_VOX, _ADJ, _DEFECT, _SKIP, _BADN, _BRIDGED, _BRIDGED_COSTS, " SELECT u, v, edge_type, length, prob, round(CASE WHEN is_ignored THEN 2 * (SELECT min(c) FROM w) ELSE c END, 6) + 0.0 AS cost FROM w"))
+def bridged_costs(spark, d):
+    """Costs of the problem over defects: skip edges are weighted as edges between slices, ignored ones repel most."""
+    skip = features.edge_statistics(defects.skip_border_values(voxels(spark, d), _bad_slices(spark, d), ("prob",)), ("prob",))
+    p = _probabilities(spark, d).unionByName(skip.select("u", "v", "edge_type", F.round("mean", 6).alias("prob")))
+    return _rounded(costs.multicut_problem(_bridged(spark, d), p, scheme="z"), "cost")
+
+
+@query(
+    _sql(
+        _VOX, _ADJ, _GT, _DEFECT, _SKIP, ", dn AS (SELECT 0::BIGINT AS node WHERE false)", _BRIDGED,
+        _closure("best", "SELECT u AS a, v AS b FROM br JOIN ngt g ON g.node = u JOIN ngt h ON h.node = v WHERE g.gt = h.gt AND NOT is_ignored"),
+        """, k AS (SELECT component, dense_rank() OVER (ORDER BY component) AS label FROM (SELECT DISTINCT component FROM best)),
+src AS (SELECT z, CASE WHEN z % 7 = 3 THEN z - 1 ELSE z + 1 END AS source FROM ds)""",
+        "SELECT v.z, v.y, v.x, label::BIGINT AS label FROM vox v LEFT JOIN src USING (z) JOIN vox w ON w.z = coalesce(source, v.z) AND w.y = v.y AND w.x = v.x JOIN best ON node = w.seg JOIN k USING (component)",
+        recursive=True,
+    )
+)
+def bridged_segmentation(spark, d):
+    """The whole problem over defective slices, projected, with their voxels replaced."""
+    v, bad = voxels(spark, d), _bad_slices(spark, d)
+    e = cut(defects.bridged(v, edges(spark, d), bad))
+    t = costs.edge_truth(e, costs.node_truth(v)).select("u", "v", "edge_type", "is_cut")
+    length = F.col("length").cast("double")
+    problem = costs.ignore_costs(e.join(t, ["u", "v", "edge_type"]).withColumn("cost", F.when(F.col("is_cut") == 1, -length).otherwise(length + 0.5)))
+    return workflows.multicut_segmentation(v, problem.select("u", "v", "edge_type", "length", "cost"), name="kl", defects=bad, n_slices=_shape(v)[0])
+
+
 @query(_sql(_VOX, _DEFECT, "SELECT z, coalesce(z - lag(z) OVER (ORDER BY z) = 1, false) AS has_lower FROM ds"))
 def has_lower_defect(spark, d):
     return defects.has_lower_defect(_bad_slices(spark, d))
