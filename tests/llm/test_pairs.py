@@ -288,3 +288,46 @@ def test_recall_and_moved_rows_at_sizes(spark, monkeypatch, n, clusters):
     if clusters:
         coarse = ann.fit_coarse(x[rng.permutation(n)[:20_000]], n, 20)
         assert coarse.probes < 0.2 * len(coarse.centres)
+
+
+@pytest.mark.parametrize("norms, hot", [(False, False), (True, False), (False, True)])
+def test_partitions_grow_with_the_root_of_the_rows(spark, monkeypatch, norms, hot):
+    """Partitions beyond what the sample carries come from splits, also where norms vary widely and where one cluster holds a third of all rows."""
+    rng = np.random.default_rng(4)
+    n, at = 20_000, rng.integers(80, size=20_000)
+    if hot:
+        at[: n // 3] = 0
+    x = 0.4 * rng.normal(size=(n, 24)) + rng.normal(size=(80, 24))[at]
+    if norms:
+        x *= rng.lognormal(sigma=0.7, size=(n, 1))
+    monkeypatch.setattr(ann, "PARTITIONS", 16)
+    monkeypatch.setattr(ann, "UNIT_BLOCK", 512)
+    kept = []
+    monkeypatch.setattr(ann, "split", lambda *a, made=ann.split: kept.append(made(*a)) or kept[-1])
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)}))
+    got = ann.nearest(df, every=200).toPandas().groupby("query_id").vec_id.agg(set)
+    (coarse,) = kept
+    assert len(coarse.tops) == 16 and 100 <= len(coarse.centres) <= 160 and coarse.first[-1] == len(coarse.centres)
+    part = coarse.part(x)
+    top = ((coarse.tops**2).sum(axis=1) - 2 * x @ coarse.tops.T).argmin(axis=1)
+    assert np.array_equal(top, np.searchsorted(coarse.first, part, side="right") - 1)
+    if hot:
+        assert np.bincount(part).max() < n // 12  # the cluster is many partitions
+    q = np.arange(0, n, 200)
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(got[i] & set(w.tolist())) / 20 for i, w in zip(q.tolist(), want, strict=True)]) >= 0.9
+
+
+def test_split_without_rows_for_a_partition(spark, monkeypatch):
+    """A partition that the rows of the split miss stays whole; few rows, or centres that would be too many bytes, are not split."""
+    x = np.random.default_rng(5).normal(size=(400, 6))
+    units = spark.createDataFrame([(v.tolist(), [i]) for i, v in enumerate(x)], "v array<double>, ids array<long>")
+    coarse = ann.Coarse(np.concatenate([x[:3], np.full((1, 6), 1e6)]), 4)
+    made = ann.split(coarse, units, 400, x, 5)
+    assert made.first[-1] - made.first[-2] == 1 and np.array_equal(made.centres[-1], coarse.centres[-1])
+    assert made.part(np.full((1, 6), 1e6)).tolist() == [len(made.centres) - 1] and len(made.part(x[:0])) == 0
+    assert ann.split(coarse, units, 60, x, 5) is coarse
+    monkeypatch.setattr(ann, "CENTRE_BYTES", 7 * 48)
+    assert ann.split(coarse, units, 400, x, 5) is coarse

@@ -10,7 +10,10 @@ exactly, in double precision, on the original vectors.
 Equal vectors are one unit with its least ids, as many as a result can need,
 so that copies cost nothing and ties go to the smaller id.  A coarse partition
 (k-means on the sample) deals units into bins of bounded size, neighbouring
-partitions together and large ones over several bins.  A query goes to the bins
+partitions together and large ones over several bins.  The number of
+partitions is the root of the number of units: where that is more than the
+sample can carry, each partition is split by a k-means of its own, one task
+each, on rows of that partition alone.  A query goes to the bins
 of the partitions whose centres it has the largest inner products with, as many
 as hold ``COVER`` of the true neighbours in the sample: few where the data have
 clusters, all where they have none.  Each bin returns its best, and the best of
@@ -26,7 +29,7 @@ any name.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +45,10 @@ SAMPLE = 20_000
 RERANK = 200
 #: Units and queries that meet in one task, on average.
 UNIT_BLOCK, QUERY_BLOCK = 16_384, 16_384
-#: Partitions at most, vectors of the sample for each at least, and the share of true neighbours that the probed partitions hold in the sample.
+#: Partitions of the first level at most, vectors of the sample for each at least, and the share of true neighbours that the probed partitions hold in the sample.
 PARTITIONS, PER_PARTITION, COVER = 1_024, 16, 0.98
+#: Vectors on which a task splits one partition at most, and bytes of the centres that the splits may have in all, as every task holds them.
+SPLIT_ROWS, CENTRE_BYTES = 16_384, 64 << 20
 _CHUNK = 64
 
 
@@ -125,42 +130,103 @@ def fit(x: np.ndarray, threshold: float = 0.2, rounds: int = 6, seed: int = 7) -
     return Codebooks(centres, eta)
 
 
+def _closest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    square = (centres**2).sum(axis=1)
+    return np.concatenate([(square - 2 * x[at : at + 4096] @ centres.T).argmin(axis=1) for at in range(0, len(x), 4096)] or [np.zeros(0, int)])
+
+
 @dataclass(frozen=True)
 class Coarse:
-    """Centres of the partitions, in an order in which neighbours stand close, and how many of them a query probes."""
+    """Centres of the partitions, in an order in which neighbours stand close, and how many of them a query probes.
+
+    With ``tops``, a vector is placed by those first, and then among ``centres[first[t] : first[t + 1]]`` of its top ``t``.
+    """
 
     centres: np.ndarray
     probes: int
+    tops: np.ndarray | None = None
+    first: np.ndarray | None = None
 
     def part(self, x: np.ndarray) -> np.ndarray:
-        return ((self.centres**2).sum(axis=1) - 2 * x @ self.centres.T).argmin(axis=1)
+        if self.tops is None:
+            return _closest(x, self.centres)
+        top = _closest(x, self.tops)
+        order = np.argsort(top, kind="stable")
+        out = np.empty(len(x), np.int64)
+        for own in np.split(order, np.flatnonzero(np.diff(top[order])) + 1):
+            if len(own):
+                lo, hi = self.first[top[own[0]]], self.first[top[own[0]] + 1]
+                out[own] = lo + _closest(x[own], self.centres[lo:hi])
+        return out
 
     def probed(self, q: np.ndarray) -> np.ndarray:
         return np.argsort(-(q @ self.centres.T), axis=1, kind="stable")[:, : self.probes]
 
 
-def fit_coarse(x: np.ndarray, units: int, k: int, rounds: int = 8, seed: int = 11, most_queries: int = 500) -> Coarse:
-    """k-means on the sample; the number of partitions follows the root of the number of units, within bounds."""
-    n = max(1, min(PARTITIONS, len(x) // PER_PARTITION, int(np.sqrt(units))))
+def k_means(x: np.ndarray, n: int, rounds: int = 8, seed: int = 11) -> np.ndarray:
+    """n centres; along the direction in which they vary most, neighbours come near each other."""
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), n, replace=False)]
     for _ in range(rounds):
-        part = Coarse(centres, 1).part(x)
+        part = _closest(x, centres)
         size = np.bincount(part, minlength=n)
         total = np.zeros_like(centres)
         np.add.at(total, part, x)
         centres = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], x[rng.choice(len(x), n)])
-    # Along the direction in which centres vary most, neighbours come near each other.
     middle = centres - centres.mean(axis=0)
-    centres = centres[np.argsort(middle @ np.linalg.svd(middle, full_matrices=False)[2][0], kind="stable")]
-    coarse = Coarse(centres, n)
+    return centres[np.argsort(middle @ np.linalg.svd(middle, full_matrices=False)[2][0], kind="stable")]
+
+
+def with_probes(coarse: Coarse, x: np.ndarray, k: int, most_queries: int = 500) -> Coarse:
+    """As many probes as find the share ``COVER`` of the neighbours within the sample, which are farther than those among all rows."""
+    coarse = replace(coarse, probes=len(coarse.centres))
     m = min(most_queries, len(x))
     scores = x[:m] @ x.T
     scores[np.arange(m), np.arange(m)] = -np.inf
     near = np.argpartition(-scores, min(k, len(x) - 1) - 1, axis=1)[:, : min(k, len(x) - 1)] if len(x) > 1 else np.zeros((m, 1), int)
-    place = np.argsort(coarse.probed(x[:m]), axis=1)  # of each partition among a query's probes
-    found = np.sort(np.take_along_axis(place, coarse.part(x)[near], axis=1).ravel())
-    return Coarse(centres, int(found[min(len(found) - 1, int(np.ceil(COVER * len(found))))]) + 1)
+    part = coarse.part(x)
+    found = []
+    for at in range(0, m, 64):
+        place = np.argsort(coarse.probed(x[at : min(m, at + 64)]), axis=1)  # of each partition among a query's probes
+        found.append(np.take_along_axis(place, part[near[at : at + 64]], axis=1).ravel())
+    every = np.sort(np.concatenate(found))
+    return replace(coarse, probes=int(every[min(len(every) - 1, int(np.ceil(COVER * len(every))))]) + 1)
+
+
+def fit_coarse(x: np.ndarray, units: int, k: int) -> Coarse:
+    """k-means on the sample; the number of partitions follows the root of the number of units, as far as the sample carries it."""
+    n = max(1, min(PARTITIONS, len(x) // PER_PARTITION, int(np.sqrt(units))))
+    return with_probes(Coarse(k_means(x, n), n), x, k)
+
+
+def split(coarse: Coarse, units: DataFrame, n_units: int, x: np.ndarray, k: int) -> Coarse:
+    """Partitions split until their number is about the root of the number of units, each by one task on its own rows."""
+    tops = coarse.centres
+    want = min(int(np.sqrt(n_units)), CENTRE_BYTES // tops[0].nbytes)
+    if want < 2 * len(tops):
+        return coarse
+    placing = units.sparkSession.sparkContext.broadcast(tops)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            top = pa.array(_closest(_vectors(batch.column(1)), placing.value).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([top, batch.column(0), batch.column(1)], names=["top", "first", "v"])
+
+    def centres(table: pa.Table) -> pa.Table:
+        table = table.sort_by("first")
+        own = _vectors(table["v"])
+        made = k_means(own, max(1, len(own) // PER_PARTITION))
+        return pa.table({"top": pa.array([table["top"][0].as_py()] * len(made), pa.int32()), "nth": pa.array(range(len(made)), pa.int32()), "centre": pa.array(list(made), pa.list_(pa.float64()))})
+
+    rows = hashed_share(units.select(F.col("ids")[0].alias("first"), "v"), "first", want * PER_PARTITION, n_units)
+    dealt = rows.mapInArrow(placed, "top int, first long, v array<double>")
+    nth = Window.partitionBy("top").orderBy(F.xxhash64("first"), "first")
+    dealt = dealt.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= SPLIT_ROWS).drop("nth")
+    made = dealt.groupBy("top").applyInArrow(centres, "top int, nth int, centre array<double>").orderBy("top", "nth").toArrow()  # at most ``want`` rows and one a top
+    top, found = made["top"].to_numpy(), _vectors(made["centre"])
+    parts = [found[top == t] if (top == t).any() else tops[t : t + 1] for t in range(len(tops))]
+    first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    return with_probes(Coarse(np.concatenate(parts), 1, tops, first), x, k)
 
 
 def bins(sizes: np.ndarray) -> list[tuple[int, int]]:
@@ -206,7 +272,7 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
     sample = _vectors(hashed_share(units.withColumn("first", F.col("ids")[0]), "first", SAMPLE, n_units).orderBy("first").select("v").toArrow()["v"])
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    books = spark.sparkContext.broadcast((fit(sample), fit_coarse(sample, n_units, k)))
+    books = spark.sparkContext.broadcast((fit(sample), split(fit_coarse(sample, n_units, k), units, n_units, sample, k)))
 
     def with_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book, coarse = books.value
@@ -219,7 +285,7 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
 
     coded = cut(units.mapInArrow(with_codes, "v array<double>, ids array<long>, code binary, part int"))
     sizes = np.zeros(len(books.value[1].centres), np.int64)
-    for part, n in coded.groupBy("part").count().collect():  # at most PARTITIONS rows
+    for part, n in coded.groupBy("part").count().collect():  # one row a partition, see CENTRE_BYTES
         sizes[part] = n
     where = bins(sizes)
 
@@ -236,7 +302,7 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
     down = routes.groupBy("a").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("down"))
     of_part = spark.createDataFrame([(i, *w) for i, w in enumerate(where)], "part int, bin int, own int")
     side_a = (
-        coded.join(F.broadcast(of_part), "part")  # at most PARTITIONS rows
+        coded.join(F.broadcast(of_part), "part")  # one row a partition
         .withColumn("a", (F.col("bin") + F.pmod(F.xxhash64(F.col("ids")[0]), F.col("own").cast("long"))).cast("int"))
         .join(down, "a")
         .select("a", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("b"), F.lit(None).cast("long").alias("query_id"), "v", "ids", "code")
