@@ -192,3 +192,19 @@ def test_texts_longer_than_a_slice(text):
     parts = list(K.slices(pa.array(["x", text, "y"])))
     assert [(a, b) for a, b, _, _ in parts][0][0] == 0 and parts[-1][1] == 3
     assert sum(len(d) for _, _, d, _ in parts) == len(text) + 2
+
+
+def test_quality_learns_from_what_fits(spark):
+    """Rows are learned from in the order of their hashed ids, as long as their features fit; a long text alone still counts."""
+    rows = spark.createDataFrame([(i, "word%d and some more of them " % i * (1 + 40 * (i % 3)), i % 2) for i in range(30)], "doc_id long, text string, label int")
+    placed = rows.orderBy(F.xxhash64("doc_id"))
+    every = quality.train(rows)
+    assert np.array_equal(quality.train(rows, entries=10**6).weights, every.weights)
+    first = spark.createDataFrame(placed.limit(1).collect(), rows.schema)
+    assert np.array_equal(quality.train(rows, entries=1).weights, quality.train(first).weights)
+    raw = [np.frombuffer(r.text.encode(), np.uint8) for r in placed.collect()]
+    sizes = np.cumsum([len(np.unique(quality.features(x, np.array([0, len(x)]))[1])) for x in raw])
+    n = int((sizes <= 600).sum())
+    assert 1 < n < 30
+    fits = spark.createDataFrame(placed.limit(n).collect(), rows.schema)
+    assert np.array_equal(quality.train(rows, entries=600).weights, quality.train(fits).weights)

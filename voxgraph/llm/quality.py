@@ -27,10 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
+from voxgraph.plans.lineage import cut
 
 BITS = 18
 #: Labelled rows that training uses, on average, where there are more.
 TRAIN_ROWS = 6_000
+#: Features of those rows that the driver takes, at most: 12 bytes each, and 12 more while they are put in order.
+ENTRIES = 20_000_000
 #: Weight of the shares in a text, so that steps of the learner suit them.
 SCALE = np.float32(8.0)
 
@@ -167,10 +170,11 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, bits: int
     return Model(weight(z, s).astype(np.float32), float(-zb / ((how.beta + np.sqrt(sb)) / how.alpha)), bits)
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", bits: int = BITS, how: Ftrl = Ftrl()) -> Model:
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", bits: int = BITS, how: Ftrl = Ftrl(), entries: int = ENTRIES) -> Model:
     """Fit on labelled texts, in the order of their hashed ids; rows without a label or an id are left out.
 
-    The features of all rows come to the driver: bound them with ``hashed_share``.
+    Features come to the driver: bound the rows with ``hashed_share``.  Of those rows, the first are learned from that have at most
+    ``entries`` features together (a first text that alone has more is learned from), so that long texts do not fill the driver.
     """
     schema = pa.schema([("place", pa.int64()), ("label", pa.float64()), ("bucket", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
 
@@ -179,17 +183,22 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             d, bucket, value = features(data, off, bits)
             key, at = np.unique((d << bits) | bucket, return_inverse=True)
             total = np.bincount(at, weights=value).astype(np.float32)
-            cut = np.searchsorted(key >> bits, np.arange(b - a + 1)).astype(np.int32)
+            ends = np.searchsorted(key >> bits, np.arange(b - a + 1)).astype(np.int32)
             yield {
                 "place": batch.column(0).slice(a, b - a),
                 "label": batch.column(1).slice(a, b - a),
-                "bucket": pa.ListArray.from_arrays(pa.array(cut), pa.array((key & ((1 << bits) - 1)).astype(np.int32))),
-                "value": pa.ListArray.from_arrays(pa.array(cut), pa.array(total)),
+                "bucket": pa.ListArray.from_arrays(pa.array(ends), pa.array((key & ((1 << bits) - 1)).astype(np.int32))),
+                "value": pa.ListArray.from_arrays(pa.array(ends), pa.array(total)),
             }
 
     known = labelled.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     rows = known.select(F.xxhash64(F.col(id_col)).alias("place"), F.col(label_col).cast("double").alias("label"), F.col(text_col).alias("text"))
-    table = rows.mapInArrow(K.mapper(sparse, schema), "place long, label double, bucket array<int>, value array<float>").toArrow().sort_by("place")
+    made = cut(rows.mapInArrow(K.mapper(sparse, schema), "place long, label double, bucket array<int>, value array<float>"))
+    sizes = made.groupBy("place").agg(F.sum(F.size("bucket")).alias("n")).toArrow().sort_by("place")
+    if sizes.num_rows and sizes["n"].to_numpy().sum() > entries:
+        fits = int((sizes["n"].to_numpy().cumsum() <= entries).sum())
+        made = made.where(F.col("place") <= sizes["place"][max(fits, 1) - 1].as_py())
+    table = made.toArrow().sort_by("place")
     sets = [(np.asarray(i.values), np.asarray(x.values).astype(np.float64)) for i, x in zip(table["bucket"], table["value"], strict=True)]
     return fit_ftrl(sets, table["label"].to_numpy(), bits, how)
 
