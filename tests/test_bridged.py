@@ -78,6 +78,15 @@ def test_skip_edges_have_features_and_a_forest_of_their_own(spark, run):
         assert {(r.u, r.v) for r in made.collect()} == {(r.u, r.v) for r in skips.collect()} and made.count() == skips.count()
         assert [r.skip_range for r in made.select("skip_range").distinct().collect()] == [3]
         assert len(made.columns) == len(tables["z"].columns) + 1
+    # Quantiles by ranks give the same tables; the ignored region has no edge in them.
+    some = PARAMS.with_values(features=("prob",), ignore_seg_label=60)
+    of_60 = workflows.problem_of(every, some)
+    plain, ranked = (workflows.features_of(every, some.with_values(ranked_quantiles=r), 2, of_60) for r in (False, True))
+    for kind, table in plain.items():
+        want = {(r.u, r.v): r[3:] for r in table.collect()}
+        got = {(r.u, r.v): r[3:] for r in ranked[kind].select(table.columns).collect()}
+        assert set(got) == set(want) and 60 not in {n for e in want for n in e} and len(want) == of_60.edges.where(F.col("edge_type") == kind).count()
+        assert all(x == pytest.approx(want[e], abs=1e-9) for e, x in got.items())
     joint = PARAMS.with_values(separate_edge_classification=False)
     problem = workflows.problem_of(every, joint)
     p = {(r.u, r.v, r.edge_type): r.prob for r in workflows.edge_probabilities(spark, every, inputs, joint, problem).collect()}

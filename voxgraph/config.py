@@ -15,6 +15,7 @@ class Params:
 
     features: tuple[str, ...] = ("raw", "prob", "reg")
     use_simple_features: bool = False
+    ranked_quantiles: bool = False
     z_affinity_direction: int = 2
     ignore_seg_label: int = -1
     ignore_gt_label: int = -1

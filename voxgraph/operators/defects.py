@@ -93,9 +93,10 @@ def skip_border_values(voxels: DataFrame, slices: DataFrame, values: Sequence[st
     return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.lit("skip").alias("edge_type"), F.explode(F.array(*sides)).alias("_v")).select("u", "v", "edge_type", "_v.*")
 
 
-def skip_filter_features(responses: DataFrame, slices: DataFrame, channels: Sequence[str], seg: str = "seg", z_direction: int = Z_BOTH) -> DataFrame:
+def skip_filter_features(responses: DataFrame, slices: DataFrame, channels: Sequence[str], seg: str = "seg", z_direction: int = Z_BOTH, ranked: bool = False) -> DataFrame:
     """Nine statistics of every filter channel along skip edges; columns meet once for all channels."""
-    return edge_statistics(skip_border_values(responses, slices, channels, seg, z_direction), channels, prefixed=True)
+    values = skip_border_values(responses, slices, channels, seg, z_direction)
+    return edge_statistics(cut(values) if ranked else values, channels, prefixed=True, ranked=ranked)
 
 
 def modified_adjacency(edges: DataFrame, bad_nodes: DataFrame, skips: DataFrame) -> DataFrame:

@@ -169,11 +169,12 @@ def problem_of(voxels: DataFrame, params: Params) -> Problem:
 def features_of(voxels: DataFrame, params: Params, n_inputs: int, problem: Problem | None = None) -> dict[str, DataFrame]:
     """By kind of edge: (u, v, edge_type, features) of the chosen features, side by side.
 
-    Filters see whole slices, borders and regions only what is inside the mask.  Skip edges have the features of edges between slices,
-    from the good slices beside the run, and the run's range.
+    Filters see whole slices, borders and regions only what is inside the mask; the ignored region, which may be most of a volume, is in
+    no group.  With ``ranked_quantiles`` no group of values is held in memory.  Skip edges have the features of edges between slices, from
+    the good slices beside the run, and the run's range.
     """
-    own = inside(voxels)
-    problem = problem or problem_of(own, params)
+    problem = problem or problem_of(inside(voxels), params)
+    own, ranked = inside(voxels).where(F.col("seg") != params.ignore_seg_label), params.ranked_quantiles
     edges = problem.edges.select("u", "v", "edge_type")
     filters: dict[str, DataFrame] = {}
     out: dict[str, DataFrame] = {}
@@ -185,11 +186,11 @@ def features_of(voxels: DataFrame, params: Params, n_inputs: int, problem: Probl
                 continue
             value = f"d{number}"
             if name == "reg":
-                tables.append(features.region_edge_features(edges, features.region_statistics(own, value), (kind,)))
+                tables.append(features.region_edge_features(edges, features.region_statistics(own, value, ranked=ranked), (kind,)))
             elif params.use_simple_features and skip:
-                tables.append(features.edge_statistics(skip_border_values(own, problem.slices, (value,), z_direction=params.z_affinity_direction), (value,)))
+                tables.append(features.edge_statistics(skip_border_values(own, problem.slices, (value,), z_direction=params.z_affinity_direction), (value,), ranked=ranked))
             elif params.use_simple_features:
-                tables.append(features.edge_features(own, value, keep_only_xy=kind == "xy", keep_only_z=kind == "z", z_direction=params.z_affinity_direction))
+                tables.append(features.edge_features(own, value, keep_only_xy=kind == "xy", keep_only_z=kind == "z", z_direction=params.z_affinity_direction, ranked=ranked))
             else:
                 if value not in filters:
                     filters[value] = cut(kernels.filtered(voxels, value))
@@ -197,9 +198,9 @@ def features_of(voxels: DataFrame, params: Params, n_inputs: int, problem: Probl
                 channels = [c for c in responses.columns if c not in AXES]
                 beside = own.select(*AXES, "seg").join(responses, list(AXES))
                 if skip:
-                    tables.append(skip_filter_features(beside, problem.slices, channels, z_direction=params.z_affinity_direction))
+                    tables.append(skip_filter_features(beside, problem.slices, channels, z_direction=params.z_affinity_direction, ranked=ranked))
                 else:
-                    every = features.filter_features(beside, channels, z_direction=params.z_affinity_direction)
+                    every = features.filter_features(beside, channels, z_direction=params.z_affinity_direction, ranked=ranked)
                     tables.append(every.where(F.col("edge_type") == kind))
         if tables:
             first = problem.edges.select("u", "v", "edge_type", "skip_range") if skip else edges
