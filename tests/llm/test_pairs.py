@@ -320,6 +320,30 @@ def test_partitions_grow_with_the_root_of_the_rows(spark, monkeypatch, norms, ho
     assert np.mean([len(got[i] & set(w.tolist())) / 20 for i, w in zip(q.tolist(), want, strict=True)]) >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["near copies", "heavy tails", "few long"])
+def test_recall_where_codes_or_centres_tell_little(spark, monkeypatch, kind):
+    """Near copies have one code, heavy tails spoil codebooks, and long vectors that the sample misses are near to all."""
+    rng = np.random.default_rng(6)
+    n = 6_000
+    x = rng.normal(size=(n, 32))
+    if kind == "near copies":
+        x = rng.normal(size=(8, 32))[rng.integers(8, size=n)] + 1e-3 * x
+    elif kind == "heavy tails":
+        x = rng.standard_t(2, size=(n, 32))
+    else:
+        monkeypatch.setattr(ann, "UNIT_BLOCK", 256)
+        monkeypatch.setattr(ann, "SAMPLE", 1_500)
+        x = x + 4 * rng.normal(size=(40, 32))[rng.integers(40, size=n)]
+        x[7::200] = 50 * rng.normal(size=(n // 200, 32))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)}))
+    got = ann.nearest(df, every=100).toPandas().groupby("query_id").vec_id.agg(set)
+    q = np.arange(0, n, 100)
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(got[i] & set(w.tolist())) / 20 for i, w in zip(q.tolist(), want, strict=True)]) >= 0.95
+
+
 def test_split_without_rows_for_a_partition(spark, monkeypatch):
     """A partition that the rows of the split miss stays whole; few rows, or centres that would be too many bytes, are not split."""
     x = np.random.default_rng(5).normal(size=(400, 6))

@@ -5,17 +5,22 @@ codes minimise a score-aware, anisotropic loss: the part of the residual that
 is parallel to the vector, which shifts its large inner products, costs
 ``eta`` times the rest.  A query scans codes through tables (one entry for
 each byte, that is two codes), and the best ``RERANK`` of a block are scored
-exactly, in double precision, on the original vectors.
+exactly, in double precision, on the original vectors.  So is every other unit
+of the block that its code does not rule out: one whose score, raised by
+``SIGMAS`` standard deviations of what codes leave out, reaches the k-th best.
+Where codes tell vectors apart these are few; of near copies they are all.
 
 Equal vectors are one unit with its least ids, as many as a result can need,
 so that copies cost nothing and ties go to the smaller id.  A coarse partition
 (k-means on the sample) deals units into bins of bounded size, neighbouring
-partitions together and large ones over several bins.  The number of
+partitions together and large ones over several bins.  The longest vectors,
+which are near to many and close to no centre, are a partition that every query
+visits.  The number of
 partitions is the root of the number of units: where that is more than the
 sample can carry, each partition is split by a k-means of its own, one task
 each, on rows of that partition alone.  A query goes to the bins
 of the partitions whose centres it has the largest inner products with, as many
-as hold ``COVER`` of the true neighbours in the sample: few where the data have
+as hold ``COVER`` of the true neighbours that some queries have in the sample: few where the data have
 clusters, all where they have none.  Each bin returns its best, and the best of
 the bins are the result.
 
@@ -41,14 +46,16 @@ from voxgraph.plans.lineage import cut
 
 #: Vectors on which codebooks are fitted, on average where there are more; every row is indexed.
 SAMPLE = 20_000
-#: Units of a block that a query scores exactly.
-RERANK = 200
+#: Units of a block that a query scores exactly at least, and standard deviations of the error of a code within which it scores all others.
+RERANK, SIGMAS = 200, 3.0
 #: Units and queries that meet in one task, on average.
 UNIT_BLOCK, QUERY_BLOCK = 16_384, 16_384
 #: Partitions of the first level at most, vectors of the sample for each at least, and the share of true neighbours that the probed partitions hold in the sample.
 PARTITIONS, PER_PARTITION, COVER = 1_024, 16, 0.98
 #: Vectors on which a task splits one partition at most, and bytes of the centres that the splits may have in all, as every task holds them.
 SPLIT_ROWS, CENTRE_BYTES = 16_384, 64 << 20
+#: Queries on which probes are measured, on average where there are more, and the share of units, the longest, that every query visits.
+ASKED, LONGEST = 500, 0.01
 _CHUNK = 64
 
 
@@ -73,6 +80,11 @@ class Codebooks:
         c = self.codes(x)
         return (c[:, 0::2] * 16 + c[:, 1::2]).astype(np.uint8)
 
+    def decoded(self, packed: np.ndarray, dims: int) -> np.ndarray:
+        """The vectors that codes stand for."""
+        codes = np.stack([packed >> 4, packed & 15], axis=2).reshape(len(packed), -1)
+        return self.centres[np.arange(codes.shape[1]), codes].reshape(len(packed), -1)[:, :dims]
+
     def tables(self, q: np.ndarray) -> np.ndarray:
         """(query, byte of the code, value of the byte): the two subspaces' share of the inner product."""
         t = np.einsum("qmd,mkd->qmk", self.padded(q), self.centres).astype(np.float32)
@@ -130,6 +142,10 @@ def fit(x: np.ndarray, threshold: float = 0.2, rounds: int = 6, seed: int = 7) -
     return Codebooks(centres, eta)
 
 
+def _length(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(axis=1))
+
+
 def _closest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     square = (centres**2).sum(axis=1)
     return np.concatenate([(square - 2 * x[at : at + 4096] @ centres.T).argmin(axis=1) for at in range(0, len(x), 4096)] or [np.zeros(0, int)])
@@ -140,12 +156,18 @@ class Coarse:
     """Centres of the partitions, in an order in which neighbours stand close, and how many of them a query probes.
 
     With ``tops``, a vector is placed by those first, and then among ``centres[first[t] : first[t + 1]]`` of its top ``t``.
+    Vectors longer than ``longest`` are a partition of their own, the last, which all probe.
     """
 
     centres: np.ndarray
     probes: int
     tops: np.ndarray | None = None
     first: np.ndarray | None = None
+    longest: float = np.inf
+
+    def placed(self, x: np.ndarray) -> np.ndarray:
+        """Partition of each vector; that of the longest comes after those of the centres."""
+        return np.where(_length(x) > self.longest, len(self.centres), self.part(x))
 
     def part(self, x: np.ndarray) -> np.ndarray:
         if self.tops is None:
@@ -177,38 +199,47 @@ def k_means(x: np.ndarray, n: int, rounds: int = 8, seed: int = 11) -> np.ndarra
     return centres[np.argsort(middle @ np.linalg.svd(middle, full_matrices=False)[2][0], kind="stable")]
 
 
-def with_probes(coarse: Coarse, x: np.ndarray, k: int, most_queries: int = 500) -> Coarse:
-    """As many probes as find the share ``COVER`` of the neighbours within the sample, which are farther than those among all rows."""
+def with_probes(coarse: Coarse, x: np.ndarray, k: int, asked: tuple[np.ndarray, np.ndarray] | None = None) -> Coarse:
+    """As many probes as find the share ``COVER`` of the neighbours within the sample, which are farther than those among all rows.
+
+    ``asked``: vectors of queries, and where each stands in the sample itself (-1: nowhere).
+    """
     coarse = replace(coarse, probes=len(coarse.centres))
-    m = min(most_queries, len(x))
-    scores = x[:m] @ x.T
-    scores[np.arange(m), np.arange(m)] = -np.inf
-    near = np.argpartition(-scores, min(k, len(x) - 1) - 1, axis=1)[:, : min(k, len(x) - 1)] if len(x) > 1 else np.zeros((m, 1), int)
-    part = coarse.part(x)
+    q, own = asked if asked is not None and len(asked[0]) else (x[:ASKED], np.arange(min(ASKED, len(x))))
+    part = coarse.placed(x)
     found = []
-    for at in range(0, m, 64):
-        place = np.argsort(coarse.probed(x[at : min(m, at + 64)]), axis=1)  # of each partition among a query's probes
-        found.append(np.take_along_axis(place, part[near[at : at + 64]], axis=1).ravel())
+    for at in range(0, len(q), 64):
+        scores = q[at : at + 64] @ x.T
+        there = np.flatnonzero(own[at : at + 64] >= 0)
+        scores[there, own[at : at + 64][there]] = -np.inf
+        most = min(k, max(1, len(x) - 1))
+        near = part[np.argpartition(-scores, most - 1, axis=1)[:, :most]]
+        place = np.argsort(coarse.probed(q[at : at + 64]), axis=1)  # of each partition among a query's probes
+        place = np.concatenate([place, np.zeros((len(place), 1), int)], axis=1)  # all probe the last
+        found.append(np.take_along_axis(place, near, axis=1).ravel())
     every = np.sort(np.concatenate(found))
     return replace(coarse, probes=int(every[min(len(every) - 1, int(np.ceil(COVER * len(every))))]) + 1)
 
 
-def fit_coarse(x: np.ndarray, units: int, k: int) -> Coarse:
+def fit_coarse(x: np.ndarray, units: int, k: int, asked: tuple[np.ndarray, np.ndarray] | None = None) -> Coarse:
     """k-means on the sample; the number of partitions follows the root of the number of units, as far as the sample carries it."""
+    length = _length(x)
+    longest = float(np.quantile(length, 1 - LONGEST, method="higher"))
     n = max(1, min(PARTITIONS, len(x) // PER_PARTITION, int(np.sqrt(units))))
-    return with_probes(Coarse(k_means(x, n), n), x, k)
+    return with_probes(Coarse(k_means(x[length <= longest], n), n, longest=longest), x, k, asked)
 
 
-def split(coarse: Coarse, units: DataFrame, n_units: int, x: np.ndarray, k: int) -> Coarse:
+def split(coarse: Coarse, units: DataFrame, n_units: int, x: np.ndarray, k: int, asked: tuple[np.ndarray, np.ndarray] | None = None) -> Coarse:
     """Partitions split until their number is about the root of the number of units, each by one task on its own rows."""
     tops = coarse.centres
     want = min(int(np.sqrt(n_units)), CENTRE_BYTES // tops[0].nbytes)
     if want < 2 * len(tops):
         return coarse
-    placing = units.sparkSession.sparkContext.broadcast(tops)
+    placing, longest = units.sparkSession.sparkContext.broadcast(tops), coarse.longest
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_length(_vectors(batch.column(1))) <= longest))
             top = pa.array(_closest(_vectors(batch.column(1)), placing.value).astype(np.int32))
             yield pa.RecordBatch.from_arrays([top, batch.column(0), batch.column(1)], names=["top", "first", "v"])
 
@@ -226,7 +257,7 @@ def split(coarse: Coarse, units: DataFrame, n_units: int, x: np.ndarray, k: int)
     top, found = made["top"].to_numpy(), _vectors(made["centre"])
     parts = [found[top == t] if (top == t).any() else tops[t : t + 1] for t in range(len(tops))]
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    return with_probes(Coarse(np.concatenate(parts), 1, tops, first), x, k)
+    return with_probes(replace(coarse, centres=np.concatenate(parts), tops=tops, first=first), x, k, asked)
 
 
 def bins(sizes: np.ndarray) -> list[tuple[int, int]]:
@@ -269,10 +300,14 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
     units = cut(least.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     queries = points.where(F.col("vec_id") % every == 0)
     n_units = units.count()
-    sample = _vectors(hashed_share(units.withColumn("first", F.col("ids")[0]), "first", SAMPLE, n_units).orderBy("first").select("v").toArrow()["v"])
+    sampled = hashed_share(units.select(F.col("ids")[0].alias("first"), "v"), "first", SAMPLE, n_units).orderBy("first").toArrow()
+    sample, first = _vectors(sampled["v"]), sampled["first"].to_numpy()
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    books = spark.sparkContext.broadcast((fit(sample), split(fit_coarse(sample, n_units, k), units, n_units, sample, k)))
+    some = hashed_share(queries, "vec_id", ASKED).orderBy("vec_id").toArrow()
+    at = np.minimum(np.searchsorted(first, some["vec_id"].to_numpy()), len(first) - 1)
+    asked = _vectors(some["v"]), np.where(first[at] == some["vec_id"].to_numpy(), at, -1)
+    books = spark.sparkContext.broadcast((fit(sample), split(fit_coarse(sample, n_units, k, asked), units, n_units, sample, k, asked)))
 
     def with_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book, coarse = books.value
@@ -281,20 +316,21 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
                 part = batch.slice(at, 4096)
                 x = _vectors(part.column(0))
                 code = pa.array([c.tobytes() for c in book.packed(x)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), code, pa.array(coarse.part(x).astype(np.int32))], names=["v", "ids", "code", "part"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), code, pa.array(coarse.placed(x).astype(np.int32))], names=["v", "ids", "code", "part"])
 
     coded = cut(units.mapInArrow(with_codes, "v array<double>, ids array<long>, code binary, part int"))
-    sizes = np.zeros(len(books.value[1].centres), np.int64)
+    sizes = np.zeros(len(books.value[1].centres) + 1, np.int64)
     for part, n in coded.groupBy("part").count().collect():  # one row a partition, see CENTRE_BYTES
         sizes[part] = n
     where = bins(sizes)
+    always = [len(where) - 1] if sizes[-1] else []
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, own = np.array(where).T
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                asked = [np.unique(np.concatenate([np.arange(first[p], first[p] + own[p]) for p in probed])) for probed in books.value[1].probed(_vectors(part.column(1)))]
+                asked = [np.unique(np.concatenate([np.arange(first[p], first[p] + own[p]) for p in (*probed, *always)])) for probed in books.value[1].probed(_vectors(part.column(1)))]
                 rows_ = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in asked]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(asked).astype(np.int32)), part.column(0).take(rows_), part.column(1).take(rows_)], names=["a", "query_id", "v"])
 
@@ -318,19 +354,36 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id
         if not asked.num_rows or not held.num_rows:
             return schema.empty_table()
         x, q = _vectors(held["v"]), _vectors(asked["v"])
-        codes = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint8).reshape(len(x), -1).T.astype(np.intp)
+        book = books.value[0]
+        packed = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint8).reshape(len(x), -1)
+        codes = packed.T.astype(np.intp)
         ids, qid = held["ids"].to_pylist(), asked["query_id"].to_numpy()
         first = np.array([i[0] for i in ids])
+        # What the codes leave out: its length for each unit, and how its directions spread.
+        rest = x - book.decoded(packed, x.shape[1])
+        far = _length(rest)
+        rest /= np.where(far > 0, far, 1)[:, None]
+        spread = rest.T @ rest / len(x)
         out_q, out_v, out_s = [], [], []
         for at in range(0, len(q), _CHUNK):
-            tables = books.value[0].tables(q[at : at + _CHUNK])
+            long = _length(q[at : at + _CHUNK])
+            u = q[at : at + _CHUNK] / long[:, None]
+            tables = book.tables(u)
             rough = np.zeros((tables.shape[0], len(x)), np.float32)
             for byte, code in enumerate(codes):
                 rough += tables[:, byte].take(code, axis=1)
-            most = min(rerank, len(x))
+            most = min(max(rerank, k + 1), len(x))
             best = np.argpartition(-rough, most - 1, axis=1)[:, :most]
+            error = SIGMAS * np.sqrt(np.maximum(((u @ spread) * u).sum(axis=1), 0))
+            rounding = 1e-5 * np.abs(rough).max(axis=1)
             for i, own in enumerate(best):
                 exact = x[own] @ q[at + i]
+                if most < len(x):
+                    reach = np.partition(exact, most - k - 1)[most - k - 1] / long[i] - rounding[i]
+                    open_ = rough[i] + far * error[i] >= reach
+                    open_[own] = True
+                    own = np.flatnonzero(open_)
+                    exact = x[own] @ q[at + i] if 4 * len(own) < len(x) else (x @ q[at + i])[own]
                 order = np.lexsort((first[own], -exact))[: k + 1]
                 me = qid[at + i]
                 found = sorted((-exact[j], v) for j in order.tolist() for v in ids[own[j]] if v != me)[:k]
