@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voxgraph.operators import contraction as C
 from voxgraph.operators import graph
 from voxgraph.operators import solvers as S
+from voxgraph.plans.lineage import cut
 
 
 def edges_of(shape, seed, shift=0.0):
@@ -80,3 +81,22 @@ def test_parallel_proposals(spark):
     again = C.parallel_fusion(t.repartition(7), "ilp", limits, 2, 0)
     assert p.energy(labels(again, p.n)) == pytest.approx(energy[2, 0])
     assert graph.energy(t, again).first().energy == pytest.approx(energy[2, 0])
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_components_of_few_edges_join_without_shuffles(spark, monkeypatch, few):
+    """Both ways give the same components; a round of few edges leaves few partitions."""
+    monkeypatch.setattr(graph, "FEW", few)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    pairs = [(i, i + 1) for i in range(0, 300) if i % 50] + [(1000, j) for j in range(1001, 1100)] + [(2000, 2000), (5, 1005), (None, 7)]
+    steps = []
+    done = graph.connected_components(spark.createDataFrame(pairs, "u long, v long"), write=lambda df: steps.append(df) or cut(df))
+    got = {r.node: r.component for r in done.collect()}
+    want = {i: max(1, i // 50 * 50 + 1) if i % 50 else i - 49 for i in range(1, 301)} | {j: 1 for j in range(1000, 1100)} | {2000: 2000}
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in steps]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == want
+    joined = [x for x in plans if "Join" in x]
+    assert len(joined) > 2 and all("SortMergeJoin" not in x for x in joined) == bool(few)
+    assert not few or all(df.rdd.getNumPartitions() == 1 for df in steps[1:])
