@@ -1,5 +1,7 @@
 """Problems as tables: parts, contraction in rounds, bounds, proposals side by side."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from voxgraph.operators import contraction as C
 from voxgraph.operators import graph
 from voxgraph.operators import solvers as S
-from voxgraph.plans.lineage import cut
+from voxgraph.plans.lineage import cut, release
 
 
 def edges_of(shape, seed, shift=0.0):
@@ -100,3 +102,18 @@ def test_components_of_few_edges_join_without_shuffles(spark, monkeypatch, few):
     joined = [x for x in plans if "Join" in x]
     assert len(joined) > 2 and all("SortMergeJoin" not in x for x in joined) == bool(few)
     assert not few or all(df.rdd.getNumPartitions() == 1 for df in steps[1:])
+
+
+def test_release_deletes_shuffle_files_of_tables_that_are_gone(spark):
+    def files():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert df.count() == 7
+    before = files()
+    del df
+    release(spark)
+    until = time.time() + 20
+    while files() >= before and time.time() < until:
+        time.sleep(0.2)
+    assert files() < before

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from voxgraph.llm import kernels as K
 from voxgraph.operators.graph import connected_components
-from voxgraph.plans.lineage import by_ids, cut
+from voxgraph.plans.lineage import by_ids, cut, release
 
 CHUNKS, WIDTH, ERRORS = 10, 5, 1
 SYMBOLS = CHUNKS * WIDTH
@@ -403,6 +403,7 @@ def _forest(sets: list[np.ndarray], comp: np.ndarray, rule: Rule) -> list[tuple[
 def _between(nodes: DataFrame, comps: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """(x, y): confirmed links that join components which share a key, held against the full sets within blocks of bounded size."""
     asked = cut(_asked(nodes, rule))
+    release(docs.sparkSession)
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
     def load(table: pa.Table) -> list[np.ndarray]:
@@ -440,6 +441,7 @@ def _between(nodes: DataFrame, comps: DataFrame, docs: DataFrame, rule: Rule) ->
 
     cells = cut(placed(asking, "i", "j", "rows", True).unionByName(placed(member, "j", "i", "columns", False)))
     blocks = cut(blocks)
+    release(docs.sparkSession)
     sets = full_sets(blocks.select("node").union(cells.select("node")), nodes, docs, rule)
     one = _met(blocks, sets, "node").groupBy("home", "i", "j").applyInArrow(in_home, "x long, y long")
     two = _met(cells, sets, "node").groupBy("large", "i", "j").applyInArrow(against_component, "x long, y long")
@@ -455,14 +457,20 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     keys = _keys(nodes)
     heads = keys.groupBy("key").agg(F.min("node").alias("y"), F.max("node").alias("top")).where("y < top").select("key", "y")
     starred = cut(_met(keys, heads, "key").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
-    links = cut(confirm(cut(_close(starred, nodes, rule)), nodes, docs, rule))
+    release(docs.sparkSession)  # once a table is made, what it took goes
+    close = cut(_close(starred, nodes, rule))
+    release(docs.sparkSession)
+    links = cut(confirm(close, nodes, docs, rule))
+    release(docs.sparkSession)
     parts = connected_components(links, "x", "y").withColumnRenamed("component", "comp")
     comps = cut(_met(parts, nodes.select("node", "n"), "node").groupBy("comp").agg(F.count("*").alias("many"), F.sum("n").alias("total")))
     placed = _met(nodes, _met(parts, comps.drop("total"), "comp"), "node", "left").withColumns({"comp": F.coalesce("comp", "node"), "many": F.coalesce("many", F.lit(1))})
     placed = cut(placed)
+    release(docs.sparkSession)
     # Nodes that share no key with another have no part in the second look.
     met = starred.select(F.col("x").alias("node")).union(starred.select("y")).distinct()
     more = cut(_between(_met(placed, met, "node", "left_semi"), comps, docs, rule))
+    release(docs.sparkSession)
     if not more.isEmpty():
         of = placed.select("node", "comp")
         joined = more.join(of.select(F.col("node").alias("x"), F.col("comp").alias("a")), "x").join(of.select(F.col("node").alias("y"), F.col("comp").alias("b")), "y")
