@@ -64,6 +64,19 @@ def test_equal_costs_in_a_chain(spark):
     assert {r.component for r in C.solve_whole(chain, "greedy", task_edges=10).collect()} == {0}
 
 
+def test_whole_parts_need_no_task(spark):
+    """Parts that nothing within repels are solved and proven beside the tasks, whatever their size; others still go to tasks."""
+    chain = spark.range(100).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"), F.lit(1.0).alias("cost"))
+    other = spark.createDataFrame([(50, 500, -3.0), (500, 501, 2.0), (500, 502, 1.0), (501, 502, -5.0)], "u long, v long, cost double")
+    e = C.simple(chain.unionByName(other))
+    fit, merges = C._fitting(e, 10)
+    assert {(r.part, r.u, r.v) for r in fit.collect()} == {(500, 500, 501), (500, 500, 502), (500, 501, 502)}
+    assert {tuple(r) for r in merges.collect()} == {(0, i) for i in range(101)}
+    assert tuple(C.bounds(e, task_edges=10).first()) == (2, -7.0, -7.0, 0.0, True)
+    got = {r.node: r.component for r in C.solve_whole(e, "ilp", task_edges=10).collect()}
+    assert got == {i: 0 for i in range(101)} | {500: 500, 501: 500, 502: 502}
+
+
 def test_odd_edges(spark):
     made = C.solve_whole(spark.createDataFrame([(1, 2, -1.0), (2, 1, 3.0), (4, 4, 9.0), (5, 6, -2.0)], "u long, v long, cost double"), "kl")
     assert {tuple(r) for r in made.collect()} == {(1, 1), (2, 1), (4, 4), (5, 5), (6, 6)}
