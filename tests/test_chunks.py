@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from voxgraph.sources import chunks
 from voxgraph.sources.chunks import ChunkStore
 
 ROWS = [(z, y, x, 100 * z + 10 * y + x) for z in range(4) for y in range(6) for x in range(8)]
@@ -60,6 +61,32 @@ def test_boxes_are_written_alone(spark, store):
     assert got(store.open("seg")) == want
 
 
+def test_many_chunks_share_folders(spark, tmp_path, monkeypatch):
+    """Boxes are read and written alone where chunks share folders; versions still count for each chunk."""
+    monkeypatch.setattr(chunks, "FOLDERS", 3)
+    s = ChunkStore(spark, str(tmp_path / "volumes"))
+    s.create("seg", (4, 6, 8), (1, 2, 4), seg="bigint")
+    s.create("seg", (4, 6, 8), (1, 2, 4), seg="bigint")
+    s.write(spark.createDataFrame(ROWS, SCHEMA), "seg")
+    assert got(s.open("seg")) == ROWS and s.index("seg").count() == 24 and s.open("seg").columns == ["z", "y", "x", "seg"]
+    written = {r.f.split("/data/")[1].rsplit("/", 1)[0] for r in spark.read.parquet(f"{s.path}/seg/data").select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(written) <= 3
+    new = spark.createDataFrame([(1, 2, 3, -1), (3, 5, 7, -2)], SCHEMA)
+    s.write_box(new, "seg", "seg")
+    want = sorted((z, y, x, {(1, 2, 3): -1, (3, 5, 7): -2}.get((z, y, x), v)) for z, y, x, v in ROWS)
+    assert got(s.open("seg")) == want
+    assert {(r.cz, r.cy, r.cx) for r in s.index("seg").where("v = 1").collect()} == {(1, 1, 0), (3, 2, 1)}
+    box = s.read((3, 4, 1), (4, 6, 8), "seg")
+    assert got(box) == [r for r in want if r[0] == 3 and r[1] >= 4 and r[2] >= 1]
+    assert all(f"({c}#" in box._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1] for c in ("fz", "fy", "fx"))
+    s.vacuum("seg")
+    assert got(s.open("seg")) == want
+
+
+def test_folders_are_few():
+    assert chunks.shared((21600, 3, 3), 1024) == [256, 1, 1] and chunks.shared((2, 2, 2), 8) == [1, 1, 1] and chunks.shared((100,), 0) == [128]
+
+
 def test_failed_writes_change_nothing(spark, store):
     bad = spark.createDataFrame([(0, 0, 0, 7)], SCHEMA).withColumn("seg", F.when(F.col("x") == 0, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("seg")))
     with pytest.raises(Exception, match="lost"):

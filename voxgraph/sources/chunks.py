@@ -2,8 +2,9 @@
 
 A table has one row for each place on its axes (z, y, x of a volume; the row of a
 ragged table, whose values are arrays) and is stored in folders by version and
-chunk, ``data/v=3/cz=0/cy=1/cx=2``.  An index says which version of each chunk
-counts.  A write puts the chunks that it touches into a new version and then a
+chunk, ``data/v=3/cz=0/cy=1/cx=2``.  Where chunks are very many, neighbouring ones
+share a folder, ``data/v=3/fz=0/fy=0/fx=0``, in whose file they stand in order with
+their ids as columns.  An index says which version of each chunk counts.  A write puts the chunks that it touches into a new version and then a
 new index beside the old one; the index is complete, and seen, from the moment
 its last file is there.  A write that fails leaves the table as it was, and the
 next one takes its place.
@@ -14,12 +15,24 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from functools import reduce
+from math import prod
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxgraph.sources.volume import AXES, VolumeStore
 
+#: Folders of a version at most: beyond that, chunks share them.
+FOLDERS = 1024
+
+
+def shared(counts: Sequence[int], most: int) -> list[int]:
+    """How many chunks along each axis share a folder, so that there are no more than ``most`` of them: twice as many wherever most are left."""
+    out = [1] * len(counts)
+    while prod(left := [-(-n // g) for n, g in zip(counts, out, strict=True)]) > max(1, most):
+        out[left.index(max(left))] *= 2
+    return out
+
 
 class ChunkStore(VolumeStore):
     """A folder of chunked tables by key.  Existence means that a first write is complete; shape, chunks and types are attributes, so that nothing is scanned for them."""
@@ -28,6 +41,7 @@ class ChunkStore(VolumeStore):
         super().__init__(spark, path)
         self.axes = tuple(axes)
         self.ids = tuple(f"c{a}" for a in axes)
+        self.shared_ids = tuple(f"f{a}" for a in axes)
 
     # --- what is stored about a table ---
 
@@ -40,7 +54,7 @@ class ChunkStore(VolumeStore):
         if old and old != made:
             raise ValueError(f"{key} is there with another shape, other chunks or types")
         if not old:
-            self.set_attributes(key, **made)
+            self.set_attributes(key, **made, shared=json.dumps(shared([-(-int(n) // int(c)) for n, c in zip(shape, chunks, strict=True)], FOLDERS)))
 
     def _own(self, key: str, name: str):
         return json.loads(self.attributes(key)[name])
@@ -54,6 +68,11 @@ class ChunkStore(VolumeStore):
     def dtype(self, value: str, key: str = "data") -> str:
         return self._own(key, "types")[value]
 
+    def _folders(self, key: str) -> dict[str, tuple[str, int]]:
+        """Columns of folders, with the ids that they follow from and how many of those share one; empty if each chunk has its own."""
+        many = json.loads(self.attributes(key).get("shared", "[]"))
+        return {f: (c, n) for f, c, n in zip(self.shared_ids, self.ids, many)} if max(many, default=1) > 1 else {}
+
     # --- versions ---
 
     def _versions(self, key: str) -> list[int]:
@@ -83,13 +102,19 @@ class ChunkStore(VolumeStore):
         tests = [(F.col(c) >= int(a) // n) & (F.col(c) <= (int(b) - 1) // n) for c, a, b, n in zip(self.ids, start, stop, self.chunks(key), strict=True)]
         return reduce(lambda p, q: p & q, tests)
 
-    def _rows(self, key: str, which: Column | None = None) -> DataFrame:
+    def _within_folders(self, start: Sequence[int], stop: Sequence[int], key: str) -> Column:
+        """The same of folders that chunks share."""
+        tests = [(F.col(f) >= int(a) // n // g) & (F.col(f) <= (int(b) - 1) // n // g) for (f, (_, g)), a, b, n in zip(self._folders(key).items(), start, stop, self.chunks(key))]
+        return reduce(lambda p, q: p & q, tests, F.lit(True))
+
+    def _rows(self, key: str, box: tuple[Sequence[int], Sequence[int]] | None = None) -> DataFrame:
         """Rows of current chunks, with their ids."""
         index = self.index(key)
         rows = self.spark.read.parquet(self._file(f"{key}/data"))
-        if which is not None:
-            rows, index = rows.where(which), index.where(which)
-        return rows.join(index, [*self.ids, "v"], "left_semi").drop("v")
+        if box is not None:
+            which = self._within(*box, key)
+            rows, index = rows.where(self._within_folders(*box, key)).where(which), index.where(which)
+        return rows.join(index, [*self.ids, "v"], "left_semi").drop("v", *self.shared_ids)
 
     def open(self, key: str = "data") -> DataFrame:
         if key.startswith("_attributes/"):
@@ -99,7 +124,7 @@ class ChunkStore(VolumeStore):
     def read(self, start: Sequence[int], stop: Sequence[int], key: str = "data") -> DataFrame:
         """The rows of a half-open box."""
         inside = [(F.col(a) >= int(lo)) & (F.col(a) < int(hi)) for a, lo, hi in zip(self.axes, start, stop, strict=True)]
-        return self._rows(key, self._within(start, stop, key)).where(reduce(lambda p, q: p & q, inside)).drop(*self.ids)
+        return self._rows(key, (start, stop)).where(reduce(lambda p, q: p & q, inside)).drop(*self.ids)
 
     def _with_ids(self, df: DataFrame, key: str) -> DataFrame:
         """Rows with the ids of their chunks."""
@@ -117,7 +142,13 @@ class ChunkStore(VolumeStore):
             return super().write(df, key)
         versions = self._versions(key)
         n = versions[-1] + 1 if versions else 0
-        self._placed(df, key).repartition(*self.ids).write.mode("overwrite").partitionBy(*self.ids).parquet(self._file(f"{key}/data/v={n}"))
+        folders = self._folders(key)
+        placed = self._placed(df, key).withColumns({f: F.expr(f"cast({c} div {many} as int)") for f, (c, many) in folders.items()})
+        by = list(folders) or list(self.ids)
+        rows = placed.repartition(*by)
+        if folders:
+            rows = rows.sortWithinPartitions(*by, *self.ids)  # so that ids are told apart by the statistics of a file's pages
+        rows.write.mode("overwrite").partitionBy(*by).parquet(self._file(f"{key}/data/v={n}"))
         fs, p = self._hadoop(f"{key}/data/v={n}")
         if not any(s.isDirectory() for s in fs.listStatus(p)):
             if not versions:
